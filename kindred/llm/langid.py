@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
+from kindred.llm.shared import bounded_sample
 
 UNDETERMINED = "und"
 
@@ -152,10 +153,10 @@ def train(texts: list[str], langs: list[str], s: LangIdSettings = LangIdSettings
     return {"classes": classes, "table": (folded / temperature).astype(np.float32), "threshold": threshold}
 
 
-def learn(docs: DataFrame, s: LangIdSettings = LangIdSettings(), text: str = "text", lang: str = "lang") -> dict:
-    """Train on at most ``s.sample`` of the given documents with text and label, in the order of a hash of the text."""
-    sample = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("y"))
-    rows = sample.orderBy(F.xxhash64("t", F.lit(s.seed)), "t", "y").limit(s.sample).collect()
+def learn(docs: DataFrame, s: LangIdSettings = LangIdSettings(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict:
+    """Train on at most ``s.sample`` of the given documents with text and label, drawn by a hash of ``key``."""
+    some = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("y"))
+    rows = bounded_sample(some, s.sample, s.seed, "k").collect()
     return train([r.t for r in rows], [r.y for r in rows], s)
 
 

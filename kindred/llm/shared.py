@@ -56,3 +56,15 @@ def small_or_shuffled(frame: DataFrame, rows: int, limit: int = BROADCAST_KEYS)
 def fold(column: str, parts: int):
     """The fold of an id that the contracts state: crc32 of its text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def bounded_sample(frame: DataFrame, rows: int, seed: int, key: str = "doc_id") -> DataFrame:
+    """``rows`` rows at most, in the order of a hash of ``key``: the same for the same table, however it is split.
+
+    Rows that surely come later are filtered out first, so that tasks send about what is kept.
+    """
+    here = frame.count()
+    mark = F.xxhash64(F.col(key), F.lit(seed))
+    if here > rows:
+        frame = frame.where(F.pmod(mark, F.lit(1 << 30)) < int(min(1.0, 1.2 * rows / here + 100 / here) * (1 << 30)))
+    return frame.orderBy(F.pmod(mark, F.lit(1 << 30)), *frame.columns).limit(rows)
