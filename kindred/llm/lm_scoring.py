@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
+from kindred.llm.shared import small_or_shuffled
 
 COUNTS = "shard int, background binary, target binary"
 
@@ -52,6 +53,12 @@ def cells(data: np.ndarray, offsets: np.ndarray, s: LmSettings) -> tuple[np.ndar
     return word, pair, inner, found.first
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in the least of 1, 2, 4 or 8 bytes each that holds them all."""
+    most = int(counts.max(initial=0))
+    return counts.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+
+
 def count(docs: DataFrame, member: str, s: LmSettings, text: str = "text") -> DataFrame:
     """Cell counts of all documents, and of those whose ``member`` is true, as rows of cell ranges."""
     size = s.word_cells + s.pair_cells
@@ -72,7 +79,7 @@ def count(docs: DataFrame, member: str, s: LmSettings, text: str = "text") -> Da
         n = s.range_cells
         full = [k for k in shards if tables[0, k * n : (k + 1) * n].any()]
         if full:
-            packed = [pa.array([tables[row, k * n : (k + 1) * n].astype("<u4" if tables[row].max(initial=0) < 1 << 32 else "<u8").tobytes() for k in full], pa.binary()) for row in (0, 1)]
+            packed = [pa.array([narrow(tables[row, k * n : (k + 1) * n]) for k in full], pa.binary()) for row in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *packed], names=["shard", "background", "target"])
 
     def merge(batches: Iterator[pa.RecordBatch]):
@@ -81,7 +88,7 @@ def count(docs: DataFrame, member: str, s: LmSettings, text: str = "text") -> Da
             for k, *both in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 sums = held.setdefault(k, np.zeros((2, s.range_cells), np.int64))
                 for row, raw in zip(sums, both):
-                    row += np.frombuffer(raw, "<u4" if len(raw) == 4 * s.range_cells else "<u8").astype(np.int64)
+                    row += np.frombuffer(raw, f"<u{len(raw) // s.range_cells}").astype(np.int64)
         for k, sums in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([row.tobytes()], pa.binary()) for row in sums)], names=["shard", "background", "target"])
 
@@ -155,4 +162,5 @@ def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and in_target: whether some label row marks the document's quality as 1."""
     docs = docs.select("doc_id", "text")
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("good_id")).distinct()
+    good = small_or_shuffled(good, good.count())
     return docs.join(good, docs.doc_id == good.good_id, "left").withColumn("in_target", F.col("good_id").isNotNull()).drop("good_id")
