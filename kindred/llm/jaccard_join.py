@@ -14,7 +14,11 @@ Steps: (1) documents of equal sets form classes, and only each class's least doc
 its least document with each other one, so that a bucket of m rows makes m - 1 pairs; (3) each
 document is verified against the hub that it meets most often, exactly, on the whole sets; (4)
 pairs with the other hubs, where the components found so far still differ; (5) within buckets
-that still hold several components, the pairs across them. Every link is then in some verified
+that still hold several components, the pairs across them. For (5) each document has a sketch,
+its shingles counted in 128 cells: the L1 distance of two sketches is no more than the sets'
+difference, so that pairs whose sketches are too far apart are no links and are left out before
+they are emitted. Buckets of (5) are cut into blocks of bounded size, and each pair of blocks is
+a unit of work of its own. Every link is then in some verified
 pair or joins two documents that verified links connect already, so the components are exact.
 """
 
@@ -147,6 +151,73 @@ def stars(rows: DataFrame) -> DataFrame:
     return rows.repartition("signature").sortWithinPartitions("signature", "doc_id").mapInArrow(work, "signature long, hub long, doc_id long")
 
 
+CELLS = 128
+BLOCK = 2048
+
+
+def sketches(texts: DataFrame, s: JaccardSettings) -> DataFrame:
+    """(doc_id, n, sketch): set size and shingle counts by cell, at most 255 in a cell, which keeps the bound."""
+
+    def work(batches):
+        for batch in batches:
+            for part, data, offsets in arrowtext.pieces(batch, "text"):
+                sets = arrowtext.shingle_sets(arrowtext.words(data, offsets), s.width)
+                made = [np.minimum(255, np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(made, pa.binary())], names=["doc_id", "n", "sketch"])
+
+    return texts.select("doc_id", "text").mapInArrow(work, "doc_id long, n long, sketch binary")
+
+
+def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
+    """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; hubs' pairs are known."""
+
+    def pairs_of(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        whole = pa.Table.from_batches(rows).combine_chunks()
+        get = lambda c: whole.column(c).to_numpy()
+        doc, hub, comp, n, block = get("doc_id"), get("hub"), get("component"), get("n"), get("block")
+        grid = np.frombuffer(b"".join(whole.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+        same = whole.column("low")[0].as_py() == whole.column("high")[0].as_py()
+        left = np.arange(len(doc)) if same else np.flatnonzero(block == whole.column("low")[0].as_py())
+        right = left if same else np.flatnonzero(block == whole.column("high")[0].as_py())
+        found = []
+        for i in left.tolist():
+            to = right[right > i] if same else right
+            to = to[(comp[to] != comp[i]) & (doc[to] != hub[to]) & (doc[i] != hub[i])]
+            small, large = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
+            to = to[100 * small >= s.percent * large]
+            if len(to):
+                total = n[to] + n[i]
+                least = -(-s.percent * total // (100 + s.percent))  # shared shingles that a link needs
+                to = to[np.abs(grid[to] - grid[i]).sum(axis=1) <= total - 2 * least]
+                if len(to):
+                    found.append(np.stack([np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])]))
+        if not found:
+            return None
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def work(batches):
+        held, name = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("signature", "low", "high")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                key = tuple(keys[:, x].tolist())
+                if key != name and held:
+                    out = pairs_of(held)
+                    if out is not None:
+                        yield out
+                    held = []
+                name = key
+                held.append(batch.slice(x, y - x))
+        if held and (out := pairs_of(held)) is not None:
+            yield out
+
+    return members.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high").mapInArrow(work, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``texts``: (doc_id, text) of the candidates."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -210,15 +281,21 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
 
     # buckets that still hold several components: pairs across them that are not with the hub
     known = found.select(F.col("id").alias("doc_id"), "component")
-    member = met.join(known, "doc_id", "left").select("signature", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("signature")
-    member = scratch.keep("open", member.join(open_, "signature", "left_semi"))
-    one, two = member.toDF("signature", "a", "ca"), member.toDF("signature", "b", "cb")
-    across = one.join(two, "signature").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = scratch.keep("across", across.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    rows = met.unionByName(met.select("signature", "hub", F.col("hub").alias("doc_id")).distinct())
+    member = rows.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2")
+    member = scratch.keep("open", member.join(open_.select("signature", "m"), "signature"))
+    few = member.select("doc_id").distinct()
+    few = scratch.keep("few", few)
+    drawn = scratch.keep("sketches", sketches(texts.join(small_or_shuffled(few, few.count()), "doc_id", "left_semi"), s).distinct())
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    member = member.join(drawn, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    across = scratch.keep("across", near_pairs(member, s))
     links = links.unionByName(scratch.keep("links-3", verified(across, texts, s)))
     found = scratch.keep("found", components(links, scratch, "third"))
-    scratch.drop("met", "pairs", "ids", "texts", "rest", "open", "across")
+    scratch.drop("met", "pairs", "ids", "texts", "rest", "open", "few", "sketches", "across")
 
     # rows of a class follow its least document; ids that are repeated with other texts join their classes
     lead = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"))
