@@ -38,11 +38,13 @@ def tokens(text: str) -> F.Column:
 
 
 def seeds(frame: DataFrame, key: str) -> DataFrame:
-    """(key, at, seed) for every position and mask of the column ``words``."""
-    one = lambda m: f"transform(sequence(0, size(words) - {SPAN}), i -> xxhash64({m}, " + ", ".join(f"words[i + {k}]" for k in MASKS[m]) + "))"
-    both = F.expr("concat(" + ", ".join(map(one, range(len(MASKS)))) + ")")
-    made = frame.where(F.size("words") >= SPAN).select(key, (F.size("words") - (SPAN - 1)).alias("n"), F.posexplode(both).alias("k", "seed"))
-    return made.select(key, F.expr("k % n").alias("at"), "seed")
+    """(key, at, seed) for every position and mask of the column ``words``.
+
+    Rows of positions, not array functions, so that hashing and the join stay in generated code.
+    """
+    places = frame.where(F.size("words") >= SPAN).select(key, "words", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("at"))
+    hashed = [F.expr(f"xxhash64({m}, " + ", ".join(f"words[at + {k}]" for k in mask) + ")") for m, mask in enumerate(MASKS)]
+    return places.select(key, "at", F.explode(F.array(*hashed)).alias("seed"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, s: SeedSettings = SeedSettings(), text: str = "text") -> DataFrame:
