@@ -15,9 +15,9 @@ its least document with each other one, so that a bucket of m rows makes m - 1 p
 document is verified against the hub that it meets most often, exactly, on the whole sets; (4)
 pairs with the other hubs, where the components found so far still differ; (5) within buckets
 that still hold several components, the pairs across them. For (5) each document has a sketch,
-its shingles counted in 128 cells: the L1 distance of two sketches is no more than the sets'
+its shingles counted in 256 cells: the L1 distance of two sketches is no more than the sets'
 difference, so that pairs whose sketches are too far apart are no links and are left out before
-they are emitted. Buckets of (5) are cut into blocks of bounded size, and each pair of blocks is
+they are emitted; pairs of (3) and (4) pass the same test before any text is fetched. Buckets of (5) are cut into blocks of bounded size, and each pair of blocks is
 a unit of work of its own. Every link is then in some verified
 pair or joins two documents that verified links connect already, so the components are exact.
 """
@@ -151,7 +151,7 @@ def stars(rows: DataFrame) -> DataFrame:
     return rows.repartition("signature").sortWithinPartitions("signature", "doc_id").mapInArrow(work, "signature long, hub long, doc_id long")
 
 
-CELLS = 128
+CELLS = 256
 BLOCK = 2048
 
 
@@ -162,12 +162,34 @@ def sketches(texts: DataFrame, s: JaccardSettings) -> DataFrame:
         for batch in batches:
             for part, data, offsets in arrowtext.pieces(batch, "text"):
                 sets = arrowtext.shingle_sets(arrowtext.words(data, offsets), s.width)
-                made = [np.minimum(255, np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
+                made = [np.minimum(255, np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(made, pa.binary())], names=["doc_id", "n", "sketch"])
 
     return texts.select("doc_id", "text").mapInArrow(work, "doc_id long, n long, sketch binary")
 
 
+def plausible(pairs: DataFrame, drawn: DataFrame, s: JaccardSettings) -> DataFrame:
+    """The pairs (a, b, shared) whose sizes and sketches allow a link."""
+    a, b = (drawn.toDF(c, f"n_{c}", f"sketch_{c}") for c in "ab")
+
+    def work(batches):
+        for batch in batches:
+            if batch.num_rows:
+                na, nb = (batch.column(f"n_{c}").to_numpy(zero_copy_only=False) for c in "ab")
+                ga, gb = (np.frombuffer(b"".join(batch.column(f"sketch_{c}").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in "ab")
+                yield batch.select(["a", "b", "shared"]).filter(pa.array(allowed(na, nb, ga, gb, s)))
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "shared", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(work, "a long, b long, shared long").groupBy("a", "b").agg(F.max("shared").alias("shared"))
+
+
+def allowed(na: np.ndarray, nb: np.ndarray, ga: np.ndarray, gb: np.ndarray, s: JaccardSettings) -> np.ndarray:
+    """Whether sets of these sizes and sketches may be similar enough: a necessary condition."""
+    total = na + nb
+    least = -(-s.percent * total // (100 + s.percent))  # shared shingles that a link needs
+    near = np.abs(ga - gb).sum(axis=1) <= total - 2 * least
+    return near & (100 * np.minimum(na, nb) >= s.percent * np.maximum(na, nb))
+
+
 def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
     """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; hubs' pairs are known."""
 
@@ -186,9 +208,7 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
             small, large = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
             to = to[100 * small >= s.percent * large]
             if len(to):
-                total = n[to] + n[i]
-                least = -(-s.percent * total // (100 + s.percent))  # shared shingles that a link needs
-                to = to[np.abs(grid[to] - grid[i]).sum(axis=1) <= total - 2 * least]
+                to = to[allowed(n[to], n[i], grid[to], grid[i], s)]
                 if len(to):
                     found.append(np.stack([np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])]))
         if not found:
@@ -266,6 +286,9 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     ids = scratch.keep("ids", pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"))
     texts = scratch.keep("texts", single.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi"))
 
+    drawn = scratch.keep("sketches", sketches(texts, s).distinct())
+    pairs = scratch.keep("near", plausible(pairs, drawn, s))
+
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("m"))).alias("top")).select((-F.col("top.m")).alias("a"), "b")
     links = scratch.keep("links-1", verified(best, texts, s))
     found = components(links, scratch, "first")
@@ -285,9 +308,6 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     member = rows.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2")
     member = scratch.keep("open", member.join(open_.select("signature", "m"), "signature"))
-    few = member.select("doc_id").distinct()
-    few = scratch.keep("few", few)
-    drawn = scratch.keep("sketches", sketches(texts.join(small_or_shuffled(few, few.count()), "doc_id", "left_semi"), s).distinct())
     parts = F.ceil(F.col("m") / BLOCK).cast("int")
     member = member.join(drawn, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -295,7 +315,7 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     across = scratch.keep("across", near_pairs(member, s))
     links = links.unionByName(scratch.keep("links-3", verified(across, texts, s)))
     found = scratch.keep("found", components(links, scratch, "third"))
-    scratch.drop("met", "pairs", "ids", "texts", "rest", "open", "few", "sketches", "across")
+    scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across")
 
     # rows of a class follow its least document; ids that are repeated with other texts join their classes
     lead = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"))
