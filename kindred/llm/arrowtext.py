@@ -23,7 +23,7 @@ STEP = np.uint64(0xD6E8FEB86659FD93)
 MASK64 = (1 << 64) - 1
 
 #: Bytes of text that are held in expanded form at a time.
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -31,7 +31,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse modulo 2**64 for i < n."""
     if len(_powers[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
+        size = max(n, 1 << 12, len(_powers[0]) * 5 // 4)
         for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

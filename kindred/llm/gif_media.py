@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
+from kindred.llm.shared import by_batches
 
 #: The payload contract: frames of 24 x 24 samples; the last one is filled up with 255.
 SIDE = 24
@@ -246,4 +247,4 @@ def media_columns(docs: DataFrame, text: str = "text", media: bool = False) -> D
                 cols = [part.column(c) for c in kept] + [pa.array(x, k) for x, k in zip(rows, kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + MADE.names + ["gif"] * media)
 
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))

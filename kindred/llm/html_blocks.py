@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from kindred.llm.shared import by_batches
+
 #: Elements that are not shown, elements within a line, elements without an end tag.
 HIDDEN = ("script", "style", "noscript", "template", "iframe", "svg", "object", "head", "textarea", "select", "button", "canvas", "math", "audio", "video")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -383,4 +385,4 @@ def main_text(pages: DataFrame, page: str = "html", net: BiLstm | None = None) -
                 texts = ["\n".join(b.text for b, keep in zip(f, flags) if keep) for f, flags in zip(found, labels(reader, found))]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=kept + made)
 
-    return pages.mapInArrow(work, T.StructType(fields))
+    return by_batches(pages, work, T.StructType(fields))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import arrowtext
 from kindred.llm.components import components
-from kindred.llm.shared import Scratch, small_or_shuffled
+from kindred.llm.shared import by_batches, Scratch, small_or_shuffled
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ def set_keys(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) ->
                     b = np.array([arrowtext.mix(x + arrowtext.STEP).sum(dtype=np.uint64) for x in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(id_column), pa.array([len(x) for x in sets], pa.int64()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["doc_id", "n_shingles", "key_a", "key_b"])
 
-    return docs.select(F.col(id_column).cast("long").alias(id_column), text).mapInArrow(work, "doc_id long, n_shingles long, key_a long, key_b long")
+    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "doc_id long, n_shingles long, key_a long, key_b long")
 
 
 def signature_rows(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) -> DataFrame:
@@ -122,7 +122,7 @@ def signature_rows(docs: DataFrame, s: JaccardSettings, id_column: str, text: st
                 rows = np.concatenate(made) if made else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(rows.view(np.int64)), pa.array(np.repeat(ids, [len(x) for x in made]), pa.int64())], names=["signature", "doc_id"])
 
-    return docs.select(F.col(id_column).cast("long").alias(id_column), text).mapInArrow(work, "signature long, doc_id long")
+    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "signature long, doc_id long")
 
 
 def stars(rows: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def stars(rows: DataFrame) -> DataFrame:
             if kept.any():
                 yield pa.RecordBatch.from_arrays([pa.array(sig[kept]), pa.array(hubs[kept]), pa.array(doc[kept])], names=["signature", "hub", "doc_id"])
 
-    return rows.repartition("signature").sortWithinPartitions("signature", "doc_id").mapInArrow(work, "signature long, hub long, doc_id long")
+    return by_batches(rows.repartition("signature").sortWithinPartitions("signature", "doc_id"), work, "signature long, hub long, doc_id long")
 
 
 CELLS = 256
@@ -165,7 +165,7 @@ def sketches(texts: DataFrame, s: JaccardSettings) -> DataFrame:
                 made = [np.minimum(255, np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(made, pa.binary())], names=["doc_id", "n", "sketch"])
 
-    return texts.select("doc_id", "text").mapInArrow(work, "doc_id long, n long, sketch binary")
+    return by_batches(texts.select("doc_id", "text"), work, "doc_id long, n long, sketch binary")
 
 
 def plausible(pairs: DataFrame, drawn: DataFrame, s: JaccardSettings) -> DataFrame:
@@ -179,7 +179,7 @@ def plausible(pairs: DataFrame, drawn: DataFrame, s: JaccardSettings) -> DataFra
                 ga, gb = (np.frombuffer(b"".join(batch.column(f"sketch_{c}").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in "ab")
                 yield batch.select(["a", "b", "shared"]).filter(pa.array(allowed(na, nb, ga, gb, s)))
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "shared", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(work, "a long, b long, shared long").groupBy("a", "b").agg(F.max("shared").alias("shared"))
+    return by_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "shared", "n_a", "sketch_a", "n_b", "sketch_b"), work, "a long, b long, shared long").groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
 
 def allowed(na: np.ndarray, nb: np.ndarray, ga: np.ndarray, gb: np.ndarray, s: JaccardSettings) -> np.ndarray:
@@ -235,7 +235,7 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
         if held and (out := pairs_of(held)) is not None:
             yield out
 
-    return members.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high").mapInArrow(work, "a long, b long").distinct()
+    return by_batches(members.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high"), work, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFrame:
@@ -262,7 +262,7 @@ def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFram
                     keep[k] = shared > 0 and 100 * shared >= s.percent * (len(mine) + len(other) - shared)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long")
+    return by_batches(both.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

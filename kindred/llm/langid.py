@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
-from kindred.llm.shared import bounded_sample
+from kindred.llm.shared import bounded_sample, by_batches
 
 UNDETERMINED = "und"
 
@@ -139,7 +139,8 @@ def train(texts: list[str], langs: list[str], s: LangIdSettings = LangIdSettings
     truth = np.concatenate([truth, y[held]])
     temperature, threshold = 1.0, max(1 / len(classes), 1 - s.doubt)
     if len(calibration):
-        logits = means(folded, *features(*lowered(calibration), s.buckets), len(calibration))
+        cuts = [calibration[k : k + 200] for k in range(0, len(calibration), 200)]
+        logits = np.concatenate([means(folded, *features(*lowered(c), s.buckets), len(c)) for c in cuts])
         tries = np.geomspace(0.05, 20, 60)
         nll = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in tries]
         temperature = float(tries[int(np.argmin(nll))])
@@ -189,4 +190,4 @@ def predict(docs: DataFrame, fitted: dict, s: LangIdSettings = LangIdSettings(),
                 cols = [part.column(c) for c in kept] + [pa.array(names, pa.string()), pa.array(np.where(known, top, 0.0)), pa.array(known & (top >= m["threshold"]))]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + made)
 
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))

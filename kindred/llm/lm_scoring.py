@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
-from kindred.llm.shared import small_or_shuffled
+from kindred.llm.shared import by_batches, small_or_shuffled
 
 COUNTS = "shard int, background binary, target binary"
 
@@ -92,7 +92,7 @@ def count(docs: DataFrame, member: str, s: LmSettings, text: str = "text") -> Da
         for k, sums in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([row.tobytes()], pa.binary()) for row in sums)], names=["shard", "background", "target"])
 
-    return docs.select(text, member).mapInArrow(add_up, COUNTS).repartition("shard").mapInArrow(merge, COUNTS)
+    return by_batches(by_batches(docs.select(text, member), add_up, COUNTS).repartition("shard"), merge, COUNTS)
 
 
 def model(counts: DataFrame, s: LmSettings) -> dict[str, np.ndarray | float]:
@@ -145,7 +145,7 @@ def score(docs: DataFrame, fitted: dict, s: LmSettings = LmSettings(), text: str
                 values = [pa.array(n, pa.int64())] + [pa.array(x, pa.float64(), mask=n == 0) for x in (goal, base, goal - base)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + values, names=kept + made)
 
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))
 
 
 def cross_entropy_difference(docs: DataFrame, member: str, s: LmSettings = LmSettings(), text: str = "text") -> DataFrame:

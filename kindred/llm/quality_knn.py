@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
+from kindred.llm.shared import by_batches
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,9 @@ def fit(texts: list[str], labels: list[int], s: KnnSettings = KnnSettings()) ->
         return {"idf": np.ones(width, np.float32), "basis": np.zeros((width, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "prior": 0.5}
     df = sum((features(d, o, s) > 0).sum(axis=0) for d, o in blocks(texts))
     idf = np.log((1 + len(texts)) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    x = np.concatenate([vectors(d, o, idf, None, s) for d, o in blocks(texts)])
+    x = np.empty((len(texts), width), np.float32)
+    for k, (d, o) in enumerate(blocks(texts)):
+        x[200 * k : 200 * k + len(o) - 1] = vectors(d, o, idf, None, s)
     random = np.random.default_rng(s.seed)
     dim = min(s.dim, len(texts))
     q = np.linalg.qr(x.T @ random.normal(size=(len(texts), dim + 8)).astype(np.float32))[0]
@@ -140,12 +143,12 @@ def score(docs: DataFrame, fitted: dict, s: KnnSettings = KnnSettings(), text: s
     def work(batches):
         m = held.value
         for batch in batches:
-            for part, data, offsets in arrowtext.pieces(batch, text, arrowtext.PIECE // 2):
+            for part, data, offsets in arrowtext.pieces(batch, text, arrowtext.PIECE):
                 values = np.concatenate([vote(m, vectors(*cut, m["idf"], m["basis"], s), s) for cut in row_blocks(data, offsets, 256)])
                 cols = [part.column(c) for c in kept] + [pa.array(values), pa.array((values >= s.cut).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + made)
 
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))
 
 
 def row_blocks(data: np.ndarray, offsets: np.ndarray, rows: int):

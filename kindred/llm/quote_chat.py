@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.llm.shared import Scratch
+from kindred.llm.shared import by_batches, Scratch
 
 MARK = regex.compile(r"^[ \t]*((?:>[ \t]?)+)(.*)$")
 #: Line endings that introduce a quote.
@@ -82,7 +82,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "quotes")
     plain = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([*(plain.schema[c] for c in ("conv_id", "turn", "role")), T.StructField("body", T.StringType()), T.StructField("parts", PARTS)])
-    read = scratch.keep("read", plain.mapInArrow(digests, schema))
+    read = scratch.keep("read", by_batches(plain, digests, schema))
     part = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("parts").alias("p")).select("conv_id", "turn", F.xxhash64("p.key").alias("key"), F.md5("p.key").alias("check"), "p.level", "p.quoted")
     # only passages that are quoted somewhere in the conversation matter; others stop here
     asked = part.where("quoted").select("conv_id", "key").distinct()

@@ -25,6 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of a batch that goes to a Python worker: ten thousand whole texts at once would be too many.
+BATCH_BYTES = 8 << 20
+
+
+def by_batches(frame: DataFrame, work, schema) -> DataFrame:
+    """``frame.mapInArrow`` with batches of bounded size, unless the session sets a bound itself."""
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark = frame.sparkSession
+    if conf not in spark.conf.getAll:
+        spark.conf.set(conf, str(BATCH_BYTES))
+    return frame.mapInArrow(work, schema)
+
+
 class Scratch:
     """Written tables under the shared folder: they cut lineage and outlive a lost executor."""
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
 from kindred.llm.trie_bpe import TrieEncoder, shipped, worker_encoder
+from kindred.llm.shared import by_batches
 
 #: Pre-tokens in a leaf.
 LEAF = 64
@@ -170,4 +171,4 @@ def edited_counts(docs: DataFrame, vocabulary: str, edits: str = "edits", text:
                 cols = [part.column(c) for c in kept] + [pa.array(x, pa.int64()) for x in zip(*rows)]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + made)
 
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))

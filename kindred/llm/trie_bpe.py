@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import arrowtext
+from kindred.llm.shared import by_batches
 
 #: The split pattern of the vocabulary's family. White space is the Unicode property.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -205,4 +206,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", ids: boo
     fields = [docs.schema[c] for c in kept] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if ids:
         fields += [T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("decoded", T.StringType())]
-    return docs.mapInArrow(work, T.StructType(fields))
+    return by_batches(docs, work, T.StructType(fields))
