@@ -15,7 +15,7 @@ its least document with each other one, so that a bucket of m rows makes m - 1 p
 document is verified against the hub that it meets most often, exactly, on the whole sets; (4)
 pairs with the other hubs, where the components found so far still differ; (5) within buckets
 that still hold several components, the pairs across them. For (5) each document has a sketch,
-its shingles counted in 256 cells: the L1 distance of two sketches is no more than the sets'
+its shingles counted in cells, about half as many as there are shingles: the L1 distance of two sketches is no more than the sets'
 difference, so that pairs whose sketches are too far apart are no links and are left out before
 they are emitted; pairs of (3) and (4) pass the same test before any text is fetched. Buckets of (5) are cut into blocks of bounded size, and each pair of blocks is
 a unit of work of its own. Every link is then in some verified
@@ -151,10 +151,38 @@ def stars(rows: DataFrame) -> DataFrame:
     return by_batches(rows.repartition("signature").sortWithinPartitions("signature", "doc_id"), work, "signature long, hub long, doc_id long")
 
 
-CELLS = 256
+#: A sketch has cells in a power of two within these bounds.
+LEAST_CELLS, MOST_CELLS = 256, 4096
 BLOCK = 2048
 
 
+def sketch(held: np.ndarray) -> bytes:
+    bits = min(MOST_CELLS, max(LEAST_CELLS, len(held) // 2)).bit_length() - 1
+    return np.minimum(255, np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)).astype(np.uint8).tobytes()
+
+
+def folded(held: list[bytes], cells: int) -> np.ndarray:
+    """Sketches of one size as rows of fewer cells: neighbours are added up, which keeps the bound."""
+    grid = np.frombuffer(b"".join(held), np.uint8).reshape(len(held), -1)
+    return grid if grid.shape[1] == cells else np.minimum(255, grid.reshape(len(held), cells, -1).sum(axis=2)).astype(np.uint8)
+
+
+def spread(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+
+
+def distances(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """L1 distances of sketches pair by pair, each at the smaller one's size."""
+    sizes = np.array([[len(x) for x in a], [len(x) for x in b]])
+    out = np.zeros(len(a), np.int64)
+    for x, y in np.unique(sizes, axis=1).T.tolist():
+        rows = np.flatnonzero((sizes[0] == x) & (sizes[1] == y))
+        for k in range(0, len(rows), 2048):
+            some = rows[k : k + 2048]
+            out[some] = spread(folded([a[r] for r in some], min(x, y)), folded([b[r] for r in some], min(x, y)))
+    return out
+
+
 def sketches(texts: DataFrame, s: JaccardSettings) -> DataFrame:
     """(doc_id, n, sketch): set size and shingle counts by cell, at most 255 in a cell, which keeps the bound."""
 
@@ -162,7 +190,7 @@ def sketches(texts: DataFrame, s: JaccardSettings) -> DataFrame:
         for batch in batches:
             for part, data, offsets in arrowtext.pieces(batch, "text"):
                 sets = arrowtext.shingle_sets(arrowtext.words(data, offsets), s.width)
-                made = [np.minimum(255, np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=CELLS)).astype(np.uint8).tobytes() for x in sets]
+                made = [sketch(x) for x in sets]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(made, pa.binary())], names=["doc_id", "n", "sketch"])
 
     return by_batches(texts.select("doc_id", "text"), work, "doc_id long, n long, sketch binary")
@@ -176,18 +204,17 @@ def plausible(pairs: DataFrame, drawn: DataFrame, s: JaccardSettings) -> DataFra
         for batch in batches:
             if batch.num_rows:
                 na, nb = (batch.column(f"n_{c}").to_numpy(zero_copy_only=False) for c in "ab")
-                ga, gb = (np.frombuffer(b"".join(batch.column(f"sketch_{c}").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in "ab")
-                yield batch.select(["a", "b", "shared"]).filter(pa.array(allowed(na, nb, ga, gb, s)))
+                apart = distances(*(batch.column(f"sketch_{c}").to_pylist() for c in "ab"))
+                yield batch.select(["a", "b", "shared"]).filter(pa.array(allowed(na, nb, apart, s)))
 
     return by_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "shared", "n_a", "sketch_a", "n_b", "sketch_b"), work, "a long, b long, shared long").groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
 
-def allowed(na: np.ndarray, nb: np.ndarray, ga: np.ndarray, gb: np.ndarray, s: JaccardSettings) -> np.ndarray:
-    """Whether sets of these sizes and sketches may be similar enough: a necessary condition."""
+def allowed(na: np.ndarray, nb: np.ndarray, apart: np.ndarray, s: JaccardSettings) -> np.ndarray:
+    """Whether sets of these sizes and sketch distances may be similar enough: a necessary condition."""
     total = na + nb
     least = -(-s.percent * total // (100 + s.percent))  # shared shingles that a link needs
-    near = np.abs(ga - gb).sum(axis=1) <= total - 2 * least
-    return near & (100 * np.minimum(na, nb) >= s.percent * np.maximum(na, nb))
+    return (apart <= total - 2 * least) & (100 * np.minimum(na, nb) >= s.percent * np.maximum(na, nb))
 
 
 def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
@@ -197,7 +224,9 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
         whole = pa.Table.from_batches(rows).combine_chunks()
         get = lambda c: whole.column(c).to_numpy()
         doc, hub, comp, n, block = get("doc_id"), get("hub"), get("component"), get("n"), get("block")
-        grid = np.frombuffer(b"".join(whole.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+        drawn = whole.column("sketch").to_pylist()
+        cells = min(map(len, drawn))
+        grid = np.concatenate([folded([x], cells) for x in drawn])
         same = whole.column("low")[0].as_py() == whole.column("high")[0].as_py()
         left = np.arange(len(doc)) if same else np.flatnonzero(block == whole.column("low")[0].as_py())
         right = left if same else np.flatnonzero(block == whole.column("high")[0].as_py())
@@ -208,7 +237,7 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
             small, large = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
             to = to[100 * small >= s.percent * large]
             if len(to):
-                to = to[allowed(n[to], n[i], grid[to], grid[i], s)]
+                to = to[allowed(n[to], n[i], spread(grid[to], grid[i]), s)]
                 if len(to):
                     found.append(np.stack([np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])]))
         if not found:
