@@ -7,9 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kindred.functions.columns import byte_levenshtein, grams, jaccard, share, stable_bucket, tokens
+from kindred.functions import text
 from kindred.functions.similarity import fuzzy_ratios, jaro_winkler
 from kindred.operators import blocking as B
 from kindred.operators import matching as M
+from kindred.operators import model as gbt
 from kindred.sources.adapters import PARTS, TRUTH, document_lines, parts, same_text, table
 
 CAPS = B.Caps(name=2, name_state=3, phonetic=2, phonetic_state=3, hn=2, token_k=1, token_df=12, addr_df=40, gram_m=5, gram_df=60, gram_shared=2, gram_top=5, compound=4, per_entity=6)
@@ -182,9 +184,31 @@ def pair_fuzzy(spark, sf_dir):
     return x.select("s1", "t", "r.*")
 
 
+def names_struct(spark, sf_dir):
+    return document_lines(spark, sf_dir).select("id", text.names("line").alias("n")).select("id", "n.core_latin", "n.compact", "n.phonetic", "n.website", "n.script")
+
+
+def address_struct(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    raw = F.concat_ws(", ", F.concat(F.col("c_custkey").cast("string"), F.lit(" Main Street")), F.lower("c_mktsegment"), F.col("n_name"))
+    return c.select("c_custkey", text.addresses(raw, F.lit("us")).alias("a")).select("c_custkey", "a.house", "a.street", "a.city", "a.state")
+
+
+def transliterated(spark, sf_dir):
+    return document_lines(spark, sf_dir).select("id", text.text_column("transliterated", "line").alias("latin"), text.text_column("sound_key", "line").alias("sound"))
+
+
+def gbt_scores(spark, sf_dir):
+    """Trees fitted on the labelled pairs of the training split, scores for all pairs."""
+    q, t = parts(spark, sf_dir)
+    rows = M.features(cand_union_mask(spark, sf_dir), q, t).join(part_truth(spark, sf_dir).withColumn("label", F.lit(1.0)), ["s1", "t"], "left").fillna({"label": 0.0}).withColumn("weight", F.lit(1.0))
+    model = gbt.train(rows.where(stable_bucket(F.col("s1"), 42, 100) >= 20), gbt.GbtParams(trees=5, depth=4))
+    return gbt.score(model, rows).withColumn("p", share(F.col("p")))
+
+
 def queries() -> dict:
     found = {f"cand_{n}": strategy_query(n) for n in B.BITS}
-    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, setsim_trigram, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy)}
+    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, setsim_trigram, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy, names_struct, address_struct, transliterated, gbt_scores)}
     found |= {n: rule_query(n) for n in RULE}
     return found | {n: leg(n) for n in ("leg_exact", "leg_alias", "leg_website", "leg_state_house", "leg_place_number", "leg_phonetic", "leg_rare_token")}
 
