@@ -14,6 +14,9 @@ from kindred.llm.shared import fold, table
 TOKENIZERS = os.environ.get("KINDRED_TOKENIZERS", "/opt/tokenizers")
 
 
+ORACLES_TABLES = ("documents", "benchmark")
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return f"{TOKENIZERS}/{name}"
 
