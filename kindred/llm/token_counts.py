@@ -33,8 +33,12 @@ class TokenTree:
         self.recoded = 0
         parts = encoder.split_text(text)
         encoder.learn([p for p in parts if isinstance(p, str)])
-        counts = [self.count(p) for p in parts]
-        sizes = [self.width(p) for p in parts]
+        if encoder.v.specials and encoder.v.specials.search(text):
+            counts = [self.count(p) for p in parts]
+            sizes = [self.width(p) for p in parts]
+        else:
+            counts = [n // 4 for n in map(len, map(encoder.words.__getitem__, parts))]
+            sizes = list(map(len, parts))
         cuts = range(0, max(1, len(parts)), LEAF)
         self.leaves = [parts[k : k + LEAF] for k in cuts]
         self.base = 1 << max(0, (len(self.leaves) - 1).bit_length())
