@@ -312,4 +312,11 @@ def oracle_sql() -> dict[str, str]:
         "stable_split": f"SELECT doc_id AS s1, CASE WHEN {bucket_sql('CAST(doc_id AS VARCHAR)', 42, 100)} < 20 THEN 'val' ELSE 'train' END AS part, {bucket_sql('CAST(doc_id AS VARCHAR)', 3, 22)} AS chunk FROM documents WHERE doc_id % 3 = 0",
         "stratified_sample": f"WITH {SCORES}, {TRUTH}, x AS (SELECT s.s1, s.t, s.p, CASE WHEN g.s1 IS NULL THEN 0 ELSE 1 END AS label FROM s LEFT JOIN truth g ON g.s1 = s.s1 AND g.t = s.t), y AS (SELECT *, CASE WHEN label = 1 OR p >= 0.85 THEN 1.0 ELSE 0.1 END AS rate FROM x) SELECT s1, t, CAST(label AS BIGINT) AS label, CAST(1 / rate AS DOUBLE) AS weight FROM y WHERE {bucket_sql('s1 || chr(124) || t', 7, 1000000)} < rate * 1000000",
     }
+    grid = ", ".join(f"({a}, {k}, {r})" for a in (0.7, 0.8, 0.9, 0.95) for k in (0, 1, 3) for r in (0.0, 0.95))
+    found["rule_grid"] = f"""WITH {SCORES}, {TRUTH}, g AS (SELECT CAST(a AS DOUBLE) AS threshold, CAST(b AS BIGINT) AS top_k, CAST(c AS DOUBLE) AS relative FROM (VALUES {grid}) v(a, b, c)),
+      x AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, t) AS r, max(p) OVER (PARTITION BY s1) AS m FROM s),
+      d2 AS (SELECT g.*, x.s1, x.t FROM x JOIN g ON p >= threshold AND (top_k = 0 OR r <= top_k) AND (relative = 0 OR p >= relative * m)),
+      real AS (SELECT s1, count(*) AS n FROM truth GROUP BY 1), made AS (SELECT threshold, top_k, relative, d2.s1, count(*) AS n, count(truth.t) AS h FROM d2 LEFT JOIN truth ON truth.s1 = d2.s1 AND truth.t = d2.t GROUP BY 1, 2, 3, 4),
+      c AS (SELECT g.*, u.s1, coalesce(real.n, 0) AS n_true, coalesce(made.n, 0) AS n_pred, coalesce(made.h, 0) AS hits FROM universe u CROSS JOIN g LEFT JOIN real ON real.s1 = u.s1 LEFT JOIN made ON made.s1 = u.s1 AND made.threshold = g.threshold AND made.top_k = g.top_k AND made.relative = g.relative)
+      SELECT threshold, top_k, relative, count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c GROUP BY 1, 2, 3"""
     return found
