@@ -15,18 +15,16 @@ def jaro(a: bytes, b: bytes) -> float:
     if a == b:
         return 1.0
     reach = max(0, max(len(a), len(b)) // 2 - 1)
-    taken = [False] * len(b)
-    left = bytearray()
+    rest, left = bytearray(b), bytearray()
     for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == c:
-                taken[j] = True
-                left.append(c)
-                break
+        j = rest.find(c, max(0, i - reach), i + reach + 1)
+        if j >= 0:
+            rest[j] = 0xFF  # no byte of UTF-8 text
+            left.append(c)
     m = len(left)
     if not m:
         return 0.0
-    right = bytes(c for c, t in zip(b, taken) if t)
+    right = bytes(c for c, r in zip(b, rest) if r == 0xFF)
     half = sum(x != y for x, y in zip(left, right)) // 2
     return (m / len(a) + m / len(b) + (m - half) / m) / 3
 
