@@ -227,20 +227,22 @@ ASIDE = (
     "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion newsletter subscribe signup login form search share sharing social related recommended more "
     "comment comments reply replies discussion respond disqus copyright legal popup modal overlay toolbar pager pagination tags meta author bio skip links archive categories"
 ).split()
+LETTERS = np.array([*"abcdefghijklmnopqrstuvwxyzéäöüñß"], "<U1")
 SUFFIX = ["", "", "box", "wrapper", "container", "section", "area", "list", "block", "inner"]
 
 
 def laid_out(r) -> tuple[list[Block], list[int]]:
     """One generated page: blocks and labels."""
-    letters = np.array([*"abcdefghijklmnopqrstuvwxyzéäöüñß"])
-    word = lambda: "".join(r.choice(letters, int(r.integers(1, 12))))
     junk = r.random() < 0.2
 
     def sentence(low: int, high: int) -> str:
-        held = [word() + ("," if r.random() < 0.08 else "") for _ in range(int(r.integers(low, high)))]
+        n = int(r.integers(low, high))
+        ends = np.cumsum(r.integers(1, 12, n)).tolist()
+        drawn = LETTERS[r.integers(0, len(LETTERS), ends[-1])].tobytes().decode("utf-32-le")
+        held = [drawn[a:b] + ("," if c else "") for a, b, c in zip([0, *ends], ends, (r.random(n) < 0.08).tolist())]
         if junk:
-            held = [w + ["###", "***", "&&&", "!!", " |"][int(r.integers(5))] for w in held]
-        return (" ".join(held)).capitalize() + (r.choice([".", ".", ".", "", "!", "?"]))
+            held = [w + ["###", "***", "&&&", "!!", " |"][k] for w, k in zip(held, r.integers(0, 5, n).tolist())]
+        return (" ".join(held)).capitalize() + [".", ".", ".", "", "!", "?"][int(r.integers(6))]
 
     def named(tags: list[str], names: list[str], some: float) -> str:
         tag = tags[int(r.integers(len(tags)))]
