@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.plans import linkage, profile
+from kindred.plans import diagnostics, linkage, profile
 
 
 def by_sql(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,8 @@ def by_sql(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {n: partial(by_sql, n) for n in profile.QUERIES} | linkage.queries()
+    return {n: partial(by_sql, n) for n in profile.QUERIES} | linkage.queries() | diagnostics.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: other or text for n, (text, other) in profile.QUERIES.items()} | linkage.oracle_sql()
+    return {n: other or text for n, (text, other) in profile.QUERIES.items()} | linkage.oracle_sql() | diagnostics.oracle_sql()

@@ -166,10 +166,15 @@ def union_mask(query: DataFrame, targets: DataFrame, names: tuple[str, ...] = DE
     return whole.groupBy("s1", "t").agg(F.bit_or("mask").alias("mask"))
 
 
-def capped(pairs: DataFrame, most: int, priority: tuple[str, ...] = DEFAULT) -> DataFrame:
-    """The best pairs of each s1: by number of strategies, then by the weights of those present, then by t."""
+def preference(priority: tuple[str, ...] = DEFAULT) -> list[Column]:
+    """Order of an s1's pairs: by number of strategies, then by the weights of those present, then by t."""
     weight = sum((F.when(F.col("mask").bitwiseAND(BITS[n]) > 0, 1 << (len(priority) - i)).otherwise(0) for i, n in enumerate(priority)), F.lit(0))
-    best = W.partitionBy("s1").orderBy(F.desc(F.bit_count("mask")), F.desc(weight), "t")
+    return [F.desc(F.bit_count("mask")), F.desc(weight), F.asc("t")]
+
+
+def capped(pairs: DataFrame, most: int, priority: tuple[str, ...] = DEFAULT) -> DataFrame:
+    """The best pairs of each s1."""
+    best = W.partitionBy("s1").orderBy(*preference(priority))
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most).drop("rank")
 
 

@@ -53,7 +53,7 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "outer_residual": ("SELECT c.c_mktsegment, count(*) AS n, count(o.o_orderkey) AS dear FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_totalprice > 200000 GROUP BY 1", None),
     "except_symdiff": ("SELECT (SELECT count(*) FROM (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A')) AS only_r, (SELECT count(*) FROM (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')) AS only_a", None),
     "union_distinct": ("SELECT count(*) AS n FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier)", None),
-    "first_only_regex": (r"SELECT doc_id, regexp_replace(substr(text, 1, 60), '^(.*?)\\s+', '$1_') AS once, lower(regexp_replace(substr(text, 1, 60), '\\s+', '_')) AS every_run FROM documents", r"SELECT doc_id, regexp_replace(substr(text, 1, 60), '^(.*?)\s+', '\1_') AS once, lower(regexp_replace(substr(text, 1, 60), '\s+', '_', 'g')) AS every_run FROM documents"),
+    "first_only_regex": (r"SELECT doc_id, md5(regexp_replace(text, '^(.*?)[ \\t\\n\\r]+', '$1_')) AS once, md5(lower(regexp_replace(text, '[ \\t\\n\\r]+', '_'))) AS every_run FROM documents", r"SELECT doc_id, md5(regexp_replace(text, '^(.*?)[ \t\n\r]+', '\1_')) AS once, md5(lower(regexp_replace(text, '[ \t\n\r]+', '_', 'g'))) AS every_run FROM documents"),
     "full_match_regex": (r"SELECT count_if(c_name RLIKE '^(?:Customer#[0-9]+)$') AS whole, count_if(c_name LIKE 'Customer#%') AS prefixed FROM customer", r"SELECT CAST(count(*) FILTER (WHERE regexp_full_match(c_name, 'Customer#[0-9]+')) AS BIGINT) AS whole, CAST(count(*) FILTER (WHERE c_name LIKE 'Customer#%') AS BIGINT) AS prefixed FROM customer"),
     "block_size_rows": ("SELECT p_partkey, count(*) OVER (PARTITION BY p_brand, p_name) AS block, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS r, rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS k, round(max(p_retailprice) OVER (PARTITION BY p_brand) - p_retailprice, 4) AS gap FROM part", None),
     "list_audit": ("SELECT count(*) AS lists, count_if(size(ids) <> size(array_distinct(ids))) AS with_repeats, max(size(ids)) AS longest FROM (SELECT split(string_agg(CAST(o_orderkey AS STRING), ',') WITHIN GROUP (ORDER BY CAST(o_orderkey AS STRING)), ',') AS ids FROM orders GROUP BY o_custkey)", "SELECT count(*) AS lists, CAST(count(*) FILTER (WHERE len(ids) <> len(list_distinct(ids))) AS BIGINT) AS with_repeats, max(len(ids)) AS longest FROM (SELECT string_split(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)), ',') AS ids FROM orders GROUP BY o_custkey)"),
