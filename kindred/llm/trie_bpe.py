@@ -56,9 +56,15 @@ class Vocabulary:
             self.bytes[i] = s.encode()
         self.longest = max(map(len, self.token))
         self.merge = {}
+        #: For each token the rank and the two parts of the one merge that makes it; bytes have none.
+        self.made: dict[int, tuple[int, int, int]] = {self.token[bytes((b,))]: (-1, -1, -1) for b in range(256) if bytes((b,)) in self.token}
+        self.several: set[int] = set()
         for rank, pair in enumerate(held["model"]["merges"]):
-            a, b = (raw(s) for s in (pair if isinstance(pair, list) else pair.split(" ")))
-            self.merge[self.token[a], self.token[b]] = (rank, self.token[a + b])
+            a, b = (self.token[raw(s)] for s in (pair if isinstance(pair, list) else pair.split(" ")))
+            whole = self.token[self.bytes[a] + self.bytes[b]]
+            self.merge[a, b] = (rank, whole)
+            if self.made.setdefault(whole, (rank, a, b)) != (rank, a, b):
+                self.several.add(whole)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     @staticmethod
@@ -93,9 +99,33 @@ class TrieEncoder:
         if known is None:
             if len(self.adjoins) > 2_000_000:
                 self.adjoins.clear()
-            known = self.adjoins[left, right] = self.plain(self.v.bytes[left] + self.v.bytes[right]) == [left, right]
+            known = self.adjoins[left, right] = self.stand_apart(left, right)
         return known
 
+    def stand_apart(self, left: int, right: int) -> bool:
+        """Whether the joint encoding of two tokens is just the two.
+
+        Their last merges are undone, the later one first, until only bytes touch at the seam. The
+        tokens stand apart if no two parts that touch there merge before the part that was undone
+        was made. Of equal ranks the merge further left comes first. Tokens that several merges
+        make, or none, are encoded in full instead.
+        """
+        made, merge, several = self.v.made, self.v.merge, self.v.several
+        a, b, before = left, right, len(merge) + 1  # a merge at the seam comes first if its rank is below ``before``
+        while True:
+            if several and (a in several or b in several) or a not in made or b not in made:
+                return self.plain(self.v.bytes[left] + self.v.bytes[right]) == [left, right]
+            seam = merge.get((a, b))
+            if seam and seam[0] < before:
+                return False
+            (rank_a, _, inner_a), (rank_b, inner_b, _) = made[a], made[b]
+            if rank_a < 0 and rank_b < 0:
+                return True
+            if rank_a > rank_b:
+                a, before = inner_a, rank_a
+            else:
+                b, before = inner_b, rank_b + 1
+
     def walk(self, fresh: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """Encode distinct words: the depth-first traversal of their trie."""
         token, longest, size = self.v.token, self.v.longest, self.v.bytes
