@@ -1,19 +1,24 @@
 """Cross-entropy difference: target and background bigram models over one shared vocabulary.
 
-Both models have the same form: word and word-pair counts in hashed cells, an add-alpha word
-model over the vocabulary's cells, and pair probabilities smoothed towards it. A document's
-score is the mean over its tokens of target loss minus background loss (nats); lower means
-closer to the target.
-
-Counts come from all tokens of all given documents. Each task adds its own up and sends its
-non-empty cell ranges once; ranges are summed as they stream in. The tables have a fixed
-number of cells, so what is broadcast does not depend on the input.
+Both models have the same form: counts of words and word pairs, an add-alpha word model over
+the vocabulary, and pair probabilities smoothed towards it. A document's score is the mean over
+its tokens of target loss minus background loss (nats); lower means closer to the target.
+
+Words and pairs are counted apart, each under its own 64-bit hash, and no table of them is ever
+in one place. With count c and word probability p, a token's loss is
+log(c(before) + beta) - log(c(before, word) + beta * p(word)), so that all it needs follows from
+the occurrences of one word: as the word itself, and as the history of the token after it. The
+occurrences are dealt out by word, in as many shards as the counted tokens ask for; each shard
+counts, and sums the losses of its own tokens by text. Pairs that end in one of the most frequent
+words are dealt out by pair instead, and take the word's count from a broadcast of bounded size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -23,34 +28,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
-from kindred.llm.shared import by_batches, small_or_shuffled
+from kindred.llm.shared import Scratch, by_batches, small_or_shuffled
 
-COUNTS = "shard int, background binary, target binary"
+PARTS = ("keys", "members", "runs", "words", "at", "pairs", "n", "flags")
+FIRST, LAST = 1, 2
 
 
 @dataclass(frozen=True)
 class LmSettings:
-    """Cells are powers of two; ``range_cells`` is the unit in which counts travel."""
+    """A word is frequent if it makes more than 1 / ``frequent`` of all tokens, so that there are fewer than that.
+
+    Shards are sorted into ``spread`` tasks, which add up their shards by text, so that a text makes
+    no more rows where the corpus asks for more shards.
+    """
 
-    word_cells: int = 1 << 20
-    pair_cells: int = 1 << 22
-    range_cells: int = 1 << 15
     alpha: float = 0.1
     beta: float = 4.0
+    shard_tokens: int = 3 << 20
+    spread: int = 48
+    held_texts: int = 1 << 20
+    frequent: int = 1 << 16
+    broadcast_rows: int = 1_000_000
+
+
+@dataclass
+class Tokens:
+    """Tokens of a batch: row of the batch, word hash, hash with the word before, whether first or last of its text."""
+
+    rows: np.ndarray
+    words: np.ndarray
+    pairs: np.ndarray
+    flags: np.ndarray
+
 
+def tokens(batch: pa.RecordBatch, text: str) -> Tokens:
+    held, base = [], 0
+    for part, data, offsets in arrowtext.pieces(batch, text):
+        found = arrowtext.words(data, offsets)
+        h, full = found.hashes, found.first[:-1] < found.first[1:]
+        before, flags = np.zeros_like(h), np.zeros(len(h), np.uint8)
+        before[1:] = h[:-1]
+        flags[found.first[:-1][full]] |= FIRST
+        flags[found.first[1:][full] - 1] |= LAST
+        with np.errstate(over="ignore"):
+            pairs = arrowtext.mix(before * arrowtext.STEP + h)
+        held.append((base + found.texts, h, pairs, flags))
+        base += part.num_rows
+    return Tokens(*(np.concatenate(x) for x in zip(*held))) if held else Tokens(*(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.uint8)))
 
-def cells(data: np.ndarray, offsets: np.ndarray, s: LmSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word cell of each token, pair cell with the token before it, whether it has one, and each text's first token."""
-    found = arrowtext.words(data, offsets)
-    word = (found.hashes & np.uint64(s.word_cells - 1)).astype(np.int64)
-    before = np.zeros_like(found.hashes)
-    before[1:] = found.hashes[:-1]
-    with np.errstate(over="ignore"):
-        pair = (arrowtext.mix(before * arrowtext.STEP + found.hashes) & np.uint64(s.pair_cells - 1)).astype(np.int64)
-    inner = np.ones(len(word), bool)
-    starts = found.first[:-1]
-    inner[starts[starts < found.first[1:]]] = False
-    return word, pair, inner, found.first
+
+def flags_of(batch: pa.RecordBatch, member: str) -> np.ndarray:
+    return batch.column(member).fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
 
 
 def narrow(counts: np.ndarray) -> bytes:
@@ -59,103 +87,158 @@ def narrow(counts: np.ndarray) -> bytes:
     return counts.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
 
 
-def count(docs: DataFrame, member: str, s: LmSettings, text: str = "text") -> DataFrame:
-    """Cell counts of all documents, and of those whose ``member`` is true, as rows of cell ranges."""
-    size = s.word_cells + s.pair_cells
+def wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
+
+
+def word_counts(docs: DataFrame, member: str, text: str = "text") -> DataFrame:
+    """(word, n, m): tokens of each word in all documents, and in those whose ``member`` is true."""
 
     def add_up(batches: Iterator[pa.RecordBatch]):
-        tables = np.zeros((2, size), np.int64)
         for batch in batches:
-            for part, data, offsets in arrowtext.pieces(batch, text):
-                word, pair, inner, first = cells(data, offsets, s)
-                mine = np.repeat(part.column(member).fill_null(False).to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
-                for row, some in ((0, slice(None)), (1, mine)):
-                    w, p, i = word[some], pair[some], inner[some]
-                    np.add.at(tables[row], w, 1)
-                    np.add.at(tables[row], s.word_cells + p[i], 1)
-        yield from ranges(tables, range(0, size // s.range_cells))
-
-    def ranges(tables: np.ndarray, shards) -> Iterator[pa.RecordBatch]:
-        n = s.range_cells
-        full = [k for k in shards if tables[0, k * n : (k + 1) * n].any()]
-        if full:
-            packed = [pa.array([narrow(tables[row, k * n : (k + 1) * n]) for k in full], pa.binary()) for row in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *packed], names=["shard", "background", "target"])
-
-    def merge(batches: Iterator[pa.RecordBatch]):
-        held: dict[int, np.ndarray] = {}
+            t = tokens(batch, text)
+            words, at = np.unique(t.words, return_inverse=True)
+            n, m = np.bincount(at, minlength=len(words)), np.bincount(at[flags_of(batch, member)[t.rows] > 0], minlength=len(words))
+            yield pa.RecordBatch.from_arrays([pa.array(arrowtext.signed(words)), pa.array(n, pa.int64()), pa.array(m, pa.int64())], names=["word", "n", "m"])
+
+    return by_batches(docs.select(text, member), add_up, "word long, n long, m long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def frequent_words(counts: DataFrame, total: int, s: LmSettings) -> np.ndarray:
+    """Rows of word hash, n, m in the order of the hash."""
+    rows = counts.where(F.col("n") > total // s.frequent + 1).collect()
+    table = np.array([(r.word, r.n, r.m) for r in rows], np.int64).reshape(-1, 3)
+    return table[np.argsort(np.ascontiguousarray(table[:, 0]).view(np.uint64))]
+
+
+def found_in(table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each word is in the table of frequent ones, and in which row."""
+    if not len(table):
+        return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+    known = np.ascontiguousarray(table[:, 0]).view(np.uint64)
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return known[at] == words, at
+
+
+def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> DataFrame:
+    """Rows of packed arrays, one for each batch and shard; equal tokens of a text are one entry with its number."""
+
+    def deal(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for k, *both in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                sums = held.setdefault(k, np.zeros((2, s.range_cells), np.int64))
-                for row, raw in zip(sums, both):
-                    row += np.frombuffer(raw, f"<u{len(raw) // s.range_cells}").astype(np.int64)
-        for k, sums in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([row.tobytes()], pa.binary()) for row in sums)], names=["shard", "background", "target"])
-
-    return by_batches(by_batches(docs.select(text, member), add_up, COUNTS).repartition("shard"), merge, COUNTS)
-
-
-def model(counts: DataFrame, s: LmSettings) -> dict[str, np.ndarray | float]:
-    """Both models as arrays of a fixed size: the only thing that reaches the driver."""
-    tables = np.zeros((2, s.word_cells + s.pair_cells), np.float32)
-    totals = np.zeros(2)
-    for row in counts.toLocalIterator():
-        for k, raw in enumerate((row.background, row.target)):
-            values = np.frombuffer(raw, "<i8")
-            tables[k, row.shard * s.range_cells : (row.shard + 1) * s.range_cells] = values
-            if (row.shard + 1) * s.range_cells <= s.word_cells:
-                totals[k] += values.sum()
-    vocabulary = int(np.count_nonzero(tables[0, : s.word_cells]))
-    return {"tables": tables, "totals": totals, "vocabulary": max(1, vocabulary)}
-
-
-def losses(m: dict, word: np.ndarray, pair: np.ndarray, inner: np.ndarray, s: LmSettings) -> np.ndarray:
-    """Loss of each token under the background (row 0) and the target (row 1)."""
-    out = np.empty((2, len(word)))
-    for k in (0, 1):
-        table, total = m["tables"][k], m["totals"][k]
-        single = (table[word] + s.alpha) / (total + s.alpha * m["vocabulary"])
-        history = np.zeros(len(word), np.float32)
-        history[1:] = table[word[:-1]]
-        joint = (table[s.word_cells + pair] + s.beta * single) / (history + s.beta)
-        out[k] = -np.log(np.where(inner, joint, single))
+            t = tokens(batch, text)
+            keys, members = batch.column("key").to_numpy(zero_copy_only=False), flags_of(batch, member)
+            common, _ = found_in(frequent.value, t.words)
+            shard = (np.where(common, t.pairs, t.words) >> np.uint64(32)) % np.uint64(shards)
+            order = np.lexsort((t.flags, t.pairs, t.rows, shard))
+            shard, rows, words, pairs, flags = (x[order] for x in (shard, t.rows, t.words, t.pairs, t.flags))
+            new = np.ones(len(shard), bool)
+            new[1:] = (shard[1:] != shard[:-1]) | (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (flags[1:] != flags[:-1])
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(shard)))
+            shard, rows, words, pairs, flags = (x[at] for x in (shard, rows, words, pairs, flags))
+            edges = np.append(np.flatnonzero(np.diff(shard, prepend=np.uint64(shards))), len(shard)).tolist()
+            out = []
+            for a, b in zip(edges[:-1], edges[1:]):
+                first = np.flatnonzero(np.diff(rows[a:b], prepend=-1))
+                text_rows, (known, where) = rows[a:b][first], np.unique(words[a:b], return_inverse=True)
+                packed = (keys[text_rows].tobytes(), members[text_rows].tobytes(), narrow(np.diff(np.append(first, b - a))), known.tobytes(), narrow(where), pairs[a:b].tobytes(), narrow(n[a:b]), flags[a:b].tobytes())
+                out.append((int(shard[a]), *packed))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int32()) for k, x in enumerate(zip(*out))], names=["shard", *PARTS])
+
+    schema = "shard int, " + ", ".join(f"{c} binary" for c in PARTS)
+    return by_batches(docs.select(text, member, F.xxhash64(text).alias("key")), deal, schema)
+
+
+def summed(rows: list[tuple], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
+    """Key, tokens, first tokens, loss under background and target of the texts that one shard has tokens of."""
+    keys, members, words, pairs, n, flags = [], [], [], [], [], []
+    for key, member, runs, known, at, pair, number, flag in rows:
+        size = len(pair) // 8
+        k = np.frombuffer(key, np.int64)
+        run = wide(runs, len(k))
+        keys.append(np.repeat(k, run))
+        members.append(np.repeat(np.frombuffer(member, np.uint8), run))
+        words.append(np.frombuffer(known, np.uint64)[wide(at, size)])
+        pairs.append(np.frombuffer(pair, np.uint64))
+        n.append(wide(number, size))
+        flags.append(np.frombuffer(flag, np.uint8))
+    key, member, word, pair, n, flag = (np.concatenate(x) for x in (keys, members, words, pairs, n, flags))
+    del keys, members, words, pairs, flags
+    word, of_word = np.unique(word, return_inverse=True)
+    of_pair = np.unique(pair, return_inverse=True)[1]
+    common, row = found_in(table, word)
+    key, of_key = np.unique(key, return_inverse=True)
+    first, last = flag & FIRST > 0, flag & LAST > 0
+    out = [key, np.bincount(of_key, n), np.bincount(of_key, n * first)]
+    for k, mine in enumerate((n, n * member)):
+        single = np.bincount(of_word, mine)
+        single[common] = table[row[common], 1 + k]
+        joint = np.bincount(of_pair, mine * ~first)[of_pair]
+        p = ((single + s.alpha) / (totals[k] + s.alpha * vocabulary))[of_word]
+        loss = -np.log(np.where(first, p, joint + s.beta * p))
+        loss += np.where(last, 0.0, np.log(single + s.beta)[of_word])
+        out.append(np.bincount(of_key, n * loss))
     return out
 
 
-def score(docs: DataFrame, fitted: dict, s: LmSettings = LmSettings(), text: str = "text") -> DataFrame:
-    """``docs`` (text left out) with n_tokens, loss_target, loss_background, score.
+def added(some: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Sums of several shards as one."""
+    key, at = np.unique(np.concatenate([x[0] for x in some]), return_inverse=True)
+    return [key, *(np.bincount(at, np.concatenate(x)) for x in list(zip(*some))[1:])]
 
-    A text that is null or has no word has n_tokens 0 and null losses and score. Repeated rows
-    get equal values. Nothing is shuffled.
-    """
-    held = docs.sparkSession.sparkContext.broadcast(fitted)
-    made = ["n_tokens", "loss_target", "loss_background", "score"]
-    kept = [c for c in docs.columns if c != text and c not in made]
-    fields = [docs.schema[c] for c in kept] + [T.StructField(c, T.DoubleType() if k else T.LongType()) for k, c in enumerate(made)]
 
-    def work(batches):
-        for batch in batches:
-            for part, data, offsets in arrowtext.pieces(batch, text):
-                word, pair, inner, first = cells(data, offsets, s)
-                n = np.diff(first)
-                sums = np.zeros((2, len(word) + 1))
-                np.cumsum(losses(held.value, word, pair, inner, s), axis=1, out=sums[:, 1:])
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    base, goal = (sums[:, first[1:]] - sums[:, first[:-1]]) / n
-                values = [pa.array(n, pa.int64())] + [pa.array(x, pa.float64(), mask=n == 0) for x in (goal, base, goal - base)]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + values, names=kept + made)
+def sent(sums: list[np.ndarray]) -> pa.RecordBatch:
+    values = [pa.array(x.astype(np.int64) if k < 3 else x) for k, x in enumerate(sums)]
+    return pa.RecordBatch.from_arrays(values, names=["key", "n", "firsts", "background", "target"])
+
 
-    return by_batches(docs, work, T.StructType(fields))
+def text_sums(docs: DataFrame, member: str, s: LmSettings, text: str, scratch: Scratch) -> DataFrame:
+    """(key, n, firsts, background, target) of every text that has a word, copies added up."""
+    spark = docs.sparkSession
+    counts = scratch.keep("words", word_counts(docs, member, text))
+    vocabulary, *totals = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+    frequent = spark.sparkContext.broadcast(frequent_words(counts, totals[0], s))
+    scratch.drop("words")
+    shards = s.spread * (1 + totals[0] // (s.spread * s.shard_tokens))
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        held: list[list[np.ndarray]] = []
+        for _, same in groupby(rows, itemgetter(0)):
+            held.append(summed([x[1:] for x in same], frequent.value, totals, vocabulary, s))
+            if sum(len(x[0]) for x in held) > s.held_texts:
+                held = [added(held)]
+                if len(held[0][0]) > s.held_texts // 2:
+                    yield sent(held.pop())
+        if held:
+            yield sent(added(held))
+
+    packed = dealt(docs, member, shards, frequent, text).repartition(s.spread, F.col("shard") % s.spread).sortWithinPartitions("shard")
+    sums = by_batches(packed, work, "key long, n long, firsts long, background double, target double")
+    return scratch.keep("sums", sums.groupBy("key").agg(*(F.sum(c).alias(c) for c in sums.columns[1:])))
 
 
 def cross_entropy_difference(docs: DataFrame, member: str, s: LmSettings = LmSettings(), text: str = "text") -> DataFrame:
-    """Fit the background on all ``docs`` and the target on those with ``member`` true, then score all.
+    """``docs`` (text and member left out) with n_tokens, loss_target, loss_background, score.
 
-    Null members are not in the target. Without any target text all target probabilities are the
-    uniform ones of an empty model.
+    The background is fitted on all ``docs``, the target on those with ``member`` true. Null
+    members are not in the target. Without any target text all target probabilities are the
+    uniform ones of an empty model. A text that is null or has no word has n_tokens 0 and null
+    losses and score. Repeated rows get equal values.
     """
-    fitted = model(count(docs, member, s, text), s)
-    return score(docs.drop(member), fitted, s, text)
+    made = ["n_tokens", "loss_target", "loss_background", "score"]
+    sums = text_sums(docs, member, s, text, Scratch(docs.sparkSession, "lm"))
+    loss = sums.select(
+        F.col("key").alias("text_key"),
+        F.expr("n div firsts").alias("n_tokens"),
+        *((F.col(c) / F.col("n")).alias(f"loss_{c}") for c in ("target", "background")),
+        ((F.col("target") - F.col("background")) / F.col("n")).alias("score"),
+    )
+    kept = [F.col(c) for c in docs.columns if c not in (text, member, *made)]
+    rows = docs.select(*kept, F.xxhash64(text).alias("text_key"))
+    out = rows.join(small_or_shuffled(loss, loss.count(), s.broadcast_rows), "text_key", "left").drop("text_key")
+    return out.withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long"))
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:

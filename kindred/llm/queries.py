@@ -28,8 +28,7 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents whose quality label is 1. Background: all documents."""
     docs = lm_scoring.labelled_target(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
-    fitted = lm_scoring.model(lm_scoring.count(docs, "in_target", lm_scoring.LmSettings()), lm_scoring.LmSettings())
-    return lm_scoring.score(documents(spark, sf_dir), fitted)
+    return lm_scoring.cross_entropy_difference(docs, "in_target")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,27 @@ def test_scoring_equals_brute_force(spark):
     assert got[3].n_tokens == 0 and got[3].score is None
 
 
+def test_scoring_keeps_words_and_pairs_apart(spark):
+    """More distinct pairs than a table of 2^22 cells can hold apart: a lone word's pair has probability under one, as counted."""
+    n = 60_000
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(100)), k % 2 == 0) for k in range(n)]
+    docs = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "text", "good"])).repartition(16)
+    s = lm_scoring.LmSettings()
+    got = lm_scoring.cross_entropy_difference(docs, "good", s).toPandas()
+    v = total = n * 100
+    p = (1 + s.alpha) / (total + s.alpha * v)
+    want = (-np.log(p) - 99 * np.log((1 + s.beta * p) / (1 + s.beta))) / 100
+    assert (got.n_tokens == 100).all() and np.allclose(got.loss_background, want, rtol=1e-9)
+
+
+def test_scoring_does_not_depend_on_shards(spark, odd):
+    rows = [(k, " ".join(f"w{(k * j * j) % 37}" for j in range(k % 50)), k % 3 == 0) for k in range(200)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
+    few, many = (sorted(map(tuple, lm_scoring.cross_entropy_difference(docs.repartition(3), "good", s).collect()), key=str) for s in (lm_scoring.LmSettings(frequent=1, spread=1), lm_scoring.LmSettings(shard_tokens=50, spread=5, held_texts=40, frequent=20, broadcast_rows=0)))
+    assert len(few) == 400 and [r[:2] for r in few] == [r[:2] for r in many]
+    assert all(a == b or a == pytest.approx(b, rel=1e-9, abs=1e-9) for x, y in zip(few, many) for a, b in zip(x[2:], y[2:]))
+
+
 def test_scoring_edges(odd, none):
     r = lm_scoring.cross_entropy_difference(odd.withColumn("m", F.lit(None).cast("boolean")), "m")
     assert r.count() == len(TEXTS) + 2 and "extra" in r.columns
