@@ -2,13 +2,16 @@
 
 A line's quote level is the number of '>' at its start. Lines of one level up to a blank line
 or another level form a passage, normalised to lower case and single spaces and hashed. Quoted
-passages are looked up among the passages and lines of earlier messages of the conversation;
-a message replies to the latest message that its outermost linked quote came from. Attribution
+passages are looked up among the passages and lines of earlier messages of the conversation,
+and where none equals them, among all runs of as many words in the earlier messages' passages,
+so that any excerpt of whole words finds its original; a message replies to the latest message that its outermost linked quote came from. Attribution
 lines right before a quote go with it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import pyarrow as pa
 import regex
 
@@ -69,6 +72,25 @@ def digests(batches):
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(bodies, pa.string()), pa.array(parts, kind)], names=["conv_id", "turn", "role", "body", "parts"])
 
 
+def excerpts(batches):
+    """Hashes of all runs of words of the given lengths in each passage of the bodies."""
+    for batch in batches:
+        rows = []
+        for conv, turn, body, lengths in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "turn", "body", "lengths"))):
+            found, held = set(), []
+            for line in [*body.split("\n"), ""]:
+                words = line.lower().split()
+                if words:
+                    held.extend(words)
+                    continue
+                for n in lengths:
+                    found.update(" ".join(held[k : k + n]) for k in range(len(held) - n + 1))
+                held = []
+            rows.extend((conv, turn, hashlib.md5(x.encode()).hexdigest()) for x in found)
+        columns = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.string()))], names=["conv_id", "turn", "check"])
+
+
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, body, reply_to, thread, depth, n_quotes, rendered), one row a message.
 
@@ -83,13 +105,20 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     plain = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([*(plain.schema[c] for c in ("conv_id", "turn", "role")), T.StructField("body", T.StringType()), T.StructField("parts", PARTS)])
     read = scratch.keep("read", by_batches(plain, digests, schema))
-    part = read.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("parts").alias("p")).select("conv_id", "turn", F.xxhash64("p.key").alias("key"), F.md5("p.key").alias("check"), "p.level", "p.quoted")
+    known = read.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    part = known.select("conv_id", "turn", F.explode("parts").alias("p")).select("conv_id", "turn", F.md5("p.key").alias("check"), "p.level", "p.quoted", F.size(F.split("p.key", " ")).alias("length"))
     # only passages that are quoted somewhere in the conversation matter; others stop here
-    asked = part.where("quoted").select("conv_id", "key").distinct()
-    part = part.join(asked, ["conv_id", "key"], "left_semi").distinct()
+    quoted = part.where("quoted")
+    asked = quoted.select("conv_id", "check").distinct()
+    lengths = quoted.groupBy("conv_id").agg(F.sort_array(F.collect_set("length")).alias("lengths"))
+    inner = by_batches(known.select("conv_id", "turn", "body").join(lengths, "conv_id"), excerpts, "conv_id long, turn long, check string")
+    whole = part.select("conv_id", "turn", "check", "level", "quoted", (~F.col("quoted")).alias("whole"))
+    part = whole.unionByName(inner.select("conv_id", "turn", "check", F.lit(0).alias("level"), F.lit(False).alias("quoted"), F.lit(False).alias("whole")))
+    part = part.join(asked, ["conv_id", "check"], "left_semi").distinct()
     # the latest earlier message that holds the passage, by one ordered pass over each passage's rows
-    earlier = W.partitionBy("conv_id", "key", "check").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
-    linked = part.withColumn("origin", F.max(F.when(~F.col("quoted"), F.col("turn"))).over(earlier)).where("quoted AND origin IS NOT NULL")
+    earlier = W.partitionBy("conv_id", "check").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
+    latest = lambda which: F.max(F.when(which, F.col("turn"))).over(earlier)
+    linked = part.withColumn("origin", F.coalesce(latest(F.col("whole")), latest(~F.col("quoted")))).where("quoted AND origin IS NOT NULL")
     top = linked.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "origin")).alias("x"))
     hop = scratch.keep("hop-0", top.select("conv_id", "turn", F.col("x.origin").alias("reply_to"), F.col("x.origin").alias("up"), F.lit(1).cast("long").alias("depth")))
     turn = 0

@@ -367,6 +367,22 @@ def test_quotes_link_and_order(spark):
     assert quote_chat.reply_ordered(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_excerpts_find_their_original(spark):
+    first = "The first line of all\nsecond line goes here\nand the third line. It ends\nwith a fourth one"
+    rows = [
+        (1, 0, "u", first),
+        (1, 1, "u", "nothing like it"),
+        (1, 2, "u", "> second line goes here\n> and the third line. It ends\nlines two and three"),
+        (1, 3, "u", "> and the third line.\na sentence"),
+        (1, 4, "u", "> goes here and the\n> third line. It ends with a\nwrapped anew"),
+        (1, 5, "u", "> here third\nwords apart"),
+        (1, 6, "u", "> lines two\nof a reply"),
+        (2, 1, "u", "> goes here and the\nother conversation"),
+    ]
+    got = quote_chat.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()
+    assert {(r.conv_id, r.turn): r.reply_to for r in got} == {(1, 0): None, (1, 1): None, (1, 2): 0, (1, 3): 0, (1, 4): 0, (1, 5): None, (1, 6): 2, (2, 1): None}
+
+
 # ---- queries and pipeline
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
