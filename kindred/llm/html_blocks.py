@@ -1,133 +1,37 @@
 """Main text of web pages by a recurrent block labeller.
 
-A page becomes its sequence of leaf blocks: runs of text between block-level tags, with the path
-of open tags (their names, and the words of class, id and role). Each block is a vector of its
-hashed path, its hashed words and a few shares (links, length, punctuation). A bidirectional LSTM
-in numpy reads the sequence and labels every block as content or not, with the whole page as
-context. It is trained on pages that a generator lays out, whose labels are known, so that
-nothing of the input table is learned from.
+A page becomes its sequence of leaf blocks, with the path of open tags (their names, and the words
+of class, id and role). Each block is a vector of its hashed path, the mean of the trained vectors
+of all its hashed words, and a few shares (links, length, punctuation). A bidirectional LSTM in
+numpy reads the sequence and labels every block as content or not, with the whole page as context.
+It is trained on pages that a generator lays out, whose labels are known, so that nothing of the
+input table is learned from.
 """
 
 from __future__ import annotations
 
-import html
-import re
+import hashlib
+import inspect
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from kindred.llm.shared import by_batches
-
-#: Elements that are not shown, elements within a line, elements without an end tag.
-HIDDEN = ("script", "style", "noscript", "template", "iframe", "svg", "object", "head", "textarea", "select", "button", "canvas", "math", "audio", "video")
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that end an open one of the same set.
-ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|object|textarea|select|button|canvas|math|audio|video)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\s+|/|\"[^\"]*\"|'[^']*'|[^>\"'\s/])*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
-    re.S | re.I,
-)
-MARKS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-PIECES = re.compile(r"[A-Za-z]+")
-SPACES = re.compile(r"\s+")
-
-PATH, WORD, PLAIN = 256, 16, 6
-WIDTH = PATH + WORD + PLAIN
-
-
-@dataclass
-class Block:
-    path: tuple[str, ...]
-    text: str
-    linked: int
+from kindred.llm import arrowtext, layouts, markup
+from kindred.llm.layouts import laid_out
+from kindred.llm.markup import Block, blocks
+from kindred.llm.shared import by_batches, finished, shared_dir
 
-
-@lru_cache(4096)
-def marks(name: str, rest: str) -> str:
-    """An element's name with the words of its class, id and role."""
-    words = [w.lower() for m in MARKS.finditer(rest) for w in PIECES.findall(m[2] or m[3] or m[4] or "")]
-    return " ".join([name, *words])
-
-
-def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order; head, scripts, styles, comments and form controls never make one."""
-    out: list[Block] = []
-    stack: list[tuple[str, str]] = []
-    held: list[str] = []
-    linked = at = 0
-    in_head = False
-
-    def close():
-        nonlocal linked
-        if held:
-            text = SPACES.sub(" ", html.unescape("".join(held))).strip()
-            if text:
-                out.append(Block(tuple(m for n, m in stack if n not in INLINE), text, linked))
-            held.clear()
-        linked = 0
-
-    for m in TAG.finditer(page):
-        if m.start() > at and not in_head:
-            piece = page[at : m.start()]
-            held.append(piece)
-            if any(n == "a" for n, _ in stack):
-                linked += len(piece.strip())
-        at = m.end()
-        name = m["name"]
-        if not name:
-            if m["raw"]:
-                close() if m["raw"].lower() not in ("svg", "button", "math") else held.append(" ")
-            continue
-        name = name.lower()
-        if name == "head":
-            close()
-            in_head = not m["end"]
-            continue
-        if name == "body":
-            close()
-            in_head = False
-        if name in INLINE:
-            if name == "br":
-                held.append(" ")
-            elif m["end"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k]
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
-            elif name not in VOID and not m["rest"].endswith("/"):
-                stack.append((name, name))
-            continue
-        close()
-        if name in VOID or in_head:
-            continue
-        if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-        else:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ENDS.get(name, ()) or (stack[k][0] == "p" and name not in INLINE):
-                    del stack[k:]
-                    break
-                if stack[k][0] not in INLINE and stack[k][0] not in ("p", "li", "dt", "dd", "tr", "td", "th"):
-                    break
-            stack.append((name, marks(name, m["rest"])))
-    if at < len(page) and not in_head:
-        held.append(page[at:])
-    close()
-    return out
+PATH, WORD, PLAIN = 512, 16, 6
+WIDTH = PATH + WORD + PLAIN
+#: Word vectors are looked up by hash; words beyond ASCII letters' punctuation and digits are kept whole.
+CELLS = 1 << 12
+LETTERS_ONLY = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or k > 127 else 32 for k in range(256))
 
 
 def spread(words: list[str], width: int) -> np.ndarray:
@@ -145,43 +49,87 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
     return np.clip(spread(sorted(set(words)), PATH) + 0.5 * spread(["^" + w for w in deep], PATH), -2, 2)
 
 
-def block_vectors(found: list[Block]) -> np.ndarray:
-    x = np.zeros((len(found), WIDTH), np.float32)
-    for row, b in zip(x, found):
-        row[:PATH] = path_vector(b.path)
-        words = b.text.split(" ")
-        some = spread([w.lower() for w in words[:24]], WORD)
-        row[PATH : PATH + WORD] = 0.3 * some / max(1.0, float(np.abs(some).sum()) ** 0.5)
+@dataclass
+class Encoded:
+    """A page's blocks as numbers: rows of distinct paths and each block's row, plain shares, word cells and their blocks."""
+
+    paths: np.ndarray
+    path_of: np.ndarray
+    plain: np.ndarray
+    cells: np.ndarray = field(repr=False)
+    owner: np.ndarray = field(repr=False)
+
+    def __len__(self) -> int:
+        return len(self.path_of)
+
+
+def word_cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of all words of the texts, and which text each is in."""
+    held = [t.encode("utf-8", "replace").translate(LETTERS_ONLY) for t in texts]
+    cells, owners, first = [], [], 0
+    while first < len(held):
+        last, size = first, 0
+        while last < len(held) and (last == first or size + len(held[last]) <= arrowtext.PIECE):
+            size += len(held[last])
+            last += 1
+        offsets = np.concatenate([[0], np.cumsum([len(h) for h in held[first:last]])]).astype(np.int64)
+        found = arrowtext.words(np.frombuffer(b"".join(held[first:last]), np.uint8), offsets, lower=False)
+        cells.append((found.hashes & np.uint64(CELLS - 1)).astype(np.int32))
+        owners.append((found.texts + first).astype(np.int32))
+        first = last
+    return (np.concatenate(cells), np.concatenate(owners)) if cells else (np.zeros(0, np.int32), np.zeros(0, np.int32))
+
+
+def encoded(found: list[Block]) -> Encoded:
+    known: dict[tuple[str, ...], int] = {}
+    path_of = np.array([known.setdefault(b.path, len(known)) for b in found], np.int64)
+    plain = np.empty((len(found), PLAIN), np.float32)
+    for row, b in zip(plain, found):
         n = len(b.text)
-        row[PATH + WORD :] = (min(1.0, b.linked / n), np.log1p(n) / 6, np.log1p(len(words)) / 4, b.text.count(",") * 4 / n, float(b.text[-1] in ".!?"), len(b.path) / 8)
-    return x
+        row[:] = (min(1.0, b.linked / n), np.log1p(n) / 6, np.log1p(b.text.count(" ") + 1) / 4, b.text.count(",") * 4 / n, float(b.text[-1] in ".!?"), len(b.path) / 8)
+    return Encoded(np.stack([path_vector(p) for p in known]) if known else np.zeros((0, PATH), np.float32), path_of, plain, *word_cells([b.text for b in found]))
 
 
 class BiLstm:
-    """Two LSTMs over a padded batch of sequences and a logistic output on both states."""
+    """Two LSTMs over a padded batch of sequences and a logistic output on both states and the input."""
 
-    def __init__(self, width: int = WIDTH, hidden: int = 16, seed: int = 3):
+    def __init__(self, hidden: int = 16, seed: int = 3):
         r = np.random.default_rng(seed)
         self.h = hidden
-        self.p = {}
+        #: input to the gates of both directions and to the output, recurrent weights, output, word vectors
+        self.p = {"in": r.normal(0, WIDTH**-0.5, (WIDTH, 8 * hidden + 1)).astype(np.float32)}
+        self.p["in"][:, -1] *= 0.3
+        self.p["bias"] = np.zeros(8 * hidden + 1, np.float32)
         for d in "fb":
-            self.p["w" + d] = r.normal(0, width**-0.5, (width, 4 * hidden)).astype(np.float32)
             self.p["u" + d] = r.normal(0, hidden**-0.5, (hidden, 4 * hidden)).astype(np.float32)
-            self.p["c" + d] = np.zeros(4 * hidden, np.float32)
-            self.p["c" + d][hidden : 2 * hidden] = 1  # remember at first
+        self.p["bias"][hidden : 2 * hidden] = self.p["bias"][5 * hidden : 6 * hidden] = 1  # remember at first
         self.p["o"] = r.normal(0, 0.1, 2 * hidden).astype(np.float32)
-        self.p["s"] = r.normal(0, 0.1, width).astype(np.float32)
-        self.p["z"] = np.zeros(1, np.float32)
-
-    def run(self, x: np.ndarray, d: str, mask: np.ndarray, tape: list | None = None) -> np.ndarray:
-        n, steps, _ = x.shape
-        h, c = np.zeros((n, self.h), np.float32), np.zeros((n, self.h), np.float32)
-        out = np.zeros((n, steps, self.h), np.float32)
-        into = x @ self.p["w" + d] + self.p["c" + d]
+        self.p["word"] = r.normal(0, 0.3, (CELLS, WORD)).astype(np.float32)
+
+    def word_means(self, page: Encoded) -> np.ndarray:
+        """The mean vector of each block's words, from a bounded number of words at a time."""
+        total = np.zeros((len(page), WORD), np.float32)
+        for a in range(0, len(page.cells), 1 << 18):
+            cells, owner = page.cells[a : a + (1 << 18)], page.owner[a : a + (1 << 18)]
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            total[owner[starts]] += np.add.reduceat(self.p["word"][cells], starts, axis=0)
+        return total / np.maximum(1, np.bincount(page.owner, minlength=len(page)))[:, None].astype(np.float32)
+
+    def projected(self, page: Encoded) -> np.ndarray:
+        """Gate inputs of both directions and the direct output of each block; distinct paths are multiplied once."""
+        w = self.p["in"]
+        return (page.paths @ w[:PATH])[page.path_of] + self.word_means(page) @ w[PATH : PATH + WORD] + page.plain @ w[PATH + WORD :] + self.p["bias"]
+
+    def run(self, into: np.ndarray, d: str, mask: np.ndarray, tape: list | None = None) -> np.ndarray:
+        n, steps, _ = into.shape
+        size, u = self.h, self.p["u" + d]
+        h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
+        out = np.zeros((n, steps, size), np.float32)
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            g = into[:, t] + h @ self.p["u" + d]
-            i, f, o = (1 / (1 + np.exp(-g[:, k * self.h : (k + 1) * self.h])) for k in (0, 1, 2))
-            q = np.tanh(g[:, 3 * self.h :])
+            g = into[:, t] + h @ u
+            gates = 1 / (1 + np.exp(-np.clip(g[:, : 3 * size], -40, 40)))
+            i, f, o = gates[:, :size], gates[:, size : 2 * size], gates[:, 2 * size :]
+            q = np.tanh(g[:, 3 * size :])
             m = mask[:, t, None]
             c1 = (f * c + i * q) * m
             th = np.tanh(c1)
@@ -192,134 +140,54 @@ class BiLstm:
             out[:, t] = h
         return out
 
-    def logits(self, x: np.ndarray, mask: np.ndarray, tapes: dict | None = None) -> np.ndarray:
-        both = np.concatenate([self.run(x, d, mask, None if tapes is None else tapes.setdefault(d, [])) for d in "fb"], axis=2)
+    def logits(self, into: np.ndarray, mask: np.ndarray, tapes: dict | None = None) -> np.ndarray:
+        size = 4 * self.h
+        cut = {"f": into[..., :size], "b": into[..., size : 2 * size]}
+        both = np.concatenate([self.run(cut[d], d, mask, None if tapes is None else tapes.setdefault(d, [])) for d in "fb"], axis=2)
         if tapes is not None:
             tapes["both"] = both
-        return both @ self.p["o"] + x @ self.p["s"] + self.p["z"]
+        return both @ self.p["o"] + into[..., -1]
 
-    def gradient(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+    def gradient(self, pages: list[Encoded], labels: list[np.ndarray]) -> dict[str, np.ndarray]:
         tapes: dict = {}
-        e = (1 / (1 + np.exp(-self.logits(x, mask, tapes))) - y) * mask / mask.sum()
-        g = {"o": np.einsum("nt,nth->h", e, tapes["both"]), "s": np.einsum("nt,ntw->w", e, x), "z": np.array([e.sum()], np.float32)}
+        into, mask = padded([self.projected(p) for p in pages])
+        y, x = np.zeros(mask.shape, np.float32), np.zeros((*mask.shape, WIDTH), np.float32)
+        for k, (p, label) in enumerate(zip(pages, labels)):
+            y[k, : len(p)] = label
+            x[k, : len(p)] = np.concatenate([p.paths[p.path_of], self.word_means(p), p.plain], axis=1)
+        e = (1 / (1 + np.exp(-np.clip(self.logits(into, mask, tapes), -40, 40))) - y) * mask / mask.sum()
+        g = {"o": np.einsum("nt,nth->h", e, tapes["both"])}
         back = e[..., None] * self.p["o"]
+        size = self.h
+        gates = np.zeros((*mask.shape, 8 * size + 1), np.float32)
+        gates[..., -1] = e
         for k, d in enumerate("fb"):
-            u, size = self.p["u" + d], self.h
-            gu, gates = np.zeros_like(u), np.zeros((*x.shape[:2], 4 * size), np.float32)
+            u = self.p["u" + d]
+            gu = np.zeros_like(u)
             dh = dc = np.zeros((len(x), size), np.float32)
             for t, i, f, o, q, c, th, h, m in reversed(tapes[d]):
                 dh = (dh + back[:, t, k * size : (k + 1) * size]) * m
                 dc = (dc + dh * o * (1 - th * th)) * m
                 dg = np.concatenate([dc * q * i * (1 - i), dc * c * f * (1 - f), dh * th * o * (1 - o), dc * i * (1 - q * q)], axis=1)
-                gates[:, t] = dg
+                gates[:, t, 4 * size * k : 4 * size * (k + 1)] = dg
                 gu += h.T @ dg
                 dh, dc = dg @ u.T, dc * f
             g["u" + d] = gu
-            g["w" + d] = np.einsum("ntw,ntg->wg", x, gates)
-            g["c" + d] = gates.sum(axis=(0, 1))
+        flat = gates.reshape(-1, gates.shape[-1])
+        g["in"], g["bias"] = x.reshape(-1, WIDTH).T @ flat, flat.sum(axis=0)
+        toward = gates @ self.p["in"][PATH : PATH + WORD].T
+        g["word"] = np.zeros_like(self.p["word"])
+        for k, p in enumerate(pages):
+            if len(p.cells):
+                share = toward[k, : len(p)] / np.maximum(1, np.bincount(p.owner, minlength=len(p)))[:, None]
+                np.add.at(g["word"], p.cells, share[p.owner])
         return g
 
 
-# Layouts that the generator draws from: names that sites give to parts of their pages.
-CONTENT = "content post entry story text body main article page single blog news detail prose copy markdown richtext".split()
-ASIDE = (
-    "nav navbar menu menubar header masthead topbar footer bottom sidebar aside rail widget breadcrumb breadcrumbs cookie cookies consent notice banner alert "
-    "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion newsletter subscribe signup login form search share sharing social related recommended more "
-    "comment comments reply replies discussion respond disqus copyright legal popup modal overlay toolbar pager pagination tags meta author bio skip links archive categories"
-).split()
-LETTERS = np.array([*"abcdefghijklmnopqrstuvwxyzéäöüñß"], "<U1")
-SUFFIX = ["", "", "box", "wrapper", "container", "section", "area", "list", "block", "inner"]
-
-
-def laid_out(r) -> tuple[list[Block], list[int]]:
-    """One generated page: blocks and labels."""
-    junk = r.random() < 0.2
-
-    def sentence(low: int, high: int) -> str:
-        n = int(r.integers(low, high))
-        ends = np.cumsum(r.integers(1, 12, n)).tolist()
-        drawn = LETTERS[r.integers(0, len(LETTERS), ends[-1])].tobytes().decode("utf-32-le")
-        held = [drawn[a:b] + ("," if c else "") for a, b, c in zip([0, *ends], ends, (r.random(n) < 0.08).tolist())]
-        if junk:
-            held = [w + ["###", "***", "&&&", "!!", " |"][k] for w, k in zip(held, r.integers(0, 5, n).tolist())]
-        return (" ".join(held)).capitalize() + [".", ".", ".", "", "!", "?"][int(r.integers(6))]
-
-    def named(tags: list[str], names: list[str], some: float) -> str:
-        tag = tags[int(r.integers(len(tags)))]
-        if tag in ("div", "section", "ul", "table", "td", "span") or r.random() < some:
-            extra = [names[int(r.integers(len(names)))]]
-            if r.random() < 0.4:
-                extra.append(SUFFIX[int(r.integers(len(SUFFIX)))])
-            return " ".join([tag, *(e for e in extra if e)])
-        return tag
-
-    out: list[Block] = []
-    y: list[int] = []
-
-    def put(path, text, label, linked=0):
-        text = SPACES.sub(" ", text).strip()
-        if text:
-            out.append(Block(tuple(path), text, len(text) if linked else 0))
-            y.append(label)
-
-    def boiler(base, deep: int = 0):
-        own = [["nav", ["menu", "nav", "navbar"]], ["header", ["header", "masthead"]], ["footer", ["footer", "copyright"]], ["aside", ["sidebar", "widget"]], ["form", ["form", "login", "search"]], ["div", ASIDE], ["div", ASIDE], ["section", ASIDE], ["ul", ASIDE], ["table", ASIDE]]
-        tag, names = own[int(r.integers(len(own)))]
-        if tag == "header" and deep:
-            tag, names = "div", ASIDE
-        path = [*base, named([tag], names, 0.3)]
-        if r.random() < 0.3:
-            path.append(["div", "div inner", "div wrapper", "section"][int(r.integers(4))])
-        kind = r.random()
-        for _ in range(int(r.integers(1, 8 if kind < 0.5 else 4))):
-            if kind < 0.45:
-                put([*path, "ul", "li"] if "ul" not in path[-1] else [*path, "li"], sentence(1, 4), 0, 1)
-            elif kind < 0.75:
-                put(path if r.random() < 0.5 else [*path, "p"], sentence(2, 30), 0, r.random() < 0.2)
-            else:
-                put([*path, ["p", "h3", "h4", "blockquote", "div text", "div body", "div content", "article", "td"][int(r.integers(9))]], sentence(3, 50), 0)
-
-    base = ["html", "body"]
-    if r.random() < 0.5:
-        base.append(["div", "div wrapper", "div page", "div container", "div site", "div id root"][int(r.integers(6))])
-    for _ in range(int(r.integers(0, 4))):
-        boiler(base)
-    kind = r.random()
-    if kind < 0.55:
-        inside = [*base, named(["article", "main"], CONTENT, 0.3)]
-        if r.random() < 0.3:
-            inside.append(named(["article", "section", "div"], CONTENT, 0.5))
-    else:
-        inside = [*base, named(["div", "section", "td"], CONTENT, 1)]
-    if r.random() < 0.85:
-        put([*inside, *(["header"] if r.random() < 0.15 else []), ["h1", "h1", "h2"][int(r.integers(3))]], sentence(1, 10), 1)
-    for _ in range(int(r.integers(1, 14))):
-        k = r.random()
-        if k < 0.72:
-            put([*inside, "p"], " ".join(sentence(1, 40) for _ in range(int(r.integers(1, 5)))), 1, r.random() < 0.03)
-        elif k < 0.80:
-            put([*inside, ["h2", "h3", "h4"][int(r.integers(3))]], sentence(1, 8), 1)
-        elif k < 0.88:
-            for _ in range(int(r.integers(1, 5))):
-                put([*inside, ["ul", "ol"][int(r.integers(2))], "li"], sentence(1, 15), 1, r.random() < 0.1)
-        elif k < 0.93:
-            put([*inside, ["blockquote", "pre", "figure", "figcaption", "dl", "div", "section"][int(r.integers(7))]] + (["p"] if r.random() < 0.5 else []), sentence(2, 30), 1)
-        elif k < 0.96:
-            for _ in range(int(r.integers(1, 5))):
-                put([*inside, "table", "tbody", "tr", "td"], sentence(1, 5), 1)
-        else:
-            boiler(inside, 1)
-    for _ in range(int(r.integers(0, 2))):
-        boiler(inside, 1)
-    for _ in range(int(r.integers(0, 4))):
-        boiler(base)
-    return out, y
-
-
 @lru_cache(1)
-def trained(pages: int = 3200, epochs: int = 12, seed: int = 5) -> BiLstm:
+def trained(pages: int = 4000, epochs: int = 10, seed: int = 5) -> BiLstm:
     r = np.random.default_rng(seed)
-    data = [(block_vectors(b), np.array(y, np.float32)) for b, y in (laid_out(r) for _ in range(pages)) if b]
+    data = [(encoded(b), np.array(y, np.float32)) for b, y in (laid_out(r) for _ in range(pages)) if b]
     net = BiLstm()
     one = {k: np.zeros_like(v) for k, v in net.p.items()}
     two = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -328,22 +196,32 @@ def trained(pages: int = 3200, epochs: int = 12, seed: int = 5) -> BiLstm:
     groups = [data[k : k + 32] for k in range(0, len(data), 32)]
     for epoch in range(epochs):
         for g in r.permutation(len(groups)):
-            x, mask = padded([d[0] for d in groups[g]])
-            y = np.zeros(mask.shape, np.float32)
-            for row, (_, label) in zip(y, groups[g]):
-                row[: len(label)] = label
             step += 1
             rate = 0.01 * (1 - 0.9 * epoch / epochs)
-            for k, v in net.gradient(x, y, mask).items():
+            for k, v in net.gradient(*zip(*groups[g])).items():
                 one[k] = 0.9 * one[k] + 0.1 * v
                 two[k] = 0.99 * two[k] + 0.01 * v * v
                 net.p[k] = net.p[k] - (rate * (one[k] / (1 - 0.9**step)) / (np.sqrt(two[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return net
 
 
+def stored(spark: SparkSession) -> BiLstm:
+    """The trained labeller from the shared folder, where a session before this one left it; else it is trained and left there."""
+    code = "".join(inspect.getsource(x) for x in (layouts, BiLstm, encoded, path_vector, trained))
+    place = f"{shared_dir(spark)}/block-labeller-{hashlib.sha256(code.encode()).hexdigest()[:16]}"
+    if finished(spark, place):
+        net = BiLstm()
+        net.p = {r.name: np.frombuffer(bytes(r.values), np.float32).reshape(r.shape) for r in spark.read.parquet(place).collect()}
+        return net
+    net = trained()
+    rows = [(k, list(v.shape), bytearray(v.astype(np.float32).tobytes())) for k, v in net.p.items()]
+    spark.createDataFrame(rows, "name string, shape array<int>, values binary").coalesce(1).write.mode("overwrite").parquet(place)
+    return net
+
+
 def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     most = max(len(r) for r in rows)
-    x, mask = np.zeros((len(rows), most, WIDTH), np.float32), np.zeros((len(rows), most), np.float32)
+    x, mask = np.zeros((len(rows), most, rows[0].shape[1]), np.float32), np.zeros((len(rows), most), np.float32)
     for k, r in enumerate(rows):
         x[k, : len(r)], mask[k, : len(r)] = r, 1
     return x, mask
@@ -359,8 +237,7 @@ def labels(net: BiLstm, pages: list[list[Block]], cells: int = 40_000) -> list[n
         while len(some) > 1 and len(some) * len(pages[some[-1]]) > cells:
             some = some[: len(some) // 2]
         order = order[len(some) :]
-        x, mask = padded([block_vectors(pages[k]) for k in some])
-        z = net.logits(x, mask)
+        z = net.logits(*padded([net.projected(encoded(pages[k])) for k in some]))
         for k, row in zip(some, z):
             out[k] = row[: len(pages[k])] > 0
     return out
@@ -370,9 +247,11 @@ def main_text(pages: DataFrame, page: str = "html", net: BiLstm | None = None) -
     """``pages`` (markup left out) with text and n_chars.
 
     The text is that of the content blocks in page order, one to a line. A null page is empty;
-    a page without content has an empty text. Rows are independent of each other.
+    a page without content has an empty text. Malformed markup never fails: a tag that the page
+    ends in is dropped, an element that is never closed ends with its parent. Rows are
+    independent of each other.
     """
-    held = pages.sparkSession.sparkContext.broadcast((net or trained()).p)
+    held = pages.sparkSession.sparkContext.broadcast((net or stored(pages.sparkSession)).p)
     made = ["text", "n_chars"]
     kept = [c for c in pages.columns if c != page and c not in made]
     fields = [pages.schema[c] for c in kept] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]

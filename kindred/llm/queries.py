@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from kindred.llm import decontaminate, gif_media, html_blocks, jaccard_join, langid, lm_scoring, quality_knn, quote_chat, token_counts, trie_bpe
 from kindred.llm.shared import fold, table
 
-#: Where the public vocabularies are; only the driver reads them.
-TOKENIZERS = os.environ.get("KINDRED_TOKENIZERS", "/opt/tokenizers")
-
-
 ORACLES_TABLES = ("documents", "benchmark")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Where a public vocabulary is; only the driver reads it."""
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

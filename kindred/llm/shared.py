@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,34 +21,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is absent (tests, a single machine) is a local folder made.
+    Only a local master may leave the setting out; a temporary folder of the machine is then set for
+    the session and removed at exit. On a cluster there is no folder to guess: that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kindred-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        made = tempfile.mkdtemp(prefix="kindred-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        found = "file://" + made
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    system, p = hadoop_path(spark, f"{path}/_SUCCESS")
+    return system.exists(p)
+
+
 #: Bytes of a batch that goes to a Python worker: ten thousand whole texts at once would be too many.
 BATCH_BYTES = 8 << 20
 
 
 def by_batches(frame: DataFrame, work, schema) -> DataFrame:
-    """``frame.mapInArrow`` with batches of bounded size, unless the session sets a bound itself."""
-    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
-    spark = frame.sparkSession
-    if conf not in spark.conf.getAll:
-        spark.conf.set(conf, str(BATCH_BYTES))
-    return frame.mapInArrow(work, schema)
+    """``frame.mapInArrow`` where ``work`` sees batches of bounded bytes, whatever the session's settings are.
+
+    Spark's own bound by rows may give larger batches; they are sliced before ``work`` sees them.
+    """
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            step = max(1, rows * BATCH_BYTES // max(1, batch.nbytes))
+            if step >= rows:
+                yield batch
+            else:
+                for at in range(0, rows, step):
+                    yield batch.slice(at, step)
+
+    return frame.mapInArrow(lambda batches: work(sliced(batches)), schema)
 
 
 class Scratch:
-    """Written tables under the shared folder: they cut lineage and outlive a lost executor."""
+    """Written tables under the shared folder: they cut lineage and outlive a lost executor.
+
+    Tables that the caller drops go at once. The others are read by what a lazy result still has to
+    do, so that the folder goes when the session's process ends, or by ``clear``.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        scratches.append(self)
 
     def keep(self, name: str, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and return it as read back."""
@@ -51,10 +88,29 @@ class Scratch:
         return self.spark.read.schema(frame.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            system, path = hadoop_path(self.spark, f"{self.root}/{name}")
+            system.delete(path, True)
+
+    def clear(self) -> None:
+        system, path = hadoop_path(self.spark, self.root)
+        system.delete(path, True)
+
+
+#: Scratch folders of this process.
+scratches: list[Scratch] = []
+
+
+def clear_scratch() -> None:
+    """Remove all working tables of this process: for callers that have read their results, and at exit."""
+    while scratches:
+        try:
+            scratches.pop().clear()
+        except Exception:  # the session may be gone at exit; the folder then stays for the cluster's own cleaning
+            scratches.clear()
+
+
+atexit.register(clear_scratch)
 
 
 #: Rows of a key table (one long each) that may be broadcast: 32 MB. Larger ones are joined by a shuffle.
