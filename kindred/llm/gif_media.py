@@ -1,9 +1,9 @@
-"""GIF columns: an LZW codec, frames with palette, disposal and transparency, colour histograms.
+"""GIF columns: an LZW codec, timed frames by palette, disposal and transparency, colour histograms.
 
-``decode`` reads any GIF87a or GIF89a stream into composed RGB frames with their delays.
-``encode`` writes indexed frames. Its code stream clears the table before a code could grow past
-nine bits, so that writing it is a fixed bit layout; such a stream is also what the decoder's
-vectorised path recognises, by its codes; any other stream takes the general LZW loop.
+``decode`` reads any GIF87a or GIF89a stream into composed RGBA frames with their delays;
+``gif_frames`` applies it to a column of stored GIFs. ``encode`` writes indexed frames with a
+growing code table. ``media_columns`` stores texts as GIFs and reads them back through the same
+``decode``: payload, histograms and times are all taken from the composed frames.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,15 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from kindred.llm import arrowtext
-from kindred.llm.shared import by_batches
+from kindred.llm.shared import BATCH_BYTES, by_batches
 
 #: The payload contract: frames of 24 x 24 samples; the last one is filled up with 255.
 SIDE = 24
 UNIT = SIDE * SIDE
 FILL = 255
-#: Literals between clear codes: the table then never needs a tenth bit.
-RUN = 254
-CLEAR, STOP = 256, 257
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3)
 
 
@@ -46,83 +43,110 @@ class Frame:
     transparent: int | None
 
 
-def layout(n: int) -> np.ndarray:
-    """Positions of literals among the codes of ``n`` samples; the other codes are clears and the stop."""
-    k = np.arange(n)
-    return k + k // RUN + 1
-
-
-def lzw_pack(samples: np.ndarray) -> np.ndarray:
-    """Code streams of frames: rows of ``samples`` (frames x n, uint8) to rows of bytes."""
-    frames, n = samples.shape
-    codes = np.full((frames, n + -(-n // RUN) + 1), CLEAR, np.uint16)
-    codes[:, layout(n)] = samples
-    codes[:, -1] = STOP
-    bits = ((codes[:, :, None] >> np.arange(9, dtype=np.uint16)) & 1).astype(np.uint8)
-    return np.packbits(bits.reshape(frames, -1), axis=1, bitorder="little")
+MOST_CODES = 4096
+
+
+def lzw_encode(samples: bytes, least: int = 8) -> bytes:
+    """The code stream of samples of ``least`` bits, its table growing from ``least`` + 1 to 12 bits."""
+    clear = 1 << least
+    table: dict[int, int] = {}
+    find = table.get
+    size, width = clear + 2, least + 1
+    out, held, have = bytearray(), clear, width
+    now = -1
+    for sample in samples:
+        if now < 0:
+            now = sample
+            continue
+        known = find(now << 8 | sample)
+        if known is not None:
+            now = known
+            continue
+        held |= now << have
+        have += width
+        if size < MOST_CODES:
+            table[now << 8 | sample] = size
+            if size == 1 << width:
+                width += 1
+            size += 1
+        else:
+            held |= clear << have
+            have += width
+            table.clear()
+            size, width = clear + 2, least + 1
+        now = sample
+        if have > 512:
+            whole = have >> 3
+            out += (held & (1 << 8 * whole) - 1).to_bytes(whole, "little")
+            held >>= 8 * whole
+            have &= 7
+    if now >= 0:
+        held |= now << have
+        have += width
+        if size == 1 << width and width < 12:  # the reader adds an entry before it reads the stop
+            width += 1
+    held |= clear + 1 << have
+    have += width
+    out += held.to_bytes(have + 7 >> 3, "little")
+    return bytes(out)
 
 
 def lzw_decode(stream: bytes, least: int, n: int) -> np.ndarray:
     """``n`` samples of an LZW code stream with ``least`` bits a sample; missing ones are 0."""
-    if least == 8 and n:
-        size = n + -(-n // RUN) + 1
-        if len(stream) * 8 >= size * 9:
-            bits = np.unpackbits(np.frombuffer(stream, np.uint8), bitorder="little")[: size * 9].reshape(size, 9)
-            codes = np.packbits(bits, axis=1, bitorder="little").view("<u2")[:, 0]
-            at = layout(n)
-            if codes[at].max() < CLEAR and codes[-1] == STOP and (np.delete(codes[:-1], at) == CLEAR).all():
-                return codes[at].astype(np.uint8)
     clear, stop = 1 << least, (1 << least) + 1
-    table: list[bytes] = []
-    width, held, have, out, before = least + 1, 0, 0, bytearray(), None
     first = [bytes((k,)) for k in range(clear)] + [b"", b""]
     table = first[:]
-    for byte in stream:
-        held |= byte << have
-        have += 8
+    add, width, top = table.append, least + 1, 1 << least + 1
+    held = have = made = 0
+    parts: list[bytes] = []
+    before = None
+    for at in range(0, len(stream), 64):
+        chunk = stream[at : at + 64]
+        held |= int.from_bytes(chunk, "little") << have
+        have += 8 * len(chunk)
         while have >= width:
-            code = held & ((1 << width) - 1)
+            code = held & top - 1
             held >>= width
             have -= width
             if code == clear:
-                table, width, before = first[:], least + 1, None
+                table = first[:]
+                add, width, top, before = table.append, least + 1, 2 << least, None
                 continue
-            if code == stop or len(out) >= n:
-                return samples_of(out, n)
+            if code == stop or made >= n:
+                return samples_of(b"".join(parts), n)
             if code < len(table):
                 entry = table[code]
             elif before is not None:
                 entry = before + before[:1]
             else:
                 raise ValueError("code before its entry")
-            out += entry
-            if before is not None and len(table) < 4096:
-                table.append(before + entry[:1])
-                if len(table) == 1 << width and width < 12:
+            parts.append(entry)
+            made += len(entry)
+            if before is not None and len(table) < MOST_CODES:
+                add(before + entry[:1])
+                if len(table) == top and width < 12:
                     width += 1
+                    top += top
             before = entry
-    return samples_of(out, n)
+    return samples_of(b"".join(parts), n)
 
 
-def samples_of(out: bytearray, n: int) -> np.ndarray:
-    return np.frombuffer(bytes(out[:n]).ljust(n, b"\0"), np.uint8)
+def samples_of(out: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(out[:n].ljust(n, b"\0"), np.uint8)
 
 
 def encode(samples: np.ndarray, width: int = SIDE, height: int = SIDE, delay_ms: int = 100, palette: np.ndarray = GREY) -> bytes:
-    """A GIF89a stream of frames (rows of ``samples``) with one global palette of 256 colours."""
-    coded = lzw_pack(samples)
-    n = coded.shape[1]
-    cuts = [(k, min(255, n - k)) for k in range(0, n, 255)]
+    """A GIF89a stream of frames (rows of ``samples``) with one global palette of 256 colours; frames stay until the next covers them."""
     head = b"\x21\xf9\x04\x04" + struct.pack("<H", delay_ms // 10) + b"\0\0" + b"\x2c" + struct.pack("<4HB", 0, 0, width, height, 0) + b"\x08"
-    body = np.empty((len(coded), len(head) + n + len(cuts) + 1), np.uint8)
-    body[:, : len(head)] = np.frombuffer(head, np.uint8)
-    at = len(head)
-    for start, size in cuts:
-        body[:, at] = size
-        body[:, at + 1 : at + 1 + size] = coded[:, start : start + size]
-        at += size + 1
-    body[:, at] = 0
-    return b"GIF89a" + struct.pack("<2H3B", width, height, 0xF7, 0, 0) + palette.tobytes() + body.tobytes() + b"\x3b"
+    out = [b"GIF89a", struct.pack("<2H3B", width, height, 0xF7, 0, 0), palette.tobytes()]
+    for row in samples:
+        coded = lzw_encode(row.tobytes())
+        out.append(head)
+        for k in range(0, len(coded), 255):
+            part = coded[k : k + 255]
+            out += (bytes((len(part),)), part)
+        out.append(b"\0")
+    return b"".join([*out, b"\x3b"])
 
 
 def blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -177,30 +201,93 @@ def frames(data: bytes) -> tuple[int, int, list[Frame]]:
         raise ValueError("cut off") from e
 
 
-def decode(data: bytes) -> list[tuple[int, np.ndarray]]:
-    """Timed frames as a viewer shows them: (delay in ms, height x width x RGBA)."""
+def shown(data: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(delay in ms, disposal, height x width x RGBA) of each frame as a viewer shows it, one at a time; the array is used again."""
     width, height, stored = frames(data)
     canvas = np.zeros((height, width, 4), np.uint8)
-    shown = []
     for f in stored:
         before = canvas.copy() if f.disposal == 3 else None
         h, w = f.indices.shape
         place = canvas[f.top : f.top + h, f.left : f.left + w]
         cells = f.indices[: place.shape[0], : place.shape[1]]
-        drawn = np.dstack([f.palette[np.minimum(cells, len(f.palette) - 1)], np.full(cells.shape, 255, np.uint8)])
-        place[...] = drawn if f.transparent is None else np.where((cells == f.transparent)[..., None], place, drawn)
-        shown.append((f.delay_ms, canvas.copy()))
+        colours = np.zeros((256, 4), np.uint8)
+        colours[: len(f.palette), :3] = f.palette
+        colours[len(f.palette) :, :3] = f.palette[-1:]
+        colours[:, 3] = 255
+        if f.transparent is None:
+            place[...] = colours[cells]
+        else:
+            np.copyto(place, colours[cells], where=(cells != f.transparent)[..., None])
+        yield f.delay_ms, f.disposal, canvas
         if f.disposal == 2:
-            canvas[f.top : f.top + h, f.left : f.left + w] = 0
+            place[...] = 0
         elif before is not None:
             canvas = before
-    return shown
+
+
+def decode(data: bytes) -> list[tuple[int, np.ndarray]]:
+    """Timed frames as a viewer shows them: (delay in ms, height x width x RGBA)."""
+    return [(delay, canvas.copy()) for delay, _, canvas in shown(data)]
 
 
 def histogram(rgba: np.ndarray) -> np.ndarray:
     """Opaque pixels in 4 x 4 x 4 colour bins."""
-    seen = rgba[rgba[..., 3] > 0].astype(np.int64)
-    return np.bincount((seen[:, 0] >> 6) * 16 + (seen[:, 1] >> 6) * 4 + (seen[:, 2] >> 6), minlength=64)
+    packed = np.ascontiguousarray(rgba).reshape(-1, 4)
+    bins = (packed[:, 0] >> 6) * 16 + (packed[:, 1] >> 6) * 4 + (packed[:, 2] >> 6)
+    return np.bincount(bins[packed[:, 3] > 0], minlength=64)
+
+
+FRAME = T.StructType([T.StructField("frame", T.IntegerType()), T.StructField("delay_ms", T.IntegerType()), T.StructField("starts_ms", T.LongType()), T.StructField("disposal", T.IntegerType()), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("histogram", T.ArrayType(T.LongType())), T.StructField("rgba", T.BinaryType())])
+
+
+def gif_frames(media: DataFrame, column: str = "gif") -> DataFrame:
+    """One row for each frame of each GIF of ``column`` (left out): its place, delay, start, disposal, size, histogram and pixels.
+
+    Pixels are the composed picture, four bytes each, row by row. A null, or what is no whole GIF,
+    makes one row with a null frame and the reason in ``fault``; a GIF without an image makes one
+    whose fault is 'no frame'. Other columns go with every frame; of clashing names ours stay.
+    """
+    made = [*FRAME.names, "fault"]
+    kept = [c for c in media.columns if c != column and c not in made]
+    schema = T.StructType([*(media.schema[c] for c in kept), *FRAME.fields, T.StructField("fault", T.StringType())])
+
+    def rows_of(data: bytes | None):
+        if data is None:
+            yield (*[None] * len(FRAME.names), "null")
+            return
+        number = starts = 0
+        try:
+            for delay, disposal, rgba in shown(data):
+                yield number, delay, starts, disposal, rgba.shape[1], rgba.shape[0], histogram(rgba).tolist(), rgba.tobytes(), None
+                number, starts = number + 1, starts + delay
+        except ValueError as e:
+            yield (*[None] * len(FRAME.names), str(e))
+            return
+        if not number:
+            yield (*[None] * len(FRAME.names), "no frame")
+
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.string()]
+
+    def work(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            owners, rows, size = [], [], 0
+
+            def flush():
+                part = batch.select(kept).take(pa.array(owners, pa.int64()))
+                return pa.RecordBatch.from_arrays([*part.columns, *(pa.array(x, k) for x, k in zip(zip(*rows), kinds))], names=kept + made)
+
+            for k, data in enumerate(batch.column(column).to_pylist()):
+                for row in rows_of(data):
+                    owners.append(k)
+                    rows.append(row)
+                    size += len(row[7] or b"") + 700
+                    if size > BATCH_BYTES:
+                        yield flush()
+                        owners, rows, size = [], [], 0
+            if rows:
+                yield flush()
+
+    return by_batches(media, work, schema)
 
 
 def stored_text(data: bytes) -> bytes:
@@ -209,41 +296,46 @@ def stored_text(data: bytes) -> bytes:
     return encode(np.frombuffer(data.ljust(size, bytes([FILL])), np.uint8).reshape(-1, UNIT))
 
 
-def read_back(media: bytes) -> tuple[bytes, np.ndarray, int]:
-    """Payload, colour histogram over all frames and playing time of a stored text."""
-    _, _, stored = frames(media)
-    samples = np.stack([f.indices for f in stored])
-    palette = stored[0].palette.astype(np.int64)
-    bins = (palette[:, 0] >> 6) * 16 + (palette[:, 1] >> 6) * 4 + (palette[:, 2] >> 6)
-    counts = np.bincount(samples.ravel(), minlength=256)
-    return samples.tobytes(), np.bincount(bins, counts, 64).astype(np.int64), sum(f.delay_ms for f in stored)
+def read_back(media: bytes) -> tuple[bytes, np.ndarray, list[int]]:
+    """Payload, colour histogram of each frame, and delays of a stored text, all from its composed frames."""
+    payload, bins, delays = [], [], []
+    for delay, _, rgba in shown(media):
+        payload.append(rgba[..., 0].tobytes())
+        bins.append(histogram(rgba))
+        delays.append(delay)
+    return b"".join(payload), np.array(bins), delays
 
 
-MADE = T.StructType([T.StructField(n, k) for n, k in (("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()), ("n_frames", T.LongType()), ("duration_ms", T.LongType()))])
+MADE = T.StructType([T.StructField(n, k) for n, k in (("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()), ("n_frames", T.LongType()), ("duration_ms", T.LongType()), ("histogram", T.ArrayType(T.LongType())))])
 
 
 def media_columns(docs: DataFrame, text: str = "text", media: bool = False) -> DataFrame:
     """``docs`` (text left out) with the payload's and the stored form's digests, sizes and features.
 
-    ``media=True`` adds the GIF itself as ``gif``. A null text is stored as an empty one: one
-    frame of filling. The feature is the histogram's grey bins as shares of all pixels. Rows are
-    independent; one text at a time is held in expanded form.
+    ``media=True`` adds the GIF itself as ``gif``, whose frames ``gif_frames`` lists. A null text is
+    stored as an empty one: one frame of filling. ``histogram`` counts the pixels of all frames in
+    64 colour bins; the feature is its grey bins as shares of all pixels, and the largest change
+    between the grey bins of two frames in a row. Rows are independent; one text at a time is held
+    in expanded form, and its frames one by one.
     """
     kept = [c for c in docs.columns if c != text and c not in MADE.names and c != "gif"]
     fields = [docs.schema[c] for c in kept] + MADE.fields + ([T.StructField("gif", T.BinaryType())] if media else [])
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * media
 
     def described(data: bytes) -> tuple:
         gif = stored_text(data)
-        payload, bins, duration = read_back(gif)
-        grey = bins[[0, 21, 42, 63]] / len(payload)
-        return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(gif), hashlib.sha256(gif).hexdigest(), " ".join(f"{x:.6f}" for x in grey), len(payload) // UNIT, duration, gif
+        payload, bins, delays = read_back(gif)
+        total = bins.sum(axis=0)
+        grey = bins[:, [0, 21, 42, 63]]
+        change = np.abs(np.diff(grey, axis=0)).max(initial=0) / UNIT
+        feature = " ".join(f"{x:.6f}" for x in [*(grey.sum(axis=0) / len(payload)), change])
+        return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(gif), hashlib.sha256(gif).hexdigest(), feature, len(delays), sum(delays), total.tolist(), gif
 
     def work(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
             for part, data, offsets in arrowtext.pieces(batch, text):
                 raw = data.tobytes()
                 rows = list(zip(*(described(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()] + [pa.binary()] * media
                 cols = [part.column(c) for c in kept] + [pa.array(x, k) for x, k in zip(rows, kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=kept + MADE.names + ["gif"] * media)
 
