@@ -46,7 +46,8 @@ def spread(words: list[str], width: int) -> np.ndarray:
 def path_vector(path: tuple[str, ...]) -> np.ndarray:
     words = [w for step in path for w in step.split(" ")]
     deep = path[-1].split(" ") if path else []
-    return np.clip(spread(sorted(set(words)), PATH) + 0.5 * spread(["^" + w for w in deep], PATH), -2, 2)
+    steps = sorted({f"{a}>{b}" for a, b in zip(path, path[1:])})
+    return np.clip(spread(sorted(set(words)), PATH) + 0.5 * spread(["^" + w for w in deep] + steps, PATH), -2, 2)
 
 
 @dataclass

@@ -132,7 +132,7 @@ class Writer:
                     self.put([*inside, "table", "tbody", "tr", "td"], self.sentence(1, 5), 1)
             else:
                 self.aside(inside, True)
-        if r.random() < 0.3:
+        for _ in range(int(r.integers(0, 3))):
             self.put([*inside, "p"], self.sentence(1, 6, self.one(list(KINDS)) if r.random() < 0.2 else None), 1)
         for _ in range(int(r.integers(0, 2))):
             self.aside(inside, True)

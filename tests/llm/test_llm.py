@@ -314,9 +314,11 @@ def test_lzw_streams():
     for least, n in ((2, 50), (4, 3000), (8, 30_000)):
         s = np.sort(rng.integers(0, 1 << least, n)).astype(np.uint8) if n < 3000 else rng.integers(0, 1 << least, n).astype(np.uint8)
         assert (gif_media.lzw_decode(lzw(s.tolist(), least), least, n) == s).all()
-    s = rng.integers(0, 256, (3, 576)).astype(np.uint8)
-    for row, packed in zip(s, gif_media.lzw_pack(s)):
-        assert (gif_media.lzw_decode(packed.tobytes(), 8, 576) == row).all()
+    for n in (*range(4), *range(250, 262), 576, 5000):
+        for row in (rng.integers(0, 256, n).astype(np.uint8), np.full(n, 7, np.uint8), np.sort(rng.integers(90, 110, n)).astype(np.uint8)):
+            coded = gif_media.lzw_encode(row.tobytes())
+            assert (gif_media.lzw_decode(coded, 8, n) == row).all()
+            assert not n or len(row) == 5000 or coded == lzw(row.tolist(), 8)  # the plain writer's stream, while no table is full
 
 
 def test_frames_disposal_and_transparency():
@@ -359,8 +361,8 @@ def test_quotes_link_and_order(spark):
     got = quote_chat.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, depth int").repartition(4)).collect()
     assert len(got) == len(rows)
     one = {r.turn: (r.reply_to, r.thread, r.depth, r.body) for r in got if r.conv_id == 1 and r.turn is not None}
-    assert one == {0: (None, 0, 0, "Hello there\nfriend\n\nHow are you?"), 1: (0, 0, 1, "fine"), 2: (1, 0, 2, "ok then"), 3: (None, 3, 0, "x"), 4: (2, 0, 3, "end")}
-    assert [(r.reply_to, r.body) for r in got if r.conv_id == 2] == [(None, "other")]
+    assert one == {0: (None, 0, 0, "Hello there\nfriend\n\nHow are you?"), 1: (0, 0, 1, "fine"), 2: (1, 0, 2, "ok then"), 3: (None, 3, 0, "> nothing\nx"), 4: (2, 0, 3, "end")}
+    assert [(r.reply_to, r.body) for r in got if r.conv_id == 2] == [(None, "> ok then\nother")]
     chain = [(5, k, "u", f"message {k}" if not k else f"> message {k - 1}\nmessage {k}") for k in range(40)]
     deep = {r.turn: r.depth for r in quote_chat.reply_ordered(spark.createDataFrame(chain, "conv_id long, turn long, role string, text string")).collect()}
     assert deep == {k: k for k in range(40)}
