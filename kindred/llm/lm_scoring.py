@@ -2,7 +2,8 @@
 
 Both models have the same form: counts of words and word pairs, an add-alpha word model over
 the vocabulary, and pair probabilities smoothed towards it. A document's score is the mean over
-its tokens of target loss minus background loss (nats); lower means closer to the target.
+its tokens of target loss minus background loss (nats); lower means closer to the target. Its own
+counts are left out of both models, so that no document is scored by what it taught itself.
 
 Words and pairs are counted apart, each under its own 64-bit hash, and no table of them is ever
 in one place. With count c and word probability p, a token's loss is
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from kindred.llm import arrowtext
 from kindred.llm.shared import Scratch, by_batches, small_or_shuffled
 
-PARTS = ("keys", "members", "runs", "words", "at", "pairs", "n", "flags")
+PARTS = ("keys", "members", "runs", "sizes", "words", "at", "pairs", "n", "flags", "own_words", "own_pairs")
 FIRST, LAST = 1, 2
 
 
@@ -38,14 +39,16 @@ FIRST, LAST = 1, 2
 class LmSettings:
     """A word is frequent if it makes more than 1 / ``frequent`` of all tokens, so that there are fewer than that.
 
-    Shards are sorted into ``spread`` tasks, which add up their shards by text, so that a text makes
-    no more rows where the corpus asks for more shards.
+    Shards are sorted into tasks, which add up their shards by text, so that a text makes no more
+    rows where the corpus asks for more shards: ``spread`` tasks, or as many as keep one's tokens
+    within ``task_tokens``.
     """
 
     alpha: float = 0.1
     beta: float = 4.0
     shard_tokens: int = 3 << 20
     spread: int = 48
+    task_tokens: int = 1 << 27
     held_texts: int = 1 << 20
     frequent: int = 1 << 16
     broadcast_rows: int = 1_000_000
@@ -77,6 +80,11 @@ def tokens(batch: pa.RecordBatch, text: str) -> Tokens:
     return Tokens(*(np.concatenate(x) for x in zip(*held))) if held else Tokens(*(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.uint8)))
 
 
+def text_key(text: str, member: str):
+    """Documents of one text are scored as one, but for those in the target, whose own counts are left out there too."""
+    return F.xxhash64(F.col(text), F.coalesce(F.col(member), F.lit(False))).alias("key")
+
+
 def flags_of(batch: pa.RecordBatch, member: str) -> np.ndarray:
     return batch.column(member).fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
 
@@ -120,8 +128,22 @@ def found_in(table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return known[at] == words, at
 
 
+def own_counts(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """For each token how often its text has the word."""
+    order = np.lexsort((words, rows))
+    r, w = rows[order], words[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
+    out = np.empty(len(r), np.int64)
+    out[order] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(r) else 0
+    return out
+
+
 def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> DataFrame:
-    """Rows of packed arrays, one for each batch and shard; equal tokens of a text are one entry with its number."""
+    """Rows of packed arrays, one for each batch and shard; equal tokens of a text are one entry with its number.
+
+    With each entry go the text's own counts of the word and of the pair, and with each text its tokens.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -129,55 +151,62 @@ def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> Dat
             keys, members = batch.column("key").to_numpy(zero_copy_only=False), flags_of(batch, member)
             common, _ = found_in(frequent.value, t.words)
             shard = (np.where(common, t.pairs, t.words) >> np.uint64(32)) % np.uint64(shards)
+            sizes, own = np.bincount(t.rows, minlength=batch.num_rows), own_counts(t.rows, t.words)
             order = np.lexsort((t.flags, t.pairs, t.rows, shard))
-            shard, rows, words, pairs, flags = (x[order] for x in (shard, t.rows, t.words, t.pairs, t.flags))
+            shard, rows, words, pairs, flags, own = (x[order] for x in (shard, t.rows, t.words, t.pairs, t.flags, own))
             new = np.ones(len(shard), bool)
             new[1:] = (shard[1:] != shard[:-1]) | (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (flags[1:] != flags[:-1])
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(shard)))
-            shard, rows, words, pairs, flags = (x[at] for x in (shard, rows, words, pairs, flags))
+            shard, rows, words, pairs, flags, own = (x[at] for x in (shard, rows, words, pairs, flags, own))
+            group = np.cumsum(np.concatenate([[True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (shard[1:] != shard[:-1])])) - 1 if len(at) else at
+            own_pairs = np.bincount(group, n * (flags & FIRST == 0)).astype(np.int64)[group]
             edges = np.append(np.flatnonzero(np.diff(shard, prepend=np.uint64(shards))), len(shard)).tolist()
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
                 first = np.flatnonzero(np.diff(rows[a:b], prepend=-1))
                 text_rows, (known, where) = rows[a:b][first], np.unique(words[a:b], return_inverse=True)
-                packed = (keys[text_rows].tobytes(), members[text_rows].tobytes(), narrow(np.diff(np.append(first, b - a))), known.tobytes(), narrow(where), pairs[a:b].tobytes(), narrow(n[a:b]), flags[a:b].tobytes())
+                packed = (keys[text_rows].tobytes(), members[text_rows].tobytes(), narrow(np.diff(np.append(first, b - a))), narrow(sizes[text_rows]), known.tobytes(), narrow(where), pairs[a:b].tobytes(), narrow(n[a:b]), flags[a:b].tobytes(), narrow(own[a:b]), narrow(own_pairs[a:b]))
                 out.append((int(shard[a]), *packed))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int32()) for k, x in enumerate(zip(*out))], names=["shard", *PARTS])
 
     schema = "shard int, " + ", ".join(f"{c} binary" for c in PARTS)
-    return by_batches(docs.select(text, member, F.xxhash64(text).alias("key")), deal, schema)
+    return by_batches(docs.select(text, member, text_key(text, member)), deal, schema)
 
 
 def summed(rows: list[tuple], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
     """Key, tokens, first tokens, loss under background and target of the texts that one shard has tokens of."""
-    keys, members, words, pairs, n, flags = [], [], [], [], [], []
-    for key, member, runs, known, at, pair, number, flag in rows:
-        size = len(pair) // 8
+    keys, members, sizes, words, pairs, n, flags, own_words, own_pairs = ([] for _ in range(9))
+    for key, member, runs, size, known, at, pair, number, flag, own_word, own_pair in rows:
+        entries = len(pair) // 8
         k = np.frombuffer(key, np.int64)
         run = wide(runs, len(k))
         keys.append(np.repeat(k, run))
         members.append(np.repeat(np.frombuffer(member, np.uint8), run))
-        words.append(np.frombuffer(known, np.uint64)[wide(at, size)])
+        sizes.append(np.repeat(wide(size, len(k)), run))
+        words.append(np.frombuffer(known, np.uint64)[wide(at, entries)])
         pairs.append(np.frombuffer(pair, np.uint64))
-        n.append(wide(number, size))
+        n.append(wide(number, entries))
         flags.append(np.frombuffer(flag, np.uint8))
-    key, member, word, pair, n, flag = (np.concatenate(x) for x in (keys, members, words, pairs, n, flags))
-    del keys, members, words, pairs, flags
+        own_words.append(wide(own_word, entries))
+        own_pairs.append(wide(own_pair, entries))
+    key, member, size, word, pair, n, flag, own_word, own_pair = (np.concatenate(x) for x in (keys, members, sizes, words, pairs, n, flags, own_words, own_pairs))
+    del keys, members, sizes, words, pairs, flags, own_words, own_pairs
     word, of_word = np.unique(word, return_inverse=True)
     of_pair = np.unique(pair, return_inverse=True)[1]
     common, row = found_in(table, word)
     key, of_key = np.unique(key, return_inverse=True)
     first, last = flag & FIRST > 0, flag & LAST > 0
     out = [key, np.bincount(of_key, n), np.bincount(of_key, n * first)]
-    for k, mine in enumerate((n, n * member)):
+    for k, (mine, own) in enumerate(((n, 1), (n * member, member))):
         single = np.bincount(of_word, mine)
         single[common] = table[row[common], 1 + k]
-        joint = np.bincount(of_pair, mine * ~first)[of_pair]
-        p = ((single + s.alpha) / (totals[k] + s.alpha * vocabulary))[of_word]
+        others = single[of_word] - own_word * own
+        joint = np.bincount(of_pair, mine * ~first)[of_pair] - own_pair * own
+        p = (others + s.alpha) / (totals[k] - size * own + s.alpha * vocabulary)
         loss = -np.log(np.where(first, p, joint + s.beta * p))
-        loss += np.where(last, 0.0, np.log(single + s.beta)[of_word])
+        loss += np.where(last, 0.0, np.log(others + s.beta))
         out.append(np.bincount(of_key, n * loss))
     return out
 
@@ -200,7 +229,8 @@ def text_sums(docs: DataFrame, member: str, s: LmSettings, text: str, scratch: S
     vocabulary, *totals = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
     frequent = spark.sparkContext.broadcast(frequent_words(counts, totals[0], s))
     scratch.drop("words")
-    shards = s.spread * (1 + totals[0] // (s.spread * s.shard_tokens))
+    tasks = s.spread * (1 + totals[0] // (s.spread * s.task_tokens))
+    shards = tasks * (1 + totals[0] // (tasks * s.shard_tokens))
 
     def work(batches: Iterator[pa.RecordBatch]):
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
@@ -214,7 +244,7 @@ def text_sums(docs: DataFrame, member: str, s: LmSettings, text: str, scratch: S
         if held:
             yield sent(added(held))
 
-    packed = dealt(docs, member, shards, frequent, text).repartition(s.spread, F.col("shard") % s.spread).sortWithinPartitions("shard")
+    packed = dealt(docs, member, shards, frequent, text).repartition(tasks, F.col("shard") % tasks).sortWithinPartitions("shard")
     sums = by_batches(packed, work, "key long, n long, firsts long, background double, target double")
     return scratch.keep("sums", sums.groupBy("key").agg(*(F.sum(c).alias(c) for c in sums.columns[1:])))
 
@@ -222,7 +252,7 @@ def text_sums(docs: DataFrame, member: str, s: LmSettings, text: str, scratch: S
 def cross_entropy_difference(docs: DataFrame, member: str, s: LmSettings = LmSettings(), text: str = "text") -> DataFrame:
     """``docs`` (text and member left out) with n_tokens, loss_target, loss_background, score.
 
-    The background is fitted on all ``docs``, the target on those with ``member`` true. Null
+    Each document's own counts are left out of both models; those of its copies stay. The background is fitted on all other ``docs``, the target on those of them with ``member`` true. Null
     members are not in the target. Without any target text all target probabilities are the
     uniform ones of an empty model. A text that is null or has no word has n_tokens 0 and null
     losses and score. Repeated rows get equal values.
@@ -236,7 +266,7 @@ def cross_entropy_difference(docs: DataFrame, member: str, s: LmSettings = LmSet
         ((F.col("target") - F.col("background")) / F.col("n")).alias("score"),
     )
     kept = [F.col(c) for c in docs.columns if c not in (text, member, *made)]
-    rows = docs.select(*kept, F.xxhash64(text).alias("text_key"))
+    rows = docs.select(*kept, text_key(text, member).alias("text_key"))
     out = rows.join(small_or_shuffled(loss, loss.count(), s.broadcast_rows), "text_key", "left").drop("text_key")
     return out.withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long"))
 

@@ -38,7 +38,7 @@ def by_text(df, column="text"):
 # ---- 1
 
 def test_scoring_equals_brute_force(spark):
-    rows = [(1, "a b a", True), (2, "b c", False), (3, None, None), (4, "c c a b", True), (5, "zz", False)]
+    rows = [(1, "a b a b", True), (2, "b c", False), (3, None, None), (4, "c c a b", True), (5, "zz", False), (6, "b c", True), (7, "b c", None), (8, "zz zz zz", True)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
     s = lm_scoring.LmSettings()
     got = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(docs.repartition(3), "good", s).collect()}
@@ -65,11 +65,11 @@ def test_scoring_equals_brute_force(spark):
             out.append(-np.log(p))
         return np.mean(out)
 
-    base, goal = fit([t for _, t, _ in rows if t]), fit([t for _, t, g in rows if g])
-    for k, t, _ in rows:
-        if t:
-            assert got[k].loss_background == pytest.approx(loss(base, t), rel=1e-5)
-            assert got[k].score == pytest.approx(loss(goal, t) - loss(base, t), rel=1e-4, abs=1e-6)
+    for k, t, mine in rows:
+        if t:  # a document's own counts are left out
+            base, goal = fit([u for i, u, _ in rows if u and i != k]), fit([u for i, u, g in rows if u and g and i != k])
+            assert got[k].loss_background == pytest.approx(loss(base, t), rel=1e-9)
+            assert got[k].score == pytest.approx(loss(goal, t) - loss(base, t), rel=1e-9, abs=1e-9)
     assert got[3].n_tokens == 0 and got[3].score is None
 
 
@@ -81,8 +81,8 @@ def test_scoring_keeps_words_and_pairs_apart(spark):
     s = lm_scoring.LmSettings()
     got = lm_scoring.cross_entropy_difference(docs, "good", s).toPandas()
     v = total = n * 100
-    p = (1 + s.alpha) / (total + s.alpha * v)
-    want = (-np.log(p) - 99 * np.log((1 + s.beta * p) / (1 + s.beta))) / 100
+    p = s.alpha / (total - 100 + s.alpha * v)  # nothing but its own counts, which are left out
+    want = (-np.log(p) - 99 * np.log(s.beta * p / s.beta)) / 100
     assert (got.n_tokens == 100).all() and np.allclose(got.loss_background, want, rtol=1e-9)
 
 
@@ -249,16 +249,31 @@ def test_quality_equals_brute_force_vote():
     m = quality_knn.fit(["good plain words here", "fine plain words too", "bad### ugly###", "worse### ugly!!! ###"], [1, 1, 0, 0], s)
     some = np.concatenate([quality_knn.vectors(d, o, m["idf"], m["basis"], s) for d, o in quality_knn.blocks(["plain words", "ugly### bad", ""])])
     got = quality_knn.vote(m, some, s)
+    assert (m["counts"] == 1).all()
     for v, g in zip(some, got):
         near = sorted(((float(np.dot(v, w)), y) for w, y in zip(m["vectors"], m["labels"])), reverse=True)[:3]
         total = sum(max(0, c) ** 4 for c, _ in near)
         assert g == pytest.approx(sum(max(0, c) ** 4 * y for c, y in near) / total if total > 1e-9 else m["prior"], abs=1e-4)
 
 
+def test_repeated_labelled_rows_vote_together():
+    s = quality_knn.KnnSettings(neighbours=4)
+    texts = ["good plain words here"] * 10 + ["fine plain words too"] * 3 + ["bad### ugly###"] * 5
+    labels = [1] * 5 + [0] * 5 + [1] * 3 + [0] * 5
+    some = lambda m: np.concatenate([quality_knn.vectors(d, o, m["idf"], m["basis"], s) for d, o in quality_knn.blocks(["good plain words here", "fine plain words too", "x"])])
+    rng, found = np.random.default_rng(1), []
+    for order in (np.arange(18), *(rng.permutation(18) for _ in range(3))):
+        m = quality_knn.fit([texts[k] for k in order], [labels[k] for k in order], s)
+        assert sorted(m["counts"]) == [3, 5, 10] and m["labels"].max() == 1
+        found.append(quality_knn.vote(m, some(m), s))
+    assert np.allclose(found, found[0], atol=1e-4)
+    assert found[0][0] == pytest.approx(0.5, abs=1e-6) and found[0][1] > 0.75  # all four votes of the ten; three good ones and one vote of the next
+
+
 def test_quality_edges(odd, none, spark):
     labels = spark.createDataFrame([(3, 1), (6, 0), (None, 1), (4, None)], "doc_id long, quality int")
     fitted = quality_knn.learn(odd, labels)
-    assert len(fitted["labels"]) == 3 and quality_knn.score(odd, fitted).count() == len(TEXTS) + 2
+    assert fitted["counts"].sum() == 3 and quality_knn.score(odd, fitted).count() == len(TEXTS) + 2
     nothing = quality_knn.learn(none, labels)
     assert {r["score"] for r in quality_knn.score(odd, nothing).collect()} == {0.5} and quality_knn.score(none, fitted).count() == 0
 
