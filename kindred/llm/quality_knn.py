@@ -84,10 +84,10 @@ def blocks(texts: list[str], size: int = 200):
 
 
 def fit(texts: list[str], labels: list[int], s: KnnSettings = KnnSettings()) -> dict:
-    """Latent basis, idf, and the sample's vectors and labels; without a sample no vectors."""
+    """Latent basis, idf, and the sample's distinct vectors with their numbers and mean labels; without a sample no vectors."""
     width = s.word_cells + s.class_cells
     if not texts:
-        return {"idf": np.ones(width, np.float32), "basis": np.zeros((width, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "prior": 0.5}
+        return {"idf": np.ones(width, np.float32), "basis": np.zeros((width, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "counts": np.zeros(0), "prior": 0.5}
     df = sum((features(d, o, s) > 0).sum(axis=0) for d, o in blocks(texts))
     idf = np.log((1 + len(texts)) / (1 + df)).astype(np.float32) + np.float32(0.1)
     x = np.empty((len(texts), width), np.float32)
@@ -102,12 +102,21 @@ def fit(texts: list[str], labels: list[int], s: KnnSettings = KnnSettings()) ->
     basis = (q @ rows.T)[:, :dim].astype(np.float32)
     made = x @ basis
     made /= np.maximum(1e-12, np.linalg.norm(made, axis=1, keepdims=True))
-    y = np.array(labels, np.float32)
-    return {"idf": idf, "basis": basis, "vectors": made.astype(np.float32), "labels": y, "prior": float(y.mean())}
+    y = np.array(labels, np.float64)
+    # rows of equal features have equal vectors, whatever the last bits of the products say
+    _, first, group = np.unique(np.round(made, 5), axis=0, return_index=True, return_inverse=True)
+    counts = np.bincount(group)
+    order = np.argsort(first)
+    return {"idf": idf, "basis": basis, "vectors": made[first[order]].astype(np.float32), "labels": (np.bincount(group, y) / counts)[order], "counts": counts[order].astype(np.float64), "prior": float(y.mean())}
 
 
 def vote(m: dict, latent: np.ndarray, s: KnnSettings) -> np.ndarray:
-    """Similarity-weighted share of label 1 among the nearest; ties at the rank are broken by sample order."""
+    """Similarity-weighted share of label 1 among the nearest sample rows.
+
+    Sample rows of equal vectors are one vector with a number and a mean label, and vote together:
+    where only some of them come within the rank, as many votes count, all with the mean label.
+    Different vectors that tie at the rank are taken in the order of the sample.
+    """
     if not len(m["vectors"]):
         return np.full(len(latent), m["prior"])
     k = min(s.neighbours, len(m["vectors"]))
@@ -115,7 +124,15 @@ def vote(m: dict, latent: np.ndarray, s: KnnSettings) -> np.ndarray:
     for a in range(0, len(latent), 256):
         near = latent[a : a + 256] @ m["vectors"].T
         top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.maximum(0, np.take_along_axis(near, top, axis=1)).astype(np.float64) ** 4
+        least = np.take_along_axis(near, top, axis=1).min(axis=1, keepdims=True)
+        tied = np.flatnonzero((near >= least).sum(axis=1) > k)
+        top[tied] = np.argsort(-near[tied], axis=1, kind="stable")[:, :k]
+        cosine = np.take_along_axis(near, top, axis=1)
+        order = np.lexsort((top, -cosine), axis=1)
+        top, cosine = np.take_along_axis(top, order, axis=1), np.take_along_axis(cosine, order, axis=1)
+        counts = m["counts"][top]
+        votes = np.clip(s.neighbours - (np.cumsum(counts, axis=1) - counts), 0, counts)
+        weight = votes * np.maximum(0, cosine).astype(np.float64) ** 4
         total = weight.sum(axis=1)
         out[a : a + 256] = np.where(total > 1e-9, (weight * m["labels"][top]).sum(axis=1) / np.maximum(total, 1e-9), m["prior"])
     return np.clip(out, 0, 1)
