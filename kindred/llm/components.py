@@ -5,33 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.shared import Scratch
+from kindred.llm.shared import Scratch, join_heavy
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, component) of all ids in ``edges`` (a, b longs): the smallest id that can be reached.
 
     Large-star and small-star passes in turn until nothing changes: each pass hangs the
-    neighbours of an id on its smallest one. A hot id costs one partial aggregate and joined rows
-    in proportion to its edges. Passes grow as the logarithm of the longest chain. Each pass is
-    written to the shared folder, and the pass before it is dropped.
+    neighbours of an id on its smallest one. A hot id costs one partial aggregate, and its edges
+    meet its least neighbour in a broadcast of bounded size. Passes grow as the logarithm of the
+    longest chain. Each pass is written to the shared folder, and the pass before it is dropped.
     """
     star = scratch.keep(f"{name}-0", edges.where("a != b").select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("low")).distinct())
-    turn, before = 0, None
+    turn, before, rows = 0, None, star.count()
     while True:
         both = star.select("id", "low").unionByName(star.select(F.col("low").alias("id"), F.col("id").alias("low")))
         # large star: every larger neighbour of an id goes to the least of the id and its neighbours
-        least = both.groupBy("id").agg(F.least(F.min("low"), F.first("id")).alias("least"))
-        large = both.where("low > id").join(least, "id").select(F.col("low").alias("id"), F.col("least").alias("low")).distinct()
+        least = both.groupBy("id").agg(F.least(F.min("low"), F.first("id")).alias("least"), F.count("*").alias("n"))
+        large = join_heavy(both.where("low > id"), least, ["id"], "n", 2 * rows).select(F.col("low").alias("id"), F.col("least").alias("low")).distinct()
         # small star: an id and its smaller neighbours go to the least of them
-        least = large.groupBy("id").agg(F.min("low").alias("least"))
-        joined = large.join(least, "id")
+        least = large.groupBy("id").agg(F.min("low").alias("least"), F.count("*").alias("n"))
+        joined = join_heavy(large, least, ["id"], "n", 2 * rows)
         small = joined.select(F.col("low").alias("id"), F.col("least").alias("low")).unionByName(joined.select("id", F.col("least").alias("low"))).where("id != low").distinct()
         turn += 1
         made = scratch.keep(f"{name}-{turn}", small)
         stat = tuple(made.agg(F.count("*"), F.sum(F.xxhash64("id", "low").cast("decimal(38,0)"))).first())
         scratch.drop(f"{name}-{turn - 1}")
-        star = made
+        star, rows = made, stat[0]
         if stat == before:
             break
         before = stat

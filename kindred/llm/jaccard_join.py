@@ -10,16 +10,19 @@ there, so that similar sets of a band share one at least. A set signs for its ow
 each band that a similar larger set may be in.
 
 Steps: (1) documents of equal sets form classes, and only each class's least document goes on;
-(2) rows (signature, document) meet by signature, and each bucket is read as a stream that emits
-its least document with each other one, so that a bucket of m rows makes m - 1 pairs; (3) each
-document is verified against the hub that it meets most often, exactly, on the whole sets; (4)
-pairs with the other hubs, where the components found so far still differ; (5) within buckets
-that still hold several components, the pairs across them. For (5) each document has a sketch,
-its shingles counted in cells, about half as many as there are shingles: the L1 distance of two sketches is no more than the sets'
-difference, so that pairs whose sketches are too far apart are no links and are left out before
-they are emitted; pairs of (3) and (4) pass the same test before any text is fetched. Buckets of (5) are cut into blocks of bounded size, and each pair of blocks is
-a unit of work of its own. Every link is then in some verified
-pair or joins two documents that verified links connect already, so the components are exact.
+(2) rows (signature, document) meet by signature. Rows of one batch that share a signature make a
+star around the least document, and only that hub goes on to meet the hubs of other batches, which
+make a star in turn: a bucket of m rows makes m - 1 pairs, no task reads more rows of it than there
+are batches, and no hub has more pairs than that; (3) each document is verified against the hub
+that it meets most often, exactly, on the whole sets; (4) pairs with the other hubs, where the
+components found so far still differ; (5) within buckets that still hold several components, the
+pairs across them. For (5) each document has a sketch, its shingles counted in cells, about half as
+many as there are shingles: the L1 distance of two sketches is no more than the sets' difference,
+so that pairs whose sketches are too far apart are no links. Buckets of (5) are cut into blocks of
+bounded size, and each pair of blocks is a unit of work of its own, on sketches folded to
+``FOLDED`` cells; what these allow is tested on the full sketches, as are the pairs of (3) and (4),
+before any text is fetched. Every link is then in some verified pair or joins two documents that
+verified links connect already, so the components are exact.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import arrowtext
 from kindred.llm.components import components
-from kindred.llm.shared import by_batches, Scratch, small_or_shuffled
+from kindred.llm.shared import Scratch, by_batches, join_heavy, small_or_shuffled
 
 
 @dataclass(frozen=True)
@@ -113,47 +116,68 @@ def set_keys(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) ->
 
 
 def signature_rows(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) -> DataFrame:
+    """(signature, hub, doc_id): within a batch a signature's least document has no hub yet, the others have that one."""
+
     def work(batches):
         bands = Bands(s)
         for batch in batches:
+            signed, owners = [], []
             for part, data, offsets in arrowtext.pieces(batch, text):
                 ids = part.column(id_column).to_numpy(zero_copy_only=False)
                 made = [bands.signatures(x) for x in arrowtext.shingle_sets(arrowtext.words(data, offsets), s.width)]
-                rows = np.concatenate(made) if made else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(rows.view(np.int64)), pa.array(np.repeat(ids, [len(x) for x in made]), pa.int64())], names=["signature", "doc_id"])
+                signed += made
+                owners.append(np.repeat(ids, [len(x) for x in made]))
+            if not signed:
+                continue
+            sig, doc = np.concatenate(signed), np.concatenate(owners).astype(np.int64)
+            order = np.lexsort((doc, sig))
+            sig, doc = sig[order].view(np.int64), doc[order]
+            first = np.ones(len(sig), bool)
+            first[1:] = sig[1:] != sig[:-1]
+            hub = doc[first][np.cumsum(first) - 1] if len(sig) else doc
+            kept = first | (doc != hub)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[kept]), pa.array(hub[kept], mask=first[kept]), pa.array(doc[kept])], names=["signature", "hub", "doc_id"])
 
-    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "signature long, doc_id long")
+    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "signature long, hub long, doc_id long")
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """(signature, hub, doc_id) for each row of a bucket but its least document, from a stream of sorted rows."""
+    """(signature, hub, doc_id): rows with a hub as they are; of the others each but the least document of its signature.
+
+    A stream of sorted rows; those that have a hub are dealt out by document.
+    """
 
     def work(batches):
-        last, hub = None, None
+        last, least = None, None
         for batch in batches:
-            sig, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            if not batch.num_rows:
+                continue
+            done = batch.column("hub").is_valid().to_numpy(zero_copy_only=False)
+            if done.any():
+                yield batch.filter(pa.array(done))
+            sig, doc = (batch.column(c).to_numpy(zero_copy_only=False)[~done] for c in ("signature", "doc_id"))
             if not len(sig):
                 continue
             new = np.ones(len(sig), bool)
             new[1:] = sig[1:] != sig[:-1]
             new[0] = sig[0] != last
             begin = np.flatnonzero(new)
-            hubs = np.empty(len(sig), np.int64)
-            if not len(begin) or begin[0] > 0:
-                hubs[: begin[0] if len(begin) else len(sig)] = hub
+            hubs = np.full(len(sig), least if least is not None else 0, np.int64)
             if len(begin):
                 hubs[begin[0] :] = np.repeat(doc[begin], np.diff([*begin, len(sig)]))
-            last, hub = sig[-1], hubs[-1]
+            last, least = sig[-1], hubs[-1]
             kept = ~new & (doc != hubs)
             if kept.any():
                 yield pa.RecordBatch.from_arrays([pa.array(sig[kept]), pa.array(hubs[kept]), pa.array(doc[kept])], names=["signature", "hub", "doc_id"])
 
-    return by_batches(rows.repartition("signature").sortWithinPartitions("signature", "doc_id"), work, "signature long, hub long, doc_id long")
+    dealt = rows.repartition(F.when(F.col("hub").isNull(), F.col("signature")).otherwise(F.xxhash64("doc_id")))
+    return by_batches(dealt.sortWithinPartitions("signature", "doc_id"), work, "signature long, hub long, doc_id long")
 
 
 #: A sketch has cells in a power of two within these bounds.
 LEAST_CELLS, MOST_CELLS = 256, 4096
-BLOCK = 2048
+#: Rows of a block, and cells of the sketches that blocks are compared by.
+BLOCK, FOLDED = 4096, 256
 
 
 def sketch(held: np.ndarray) -> bytes:
@@ -210,6 +234,17 @@ def plausible(pairs: DataFrame, drawn: DataFrame, s: JaccardSettings) -> DataFra
     return by_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "shared", "n_a", "sketch_a", "n_b", "sketch_b"), work, "a long, b long, shared long").groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
 
+def folded_to(drawn: DataFrame, cells: int) -> DataFrame:
+    """Sketches of no more than ``cells`` cells."""
+
+    def work(batches):
+        for batch in batches:
+            held = [x if len(x) <= cells else folded([x], cells).tobytes() for x in batch.column("sketch").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n"), pa.array(held, pa.binary())], names=["doc_id", "n", "sketch"])
+
+    return by_batches(drawn, work, "doc_id long, n long, sketch binary")
+
+
 def allowed(na: np.ndarray, nb: np.ndarray, apart: np.ndarray, s: JaccardSettings) -> np.ndarray:
     """Whether sets of these sizes and sketch distances may be similar enough: a necessary condition."""
     total = na + nb
@@ -218,7 +253,7 @@ def allowed(na: np.ndarray, nb: np.ndarray, apart: np.ndarray, s: JaccardSetting
 
 
 def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
-    """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; hubs' pairs are known."""
+    """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; pairs with a document's own hub are known."""
 
     def pairs_of(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         whole = pa.Table.from_batches(rows).combine_chunks()
@@ -233,7 +268,7 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
         found = []
         for i in left.tolist():
             to = right[right > i] if same else right
-            to = to[(comp[to] != comp[i]) & (doc[to] != hub[to]) & (doc[i] != hub[i])]
+            to = to[(comp[to] != comp[i]) & (hub[to] != doc[i]) & (hub[i] != doc[to])]
             small, large = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
             to = to[100 * small >= s.percent * large]
             if len(to):
@@ -304,10 +339,15 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     scratch = Scratch(docs.sparkSession, "jaccard")
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keys = scratch.keep("keys", set_keys(source, s, "doc_id", "text"))
+    by = ["key_a", "key_b", "n_shingles"]
     named = keys.where("doc_id IS NOT NULL AND n_shingles > 0")
-    least = named.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    copies = scratch.keep("copies", named.join(least, ["key_a", "key_b", "n_shingles"]).select("doc_id", "rep").distinct())
-    dull = copies.where("doc_id != rep").select("doc_id").distinct()
+    total = named.count()
+    classes = scratch.keep("classes", named.groupBy(by).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
+    copies = scratch.keep("copies", join_heavy(named, classes, by, "copies", total).select("doc_id", "rep").distinct())
+    # an id goes no further if each of its rows is a copy of another document
+    other = named.join(copies.where("doc_id != rep").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.count_distinct(*by).alias("sets"))
+    copied = copies.where("doc_id != rep").groupBy("doc_id").agg(F.count("*").alias("found"))
+    dull = scratch.keep("dull", copied.join(other, "doc_id").where("found >= sets").select("doc_id"))
     n_dull = dull.count()
     single = source.where("doc_id IS NOT NULL").join(small_or_shuffled(dull, n_dull), "doc_id", "left_anti")
     met = scratch.keep("met", stars(signature_rows(single, s, "doc_id", "text")))
@@ -318,8 +358,13 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     drawn = scratch.keep("sketches", sketches(texts, s).distinct())
     pairs = scratch.keep("near", plausible(pairs, drawn, s))
 
+    # an id with rows of several sets connects their classes
+    lead = copies.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a != last").drop("last")
+    twice = copies.join(lead, "doc_id").where("rep != a").select("a", F.col("rep").alias("b"))
+    twice = twice.unionByName(copies.where("doc_id != rep").join(small_or_shuffled(dull, n_dull), "doc_id", "left_anti").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("m"))).alias("top")).select((-F.col("top.m")).alias("a"), "b")
-    links = scratch.keep("links-1", verified(best, texts, s))
+    links = scratch.keep("links-1", verified(best, texts, s).unionByName(twice.distinct()))
     found = components(links, scratch, "first")
 
     def apart(candidates: DataFrame, known: DataFrame) -> DataFrame:
@@ -334,20 +379,25 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     # buckets that still hold several components: pairs across them that are not with the hub
     known = found.select(F.col("id").alias("doc_id"), "component")
     rows = met.unionByName(met.select("signature", "hub", F.col("hub").alias("doc_id")).distinct())
+    rows = rows.groupBy("signature", "doc_id").agg(F.min("hub").alias("hub"))  # a hub among hubs belongs to the least of them
     member = rows.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2")
     member = scratch.keep("open", member.join(open_.select("signature", "m"), "signature"))
     parts = F.ceil(F.col("m") / BLOCK).cast("int")
-    member = member.join(drawn, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+    member = member.join(folded_to(drawn, FOLDED), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    across = scratch.keep("across", near_pairs(member, s))
+    across = near_pairs(member, s).withColumn("shared", F.lit(0).cast("long"))
+    across = scratch.keep("across", plausible(across, drawn, s).select("a", "b"))
     links = links.unionByName(scratch.keep("links-3", verified(across, texts, s)))
     found = scratch.keep("found", components(links, scratch, "third"))
-    scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across")
-
-    # rows of a class follow its least document; ids that are repeated with other texts join their classes
-    lead = copies.groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    named = keys.join(lead, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    named = named.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across", "links-1", "links-2", "links-3", "dull", "copies")
+
+    # rows of a class follow its least document, rows without a copy their own
+    found = found.select(F.col("id").alias("rep"), "component")
+    classes = classes.join(found, "rep", "left").withColumn("shared", F.coalesce("component", "rep")).select(*by, "copies", "shared")
+    rows = keys.withColumn("set", F.when(F.col("n_shingles") > 0, F.col("doc_id")).isNotNull())
+    linked = join_heavy(rows.where("set"), classes, by, "copies", total, "left")
+    rows = linked.unionByName(rows.where("NOT set").withColumn("shared", F.lit(None).cast("long")))
+    rows = rows.join(found, rows.doc_id == found.rep, "left")
+    return rows.select("doc_id", "n_shingles", F.coalesce("shared", "component", "doc_id").alias("component_id"))

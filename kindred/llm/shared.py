@@ -122,6 +122,25 @@ def small_or_shuffled(frame: DataFrame, rows: int, limit: int = BROADCAST_KEYS)
     return F.broadcast(frame) if rows <= limit else frame
 
 
+#: A key is heavy if it has more than this many rows and more than one in 2^16 of all: there are fewer than 2^16 of them.
+HEAVY_ROWS, HEAVY_SHARE = 1000, 1 << 16
+
+
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (one row a key, ``count``: the rows of ``left`` it meets, of ``total`` in all).
+
+    Rows of heavy keys meet a broadcast of fewer than 2^16 rows where they are; the others are
+    shuffled. ``how``: inner or left. The count column is left out.
+    """
+    limit = max(HEAVY_ROWS, total // HEAVY_SHARE)
+    heavy = right.where(F.col(count) > limit).drop(count).withColumn("is_heavy", F.lit(True))
+    marked = left.join(F.broadcast(heavy), keys, "left")
+    made = [c for c in right.columns if c not in (*keys, count)]
+    here = marked.where("is_heavy").drop("is_heavy")
+    rest = marked.where("is_heavy IS NULL").drop("is_heavy", *made)
+    return here.unionByName(rest.join(right.where(F.col(count) <= limit).drop(count), keys, how))
+
+
 def fold(column: str, parts: int):
     """The fold of an id that the contracts state: crc32 of its text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts

@@ -190,6 +190,23 @@ def test_jaccard_edges(odd, none):
     assert jaccard_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    """An id's rows are one document: they connect what their texts are linked with."""
+    a, b, c, d = ("a b c d e f g", "h i j k l m n", "o p q r s t u", "h i j k l m n x")
+    rows = [(1, a), (9, a), (9, b), (2, b), (9, c), (3, c), (7, d), (8, "v w"), (8, "y z"), (8, None)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), jaccard_join.JaccardSettings(width=3, percent=80)).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == {1: 1, 9: 1, 2: 1, 3: 1, 7: 1, 8: 8}
+
+
+def test_jaccard_hot_groups(spark):
+    """Heavy keys and several blocks in a bucket: the same result as of small ones."""
+    base = [f"t{k}" for k in range(40)]
+    docs = [(k, "same text of many documents here") for k in range(1500)] + [(2000 + k, " ".join(base + [f"z{k}"])) for k in range(300)]
+    docs += [(5000 + k, " ".join(base[:30] + [f"y{k % 40}x{i}" for i in range(6)])) for k in range(200)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), jaccard_join.JaccardSettings(width=3, percent=80))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(docs, 3, 80)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in K.components(edges, Scratch(spark, "t"), "c").collect()}
