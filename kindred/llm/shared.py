@@ -49,19 +49,25 @@ def finished(spark: SparkSession, path: str) -> bool:
 
 #: Bytes of a batch that goes to a Python worker: ten thousand whole texts at once would be too many.
 BATCH_BYTES = 8 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def by_batches(frame: DataFrame, work, schema) -> DataFrame:
-    """``frame.mapInArrow`` where ``work`` sees batches of bounded bytes, whatever the session's settings are.
+    """``frame.mapInArrow`` with batches of bounded bytes.
 
-    Spark's own bound by rows may give larger batches; they are sliced before ``work`` sees them.
+    Spark has this bound as a setting of the session only, which is read when the frame runs: where
+    the session has none of its own, it is set to ``BATCH_BYTES`` here and stays so. A larger bound
+    that the session sets itself is kept, and batches are sliced before ``work`` sees them.
     """
+    spark = frame.sparkSession
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
             step = max(1, rows * BATCH_BYTES // max(1, batch.nbytes))
-            if step >= rows:
+            if step * 2 > rows:  # Spark stops a batch at the row that passes its bound
                 yield batch
             else:
                 for at in range(0, rows, step):
