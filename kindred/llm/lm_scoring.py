@@ -33,6 +33,8 @@ from kindred.llm.shared import Scratch, by_batches, small_or_shuffled
 
 PARTS = ("keys", "members", "runs", "sizes", "words", "at", "pairs", "n", "flags", "own_words", "own_pairs")
 FIRST, LAST = 1, 2
+#: Parts that a shard is read in, and bytes of text that are cut into tokens at a time.
+CUTS, SLICE = 4, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -109,7 +111,7 @@ def word_counts(docs: DataFrame, member: str, text: str = "text") -> DataFrame:
             n, m = np.bincount(at, minlength=len(words)), np.bincount(at[flags_of(batch, member)[t.rows] > 0], minlength=len(words))
             yield pa.RecordBatch.from_arrays([pa.array(arrowtext.signed(words)), pa.array(n, pa.int64()), pa.array(m, pa.int64())], names=["word", "n", "m"])
 
-    return by_batches(docs.select(text, member), add_up, "word long, n long, m long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    return by_batches(docs.select(text, member), add_up, "word long, n long, m long", SLICE).groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 def frequent_words(counts: DataFrame, total: int, s: LmSettings) -> np.ndarray:
@@ -134,7 +136,7 @@ def own_counts(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
     r, w = rows[order], words[order]
     new = np.ones(len(r), bool)
     new[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
-    out = np.empty(len(r), np.int64)
+    out = np.empty(len(r), np.int32)
     out[order] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(r) else 0
     return out
 
@@ -148,9 +150,10 @@ def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> Dat
     def deal(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             t = tokens(batch, text)
+            t.rows = t.rows.astype(np.int32)
             keys, members = batch.column("key").to_numpy(zero_copy_only=False), flags_of(batch, member)
             common, _ = found_in(frequent.value, t.words)
-            shard = (np.where(common, t.pairs, t.words) >> np.uint64(32)) % np.uint64(shards)
+            shard = ((np.where(common, t.pairs, t.words) >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
             sizes, own = np.bincount(t.rows, minlength=batch.num_rows), own_counts(t.rows, t.words)
             order = np.lexsort((t.flags, t.pairs, t.rows, shard))
             shard, rows, words, pairs, flags, own = (x[order] for x in (shard, t.rows, t.words, t.pairs, t.flags, own))
@@ -161,7 +164,7 @@ def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> Dat
             shard, rows, words, pairs, flags, own = (x[at] for x in (shard, rows, words, pairs, flags, own))
             group = np.cumsum(np.concatenate([[True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (shard[1:] != shard[:-1])])) - 1 if len(at) else at
             own_pairs = np.bincount(group, n * (flags & FIRST == 0)).astype(np.int64)[group]
-            edges = np.append(np.flatnonzero(np.diff(shard, prepend=np.uint64(shards))), len(shard)).tolist()
+            edges = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)).tolist()
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
                 first = np.flatnonzero(np.diff(rows[a:b], prepend=-1))
@@ -172,27 +175,33 @@ def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int32()) for k, x in enumerate(zip(*out))], names=["shard", *PARTS])
 
     schema = "shard int, " + ", ".join(f"{c} binary" for c in PARTS)
-    return by_batches(docs.select(text, member, text_key(text, member)), deal, schema)
+    return by_batches(docs.select(text, member, text_key(text, member)), deal, schema, SLICE)
 
 
-def summed(rows: list[tuple], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
-    """Key, tokens, first tokens, loss under background and target of the texts that one shard has tokens of."""
-    keys, members, sizes, words, pairs, n, flags, own_words, own_pairs = ([] for _ in range(9))
+def entries(rows: list[tuple], part: int) -> list[np.ndarray]:
+    """Key, member, text size, word, pair, number, flags and own counts of the entries whose word is in this part of the shard."""
+    held: list[list[np.ndarray]] = []
     for key, member, runs, size, known, at, pair, number, flag, own_word, own_pair in rows:
-        entries = len(pair) // 8
+        n = len(pair) // 8
+        word = np.frombuffer(known, np.uint64)
+        here = np.flatnonzero(((word >> np.uint64(48)) % np.uint64(CUTS) == part)[wide(at, n)])
         k = np.frombuffer(key, np.int64)
-        run = wide(runs, len(k))
-        keys.append(np.repeat(k, run))
-        members.append(np.repeat(np.frombuffer(member, np.uint8), run))
-        sizes.append(np.repeat(wide(size, len(k)), run))
-        words.append(np.frombuffer(known, np.uint64)[wide(at, entries)])
-        pairs.append(np.frombuffer(pair, np.uint64))
-        n.append(wide(number, entries))
-        flags.append(np.frombuffer(flag, np.uint8))
-        own_words.append(wide(own_word, entries))
-        own_pairs.append(wide(own_pair, entries))
-    key, member, size, word, pair, n, flag, own_word, own_pair = (np.concatenate(x) for x in (keys, members, sizes, words, pairs, n, flags, own_words, own_pairs))
-    del keys, members, sizes, words, pairs, flags, own_words, own_pairs
+        text = np.repeat(np.arange(len(k), dtype=np.int32), wide(runs, len(k)))[here]
+        narrow_ = lambda raw, size: wide(raw, size).astype(np.int32)
+        held.append([k[text], np.frombuffer(member, np.uint8)[text], narrow_(size, len(k))[text], word[wide(at, n)[here]], np.frombuffer(pair, np.uint64)[here], narrow_(number, n)[here], np.frombuffer(flag, np.uint8)[here], narrow_(own_word, n)[here], narrow_(own_pair, n)[here]])
+    return [np.concatenate(x) for x in zip(*held)]
+
+
+def summed(rows: list[tuple], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
+    """Key, tokens, first tokens, loss under background and target of the texts that one shard has tokens of.
+
+    A shard is read in ``CUTS`` parts by word, so that one part of it is expanded at a time.
+    """
+    return added([summed_part(entries(rows, part), table, totals, vocabulary, s) for part in range(CUTS)])
+
+
+def summed_part(found: list[np.ndarray], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
+    key, member, size, word, pair, n, flag, own_word, own_pair = found
     word, of_word = np.unique(word, return_inverse=True)
     of_pair = np.unique(pair, return_inverse=True)[1]
     common, row = found_in(table, word)

@@ -52,12 +52,12 @@ BATCH_BYTES = 8 << 20
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def by_batches(frame: DataFrame, work, schema) -> DataFrame:
-    """``frame.mapInArrow`` with batches of bounded bytes.
+def by_batches(frame: DataFrame, work, schema, limit: int = BATCH_BYTES) -> DataFrame:
+    """``frame.mapInArrow`` with batches of about ``limit`` bytes at most (one row at least).
 
     Spark has this bound as a setting of the session only, which is read when the frame runs: where
     the session has none of its own, it is set to ``BATCH_BYTES`` here and stays so. A larger bound
-    that the session sets itself is kept, and batches are sliced before ``work`` sees them.
+    that the session sets itself is kept; batches are sliced to ``limit`` before ``work`` sees them.
     """
     spark = frame.sparkSession
     if ARROW_BYTES not in spark.conf.getAll:
@@ -65,13 +65,10 @@ def by_batches(frame: DataFrame, work, schema) -> DataFrame:
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            step = max(1, rows * BATCH_BYTES // max(1, batch.nbytes))
-            if step * 2 > rows:  # Spark stops a batch at the row that passes its bound
-                yield batch
-            else:
-                for at in range(0, rows, step):
-                    yield batch.slice(at, step)
+            rows, parts = batch.num_rows, max(1, round(batch.nbytes / limit))
+            step = max(1, -(-rows // parts))
+            for at in range(0, rows, step):
+                yield batch.slice(at, step) if parts > 1 else batch
 
     return frame.mapInArrow(lambda batches: work(sliced(batches)), schema)
 
