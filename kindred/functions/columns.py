@@ -15,6 +15,21 @@ def entity_id(raw: Column) -> Column:
     return F.when(source == "1", n).when(source != "", source.cast("long") * F.lit(ID_SPAN) + n)
 
 
+WIDE_SPAN = 10**10
+
+
+def wide_id(raw: Column) -> Column:
+    """The other id code: Sd-n to d * 10**10 + n, for any digit d, in either case and between spaces; null for anything else."""
+    whole = F.regexp_extract(raw, r"^\s*[sS](\d)-(\d{1,10})\s*$", 2)
+    source = F.regexp_extract(raw, r"^\s*[sS](\d)-\d{1,10}\s*$", 1)
+    return F.when(whole != "", F.nullif(source, F.lit("")).cast("long") * F.lit(WIDE_SPAN) + F.nullif(whole, F.lit("")).cast("long"))
+
+
+def wide_entity(rid: Column) -> Column:
+    """The text of a wide id."""
+    return F.concat(F.lit("S"), F.floor(rid / WIDE_SPAN).cast("string"), F.lit("-"), F.pmod(rid, F.lit(WIDE_SPAN)).cast("string"))
+
+
 def country_label(raw: Column) -> Column:
     """Lower case without outer spaces; null and blank are the empty label. Any other label is its own partition."""
     return F.lower(F.trim(F.coalesce(raw, F.lit(""))))

@@ -1,360 +1,42 @@
-"""Text normalisation: basic form, scripts, transliteration, sound keys, names and addresses.
+"""Text normalisation over columns: Arrow functions of names and addresses, and the records that linkage works on.
 
-Plain functions of one value, and Arrow functions that apply them to columns as structs.
+The functions of one value are in ``scripts``, ``names`` and ``addresses``. Distinct values of a
+batch are parsed once, and a worker keeps what it has parsed.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from functools import lru_cache
-
 import pandas as pd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.functions import addresses as A
 from kindred.functions import fixed_values as V
+from kindred.functions import names as N
+from kindred.functions.addresses import address_descriptors, address_parts, state_code
+from kindred.functions.names import digits_read, name_descriptors, name_parts
+from kindred.functions.scripts import SOUND_STEPS, absent, basic, char_grams, missing, number_runs, script_family, scripts, site, sound_key, transliterated, without_accents, words_of
+
+__all__ = ["absent", "basic", "char_grams", "digits_read", "missing", "name_descriptors", "name_parts", "address_descriptors", "address_parts", "number_runs", "script_family", "scripts", "site", "sound_key", "state_code", "transliterated", "without_accents", "words_of"]
+
+STRING, FLAG, NUMBER, STRINGS = T.StringType(), T.BooleanType(), T.IntegerType(), T.ArrayType(T.StringType())
+
+
+def struct(**fields) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in fields.items()])
+
 
-FOLD = {**dict.fromkeys(map(ord, V.ZERO_WIDTH)), **str.maketrans(V.PLAIN_MARKS)}
-PLAIN = str.maketrans(V.LATIN_PLAIN)
-ENDINGS = "|".join(re.escape(e) for e in sorted(V.SITE_ENDINGS, key=len, reverse=True))
-LABEL = "[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
-SITE = re.compile(rf"(?:https?://)?(?:www\.)?((?:{LABEL}\.)*?{LABEL})\.(?:{ENDINGS})/?")
-INITIALS = re.compile(r"(?<![^\W\d_])(?:[^\W\d_]\.)+[^\W\d_]\.?(?![^\W\d_])")
-DOT = re.compile(r"(?<!\d)\.|\.(?!\d)")
-STARTS = sorted(V.BLOCKS)
-
-
-def missing(value) -> bool:
-    return value is None or value != value or str(value).strip().casefold() in V.MISSING
-
-
-def basic(value) -> str:
-    """NFKC, no zero-width marks, plain quotes and dashes, folded case; dots only in sites and decimals; single spaces."""
-    if value is None or value != value:
-        return ""
-    s = unicodedata.normalize("NFKC", str(value)).translate(FOLD).casefold()
-    if "." in s:
-        words = []
-        for w in s.split():
-            core = w.strip("()[]{}\"',;:")
-            words.append(w if SITE.fullmatch(core) else DOT.sub(" ", INITIALS.sub(lambda m: m[0].replace(".", ""), w)))
-        s = " ".join(words)
-    return " ".join(s.split())
-
-
-def latin(c: str) -> bool:
-    o = ord(c)
-    return o < 0x250 or 0x1E00 <= o < 0x1F00 or 0x2C60 <= o < 0x2C80 or 0xA720 <= o < 0xA800
-
-
-def without_accents(s: str) -> str:
-    """Latin letters lose their marks; marks on other scripts stay."""
-    if s.isascii():
-        return s
-    kept, on_latin = [], False
-    for c in unicodedata.normalize("NFD", s):
-        mark = unicodedata.combining(c) > 0
-        on_latin = on_latin if mark else latin(c)
-        if not (mark and on_latin):
-            kept.append(c)
-    return unicodedata.normalize("NFC", "".join(kept)).translate(PLAIN)
-
-
-def block_of(c: str) -> tuple[str, int] | None:
-    """Script and place within its block of a Brahmic letter."""
-    o = ord(c)
-    start = o & ~0x7F
-    return (V.BLOCKS[start], o - start) if start in V.BLOCKS else None
-
-
-def scripts(s: str) -> dict[str, int]:
-    """Letters by script."""
-    found: dict[str, int] = {}
-    for c in s:
-        if c.isalpha() or unicodedata.category(c).startswith("M"):
-            b = block_of(c)
-            name = b[0] if b else "sinhala" if 0xD80 <= ord(c) < 0xE00 else "latin" if latin(c) else unicodedata.name(c, "unknown").split(" ")[0].lower()
-            found[name] = found.get(name, 0) + 1
-    return found
-
-
-def script_family(s: str) -> str:
-    names = set(scripts(s))
-    indic = names & {*V.BLOCKS.values(), "sinhala"}
-    if not names:
-        return "unknown"
-    if names == {"latin"}:
-        return "latin"
-    return "mixed" if indic and names - indic else "indic" if indic else "mixed" if "latin" in names else "other"
-
-
-def romanised(run: str, script: str) -> str:
-    """One run of one script: letters get their inherent vowel unless a sign or a virama says otherwise."""
-    units: list[list] = []  # [consonant, vowel or None if inherent, kind]
-    for c in run:
-        at = ord(c) & 0x7F
-        letter = V.SCRIPT_LETTERS.get((script, at)) or ((V.CONSONANTS[at], True) if at in V.CONSONANTS else None)
-        vowel = V.SCRIPT_VOWELS.get((script, at))
-        if letter:
-            units.append([letter[0], None if letter[1] else "", "c"])
-        elif at in V.VOWELS:
-            units.append(["", vowel or V.VOWELS[at], "v"])
-        elif at in V.VOWEL_SIGNS and units and units[-1][2] == "c":
-            units[-1][1] = vowel or V.VOWEL_SIGNS[at]
-        elif at == 0x4D and units and units[-1][2] == "c":
-            units[-1][1] = ""
-        elif at == 0x3C and units and units[-1][2] == "c":
-            units[-1][0] = V.DOTTED.get(units[-1][0], units[-1][0])
-        elif at in V.OTHER_SIGNS:
-            units.append(["f" if script == "tamil" and at == 3 else V.OTHER_SIGNS[at], "", "s"])
-        elif 0x66 <= at <= 0x6F:
-            units.append([str(at - 0x66), "", "d"])
-    letters = [k for k, u in enumerate(units) if u[2] in "cv"]
-    if script in V.SILENT_A and len(letters) > 1:
-        last = len(units) - 1
-        if units[last][2] == "c" and units[last][1] is None:
-            units[last][1] = ""
-        for k in range(last):
-            if units[k][1] is None and units[k + 1][2] == "v":
-                units[k][1] = ""
-        sounds = lambda u: u[1] is None or u[1] != ""
-        for k in range(last - 1, 0, -1):
-            if units[k][1] is None and units[k + 1][2] == "c" and sounds(units[k + 1]) and units[k - 1][2] in "cv" and sounds(units[k - 1]):
-                units[k][1] = ""
-    return "".join(a + ("a" if v is None else v) for a, v, _ in units)
-
-
-@lru_cache(1 << 16)
-def transliterated(s: str) -> str:
-    """Brahmic letters in Latin ones; everything else as it is, Latin accents off."""
-    if s.isascii():
-        return s
-    out, run, script = [], "", ""
-    for pair, sound in V.PAIRS.items():
-        s = s.replace(pair, f"\0{sound}\0")
-    for c in s + "\0":
-        b = block_of(c)
-        if b and b[0] == script:
-            run += c
-            continue
-        if run:
-            out.append(romanised(run, script))
-        run, script = (c, b[0]) if b else ("", "")
-        if not b and c != "\0":
-            out.append(c)
-    return without_accents("".join(out))
-
-
-@lru_cache(1 << 16)
-def sound_key(s: str) -> str:
-    """Consonant skeleton of each word of a basic text."""
-    keys = []
-    for w in transliterated(s).split():
-        w = "".join(c for c in w if c.isascii() and c.isalnum())
-        w = w[1:] if w.startswith("yu") else w
-        for rule in V.SOUNDS:
-            w = w.replace(*rule.split(">"))
-        w = w[:1] + re.sub("[aeiouy]", "", w[1:])
-        w = re.sub(r"(.)\1+", r"\1", w)
-        if w:
-            keys.append("a" + w[1:] if w[0] in "aeiou" else w)
-    return " ".join(keys)
-
-
-def words_of(s: str) -> list[str]:
-    """Runs of letters, digits and marks; apostrophes join, & is a word."""
-    s = s.replace("'", "").replace("&", " and ")
-    return "".join(c if c.isalnum() or unicodedata.category(c).startswith("M") else " " for c in s).split()
-
-
-def number_runs(s: str) -> list[str]:
-    return [n.lstrip("0") or "0" for n in re.findall(r"\d+", s)]
-
-
-def char_grams(s: str, n: int = 3, pad: bool = True) -> list[str]:
-    """n-grams of each word, in order, repeats kept; words shorter than n stay whole."""
-    out = []
-    for w in s.split():
-        w = f"#{w}#" if pad else w
-        out += [w[k : k + n] for k in range(len(w) - n + 1)] or [w]
-    return out
-
-
-FORMS = {tuple(x.split()): (label, weight) for label, weight, spelled in V.LEGAL_FORMS for x in spelled}
-LONGEST = max(map(len, FORMS))
-
-
-def legal_spans(tokens: list[str]) -> list[tuple[int, int, str, str]]:
-    """(start, end, label, weight): longest matches from left to right."""
-    spans, k = [], 0
-    while k < len(tokens):
-        size = next((n for n in range(min(LONGEST, len(tokens) - k), 0, -1) if tuple(tokens[k : k + n]) in FORMS), 0)
-        if size:
-            label, weight = FORMS[tuple(tokens[k : k + size])]
-            spans.append((k, k + size, label, "strong" if size == 1 and tokens[k] in V.STRONG_ALONE else weight))
-        k += size or 1
-    edges = {x for a, b, *_ in spans for x in (a, b)}
-    alone = lambda a, b: sum(x in (a, b) for y, z, *_ in spans if (y, z) != (a, b) for x in (y, z)) == 0
-    return [s for s in spans if edges and not (s[1] - s[0] == 1 and tokens[s[0]] in V.BESIDE_ANOTHER_ONLY and alone(s[0], s[1]))]
-
-
-def core_range(tokens: list[str]) -> list[int]:
-    """Indices of the tokens that make up the core of a name; all of them if none would be left."""
-    spans = legal_spans(tokens)
-    kept = [k for k in range(len(tokens)) if not any(a <= k < b for a, b, _, w in spans if w == "strong")]
-    weak = [s for s in spans if s[3] == "weak"]
-    changed = True
-    while changed and kept:
-        changed = False
-        for a, b, label, _ in weak:
-            part = [k for k in range(a, b) if k in kept]
-            if part and (kept[-len(part) :] == part or (kept[: len(part)] == part and label not in V.AT_END_ONLY)):
-                kept, changed = [k for k in kept if k not in part], True
-        if kept and tokens[kept[-1]] in ("and", "the", "of"):
-            kept, changed = kept[:-1], True
-        elif kept and tokens[kept[0]] in ("and", "the"):
-            kept, changed = kept[1:], True
-        elif len(kept) > 2 and [tokens[k] for k in kept[:2]] == ["m", "s"]:
-            kept, changed = kept[2:], True
-    return kept or list(range(len(tokens)))
-
-
-def digits_read(w: str) -> str:
-    """0, 1 and 5 as o, l and s in a word with one digit and three letters or more."""
-    if sum(c.isdigit() for c in w) == 1 and sum(c.isalpha() for c in w) >= 3:
-        return w.translate(str.maketrans("015", "ols"))
-    return w
-
-
-NAME_FIELDS = ("raw", "basic", "canonical", "core", "core_latin", "compact", "phonetic", "website", "script")
-NAME = T.StructType([T.StructField(n, T.StringType()) for n in NAME_FIELDS] + [T.StructField("legal", T.ArrayType(T.StringType())), T.StructField("aliases", T.ArrayType(T.StringType()))])
-
-
-@lru_cache(1 << 16)
-def name_parts(raw: str | None) -> dict:
-    """A name's ladder of forms, from raw to sound key, with legal forms, alias sides and website label."""
-    if missing(raw):
-        return {n: "" for n in NAME_FIELDS} | {"raw": raw, "script": "unknown", "legal": [], "aliases": []}
-    text = basic(raw).strip("#*.,;:-_~ ")
-    plain = without_accents(text)
-    site = SITE.fullmatch(plain)
-    label = site[1].split(".")[-1].replace("-", "") if site else ""
-    sides: list[str] = []
-    for marker in sorted(V.ALIAS_MARKERS, key=len, reverse=True):
-        a, hit, b = f" {text} ".partition(f" {marker} ")
-        if hit and words_of(a) and words_of(b):
-            sides, text = [a, b], f"{a} {b}"
-            break
-
-    def cored(s: str) -> tuple[list[str], list[str], list[str]]:
-        native = words_of(without_accents(s))
-        tokens = [transliterated(w) for w in native]
-        at = core_range(tokens)
-        return native, [native[k] for k in at], [digits_read(tokens[k]) for k in at]
-
-    native, core, core_latin = cored(text.replace("+", " "))
-    if label:
-        core = core_latin = [digits_read(label)]
-    labels = set() if label else {x[2] for x in legal_spans([transliterated(w) for w in native])}
-    if {"private", "limited"} <= labels:
-        labels = labels - {"private", "limited"} | {"private limited"}
-    joined = " ".join(core_latin)
-    return {"raw": raw, "basic": basic(raw), "canonical": " ".join(native), "core": " ".join(core), "core_latin": joined, "compact": "".join(w for w in core_latin if w != "and"), "phonetic": sound_key(joined), "website": label, "script": script_family(basic(raw)), "legal": sorted(labels), "aliases": [" ".join(cored(s)[2]) for s in sides]}
-
-
-def state_code(value: str, country: str) -> str:
-    """Exact spelling or code in the country's table; in other countries only what both tables agree on, or one alone has."""
-    v = basic(value)
-    us = v if v in V.US else next((c for c, n in V.US.items() if n == v), V.US_MORE.get(v, ""))
-    india = v if v in V.INDIA else next((c for c, spelled in V.INDIA.items() if v in spelled), "")
-    if country in ("us", "usa", "united states"):
-        return us
-    if country in ("in", "india"):
-        return india
-    return us if us and (not india or us == india) else india if india and not us else ""
-
-
-HOUSE = re.compile(r"[a-z]{0,3}-?\d+[a-z]{0,2}(?:[-/][a-z0-9]+)*")
-GLUED = re.compile(r"h?no(\d[a-z0-9/-]*)")
-BOX = re.compile(r"\b(?:p o box|po box|pobox|post box|post office box)\s*(?:no\s*)?([a-z0-9-]+)")
-ZEROS = re.compile(r"(?<!\d)0+(?=\d)")
-ADDRESS_FIELDS = ("raw", "state", "po_box", "unit", "house", "street", "city", "script")
-ADDRESS = T.StructType([T.StructField(n, T.StringType()) for n in ADDRESS_FIELDS] + [T.StructField(n, T.ArrayType(T.StringType())) for n in ("components", "places", "numbers")])
-
-
-def component(s: str) -> list[str]:
-    """Canonical words of one comma part; digit words keep - and / and lose leading zeros."""
-    words = []
-    for w in re.sub("#{2,}", " ", without_accents(s)).replace("#", " ").split():
-        w = "".join(c if c.isalnum() or c in "-/" or unicodedata.category(c).startswith("M") else " " for c in w.replace("'", ""))
-        for x in w.split():
-            pieces = [ZEROS.sub("", x.strip("-/"))] if any(c.isdigit() for c in x) else re.split("[-/]", x)
-            words += [V.SHORT_WORDS.get(p, p) for p in pieces if p and p not in ("null", "nan", "none")]
-    return words[:-1] if len(words) > 1 and words[-1] == "cdp" else words
-
-
-@lru_cache(1 << 16)
-def address_parts(raw: str | None, country: str = "") -> dict:
-    """State, box, unit, house number, street, places, city and numbers of a comma-separated address."""
-    empty = {n: "" for n in ADDRESS_FIELDS} | {"raw": raw, "script": "unknown", "components": [], "places": [], "numbers": []}
-    if missing(raw):
-        return empty
-    text = basic(raw)
-    cut = [c.strip() for c in text.split(",") if not missing(c)]
-    parts = [component(c) for c in cut]
-    cut, parts = [c for c, p in zip(cut, parts) if p], [p for p in parts if p]
-    out = empty | {"script": script_family(text)}
-    used: set[int] = set()
-    for k in range(len(parts) - 1, -1, -1):
-        code = state_code(cut[k].strip("#. "), country)
-        if code:
-            out["state"], parts[k] = code, [code]
-            used.add(k)
-            break
-    for k, p in enumerate(parts):
-        line = " ".join(p)
-        box = BOX.search(line)
-        if k not in used and box and not out["po_box"]:
-            out["po_box"] = ZEROS.sub("", box[1])
-            if not BOX.sub("", line).strip():
-                used.add(k)
-        elif k and k not in used and p[0] in V.UNIT_WORDS and not out["unit"]:
-            out["unit"] = line
-            used.add(k)
-    home = None
-    for k in [k for k in range(len(parts)) if k not in used and not BOX.search(" ".join(parts[k]))]:
-        for i, w in enumerate(parts[k]):
-            glued, after = GLUED.fullmatch(w), parts[k][i + 1] if i + 1 < len(parts[k]) else ""
-            if glued or (w == "no" and (not i or parts[k][i - 1] in V.NUMBER_MARKERS) and HOUSE.fullmatch(after)):
-                out["house"], home, spent = (glued[1] if glued else after), k, {i, i + (0 if glued else 1)}
-                break
-        if home is not None:
-            break
-    if home is None:
-        home = next((k for k in range(len(parts)) if k not in used and HOUSE.fullmatch(parts[k][0])), None)
-        if home is not None:
-            out["house"], spent = parts[home][0], {0}
-    streets = set(V.SHORT_WORDS.values()) - V.NOT_STREET_WORDS
-    rest = lambda k: [w for i, w in enumerate(parts[k]) if k != home or (i not in spent and w != "no")]
-    order = ([home] if home is not None else []) + [k for k in range(len(parts)) if k != home]
-    street = next((k for k in order if k not in used and any(w in streets for w in rest(k))), None)
-    if street is None and home is not None and any(len(w) > 1 and w.isalpha() for w in rest(home)):
-        street = home
-    if street is not None:
-        out["street"] = " ".join(rest(street))
-    free = [k for k in range(len(parts)) if k not in used and k not in (street, home)]
-    places = [parts[k][:-1] if parts[k][-1] == "city" and len(parts[k]) > 1 else parts[k] for k in free]
-    out["places"] = [" ".join(p) for p in places if not any(c.isdigit() for w in p for c in w)]
-    out["city"] = out["places"][-1] if out["places"] else ""
-    out["components"] = [" ".join(p) for p in parts]
-    out["numbers"] = list(dict.fromkeys(n for p in parts for n in number_runs(" ".join(p))))
-    return out
+NAME = struct(**dict.fromkeys(N.TEXTS, STRING), **dict.fromkeys(N.LISTS, STRINGS))
+ADDRESS = struct(**dict.fromkeys(A.TEXTS, STRING), **dict.fromkeys(A.LISTS, STRINGS), is_missing=FLAG, noise_removed=NUMBER)
+KINDS = {str: STRING, bool: FLAG, int: NUMBER}
+NAME_FACTS = struct(**{k: KINDS[type(v)] for k, v in name_descriptors("x").items()})
+ADDRESS_FACTS = struct(**{k: KINDS[type(v)] for k, v in address_descriptors("x").items()})
 
 
 def names(raw: Column | str) -> Column:
+    """The name ladder as a struct."""
     return F.pandas_udf(names_values, NAME)(raw)
 
 
@@ -363,6 +45,7 @@ def names_values(raw: pd.Series) -> pd.DataFrame:
 
 
 def addresses(raw: Column | str, country: Column | str) -> Column:
+    """The fields of an address as a struct."""
     return F.pandas_udf(addresses_values, ADDRESS)(raw, country)
 
 
@@ -370,27 +53,84 @@ def addresses_values(raw: pd.Series, country: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([address_parts(x, basic(c)) for x, c in zip(raw, country)], columns=ADDRESS.names)
 
 
+def name_facts(raw: Column | str) -> Column:
+    """Seventeen descriptors of a name as a struct."""
+    return F.pandas_udf(lambda raw: pd.DataFrame([name_descriptors(x) for x in raw], columns=NAME_FACTS.names), NAME_FACTS)(raw)
+
+
+def address_facts(raw: Column | str, country: Column | str) -> Column:
+    """Eighteen descriptors of an address as a struct."""
+    return F.pandas_udf(lambda raw, country: pd.DataFrame([address_descriptors(x, basic(c)) for x, c in zip(raw, country)], columns=ADDRESS_FACTS.names), ADDRESS_FACTS)(raw, country)
+
+
 def text_column(kind: str, raw: Column | str) -> Column:
     """basic, without_accents, script_family, transliterated or sound_key as an Arrow function."""
     f = {"basic": basic, "without_accents": lambda s: without_accents(s or ""), "script_family": lambda s: script_family(basic(s)), "transliterated": lambda s: transliterated(basic(s)), "sound_key": lambda s: sound_key(basic(s))}[kind]
-    return F.pandas_udf(lambda x: x.map(f), T.StringType())(raw)
+    return F.pandas_udf(lambda x: x.map(f), STRING)(raw)
+
+
+def script_counts(raw: Column | str) -> Column:
+    """Letters by script as a map."""
+    return F.pandas_udf(lambda x: x.map(lambda s: scripts("" if absent(s) else s)), T.MapType(STRING, NUMBER))(raw)
+
+
+def ascii_sound_key(text: Column) -> Column:
+    """``sound_key`` of lower-case ASCII text in built-in functions only."""
+    for pattern, put in SOUND_STEPS:
+        text = F.regexp_replace(text, pattern, put.replace("\\1", "$1"))
+    return F.trim(F.regexp_replace(text, " +", " "))
+
+
+def flat_records(source: DataFrame) -> DataFrame:
+    """``source`` (id, business_name, business_address, country) as twenty flat columns beside the id."""
+    x = source.select("id", names("business_name").alias("n"), addresses("business_address", "country").alias("a"))
+    fields = {f"name_{c}": f"n.{c}" for c in ("basic", "core", "core_latin", "compact", "phonetic", "script", "website_label")} | {f"addr_{k}": f"a.{c}" for k, c in (("normalized", "normalized"), ("house_number", "house"), ("house_number_core", "house_core"), ("street", "street"), ("city", "city"), ("state", "state"), ("unit", "unit"), ("po_box", "po_box"), ("is_missing", "is_missing"))}
+    joined = {"name_legal_forms": F.array_join("n.legal", "|"), "name_aliases": F.array_join("n.aliases", "|"), "addr_components": F.array_join("a.components", "|"), "addr_numbers": F.array_join("a.numbers", " ")}
+    return x.select("id", *(F.col(c).alias(n) for n, c in fields.items()), *(c.alias(n) for n, c in joined.items()))
+
+
+def padded_grams(text: Column) -> Column:
+    """Distinct trigrams of each word between # marks, in order; shorter words whole."""
+    of = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(w))), lambda k: F.substring(F.concat(F.lit("#"), w, F.lit("#")), k, 3))
+    return F.array_distinct(F.flatten(F.transform(F.filter(F.split(text, " "), lambda w: w != ""), of)))
+
+
+def wide_records(source: DataFrame) -> DataFrame:
+    """The other blocking record, of 21 fields, from (entity_id, business_name, business_address, country): empty texts are null, lists have no empty items."""
+    from kindred.functions.columns import wide_id
+
+    country = F.nullif(F.trim("country"), F.lit(""))
+    x = source.select("entity_id", country.alias("country"), names("business_name").alias("n"), addresses("business_address", F.coalesce(country, F.lit(""))).alias("a"))
+    text = lambda c, n: F.nullif(F.col(c), F.lit("")).alias(n)
+    some = lambda c: F.array_distinct(F.filter(c, lambda v: v != ""))
+    return x.select(
+        wide_id(F.col("entity_id")).alias("rid"), F.nullif(F.regexp_extract("entity_id", r"^\s*[sS](\d)-", 1), F.lit("")).cast("int").alias("src"), "country",
+        F.nullif(text_column("transliterated", "n.canonical"), F.lit("")).alias("name_canon"), text("n.core_latin", "name_core"), text("n.compact", "name_compact"), text("n.website_label", "name_web"),
+        some(F.col("n.aliases")).alias("name_aliases"), text("n.phonetic", "name_phon"), some(F.split("n.core_latin", " ")).alias("name_tokens"), padded_grams(F.col("n.core_latin")).alias("name_grams"),
+        F.col("n.script").alias("name_script"), F.array_join("n.legal", "|").alias("name_legal"), text("a.state", "addr_state"), text("a.house_core", "addr_house"), text("a.street", "addr_street"), text("a.city", "addr_city"),
+        some(F.col("a.places")).alias("addr_places"), some(F.col("a.numbers")).alias("addr_numbers"), text("a.normalized", "addr_norm"), F.col("a.is_missing").alias("addr_missing"),
+    )
 
 
 def records(source: DataFrame) -> DataFrame:
     """Linkage records of (id, business_name, business_address, country), as the blocking operators take them.
 
-    Distinct names and addresses are parsed in whole Arrow batches, and the worker keeps what it
-    has parsed. Nulls become empty values.
+    Nulls become empty values.
     """
     x = source.withColumn("country", F.lower(F.trim(F.coalesce("country", F.lit(""))))).withColumn("n", names("business_name")).withColumn("a", addresses("business_address", "country"))
     split = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+    joined = lambda v: F.array_join(F.filter(F.split(v, " "), lambda w: w != "and"), "")
+    long = lambda c: F.when(F.length(c) >= 3, c).otherwise("")
     stop = F.array(*map(F.lit, sorted(V.STOP_WORDS)))
-    keys = F.array_distinct(F.filter(F.concat(F.array("n.compact"), F.transform("n.aliases", lambda s: F.regexp_replace(s, " ", "")), F.array("n.website")), lambda k: F.length(k) >= 3))
+    sides = F.concat(F.array("n.core_latin"), F.col("n.aliases"))
+    label = F.filter(F.array("n.website_label"), lambda w: w != "")
+    keys = F.array_distinct(F.filter(F.concat(F.transform(sides, joined), label), lambda k: F.length(k) >= 3))
     phon = F.array_sort(F.filter(split(F.col("n.phonetic")), lambda w: F.length(w) >= 2))
-    words = F.filter(split(F.array_join("a.components", " ")), lambda w: w.rlike(r"^[\p{L}\p{M}]{3,}$") & (w != F.col("a.state")))
+    tokens = F.array_distinct(F.concat(F.array_except(F.filter(split(F.array_join(sides, " ")), lambda w: F.length(w) >= 2), stop), label))
+    words = F.array_distinct(F.filter(F.split(F.array_join(F.filter("a.components", lambda c: c != F.col("a.state")), " "), " "), lambda w: w.rlike(r"^[\p{L}]{3,}$")))
     return x.select(
-        "id", "country", F.col("a.state").alias("state"), F.lower("business_name").alias("name_lc"), F.col("n.core_latin").alias("core"), F.col("n.compact").alias("name_key"), keys.alias("keys"),
-        F.array_join(phon, " ").alias("phon_key"), phon.alias("phon_tokens"), F.array_except(F.filter(split(F.col("n.core_latin")), lambda w: F.length(w) >= 2), stop).alias("name_tokens"),
-        words.alias("addr_tokens"), F.col("a.house").alias("hn"), F.col("a.street").alias("street"), F.col("a.places").alias("places"), F.col("a.numbers").alias("numbers"),
-        F.col("n.script").isin("indic", "mixed").alias("name_indic"), (F.coalesce(F.lower(F.trim("business_address")), F.lit("")).isin("", "null", "<null>", "none", "nan", "n/a")).alias("addr_missing"),
+        "id", "country", F.col("a.state").alias("state"), F.lower("business_name").alias("name_lc"), F.col("n.core_latin").alias("core"), long(F.col("n.compact")).alias("name_key"), keys.alias("keys"),
+        F.array_join(phon, " ").alias("phon_key"), phon.alias("phon_tokens"), tokens.alias("name_tokens"), words.alias("addr_tokens"), F.col("a.house_core").alias("hn"), F.col("a.street").alias("street"),
+        F.col("a.places").alias("places"), F.col("a.numbers").alias("numbers"), F.col("n.script").isin("indic", "mixed").alias("name_indic"),
+        (F.coalesce(F.lower(F.trim("business_address")), F.lit("")).isin("", "null", "<null>", "none", "nan", "n/a")).alias("addr_missing"),
     )

@@ -45,7 +45,7 @@ def test_names():
     assert a["core_latin"] == b["core_latin"] == "acme trading"
     assert a["legal"] == ["private limited"]
     assert X.name_parts("Foo LLC d/b/a Bar Traders")["aliases"] == ["foo", "bar traders"]
-    assert X.name_parts("www.best-shop.co.in")["website"] == "bestshop"
+    assert X.name_parts("www.best-shop.co.in")["website_label"] == "bestshop"
     assert X.name_parts("C0mputer World Inc")["core_latin"] == "computer world"
     assert X.name_parts("Ltd")["core_latin"] == "ltd"
     assert X.name_parts(None)["core"] == ""
