@@ -329,6 +329,13 @@ def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFram
     return by_batches(both.select("a", "b", "text_a", "text_b"), work, "a long, b long")
 
 
+def joined(found: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Components (id, component) with further links; as they are if there is none."""
+    if not links.limit(1).count():
+        return found
+    return components(found.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(links), scratch, name)
+
+
 def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``.
 
@@ -343,7 +350,8 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     named = keys.where("doc_id IS NOT NULL AND n_shingles > 0")
     total = named.count()
     classes = scratch.keep("classes", named.groupBy(by).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
-    copies = scratch.keep("copies", join_heavy(named, classes, by, "copies", total).select("doc_id", "rep").distinct())
+    most = classes.agg(F.coalesce(F.max("copies"), F.lit(0))).first()[0]
+    copies = scratch.keep("copies", join_heavy(named, classes, by, "copies", total, most).select("doc_id", "rep").distinct())
     # an id goes no further if each of its rows is a copy of another document
     other = named.join(copies.where("doc_id != rep").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.count_distinct(*by).alias("sets"))
     copied = copies.where("doc_id != rep").groupBy("doc_id").agg(F.count("*").alias("found"))
@@ -373,8 +381,7 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
         return candidates.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(scratch.keep("links-2", verified(scratch.keep("rest", apart(rest, found)), texts, s)))
-    found = components(links, scratch, "second")
+    found = joined(found, scratch.keep("links-2", verified(scratch.keep("rest", apart(rest, found)), texts, s)), scratch, "second")
 
     # buckets that still hold several components: pairs across them that are not with the hub
     known = found.select(F.col("id").alias("doc_id"), "component")
@@ -389,15 +396,14 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     across = near_pairs(member, s).withColumn("shared", F.lit(0).cast("long"))
     across = scratch.keep("across", plausible(across, drawn, s).select("a", "b"))
-    links = links.unionByName(scratch.keep("links-3", verified(across, texts, s)))
-    found = scratch.keep("found", components(links, scratch, "third"))
+    found = scratch.keep("found", joined(found, scratch.keep("links-3", verified(across, texts, s)), scratch, "third"))
     scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across", "links-1", "links-2", "links-3", "dull", "copies")
 
     # rows of a class follow its least document, rows without a copy their own
     found = found.select(F.col("id").alias("rep"), "component")
     classes = classes.join(found, "rep", "left").withColumn("shared", F.coalesce("component", "rep")).select(*by, "copies", "shared")
     rows = keys.withColumn("set", F.when(F.col("n_shingles") > 0, F.col("doc_id")).isNotNull())
-    linked = join_heavy(rows.where("set"), classes, by, "copies", total, "left")
+    linked = join_heavy(rows.where("set"), classes, by, "copies", total, most, "left")
     rows = linked.unionByName(rows.where("NOT set").withColumn("shared", F.lit(None).cast("long")))
     rows = rows.join(found, rows.doc_id == found.rep, "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("shared", "component", "doc_id").alias("component_id"))

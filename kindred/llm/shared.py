@@ -129,13 +129,15 @@ def small_or_shuffled(frame: DataFrame, rows: int, limit: int = BROADCAST_KEYS)
 HEAVY_ROWS, HEAVY_SHARE = 1000, 1 << 16
 
 
-def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
-    """``left`` joined with ``right`` (one row a key, ``count``: the rows of ``left`` it meets, of ``total`` in all).
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, most: int, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (one row a key, ``count``: the rows of ``left`` it meets, ``most`` at most, of ``total`` in all).
 
-    Rows of heavy keys meet a broadcast of fewer than 2^16 rows where they are; the others are
-    shuffled. ``how``: inner or left. The count column is left out.
+    Rows of heavy keys meet a broadcast of fewer than 2^16 rows where they are; the others, or all
+    if no key is heavy, are shuffled. ``how``: inner or left. The count column is left out.
     """
     limit = max(HEAVY_ROWS, total // HEAVY_SHARE)
+    if most <= limit:
+        return left.join(right.drop(count), keys, how)
     heavy = right.where(F.col(count) > limit).drop(count).withColumn("is_heavy", F.lit(True))
     marked = left.join(F.broadcast(heavy), keys, "left")
     made = [c for c in right.columns if c not in (*keys, count)]
