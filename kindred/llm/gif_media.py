@@ -13,6 +13,8 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,49 +48,162 @@ class Frame:
 MOST_CODES = 4096
 
 
-def lzw_encode(samples: bytes, least: int = 8) -> bytes:
-    """The code stream of samples of ``least`` bits, its table growing from ``least`` + 1 to 12 bits."""
-    clear = 1 << least
+def lzw_codes(samples: bytes, least: int) -> list[int]:
+    """Codes times 256 of samples of ``least`` bits, with a clear code wherever the table is full; the first clear and the stop are left out."""
+    if not samples:
+        return []
+    full, clear = MOST_CODES << 8, 256 << least
     table: dict[int, int] = {}
-    find = table.get
-    size, width = clear + 2, least + 1
-    out, held, have = bytearray(), clear, width
-    now = -1
+    entry, size = table.setdefault, clear + 512
+    out: list[int] = []
+    add = out.append
+    samples = iter(samples)
+    now = next(samples) << 8
     for sample in samples:
-        if now < 0:
-            now = sample
-            continue
-        known = find(now << 8 | sample)
-        if known is not None:
+        known = entry(now | sample, size)
+        if known != size:
             now = known
             continue
-        held |= now << have
-        have += width
-        if size < MOST_CODES:
-            table[now << 8 | sample] = size
-            if size == 1 << width:
-                width += 1
-            size += 1
-        else:
-            held |= clear << have
-            have += width
+        add(now)
+        now = sample << 8
+        size += 256
+        if size > full:  # the entry just made is one too many
+            add(clear)
             table.clear()
-            size, width = clear + 2, least + 1
-        now = sample
-        if have > 512:
-            whole = have >> 3
-            out += (held & (1 << 8 * whole) - 1).to_bytes(whole, "little")
-            held >>= 8 * whole
-            have &= 7
-    if now >= 0:
-        held |= now << have
-        have += width
-        if size == 1 << width and width < 12:  # the reader adds an entry before it reads the stop
-            width += 1
-    held |= clear + 1 << have
-    have += width
-    out += held.to_bytes(have + 7 >> 3, "little")
-    return bytes(out)
+            size = clear + 512
+    add(now)
+    return out
+
+
+def lzw_encode_all(rows: list[bytes], least: int = 8) -> list[bytes]:
+    """Code streams of several rows of samples of ``least`` bits, their tables growing from ``least`` + 1 to 12 bits.
+
+    Codes are found one by one; as their widths follow from their places, they are packed together.
+    """
+    out = []
+    for a in range(0, len(rows), TOGETHER):
+        codes = [lzw_codes(x, least) for x in rows[a : a + TOGETHER]]
+        n = np.array([len(c) + 2 for c in codes])
+        begin = np.cumsum(n) - n
+        value = np.empty(int(n.sum()), np.int64)
+        value[begin], value[begin + n - 1] = 1 << least, (1 << least) + 1
+        inner = np.ones(len(value), bool)
+        inner[begin] = inner[begin + n - 1] = False
+        value[inner] = np.fromiter(chain.from_iterable(codes), np.int64, int(n.sum()) - 2 * len(codes)) >> 8
+        # places since the last clear give the widths
+        here = np.arange(len(value))
+        clears = value == 1 << least
+        since = here - np.maximum.accumulate(np.where(clears, here, 0))
+        width = widths(least)[1][np.clip(since - 1, 0, None)]
+        width[begin] = least + 1
+        again = clears.copy()
+        again[begin] = False
+        width[again] = 12
+        offset = np.cumsum(width) - width
+        size = np.add.reduceat(width, begin)
+        offset -= np.repeat(offset[begin], n)
+        nbytes = size + 7 >> 3
+        first = np.cumsum(nbytes) - nbytes
+        bits = value << (offset & 7)
+        at = np.repeat(first, n) + (offset >> 3)
+        total = int(nbytes.sum())
+        packed = sum(np.bincount(at + k, (bits >> 8 * k) & 255, total + 3) for k in range(3))[:total].astype(np.uint8).tobytes()
+        out += [packed[x : x + y] for x, y in zip(first.tolist(), nbytes.tolist())]
+    return out
+
+
+def lzw_encode(samples: bytes, least: int = 8) -> bytes:
+    """The code stream of samples of ``least`` bits."""
+    return lzw_encode_all([samples], least)[0]
+
+
+#: Streams whose codes are packed or expanded together.
+TOGETHER = 512
+
+
+@lru_cache(12)
+def widths(least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bit offset and width of each code after the first clear, until the table is full."""
+    size = (1 << least) + 2
+    width = np.array([min(12, (size + max(0, k - 1)).bit_length()) for k in range(MOST_CODES - size + 4)], np.int64)
+    return least + 1 + np.cumsum(width) - width, width
+
+
+def lzw_decode_all(streams: list[bytes], least: int, sizes: list[int]) -> list[np.ndarray]:
+    """``lzw_decode`` of several streams.
+
+    A code's entry is the output of an earlier code and the sample right after it. So while a table
+    only grows, each output sample is a literal or equals one at an earlier place of its stream:
+    code lengths, places and samples follow for all streams at once by pointer doubling. Streams
+    that clear their table again, fill it, or do not end with a stop are read code by code.
+    """
+    out: list[np.ndarray | None] = [None] * len(streams)
+    for a in range(0, len(streams), TOGETHER):
+        for k, samples in grown(streams[a : a + TOGETHER], least, sizes[a : a + TOGETHER]):
+            out[a + k] = samples
+    return [lzw_decode(x, least, n) if o is None else o for x, n, o in zip(streams, sizes, out)]
+
+
+def furthest(to: np.ndarray) -> np.ndarray:
+    """Where each chain of pointers ends; an end points to itself."""
+    while True:
+        next_ = to[to]
+        if np.array_equal(next_, to):
+            return to
+        to = next_
+
+
+def grown(streams: list[bytes], least: int, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, samples) of the streams with one table that only grows."""
+    clear, stop = 1 << least, (1 << least) + 1
+    offset, width = widths(least)
+    bits = np.array([len(x) * 8 for x in streams])
+    most = int(np.searchsorted(offset + width, bits.max(initial=0), "right"))
+    if not most:
+        return
+    begins = np.concatenate([[0], np.cumsum([len(x) + 3 for x in streams])])[:-1]
+    data = np.frombuffer(b"\0\0\0".join([*streams, b""]), np.uint8).astype(np.uint32)
+    at = begins[:, None] + (offset[:most] >> 3)
+    at = np.minimum(at, len(data) - 3)
+    codes = ((data[at] | data[at + 1] << 8 | data[at + 2] << 16) >> (offset[:most] & 7).astype(np.uint32)) & ((1 << width[:most]) - 1).astype(np.uint32)
+    first = data[np.minimum(begins, len(data) - 2)] | data[np.minimum(begins + 1, len(data) - 1)] << 8
+    inside = offset[:most] + width[:most] <= bits[:, None]
+    ends = (codes == stop) & inside
+    n = np.where(ends.any(axis=1), ends.argmax(axis=1), 0)
+    used = np.arange(most) < n[:, None]
+    step = np.arange(most)
+    parent = codes.astype(np.int64) - (clear + 2)
+    wrong = used & ((codes == clear) | (parent >= step))
+    good = np.flatnonzero((n > 0) & ((first & (2 * clear - 1)) == clear) & ~wrong.any(axis=1))
+    if not len(good):
+        return
+    rows, cols = np.nonzero(used[good])
+    code, up = codes[good][rows, cols], parent[good][rows, cols]
+    begin = np.concatenate([[0], np.cumsum(n[good])])
+    here = np.arange(len(code))
+    literal = code < clear
+    above = np.where(literal, here, begin[rows] + np.maximum(up, 0))
+    # lengths: one more than the code above
+    length, to = np.where(literal, 1, 0), above
+    depth = (~literal).astype(np.int64)
+    while True:
+        deeper = depth + depth[to]
+        next_ = to[to]
+        if np.array_equal(next_, to):
+            break
+        depth, to = deeper, next_
+    length = 1 + depth
+    place = np.cumsum(length) - length
+    total = int(length.sum())
+    owner = np.repeat(here, length)
+    source = place[above[owner]] + (np.arange(total) - place[owner])
+    samples = np.zeros(total, np.uint8)
+    samples[place[literal]] = code[literal]
+    samples = samples[furthest(source)]
+    last = np.append(place, total)
+    for k, a, b in zip(good.tolist(), last[begin[:-1]].tolist(), last[begin[1:]].tolist()):
+        held = samples[a:b][: sizes[k]]
+        yield k, held if len(held) == sizes[k] else np.concatenate([held, np.zeros(sizes[k] - len(held), np.uint8)])
 
 
 def lzw_decode(stream: bytes, least: int, n: int) -> np.ndarray:
@@ -139,8 +254,7 @@ def encode(samples: np.ndarray, width: int = SIDE, height: int = SIDE, delay_ms:
     """A GIF89a stream of frames (rows of ``samples``) with one global palette of 256 colours; frames stay until the next covers them."""
     head = b"\x21\xf9\x04\x04" + struct.pack("<H", delay_ms // 10) + b"\0\0" + b"\x2c" + struct.pack("<4HB", 0, 0, width, height, 0) + b"\x08"
     out = [b"GIF89a", struct.pack("<2H3B", width, height, 0xF7, 0, 0), palette.tobytes()]
-    for row in samples:
-        coded = lzw_encode(row.tobytes())
+    for coded in lzw_encode_all([row.tobytes() for row in samples]):
         out.append(head)
         for k in range(0, len(coded), 255):
             part = coded[k : k + 255]
@@ -157,6 +271,16 @@ def blocks(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(out), at + 1
 
 
+def rows_in_order(cells: np.ndarray, interlaced: bool) -> np.ndarray:
+    """The rows of an image from top to bottom; interlaced ones come in four passes."""
+    if not interlaced:
+        return cells
+    rows = np.concatenate([np.arange(s, len(cells), d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
+    whole = np.empty_like(cells)
+    whole[rows] = cells
+    return whole
+
+
 def frames(data: bytes) -> tuple[int, int, list[Frame]]:
     """Width, height and the stored frames. ValueError for what is not a whole GIF."""
     try:
@@ -170,6 +294,7 @@ def frames(data: bytes) -> tuple[int, int, list[Frame]]:
             at += 3 * n
         delay = disposal = 0
         clear = None
+        coded: list[tuple[int, bytes, bool]] = []
         while data[at] != 0x3B:
             if data[at] == 0x21:
                 kind = data[at + 1]
@@ -187,15 +312,16 @@ def frames(data: bytes) -> tuple[int, int, list[Frame]]:
                 palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
                 at += 3 * n
             stream, after = blocks(data, at + 1)
-            cells = lzw_decode(stream, data[at], w * h).reshape(h, w)
+            coded.append((data[at], stream, own & 0x40 > 0))
             at = after
-            if own & 0x40:  # interlaced: rows come in four passes
-                rows = np.concatenate([np.arange(s, h, d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
-                whole = np.empty_like(cells)
-                whole[rows] = cells
-                cells = whole
-            out.append(Frame(left, top, cells, palette, delay, disposal, clear))
+            out.append(Frame(left, top, np.zeros((h, w), np.uint8), palette, delay, disposal, clear))
             delay, disposal, clear = 0, 0, None
+        for least in {c[0] for c in coded}:
+            if not 1 <= least <= 8:
+                raise ValueError("samples of an unknown size")
+            some = [k for k, c in enumerate(coded) if c[0] == least]
+            for k, cells in zip(some, lzw_decode_all([coded[k][1] for k in some], least, [out[k].indices.size for k in some])):
+                out[k].indices = rows_in_order(cells.reshape(out[k].indices.shape), coded[k][2])
         return width, height, out
     except (IndexError, struct.error) as e:
         raise ValueError("cut off") from e

@@ -350,7 +350,47 @@ def test_lzw_streams():
         for row in (rng.integers(0, 256, n).astype(np.uint8), np.full(n, 7, np.uint8), np.sort(rng.integers(90, 110, n)).astype(np.uint8)):
             coded = gif_media.lzw_encode(row.tobytes())
             assert (gif_media.lzw_decode(coded, 8, n) == row).all()
-            assert not n or len(row) == 5000 or coded == lzw(row.tolist(), 8)  # the plain writer's stream, while no table is full
+            assert not n or coded == lzw(row.tolist(), 8)  # the plain writer's stream
+
+
+def test_streams_together_equal_the_loop():
+    """Damaged streams too: the same samples, or both fail."""
+    rng = np.random.default_rng(5)
+
+    def read(f):
+        try:
+            return f().tolist()
+        except ValueError:
+            return None
+
+    for least in (2, 8):
+        rows = [np.sort(rng.integers(0, 1 << least, n)).astype(np.uint8) if n % 2 else rng.integers(0, 1 << least, n).astype(np.uint8) for n in (0, 1, 2, 77, 576, 577, 3000, 3901, 9000)]
+        coded = gif_media.lzw_encode_all([r.tobytes() for r in rows], least)
+        assert all((g == r).all() for g, r in zip(gif_media.lzw_decode_all(coded, least, [len(r) for r in rows]), rows))
+        for c, r in zip(coded, rows):
+            for _ in range(8):
+                cut = bytearray(c[: int(rng.integers(1, len(c) + 1))])
+                cut[int(rng.integers(len(cut)))] ^= 1 << int(rng.integers(8))
+                assert read(lambda: gif_media.lzw_decode(bytes(cut), least, len(r))) == read(lambda: gif_media.lzw_decode_all([bytes(cut)], least, [len(r)])[0])  # noqa: B023
+
+
+def test_media_path_composes_frames(monkeypatch):
+    """The texts' way back goes through table, palette, disposal and histogram of each frame."""
+    seen = []
+    for name in ("lzw_decode_all", "grown", "furthest", "frames", "shown", "histogram"):
+        real = getattr(gif_media, name)
+        monkeypatch.setattr(gif_media, name, lambda *a, _real=real, _name=name, **k: (seen.append(_name), _real(*a, **k))[1])
+    text = "a text of several frames, which repeats itself; " * 60
+    payload, bins, delays = gif_media.read_back(gif_media.stored_text(text.encode()))
+    assert payload.rstrip(b"\xff").decode() == text and len(delays) == 6 and bins.shape == (6, 64) and bins.sum() == len(payload)
+    assert set(seen) == {"lzw_decode_all", "grown", "furthest", "frames", "shown", "histogram"} and seen.count("histogram") == 6
+
+
+def test_frame_rows(spark):
+    gifs = [(1, gif_media.stored_text(b"x" * 1000), "a"), (2, None, "b"), (3, b"no gif", "c"), (4, gif_media.stored_text(b"")[:300], "d"), (5, b"GIF89a\x01\0\x01\0\0\0\0;", "e")]
+    rows = gif_media.gif_frames(spark.createDataFrame(gifs, "doc_id long, gif binary, width string")).orderBy("doc_id", "frame").collect()
+    assert [(r.doc_id, r.frame, r.starts_ms, r.width, r.fault is None) for r in rows] == [(1, 0, 0, 24, True), (1, 1, 100, 24, True), (2, None, None, None, False), (3, None, None, None, False), (4, None, None, None, False), (5, None, None, None, False)]
+    assert bytes(rows[0].rgba)[:4] == b"xxx\xff" and sum(rows[1].histogram) == 576 and rows[5].fault == "no frame"
 
 
 def test_frames_disposal_and_transparency():
