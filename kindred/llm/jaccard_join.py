@@ -348,10 +348,9 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     keys = scratch.keep("keys", set_keys(source, s, "doc_id", "text"))
     by = ["key_a", "key_b", "n_shingles"]
     named = keys.where("doc_id IS NOT NULL AND n_shingles > 0")
-    total = named.count()
     classes = scratch.keep("classes", named.groupBy(by).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1"))
     most = classes.agg(F.coalesce(F.max("copies"), F.lit(0))).first()[0]
-    copies = scratch.keep("copies", join_heavy(named, classes, by, "copies", total, most).select("doc_id", "rep").distinct())
+    copies = scratch.keep("copies", join_heavy(named, classes.drop("copies"), by, most).select("doc_id", "rep").distinct())
     # an id goes no further if each of its rows is a copy of another document
     other = named.join(copies.where("doc_id != rep").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.count_distinct(*by).alias("sets"))
     copied = copies.where("doc_id != rep").groupBy("doc_id").agg(F.count("*").alias("found"))
@@ -401,9 +400,9 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
 
     # rows of a class follow its least document, rows without a copy their own
     found = found.select(F.col("id").alias("rep"), "component")
-    classes = classes.join(found, "rep", "left").withColumn("shared", F.coalesce("component", "rep")).select(*by, "copies", "shared")
+    classes = classes.join(found, "rep", "left").withColumn("shared", F.coalesce("component", "rep")).select(*by, "shared")
     rows = keys.withColumn("set", F.when(F.col("n_shingles") > 0, F.col("doc_id")).isNotNull())
-    linked = join_heavy(rows.where("set"), classes, by, "copies", total, most, "left")
+    linked = join_heavy(rows.where("set"), classes, by, most, "left")
     rows = linked.unionByName(rows.where("NOT set").withColumn("shared", F.lit(None).cast("long")))
     rows = rows.join(found, rows.doc_id == found.rep, "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("shared", "component", "doc_id").alias("component_id"))

@@ -125,25 +125,20 @@ def small_or_shuffled(frame: DataFrame, rows: int, limit: int = BROADCAST_KEYS)
     return F.broadcast(frame) if rows <= limit else frame
 
 
-#: A key is heavy if it has more than this many rows and more than one in 2^16 of all: there are fewer than 2^16 of them.
-HEAVY_ROWS, HEAVY_SHARE = 1000, 1 << 16
+#: Rows of one key from which a join is planned so that its rows can be read by several tasks.
+HEAVY_ROWS = 1000
 
 
-def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, most: int, how: str = "inner") -> DataFrame:
-    """``left`` joined with ``right`` (one row a key, ``count``: the rows of ``left`` it meets, ``most`` at most, of ``total`` in all).
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], most: int, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (one row a key), a key having ``most`` rows on the left at most.
 
-    Rows of heavy keys meet a broadcast of fewer than 2^16 rows where they are; the others, or all
-    if no key is heavy, are shuffled. ``how``: inner or left. The count column is left out.
+    Adaptive execution splits a skewed partition only where both sides come straight from a shuffle.
+    An aggregate by the same keys would lend the join its own partitions, so that with heavy keys the
+    right side is dealt out once more.
     """
-    limit = max(HEAVY_ROWS, total // HEAVY_SHARE)
-    if most <= limit:
-        return left.join(right.drop(count), keys, how)
-    heavy = right.where(F.col(count) > limit).drop(count).withColumn("is_heavy", F.lit(True))
-    marked = left.join(F.broadcast(heavy), keys, "left")
-    made = [c for c in right.columns if c not in (*keys, count)]
-    here = marked.where("is_heavy").drop("is_heavy")
-    rest = marked.where("is_heavy IS NULL").drop("is_heavy", *made)
-    return here.unionByName(rest.join(right.where(F.col(count) <= limit).drop(count), keys, how))
+    if most > HEAVY_ROWS:
+        right = right.repartition(*(F.hash(F.col(c)) for c in right.columns))
+    return left.join(right, keys, how)
 
 
 def fold(column: str, parts: int):
