@@ -31,10 +31,11 @@ from pyspark.sql import types as T
 from kindred.llm import arrowtext
 from kindred.llm.shared import Scratch, by_batches, small_or_shuffled
 
-PARTS = ("keys", "members", "runs", "sizes", "words", "at", "pairs", "n", "flags", "own_words", "own_pairs")
+PARTS = ("keys", "members", "runs", "sizes", "words", "at", "before", "n", "flags", "own")
 FIRST, LAST = 1, 2
+SHORT = np.uint64((1 << 48) - 1)
 #: Parts that a shard is read in, and bytes of text that are cut into tokens at a time.
-CUTS, SLICE = 4, 4 << 20
+CUTS, SLICE = 8, 2 << 20
 
 
 @dataclass(frozen=True)
@@ -51,18 +52,18 @@ class LmSettings:
     shard_tokens: int = 3 << 20
     spread: int = 48
     task_tokens: int = 1 << 27
-    held_texts: int = 1 << 20
+    held_texts: int = 1 << 18
     frequent: int = 1 << 16
     broadcast_rows: int = 1_000_000
 
 
 @dataclass
 class Tokens:
-    """Tokens of a batch: row of the batch, word hash, hash with the word before, whether first or last of its text."""
+    """Tokens of a batch: row of the batch, word hash, 48 bits of the hash of the word before (0: none), whether first or last of its text."""
 
     rows: np.ndarray
     words: np.ndarray
-    pairs: np.ndarray
+    before: np.ndarray
     flags: np.ndarray
 
 
@@ -72,14 +73,13 @@ def tokens(batch: pa.RecordBatch, text: str) -> Tokens:
         found = arrowtext.words(data, offsets)
         h, full = found.hashes, found.first[:-1] < found.first[1:]
         before, flags = np.zeros_like(h), np.zeros(len(h), np.uint8)
-        before[1:] = h[:-1]
+        before[1:] = h[:-1] & SHORT
+        before[found.first[:-1][full]] = 0
         flags[found.first[:-1][full]] |= FIRST
         flags[found.first[1:][full] - 1] |= LAST
-        with np.errstate(over="ignore"):
-            pairs = arrowtext.mix(before * arrowtext.STEP + h)
-        held.append((base + found.texts, h, pairs, flags))
+        held.append(((base + found.texts).astype(np.int32), h, before, flags))
         base += part.num_rows
-    return Tokens(*(np.concatenate(x) for x in zip(*held))) if held else Tokens(*(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.uint8)))
+    return Tokens(*(np.concatenate(x) for x in zip(*held))) if held else Tokens(*(np.zeros(0, t) for t in (np.int32, np.uint64, np.uint64, np.uint8)))
 
 
 def text_key(text: str, member: str):
@@ -87,6 +87,12 @@ def text_key(text: str, member: str):
     return F.xxhash64(F.col(text), F.coalesce(F.col(member), F.lit(False))).alias("key")
 
 
+def pair_of(word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One hash for a word and the 48 bits of the word before it."""
+    with np.errstate(over="ignore"):
+        return arrowtext.mix(before * arrowtext.STEP + word)
+
+
 def flags_of(batch: pa.RecordBatch, member: str) -> np.ndarray:
     return batch.column(member).fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
 
@@ -144,32 +150,32 @@ def own_counts(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
 def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> DataFrame:
     """Rows of packed arrays, one for each batch and shard; equal tokens of a text are one entry with its number.
 
-    With each entry go the text's own counts of the word and of the pair, and with each text its tokens.
+    With each text go its tokens, and with each entry of a frequent word the text's own count of it:
+    the other own counts follow from the entries, which are all in one shard.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             t = tokens(batch, text)
-            t.rows = t.rows.astype(np.int32)
             keys, members = batch.column("key").to_numpy(zero_copy_only=False), flags_of(batch, member)
             common, _ = found_in(frequent.value, t.words)
-            shard = ((np.where(common, t.pairs, t.words) >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
+            shard = ((np.where(common, pair_of(t.words, t.before), t.words) >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
             sizes, own = np.bincount(t.rows, minlength=batch.num_rows), own_counts(t.rows, t.words)
-            order = np.lexsort((t.flags, t.pairs, t.rows, shard))
-            shard, rows, words, pairs, flags, own = (x[order] for x in (shard, t.rows, t.words, t.pairs, t.flags, own))
+            order = np.lexsort((t.flags, t.before, t.words, t.rows, shard))
+            shard, rows, words, before, flags, own, common = (x[order] for x in (shard, t.rows, t.words, t.before, t.flags, own, common))
+            del t, order
             new = np.ones(len(shard), bool)
-            new[1:] = (shard[1:] != shard[:-1]) | (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (flags[1:] != flags[:-1])
+            new[1:] = (shard[1:] != shard[:-1]) | (rows[1:] != rows[:-1]) | (words[1:] != words[:-1]) | (before[1:] != before[:-1]) | (flags[1:] != flags[:-1])
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(shard)))
-            shard, rows, words, pairs, flags, own = (x[at] for x in (shard, rows, words, pairs, flags, own))
-            group = np.cumsum(np.concatenate([[True], (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1]) | (shard[1:] != shard[:-1])])) - 1 if len(at) else at
-            own_pairs = np.bincount(group, n * (flags & FIRST == 0)).astype(np.int64)[group]
+            shard, rows, words, before, flags, own, common = (x[at] for x in (shard, rows, words, before, flags, own, common))
             edges = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)).tolist()
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
                 first = np.flatnonzero(np.diff(rows[a:b], prepend=-1))
                 text_rows, (known, where) = rows[a:b][first], np.unique(words[a:b], return_inverse=True)
-                packed = (keys[text_rows].tobytes(), members[text_rows].tobytes(), narrow(np.diff(np.append(first, b - a))), narrow(sizes[text_rows]), known.tobytes(), narrow(where), pairs[a:b].tobytes(), narrow(n[a:b]), flags[a:b].tobytes(), narrow(own[a:b]), narrow(own_pairs[a:b]))
+                six = before[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                packed = (keys[text_rows].tobytes(), members[text_rows].tobytes(), narrow(np.diff(np.append(first, b - a))), narrow(sizes[text_rows]), known.tobytes(), narrow(where), six.tobytes(), narrow(n[a:b]), flags[a:b].tobytes(), narrow(own[a:b][common[a:b]]))
                 out.append((int(shard[a]), *packed))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int32()) for k, x in enumerate(zip(*out))], names=["shard", *PARTS])
@@ -178,17 +184,33 @@ def dealt(docs: DataFrame, member: str, shards: int, frequent, text: str) -> Dat
     return by_batches(docs.select(text, member, text_key(text, member)), deal, schema, SLICE)
 
 
-def entries(rows: list[tuple], part: int) -> list[np.ndarray]:
+def entries(rows: list[tuple], part: int, table: np.ndarray) -> list[np.ndarray]:
     """Key, member, text size, word, pair, number, flags and own counts of the entries whose word is in this part of the shard."""
     held: list[list[np.ndarray]] = []
-    for key, member, runs, size, known, at, pair, number, flag, own_word, own_pair in rows:
-        n = len(pair) // 8
-        word = np.frombuffer(known, np.uint64)
-        here = np.flatnonzero(((word >> np.uint64(48)) % np.uint64(CUTS) == part)[wide(at, n)])
+    for key, member, runs, size, known, at, before, number, flag, own in rows:
+        n = len(before) // 6
+        word, at = np.frombuffer(known, np.uint64), wide(at, n)
+        common = found_in(table, word)[0][at]
+        here = ((word >> np.uint64(48)) % np.uint64(CUTS) == part)[at]
+        sent = np.zeros(n, np.int32)
+        if common.any():
+            sent[np.flatnonzero(common)] = wide(own, int(common.sum()))
+        here = np.flatnonzero(here)
         k = np.frombuffer(key, np.int64)
-        text = np.repeat(np.arange(len(k), dtype=np.int32), wide(runs, len(k)))[here]
-        narrow_ = lambda raw, size: wide(raw, size).astype(np.int32)
-        held.append([k[text], np.frombuffer(member, np.uint8)[text], narrow_(size, len(k))[text], word[wide(at, n)[here]], np.frombuffer(pair, np.uint64)[here], narrow_(number, n)[here], np.frombuffer(flag, np.uint8)[here], narrow_(own_word, n)[here], narrow_(own_pair, n)[here]])
+        text = np.repeat(np.arange(len(k), dtype=np.int64), wide(runs, len(k)))[here]
+        eight = np.zeros((len(here), 8), np.uint8)
+        eight[:, :6] = np.frombuffer(before, np.uint8).reshape(n, 6)[here]
+        short = eight.view("<u8")[:, 0]
+        number, flag, at, common = wide(number, n)[here].astype(np.int32), np.frombuffer(flag, np.uint8)[here], at[here], common[here]
+        # entries of one text and word, and of one text and pair, lie side by side
+        new = np.ones(len(here), bool)
+        new[1:] = (text[1:] != text[:-1]) | (at[1:] != at[:-1])
+        mine = np.cumsum(new) - 1
+        words = np.where(common, sent[here], np.bincount(mine, number, int(new.sum()))[mine] if len(here) else 0).astype(np.int32)
+        new[1:] |= short[1:] != short[:-1]
+        mine = np.cumsum(new) - 1
+        pairs = (np.bincount(mine, number * (flag & FIRST == 0), int(new.sum()))[mine] if len(here) else np.zeros(0)).astype(np.int32)
+        held.append([k[text], np.frombuffer(member, np.uint8)[text], wide(size, len(k))[text].astype(np.int32), word[at], pair_of(word[at], short), number, flag, words, pairs])
     return [np.concatenate(x) for x in zip(*held)]
 
 
@@ -197,7 +219,7 @@ def summed(rows: list[tuple], table: np.ndarray, totals: tuple[int, int], vocabu
 
     A shard is read in ``CUTS`` parts by word, so that one part of it is expanded at a time.
     """
-    return added([summed_part(entries(rows, part), table, totals, vocabulary, s) for part in range(CUTS)])
+    return added([summed_part(entries(rows, part, table), table, totals, vocabulary, s) for part in range(CUTS)])
 
 
 def summed_part(found: list[np.ndarray], table: np.ndarray, totals: tuple[int, int], vocabulary: int, s: LmSettings) -> list[np.ndarray]:
