@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ID_SPAN = 10**9
@@ -65,3 +66,21 @@ def byte_levenshtein(a: Column, b: Column) -> Column:
 
 def share(x: Column) -> Column:
     return F.round(x.cast("double"), 6)
+
+
+#: Keys that are numbered together.
+SPAN = 4096
+
+
+def numbered(frame: DataFrame, key: str) -> DataFrame:
+    """``frame`` with number, 1 and on in the order of a long ``key``; rows of one key are in no order.
+
+    Rows are numbered within spans of keys, and spans by the counts before them: what is in one task
+    is a span, or one row for each span.
+    """
+    span = F.floor(F.col(key) / SPAN)
+    x = frame.withColumn("span", span)
+    before = W.orderBy("span").rowsBetween(W.unboundedPreceding, -1)
+    offsets = x.groupBy("span").agg(F.count("*").alias("n")).select("span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("span").orderBy(key))
+    return x.withColumn("inside", inside).join(offsets, "span").withColumn("number", F.col("before") + F.col("inside")).drop("span", "before", "inside")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import Column
@@ -45,13 +46,34 @@ def jaro_winkler_value(a: str | None, b: str | None) -> float | None:
     return base + start * 0.1 * (1 - base)
 
 
+def jaro_winkler_many(a: list[str | None], b: list[str | None]) -> np.ndarray:
+    """``jaro_winkler_value`` of many pairs; NaN where a side is null. Each distinct pair is compared once."""
+    known = {p: jaro_winkler_value(*p) for p in set(zip(a, b))}
+    return np.array([known[p] for p in zip(a, b)], np.float64)
+
+
+def with_nulls(values: np.ndarray):
+    return pd.arrays.FloatingArray(values, np.isnan(values))
+
+
 def jaro_winkler(a, b) -> Column:
     return F.pandas_udf(jaro_winkler_values, T.DoubleType())(a, b)
 
 
 def jaro_winkler_values(a: pd.Series, b: pd.Series) -> pd.Series:
-    known = {p: jaro_winkler_value(*p) for p in set(zip(a, b))}
-    return pd.Series([known[p] for p in zip(a, b)], dtype="float64")
+    return pd.Series(with_nulls(jaro_winkler_many(a.tolist(), b.tolist())))
+
+
+def jaro_winklers(**pairs: tuple[str, str]) -> Column:
+    """A struct of several Jaro-Winkler similarities in one pass; null where a side is null."""
+    names = list(pairs)
+    kind = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+    def values(*columns: pd.Series) -> pd.DataFrame:
+        found = {n: jaro_winkler_many(columns[2 * k].tolist(), columns[2 * k + 1].tolist()) for k, n in enumerate(names)}
+        return pd.DataFrame({n: with_nulls(v) for n, v in found.items()})
+
+    return F.pandas_udf(values, kind)(*(F.col(c) for pair in pairs.values() for c in pair))
 
 
 def matching_share(a: str, b: str) -> float:

@@ -1,23 +1,33 @@
-"""Candidate generation: key rows, target frequencies, capped joins, and the union of strategies.
+"""Candidate generation: target keys and their frequencies, probes of a query, one capped join, masks.
 
 Records have: id, country, state ('' if unknown), keys, phon_key, phon_tokens, name_tokens,
-addr_tokens, places, numbers (arrays but for phon_key), name_key, hn, street. Every strategy
-counts targets by key before it joins, so that no key with more targets than its cap is joined.
-All joins are equi-joins on country and key and split under adaptive execution where skewed.
+addr_tokens, places, numbers (arrays but for phon_key), name_key, hn, street.
+
+All strategies work on one table of target keys (kind, country, state, k, id) and one of their
+counts. A query record's keys meet the counts first: what is over its cap is dropped or replaced by
+a finer key there, and what remains, the probes, says exactly how many rows the join with the target
+keys will make. So no key with more targets than its cap is ever joined, the volume of each strategy
+is known before it runs, and any set of strategies costs one join. All joins are equi-joins and
+split under adaptive execution where skewed.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kindred.functions.columns import grams
+from kindred.functions.columns import grams, stable_bucket
+from kindred.sources import tsv
 
 BITS = {"name": 1, "phonetic": 2, "structured": 4, "rare_name": 8, "rare_phon": 16, "rare_addr": 32, "ngram": 64, "compound": 128}
 DEFAULT = ("compound", "structured", "rare_addr", "phonetic", "ngram", "rare_name", "name")
+#: Keys of these are tried in the whole country first; keys of those also meet targets without a state.
+NATIONAL = ("name", "phonetic")
+STATELESS = ("name", "phonetic", "rare_name", "rare_phon", "rare_addr", "ngram")
+RANKED = ("rare_name", "rare_phon", "rare_addr", "ngram")
 
 
 @dataclass(frozen=True)
@@ -40,11 +50,32 @@ class Caps:
     stateless: bool = True
 
 
+    def national(self) -> dict[str, int]:
+        return {"name": self.name, "phonetic": self.phonetic}
+
+    def local(self) -> dict[str, int]:
+        """The most targets that a key may have within a state."""
+        return {"name": self.name_state, "phonetic": self.phonetic_state, "structured": self.hn, "refined": self.hn, "rare_name": self.token_df, "rare_phon": self.token_df, "rare_addr": self.addr_df, "ngram": self.gram_df, "compound": self.compound}
+
+    def ranked(self) -> dict[str, int]:
+        """How many of a record's rarest keys are tried in a state."""
+        return {"rare_name": self.token_k, "rare_phon": self.token_k, "rare_addr": self.token_k, "ngram": self.gram_m}
+
+
 class CandidateExplosion(RuntimeError):
     """A strategy would make more raw pairs than allowed."""
 
 
-def key_array(kind: str, caps: Caps) -> Column:
+def by_kind(values: dict[str, int]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))[F.col("kind")]
+
+
+def key_array(kind: str, caps: Caps = Caps()) -> Column:
+    """A record's keys of a kind."""
+    none = F.array().cast("array<string>")
+    where = F.concat(F.when(F.col("hn") != "", F.array(F.concat(F.lit("h:"), "hn"))).otherwise(none), F.transform(F.filter("places", lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)))
+    fine = F.concat(F.transform(F.filter("places", lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)), F.when(F.col("street") != "", F.array(F.concat(F.lit("s:"), "street"))).otherwise(none))
+    placed = (F.col("state") != "") & (F.col("hn") != "")
     return {
         "name": F.col("keys"),
         "phonetic": F.filter(F.array("phon_key"), lambda x: x != ""),
@@ -52,118 +83,137 @@ def key_array(kind: str, caps: Caps) -> Column:
         "rare_phon": F.col("phon_tokens"),
         "rare_addr": F.col("addr_tokens"),
         "ngram": grams(F.col("name_key"), caps.gram_n),
+        "structured": F.when(placed, F.array("hn")).otherwise(none),
+        "refined": F.when(placed, F.transform(fine, lambda r: F.concat("hn", F.lit("|"), r))).otherwise(none),
+        "compound": F.when(F.col("state") != "", F.flatten(F.transform(where, lambda w: F.transform("phon_tokens", lambda p: F.concat(w, F.lit("#"), p))))).otherwise(none),
     }[kind]
 
 
-def key_rows(records: DataFrame, kind: str, caps: Caps = Caps()) -> DataFrame:
-    """(id, country, state, k): distinct keys are taken within the record, before they become rows."""
-    return records.select("id", "country", "state", F.explode(F.array_distinct(key_array(kind, caps))).alias("k"))
-
-
-def with_stateless(rows: DataFrame, on: bool) -> DataFrame:
-    """Query keys also try targets without a state."""
-    return rows.withColumn("state", F.explode(F.array_distinct(F.array("state", F.lit(""))))) if on else rows
+def key_rows(records: DataFrame, kinds: str | tuple[str, ...], caps: Caps = Caps()) -> DataFrame:
+    """(id, country, state, kind, k): one pass over the records; keys are distinct within a record before they become rows."""
+    kinds = (kinds,) if isinstance(kinds, str) else kinds
+    of = lambda kind: F.transform(F.array_distinct(key_array(kind, caps)), lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("k")))
+    row = [of(kind) for kind in kinds]
+    return records.select("id", "country", "state", F.explode(F.concat(*row)).alias("x")).select("id", "country", "state", "x.kind", "x.k")
 
 
 def frequency(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"))
 
 
-def two_tier(query: DataFrame, targets: DataFrame, kind: str, cap: int, state_cap: int, caps: Caps) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs s1, t; raw join counts by tier). Keys over the cap nationally are tried within the state."""
-    q, t = key_rows(query, kind, caps), key_rows(targets, kind, caps)
-    national = frequency(t, "country", "k")
-    low = q.join(national.where(F.col("n") <= cap).select("country", "k", "n"), ["country", "k"])
-    hot = national.where(F.col("n") > cap).select("country", "k")
-    local = frequency(t.join(hot, ["country", "k"], "left_semi"), "country", "state", "k").where(F.col("n") <= state_cap)
-    high = with_stateless(q, caps.stateless).join(local, ["country", "state", "k"])
-    first = low.select(F.col("id").alias("s1"), "country", "k").join(t.select(F.col("id").alias("t"), "country", "k"), ["country", "k"])
-    second = high.select(F.col("id").alias("s1"), "country", "state", "k").join(t.select(F.col("id").alias("t"), "country", "state", "k"), ["country", "state", "k"])
-    volume = low.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw")).unionByName(high.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw"))).agg(F.sum("raw").alias("raw_pairs"))
-    return first.select("s1", "t").unionByName(second.select("s1", "t")).distinct(), volume
-
-
-def refinements(records: DataFrame) -> DataFrame:
-    """(id, country, state, hn, r): p:place and s:street of records with a state and a house number."""
-    known = records.where("state <> '' AND hn <> ''")
-    street = F.when(F.col("street") != "", F.array(F.concat(F.lit("s:"), "street"))).otherwise(F.array().cast("array<string>"))
-    r = F.array_distinct(F.concat(F.transform(F.filter("places", lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)), street))
-    return known.select("id", "country", "state", "hn", F.explode(r).alias("r"))
-
-
-def structured(query: DataFrame, targets: DataFrame, caps: Caps = Caps()) -> DataFrame:
-    """State and house number; where too many targets share them, a shared place or street as well."""
-    by = ["country", "state", "hn"]
-    q, t = (x.where("state <> '' AND hn <> ''").select("id", *by) for x in (query, targets))
-    n = frequency(t, *by)
-    few = q.join(n.where(F.col("n") <= caps.hn).drop("n"), by, "left_semi").withColumnRenamed("id", "s1").join(t.withColumnRenamed("id", "t"), by)
-    hot = n.where(F.col("n") > caps.hn).drop("n")
-    fine = refinements(targets).join(hot, by, "left_semi")
-    some = fine.groupBy(*by, "r").agg(F.count("*").alias("n")).where(F.col("n") <= caps.hn).drop("n")  # rows are distinct by id and r
-    more = refinements(query).join(some, [*by, "r"], "left_semi").withColumnRenamed("id", "s1").join(fine.withColumnRenamed("id", "t"), [*by, "r"])
-    return few.select("s1", "t").unionByName(more.select("s1", "t")).distinct()
-
-
-def rarest(query: DataFrame, targets: DataFrame, kind: str, most: int, k: int, caps: Caps) -> tuple[DataFrame, DataFrame]:
-    """Each query record's k rarest keys of at most ``most`` targets in each state bucket, and the target rows."""
-    t = key_rows(targets, kind, caps)
-    n = frequency(t, "country", "state", "k").where(F.col("n") <= most)
-    q = with_stateless(key_rows(query, kind, caps), caps.stateless).join(n, ["country", "state", "k"])
-    first = W.partitionBy("id", "state").orderBy("n", "k")
-    return q.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(F.col("id").alias("s1"), "country", "state", "k"), t.withColumnRenamed("id", "t")
-
-
-def rare_tokens(query: DataFrame, targets: DataFrame, kind: str, caps: Caps = Caps()) -> DataFrame:
-    q, t = rarest(query, targets, kind, caps.addr_df if kind == "rare_addr" else caps.token_df, caps.token_k, caps)
-    return q.join(t, ["country", "state", "k"]).select("s1", "t").distinct()
-
-
-def shared_grams(query: DataFrame, targets: DataFrame, caps: Caps = Caps()) -> DataFrame:
-    """Targets that share enough of the selected rare n-grams, the best ones for each query record."""
-    q, t = rarest(query, targets, "ngram", caps.gram_df, caps.gram_m, caps)
-    shared = q.join(t, ["country", "state", "k"]).groupBy("s1", "t").agg(F.count("*").alias("n")).where(F.col("n") >= caps.gram_shared)
-    best = W.partitionBy("s1").orderBy(F.desc("n"), "t")
-    return shared.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= caps.gram_top).select("s1", "t")
-
-
-def compound_rows(records: DataFrame) -> DataFrame:
-    """(id, country, state, k): house number or place, joined with each phonetic token."""
-    hn = F.when(F.col("hn") != "", F.array(F.concat(F.lit("h:"), "hn"))).otherwise(F.array().cast("array<string>"))
-    where = F.concat(hn, F.transform(F.filter("places", lambda p: p != ""), lambda p: F.concat(F.lit("p:"), p)))
-    rows = records.where("state <> ''").select("id", "country", "state", F.explode(F.array_distinct(where)).alias("w"), "phon_tokens")
-    return rows.select("id", "country", "state", "w", F.explode(F.array_distinct("phon_tokens")).alias("p")).select("id", "country", "state", F.concat("w", F.lit("#"), "p").alias("k"))
-
-
-def compound(query: DataFrame, targets: DataFrame, caps: Caps = Caps()) -> DataFrame:
-    """Frequencies are taken for the query's own keys only."""
-    by = ["country", "state", "k"]
-    q = compound_rows(query)
-    t = compound_rows(targets).join(q.select(by).distinct(), by, "left_semi")
-    few = frequency(t, *by).where(F.col("n") <= caps.compound).drop("n")
-    return q.join(few, by, "left_semi").withColumnRenamed("id", "s1").join(t.withColumnRenamed("id", "t"), by).select("s1", "t").distinct()
+class Index:
+    """Target keys and their counts by state and in the country. With a folder they are written once, and read by every query."""
+
+    def __init__(self, targets: DataFrame, names: tuple[str, ...] = DEFAULT, caps: Caps = Caps(), folder: str | None = None, settings: dict | None = None):
+        self.names, self.caps = tuple(names), caps
+        rows = key_rows(targets, self.names, caps)
+        if "structured" in names:  # only house numbers over the cap have finer keys
+            hot = frequency(rows.where("kind = 'structured'"), "country", "state", "k").where(F.col("n") > caps.hn).select("country", "state", F.col("k").alias("hn"))
+            rows = rows.unionByName(key_rows(targets.join(hot, ["country", "state", "hn"], "left_semi"), "refined", caps))
+        stats = frequency(rows, "kind", "country", "state", "k").withColumn("whole", F.sum("n").over(W.partitionBy("kind", "country", "k")))
+        if folder:
+            pinned = {"names": list(self.names), "caps": asdict(caps), **(settings or {})}
+            rows = tsv.materialise(rows, f"{folder}/keys", settings=pinned)
+            stats = tsv.materialise(stats, f"{folder}/key_counts", settings=pinned)
+        self.rows, self.stats = rows, stats
+
+
+def probes(query: DataFrame, index: Index) -> DataFrame:
+    """(s1, country, state, kind, k, n): the keys by which each query record is joined, with the targets each will meet."""
+    c = index.caps
+    kinds = index.names + (("refined",) if "structured" in index.names else ())
+    q = key_rows(query, kinds, c).withColumnRenamed("id", "s1")
+    wide = F.col("kind").isin(*NATIONAL) & (F.col("whole") <= by_kind(c.national()))
+    found = q.where(F.col("kind").isin(*NATIONAL)).drop("state").join(index.stats.where(wide), ["kind", "country", "k"])
+    states = F.when(F.col("kind").isin(*STATELESS) & F.lit(c.stateless), F.array_distinct(F.array("state", F.lit("")))).otherwise(F.array("state"))
+    few = (~F.col("kind").isin(*NATIONAL) | (F.col("whole") > by_kind(c.national()))) & (F.col("n") <= by_kind(c.local()))
+    local = q.withColumn("state", F.explode(states)).join(index.stats.where(few), ["kind", "country", "state", "k"])
+    rarest = W.partitionBy("kind", "s1", "state").orderBy("n", "k")
+    ranked = local.where(F.col("kind").isin(*RANKED)).withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= by_kind(c.ranked())).drop("rank")
+    local = local.where(~F.col("kind").isin(*RANKED)).unionByName(ranked)
+    return found.unionByName(local).select("s1", "country", "state", "kind", "k", "n")
+
+
+def volumes(found: DataFrame) -> DataFrame:
+    """(strategy, raw_pairs): the exact numbers of joined rows, from counts alone."""
+    return found.groupBy(F.when(F.col("kind") == "refined", "structured").otherwise(F.col("kind")).alias("strategy")).agg(F.sum("n").cast("long").alias("raw_pairs"))
+
+
+def matched(found: DataFrame, index: Index) -> DataFrame:
+    """(s1, t, strategy): distinct pairs by strategy."""
+    c = index.caps
+    met = found.drop("n").join(index.rows.withColumnRenamed("id", "t"), ["kind", "country", "state", "k"])
+    met = met.groupBy("s1", "t", F.when(F.col("kind") == "refined", "structured").otherwise(F.col("kind")).alias("strategy")).agg(F.count("*").alias("n"))
+    if "ngram" in index.names:
+        best = W.partitionBy("s1", "strategy").orderBy(F.desc("n"), "t")
+        near = met.where((F.col("strategy") == "ngram") & (F.col("n") >= c.gram_shared)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= c.gram_top).drop("rank")
+        met = near if index.names == ("ngram",) else met.where("strategy != 'ngram'").unionByName(near)
+    return met.select("s1", "t", "strategy")
 
 
 def strategy(name: str, query: DataFrame, targets: DataFrame, caps: Caps = Caps()) -> DataFrame:
-    if name == "name":
-        return two_tier(query, targets, "name", caps.name, caps.name_state, caps)[0]
-    if name == "phonetic":
-        return two_tier(query, targets, "phonetic", caps.phonetic, caps.phonetic_state, caps)[0]
-    if name == "structured":
-        return structured(query, targets, caps)
-    if name == "ngram":
-        return shared_grams(query, targets, caps)
-    if name == "compound":
-        return compound(query, targets, caps)
-    return rare_tokens(query, targets, name, caps)
+    """(s1, t) of one strategy."""
+    index = Index(targets, (name,), caps)
+    return matched(probes(query, index), index).select("s1", "t")
 
 
-def union_mask(query: DataFrame, targets: DataFrame, names: tuple[str, ...] = DEFAULT, caps: Caps = Caps()) -> DataFrame:
+def masks(found: DataFrame) -> DataFrame:
     """(s1, t, mask): which strategies found each pair."""
-    parts = [strategy(n, query, targets, caps).withColumn("mask", F.lit(BITS[n])) for n in names]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole.groupBy("s1", "t").agg(F.bit_or("mask").alias("mask"))
+    bit = F.create_map(*(F.lit(x) for pair in BITS.items() for x in pair))[F.col("strategy")]
+    return found.groupBy("s1", "t").agg(F.bit_or(bit).alias("mask"))
+
+
+def union_mask(query: DataFrame, targets: DataFrame, names: tuple[str, ...] = DEFAULT, caps: Caps = Caps()) -> DataFrame:
+    index = Index(targets, tuple(names), caps)
+    return masks(matched(probes(query, index), index))
+
+
+def guarded(found: DataFrame, limit: int = 50_000_000) -> dict[str, int]:
+    """Raw pairs by strategy; raises if one is beyond the limit."""
+    raw = {r.strategy: r.raw_pairs for r in volumes(found).collect()}
+    over = {n: v for n, v in raw.items() if v > limit}
+    if over:
+        raise CandidateExplosion(", ".join(f"{n}: {v} raw pairs, {limit} allowed" for n, v in sorted(over.items())))
+    return raw
+
+
+def generate(query: DataFrame, index: Index, limit: int = 50_000_000) -> tuple[DataFrame, dict[str, dict]]:
+    """(pairs with masks, report): a strategy whose raw pairs are beyond the limit is stopped and reported, and never run."""
+    found = probes(query, index)
+    raw = {r.strategy: r.raw_pairs for r in volumes(found).collect()}
+    report = {}
+    for n in index.names:
+        over = raw.get(n, 0) > limit
+        report[n] = {"status": "stopped" if over else "ok", "raw_pairs": raw.get(n, 0)} | ({"reason": f"{raw[n]} raw pairs, {limit} allowed"} if over else {})
+    stopped = [n for n, r in report.items() if r["status"] == "stopped"]
+    kinds = stopped + ["refined"] * ("structured" in stopped)
+    return masks(matched(found.where(~F.col("kind").isin(*kinds)) if kinds else found, index)), report
+
+
+def chunk_of(s1: Column, chunks: int) -> Column:
+    """The part that an entity is in: by a salt of its own, so that no sample by another hash falls into few parts."""
+    return stable_bucket(s1, 3, chunks)
+
+
+def generate_chunked(query: DataFrame, index: Index, out: str, chunks: int = 10, limit: int = 50_000_000, least_gb: float = 3.0, settings: dict | None = None) -> dict:
+    """Capped pairs in one Parquet part for each chunk of query records, out/chunk=k. Finished parts are kept.
+
+    Other settings than those that the parts were made with are refused. Free space is looked at
+    before each part. The report has the pairs and stopped strategies of each chunk of this run.
+    """
+    spark = query.sparkSession
+    tsv.pin(spark, out, {"chunks": chunks, "limit": limit, "names": list(index.names), "caps": asdict(index.caps), **(settings or {})})
+    report = {}
+    for k in range(chunks):
+        part = f"{out}/chunk={k}"
+        if tsv.ready(spark, part):
+            report[k] = {"status": "kept"}
+            continue
+        tsv.check_disk(spark, out, least_gb)
+        pairs, told = generate(query.where(chunk_of(F.col("id"), chunks) == k), index, limit)
+        capped(pairs, index.caps.per_entity).write.mode("overwrite").option("compression", "zstd").parquet(part)
+        report[k] = {"status": "made", "pairs": spark.read.parquet(part).count(), "stopped": {n: r["reason"] for n, r in told.items() if r["status"] == "stopped"}}
+    return report
 
 
 def preference(priority: tuple[str, ...] = DEFAULT) -> list[Column]:
@@ -178,14 +228,6 @@ def capped(pairs: DataFrame, most: int, priority: tuple[str, ...] = DEFAULT) ->
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most).drop("rank")
 
 
-def guarded(volume: DataFrame, limit: int = 50_000_000) -> int:
-    """The exact number of raw pairs from frequencies alone; raises beyond the limit."""
-    raw = volume.first()[0] or 0
-    if raw > limit:
-        raise CandidateExplosion(f"{raw} raw pairs, {limit} allowed")
-    return raw
-
-
 def capped_key_join(legs: list[tuple[DataFrame, DataFrame]], most: int) -> DataFrame:
     """Join of legs ((s1, country, key[, fine]), (t, country, key[, fine])) whose blocks hold at most ``most`` distinct targets.
 
@@ -206,6 +248,19 @@ def capped_key_join(legs: list[tuple[DataFrame, DataFrame]], most: int) -> DataF
     return found.distinct()
 
 
+def leg_statistics(query: DataFrame, targets: DataFrame, most: int) -> DataFrame:
+    """One row about a leg's blocks: (blocks, targets, largest, kept_blocks, kept_targets, raw_pairs, kept_pairs), from counts alone."""
+    q = query.select("s1", "country", "key").distinct().groupBy("country", "key").agg(F.count("*").alias("a"))
+    t = targets.select("t", "country", "key").distinct().groupBy("country", "key").agg(F.count("*").alias("n"))
+    x = t.join(q, ["country", "key"], "left").withColumn("a", F.coalesce("a", F.lit(0).cast("long")))
+    small, zero = F.col("n") <= most, F.lit(0).cast("long")
+    total = lambda c: F.coalesce(F.sum(c), zero)
+    return x.agg(
+        F.count("*").alias("blocks"), total(F.col("n")).alias("targets"), F.coalesce(F.max("n"), zero).alias("largest"), F.count_if(small).alias("kept_blocks"),
+        total(F.when(small, F.col("n"))).alias("kept_targets"), total(F.col("n") * F.col("a")).alias("raw_pairs"), total(F.when(small, F.col("n") * F.col("a"))).alias("kept_pairs"),
+    )
+
+
 def trigram_join(query: DataFrame, targets: DataFrame, prefix: int = 4, most: int = 20_000, least: float = 0.35, top: int = 20) -> DataFrame:
     """Set-similarity join on name trigrams: meet on rare prefixes, verify on whole sets, keep the nearest.
 

@@ -9,9 +9,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kindred.functions.columns import ID_SPAN, byte_levenshtein, grams, jaccard
-from kindred.functions.similarity import jaro_winkler
+from kindred.functions.similarity import jaro_winklers
 from kindred.operators.blocking import BITS
 
+#: The feature columns in their order: what a model reads.
+FEATURES = (
+    "f_name_lc_eq f_key_eq f_keys_overlap f_name_jw f_name_lev f_core_jw f_raw_jw f_tok_jacc f_tok_shared f_tok_contain f_phon_eq f_phon_jacc f_gram_jacc f_len_diff f_ntok_diff "
+    "f_a_indic f_b_indic f_script_mismatch f_key_freq_log f_a_addr_missing f_b_addr_missing f_both_addr_missing f_state_eq f_hn_eq f_hn_absdiff_log f_street_eq f_street_jw "
+    "f_place_jacc f_place_shared f_addr_jacc f_addr_shared f_num_jacc f_num_shared f_src m_name m_phonetic m_structured m_rare_name m_rare_addr m_ngram m_compound f_n_strategies "
+    "f_n_cands_log f_name_jw_rank f_name_jw_gap f_addr_jacc_rank f_addr_jacc_gap"
+).split()
 MASKED = ("name", "phonetic", "structured", "rare_name", "rare_addr", "ngram", "compound")
 
 
@@ -20,25 +27,21 @@ def both_present(a: str, b: str, value: Column) -> Column:
     return F.when((F.coalesce(F.col(a), F.lit("")) != "") & (F.coalesce(F.col(b), F.lit("")) != ""), value)
 
 
-def similarities(pairs: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
-    """Adds Jaro-Winkler columns (name, a, b); each distinct pair of strings is compared once in a batch."""
-    for name, a, b in columns:
-        pairs = pairs.withColumn(name, both_present(a, b, jaro_winkler(F.col(a), F.col(b))))
-    return pairs
-
-
 def features(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
     """47 columns for each pair (s1, t, mask): null means that a side is missing.
 
     Records as for blocking, and name_lc (raw name in lower case), name_indic, addr_missing and
-    core. The windows over s1 share one exchange.
+    core. Distinct pairs of strings are compared once in a batch, in one pass for all four
+    similarities. The windows over s1 share one exchange.
     """
     side = lambda x, p: x.select(*(F.col(c).alias(f"{p}_{c}") for c in x.columns))
     a, b = side(s1, "a"), side(targets, "b")
     known = targets.select("country", F.col("name_key").alias("k")).where("k <> ''").groupBy("country", "k").agg(F.count("*").alias("freq"))
+    b = b.join(known, (b.b_country == known.country) & (b.b_name_key == known.k), "left").drop("country", "k")
     x = pairs.join(a, pairs.s1 == a.a_id).join(b, pairs.t == b.b_id)
-    x = x.join(known, (x.a_country == known.country) & (x.b_name_key == known.k), "left")
-    x = similarities(x, ("f_name_jw", "a_name_key", "b_name_key"), ("f_core_jw", "a_core", "b_core"), ("f_raw_jw", "a_name_lc", "b_name_lc"), ("f_street_jw", "a_street", "b_street"))
+    compared = {"f_name_jw": "name_key", "f_core_jw": "core", "f_raw_jw": "name_lc", "f_street_jw": "street"}
+    x = x.withColumn("jw", jaro_winklers(**{n: (f"a_{c}", f"b_{c}") for n, c in compared.items()}))
+    x = x.withColumns({n: both_present(f"a_{c}", f"b_{c}", F.col(f"jw.{n}")) for n, c in compared.items()})
     size = lambda c: F.size(F.col(c)).cast("double")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     shared = lambda c: F.size(F.array_intersect(f"a_{c}", f"b_{c}"))
@@ -147,12 +150,40 @@ def evaluate(predicted: DataFrame, truth: DataFrame, universe: DataFrame, *by: s
 
 
 def search_rules(scores: DataFrame, rules: DataFrame, truth: DataFrame, universe: DataFrame) -> DataFrame:
-    """All rules in one job: the scores meet the (few, broadcast) rules, ranks are taken once."""
+    """All rules in one job: the scores meet the (few, broadcast) rules, ranks are taken once.
+
+    Only entities with a prediction become rows; those without one add to a rule by their counts,
+    which are the same for all rules.
+    """
     group = W.partitionBy("s1")
     x = scores.withColumn("rank", F.row_number().over(group.orderBy(F.desc("p"), "t"))).withColumn("most", F.max("p").over(group))
-    grid = F.broadcast(rules)
+    grid, by = F.broadcast(rules), ["threshold", "top_k", "relative"]
     kept = x.join(grid, (F.col("p") >= F.col("threshold")) & ((F.col("top_k") == 0) | (F.col("rank") <= F.col("top_k"))) & ((F.col("relative") == 0) | (F.col("p") >= F.col("relative") * F.col("most"))))
-    return evaluate(kept.select("threshold", "top_k", "relative", "s1", "t"), truth, universe.join(grid), "threshold", "top_k", "relative")
+    made = kept.join(truth.select("s1", "t", F.lit(1).alias("hit")), ["s1", "t"], "left").groupBy("s1", *by).agg(F.count("*").alias("n_pred"), F.count("hit").alias("hits"))
+    real = universe.join(truth.groupBy("s1").agg(F.count("*").alias("n_true")), "s1", "left").withColumn("n_true", F.coalesce("n_true", F.lit(0).cast("long")))
+    n = made.join(real, "s1")
+    told = n.groupBy(*by).agg(F.sum(f05(F.col("n_true"), F.col("n_pred"), F.col("hits"))).alias("score"), F.sum("n_pred").alias("predicted"), F.sum("hits").alias("found"), F.count_if(F.col("n_true") == 0).alias("wrong_singletons"))
+    whole = real.agg(F.count("*").alias("entities"), F.sum("n_true").alias("true_pairs"), F.count_if(F.col("n_true") == 0).alias("singletons"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    y = rules.join(told, by, "left").join(F.broadcast(whole))
+    right = F.col("singletons") - zero("wrong_singletons")
+    return y.select(
+        *by,
+        "entities",
+        F.round(F.try_divide(F.coalesce("score", F.lit(0.0)) + right, F.col("entities")), 6).alias("macro_f05"),
+        F.round(F.try_divide(zero("found"), zero("predicted")), 6).alias("pair_precision"),
+        F.round(F.try_divide(zero("found"), F.col("true_pairs")), 6).alias("pair_recall"),
+        (zero("predicted") - zero("found")).alias("false_positives"),
+        (F.coalesce("true_pairs", F.lit(0).cast("long")) - zero("found")).alias("false_negatives"),
+        "singletons",
+        right.alias("singletons_right"),
+    )
+
+
+def recall_by(pairs: DataFrame, truth: DataFrame, query: DataFrame, *by: str) -> DataFrame:
+    """(by, source, true_pairs, found, recall): recall of candidates by columns of the query record and the source of the target."""
+    x = truth.join(query.select(F.col("id").alias("s1"), *by), "s1").join(pairs.select("s1", "t", F.lit(1).alias("hit")), ["s1", "t"], "left")
+    return x.groupBy(*by, F.expr(f"t div {ID_SPAN}").alias("source")).agg(F.count("*").alias("true_pairs"), F.count("hit").alias("found"), F.round(F.avg(F.coalesce("hit", F.lit(0))), 6).alias("recall"))
 
 
 def candidate_statistics(pairs: DataFrame, universe: DataFrame) -> DataFrame:

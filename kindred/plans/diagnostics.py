@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kindred.functions.columns import share, stable_bucket
+from kindred.functions import text
+from kindred.functions.columns import entity_id, numbered, share, stable_bucket, wide_entity, wide_id
 from kindred.operators import blocking as B
 from kindred.operators import diagnostics as D
 from kindred.operators import matching as M
-from kindred.plans.linkage import CAPS, DECIDE, MASKED, RULE, SCORES, bucket_sql, cand_union_mask, keyed, pair_features, part_truth, scores, union_sql
-from kindred.sources.adapters import PARTS, TRUTH, parts, same_text, table
+from kindred.plans import link
+from kindred.plans.linkage import CAPS, DECIDE, MASKED, RULE, SCORES, bucket_sql, cand_union_mask, keyed, pair_features, rule_grid_sql, scores, union_sql
+from kindred.sources.adapters import PARTS, TRUTH, part_truth, parts, table
 
 #: Exact keys of the part records: name of the key and its columns, beside the country.
 KEYS = {"name": ["name_key"], "sound": ["phon_key"], "house": ["hn"], "name_house": ["name_key", "hn"], "state_name": ["state", "name_key"], "state_house": ["state", "hn"]}
-SWEPT = (1, 2, 4, 6, 10)
+SWEPT = (5, 20, 50, 100, 200)
+#: Targets in the country from which a name is counted by state too.
+HOT = 5
+GRID = {"threshold": [k / 20 for k in range(6, 20)], "top_k": (0, 1, 2, 3, 5), "relative": (0.0, 0.9)}
 ARRAYS = ("f_tok_jacc", "f_tok_shared", "f_tok_contain", "f_phon_jacc", "f_gram_jacc", "f_place_jacc", "f_place_shared", "f_addr_jacc", "f_addr_shared", "f_num_jacc", "f_num_shared")
 WINDOWS = ("f_n_cands_log", "f_name_jw_rank", "f_name_jw_gap", "f_addr_jacc_rank", "f_addr_jacc_gap")
 
@@ -82,14 +87,62 @@ def control_agreement(spark, sf_dir):
 
 
 def hard_negatives(spark, sf_dir):
-    """The twenty most similar pairs of first lines whose texts differ."""
-    x = scores(spark, sf_dir).join(same_text(spark, sf_dir), ["s1", "t"], "left_anti")
+    """The twenty most similar pairs of records that are no true pairs."""
+    x = scores(spark, sf_dir).join(part_truth(spark, sf_dir), ["s1", "t"], "left_anti")
     return x.orderBy(F.desc("p"), "s1", "t").limit(20).select("s1", "t", share(F.col("p")).alias("p"))
 
 
+def hard_positives(spark, sf_dir):
+    """The twenty true pairs whose texts are least alike."""
+    x = scores(spark, sf_dir).join(part_truth(spark, sf_dir), ["s1", "t"], "left_semi")
+    return x.orderBy("p", "s1", "t").limit(20).select("s1", "t", share(F.col("p")).alias("p"))
+
+
+def hard_negative_counts(spark, sf_dir):
+    """Pairs by label and by whether any similarity is high: true, false or unknown."""
+    x = pair_features(spark, sf_dir).join(part_truth(spark, sf_dir).withColumn("label", F.lit(1)), ["s1", "t"], "left")
+    hard = F.coalesce(link.hard_negative().cast("string"), F.lit("unknown"))
+    return x.groupBy(F.coalesce("label", F.lit(0)).cast("long").alias("label"), hard.alias("hard")).agg(F.count("*").alias("pairs"))
+
+
+def best_rule(spark, sf_dir):
+    """The rule of a grid with the best macro F0.5; of equals the highest threshold, then the least top_k and relative."""
+    rules = M.rule_grid(spark, GRID["threshold"], GRID["top_k"], GRID["relative"])
+    x = M.search_rules(scores(spark, sf_dir), rules, part_truth(spark, sf_dir), parts(spark, sf_dir)[0].select(F.col("id").alias("s1")))
+    return x.orderBy(F.desc("macro_f05"), F.desc("threshold"), "top_k", "relative").limit(1).select("threshold", F.col("top_k").cast("long").alias("top_k"), "relative", "macro_f05")
+
+
+def id_codes(spark, sf_dir):
+    """Texts of ids in both codes and back; what is no id is null."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("S"), (F.col("c_custkey") % 5).cast("string"), F.lit("-"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("raw"))
+    return c.select("c_custkey", entity_id(F.col("raw")).alias("code"), wide_id(F.col("raw")).alias("wide"), wide_entity(wide_id(F.col("raw"))).alias("text"))
+
+
+def batch_numbers(spark, sf_dir):
+    """Documents numbered in the order of their ids, and batches of 256 of them."""
+    x = numbered(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    return x.select("doc_id", "number", F.floor((F.col("number") - 1) / 256).alias("batch"))
+
+
+def name_grams(spark, sf_dir):
+    """Padded trigrams of each word of every part's name, in order."""
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.padded_grams(F.lower("p_name")), " ").alias("grams"))
+
+
+def accents_stripped(spark, sf_dir):
+    """Whole documents without the accents of their Latin letters."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.text_column("without_accents", "text").cast("binary")).alias("plain"))
+
+
+def catalog(spark, sf_dir):
+    """The tables and their numbers of columns."""
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+    return spark.createDataFrame([(n, len(table(spark, sf_dir, n).schema)) for n in names], "name string, columns long")
+
+
 def key_df_state_hot(spark, sf_dir):
     rows = B.key_rows(parts(spark, sf_dir)[1], "name", CAPS)
-    hot = B.frequency(rows, "country", "k").where(F.col("n") > CAPS.name).drop("n")
+    hot = B.frequency(rows, "country", "k").where(F.col("n") > HOT).drop("n")
     return B.frequency(rows.join(hot, ["country", "k"], "left_semi"), "country", "state", "k")
 
 
@@ -119,7 +172,7 @@ def hash_sample(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (exact_key_recall, one_pass_recall, exact_key_blocks, missed_pairs, strategy_gains, cap_sweep, dedup_report, candidate_part_gate, path_equality, control_agreement, hard_negatives, key_df_state_hot, hn_df, pair_array_features, pair_window_features, normalised_duplicates, hash_sample)}
+    return {f.__name__: f for f in (exact_key_recall, one_pass_recall, exact_key_blocks, missed_pairs, strategy_gains, cap_sweep, dedup_report, candidate_part_gate, path_equality, control_agreement, hard_negatives, hard_positives, hard_negative_counts, best_rule, id_codes, batch_numbers, name_grams, accents_stripped, catalog, key_df_state_hot, hn_df, pair_array_features, pair_window_features, normalised_duplicates, hash_sample)}
 
 
 # ---- the same in SQL ----
@@ -171,13 +224,13 @@ def features_sql() -> str:
         "f_gram_jacc": jacc("gs"),
         "f_len_diff": "abs(length(a.name_key) - length(b.name_key))",
         "f_ntok_diff": "abs(len(a.ws) - len(b.ws))",
-        "f_a_indic": "0",
-        "f_b_indic": "0",
-        "f_script_mismatch": "0",
+        "f_a_indic": "CASE WHEN a.pk % 11 = 0 THEN 1 ELSE 0 END",
+        "f_b_indic": "CASE WHEN b.pk % 11 = 0 THEN 1 ELSE 0 END",
+        "f_script_mismatch": "CASE WHEN (a.pk % 11 = 0) <> (b.pk % 11 = 0) THEN 1 ELSE 0 END",
         "f_key_freq_log": "ln(1 + coalesce(fr.n, 0))",
-        "f_a_addr_missing": "CASE WHEN a.id % 7 = 0 THEN 1 ELSE 0 END",
-        "f_b_addr_missing": "CASE WHEN b.id % 7 = 0 THEN 1 ELSE 0 END",
-        "f_both_addr_missing": "CASE WHEN a.id % 7 = 0 AND b.id % 7 = 0 THEN 1 ELSE 0 END",
+        "f_a_addr_missing": "CASE WHEN a.pk % 7 = 0 THEN 1 ELSE 0 END",
+        "f_b_addr_missing": "CASE WHEN b.pk % 7 = 0 THEN 1 ELSE 0 END",
+        "f_both_addr_missing": "CASE WHEN a.pk % 7 = 0 AND b.pk % 7 = 0 THEN 1 ELSE 0 END",
         "f_state_eq": eq("state"),
         "f_hn_eq": eq("hn"),
         "f_hn_absdiff_log": "ln(1 + abs(TRY_CAST(a.hn AS BIGINT) - TRY_CAST(b.hn AS BIGINT)))",
@@ -194,7 +247,7 @@ def features_sql() -> str:
         "f_n_strategies": "bit_count(mask)",
     }
     base = ", ".join(f"CAST({e} AS FLOAT) AS {n}" for n, e in made.items())
-    arrays = f"{TOKENS.format('name_lc')} AS ws, {TOKENS.format('phon')} AS ps, {TOKENS.format('type_lc')} AS ad, [place] AS pl, [hn] AS nu, list_distinct(list_transform(range(1, length(name_key) + 1), lambda i: substr('#' || name_key || '#', i, 3))) AS gs"
+    arrays = f"{TOKENS.format('name_lc')} AS ws, {TOKENS.format('phon')} AS ps, addr AS ad, places AS pl, numbers AS nu, list_distinct(list_transform(range(1, length(name_key) + 1), lambda i: substr('#' || name_key || '#', i, 3))) AS gs"
     last = ", ".join(f"CAST(rank() OVER (PARTITION BY s1 ORDER BY {c} DESC NULLS LAST) AS FLOAT) AS {c}_rank, CAST(max({c}) OVER (PARTITION BY s1) - {c} AS FLOAT) AS {c}_gap" for c in ("f_name_jw", "f_addr_jacc"))
     return f"""{MASKED.format(union_sql())}, {PARTS}, aa AS (SELECT *, {arrays} FROM q), bb AS (SELECT *, {arrays} FROM t), fr AS (SELECT country, name_key, count(*) AS n FROM t WHERE name_key <> '' GROUP BY 1, 2),
       f1 AS (SELECT x.s1, x.t, {base} FROM m x JOIN aa a ON a.id = x.s1 JOIN bb b ON b.id = x.t LEFT JOIN fr ON fr.country = a.country AND fr.name_key = b.name_key),
@@ -219,7 +272,7 @@ def oracle_sql() -> dict[str, str]:
     rates = ", ".join(f"round(avg(CASE WHEN {agree_sql(by)} THEN 1 ELSE 0 END), 6) AS {n}" for n, by in KEYS.items())
     rate = lambda source, kind: f"SELECT '{kind}' AS kind, count(*) AS pairs, {rates} FROM {source} x JOIN q a ON a.id = x.s1 JOIN t b ON b.id = x.t"
     columns = features_columns()
-    by_chunk = " UNION ALL ".join(f"SELECT s1, t, p FROM (SELECT *, max(p) OVER (PARTITION BY s1) AS m FROM c WHERE chunk = {k}) WHERE p >= 0.5 AND p >= 0.9 * m" for k in range(3))
+    by_chunk = " UNION ALL ".join(f"SELECT s1, t, p FROM (SELECT *, max(p) OVER (PARTITION BY s1) AS m FROM c WHERE chunk = {k}) WHERE p >= 0.5 AND p >= 0.95 * m" for k in range(3))
     return {
         "exact_key_recall": f"WITH {PARTS}, {AGREEMENT} " + " UNION ALL ".join(f"SELECT '{n}' AS key, count(*) FILTER (WHERE {k}) AS covered, round(count(*) FILTER (WHERE {k}) / nullif(count(*), 0), 6) AS recall FROM ag" for n, k in [*((k, k) for k in KEYS), ("any_key", ANY)]),
         "one_pass_recall": f"WITH {PARTS}, {AGREEMENT} SELECT count(*) AS true_pairs, {counted}, count(*) FILTER (WHERE {ANY}) AS any_key FROM ag",
@@ -229,10 +282,18 @@ def oracle_sql() -> dict[str, str]:
         "cap_sweep": f"WITH {hits}, r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY bit_count(mask) DESC, {weight} DESC, t) AS rank FROM h) " + " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS cap, count(*) AS pairs, count(*) FILTER (WHERE hit) AS hits FROM r WHERE rank <= {k}" for k in SWEPT),
         "dedup_report": f"WITH u AS ({union_sql()}), n AS (SELECT s1, t, count(*) AS n FROM u GROUP BY 1, 2) SELECT CAST(sum(n) AS BIGINT) AS raw, count(*) AS kept, count(*) FILTER (WHERE n > 1) AS repeated FROM n",
         "candidate_part_gate": f"WITH {masked}, x AS (SELECT s1, t, {bucket_sql('CAST(s1 AS VARCHAR)', 3, 22)} AS chunk FROM m) SELECT (SELECT count(DISTINCT chunk) FROM x) AS parts, (SELECT count(*) - count(DISTINCT (chunk, s1, t)) FROM x) AS repeated_pairs, (SELECT count(*) FROM (SELECT s1 FROM x GROUP BY s1 HAVING count(DISTINCT chunk) > 1)) AS split_entities",
-        "path_equality": f"WITH {SCORES}, one AS ({DECIDE.format('p >= 0.5 AND p >= 0.9 * m')}), c AS (SELECT *, {bucket_sql('CAST(s1 AS VARCHAR)', 3, 3)} AS chunk FROM s), other AS ({by_chunk}) SELECT (SELECT count(*) FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM other)) AS only_first, (SELECT count(*) FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM one)) AS only_second",
+        "path_equality": f"WITH {SCORES}, one AS ({DECIDE.format('p >= 0.5 AND p >= 0.95 * m')}), c AS (SELECT *, {bucket_sql('CAST(s1 AS VARCHAR)', 3, 3)} AS chunk FROM s), other AS ({by_chunk}) SELECT (SELECT count(*) FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM other)) AS only_first, (SELECT count(*) FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM one)) AS only_second",
         "control_agreement": f"WITH {PARTS}, {PART_TRUTH}, pc AS (SELECT pt.s1, pt.t, q.country, {bucket_sql('CAST(pt.s1 AS VARCHAR)', 5, 16)} AS bucket FROM pt JOIN q ON q.id = pt.s1), ct AS (SELECT s1, coalesce(lead(t) OVER w, first_value(t) OVER w) AS t FROM pc WINDOW w AS (PARTITION BY country, bucket ORDER BY s1, t)) {rate('pt', 'true')} UNION ALL {rate('ct', 'control')}",
         "hard_negatives": f"WITH {SCORES}, {TRUTH} SELECT s1, t, round(p, 6) AS p FROM s WHERE NOT EXISTS (SELECT 1 FROM truth g WHERE g.s1 = s.s1 AND g.t = s.t) ORDER BY s.p DESC, s1, t LIMIT 20",
-        "key_df_state_hot": f"WITH {keyed('name')}, n AS (SELECT country, k FROM tk GROUP BY 1, 2 HAVING count(*) > {c.name}) SELECT country, state, k, count(*) AS n FROM tk JOIN n USING (country, k) GROUP BY 1, 2, 3",
+        "hard_positives": f"WITH {SCORES}, {TRUTH} SELECT s.s1, s.t, round(p, 6) AS p FROM s JOIN truth g ON g.s1 = s.s1 AND g.t = s.t ORDER BY s.p, s.s1, s.t LIMIT 20",
+        "hard_negative_counts": f"WITH {features_sql()}, {PART_TRUTH}, l AS (SELECT ff.*, CASE WHEN pt.s1 IS NULL THEN 0 ELSE 1 END AS label FROM ff LEFT JOIN pt ON pt.s1 = ff.s1 AND pt.t = ff.t) SELECT CAST(label AS BIGINT) AS label, coalesce(CAST(f_name_jw >= 0.9 OR f_tok_jacc >= 0.5 OR f_phon_jacc >= 0.5 OR f_addr_jacc >= 0.5 OR f_hn_eq >= 1 OR f_street_eq >= 1 AS VARCHAR), 'unknown') AS hard, count(*) AS pairs FROM l GROUP BY 1, 2",
+        "best_rule": f"SELECT threshold, top_k, relative, macro_f05 FROM ({rule_grid_sql(GRID)}) ORDER BY macro_f05 DESC, threshold DESC, top_k, relative LIMIT 1",
+        "id_codes": "WITH c AS (SELECT c_custkey, c_custkey % 5 AS d FROM customer) SELECT c_custkey, CASE d WHEN 1 THEN c_custkey WHEN 2 THEN 2000000000 + c_custkey WHEN 3 THEN 3000000000 + c_custkey END AS code, d * 10000000000 + c_custkey AS wide, 'S' || d || '-' || c_custkey AS text FROM c",
+        "batch_numbers": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS number, (row_number() OVER (ORDER BY doc_id) - 1) // 256 AS batch FROM documents",
+        "name_grams": "SELECT p_partkey, array_to_string(list_distinct_in_order, ' ') AS grams FROM (SELECT p_partkey, list_filter(g, lambda x, i: list_position(g, x) = i) AS list_distinct_in_order FROM (SELECT p_partkey, flatten([[substr('#' || w || '#', i, 3) FOR i IN range(1, greatest(length(w), 1) + 1)] FOR w IN string_split(lower(p_name), ' ')]) AS g FROM part))",
+        "accents_stripped": "SELECT doc_id, md5(replace(strip_accents(coalesce(text, '')), 'ß', 'ss')) AS plain FROM documents",
+        "catalog": "SELECT table_name AS name, count(*) AS columns FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem') GROUP BY 1",
+        "key_df_state_hot": f"WITH {keyed('name')}, n AS (SELECT country, k FROM tk GROUP BY 1, 2 HAVING count(*) > {HOT}) SELECT country, state, k, count(*) AS n FROM tk JOIN n USING (country, k) GROUP BY 1, 2, 3",
         "hn_df": f"WITH {PARTS} SELECT country, state, hn, count(*) AS n FROM t WHERE state <> '' AND hn <> '' GROUP BY 1, 2, 3",
         "pair_features": f"WITH {features_sql()} SELECT s1, t, {rounded(columns)} FROM ff",
         "pair_array_features": f"WITH {features_sql()} SELECT s1, t, {rounded(ARRAYS)} FROM ff",
@@ -243,5 +304,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def features_columns() -> list[str]:
-    head = "f_name_lc_eq f_key_eq f_keys_overlap f_name_jw f_name_lev f_core_jw f_raw_jw f_tok_jacc f_tok_shared f_tok_contain f_phon_eq f_phon_jacc f_gram_jacc f_len_diff f_ntok_diff f_a_indic f_b_indic f_script_mismatch f_key_freq_log f_a_addr_missing f_b_addr_missing f_both_addr_missing f_state_eq f_hn_eq f_hn_absdiff_log f_street_eq f_street_jw f_place_jacc f_place_shared f_addr_jacc f_addr_shared f_num_jacc f_num_shared f_src".split()
-    return [*head, *(f"m_{n}" for n in M.MASKED), "f_n_strategies", "f_n_cands_log", "f_name_jw_rank", "f_name_jw_gap", "f_addr_jacc_rank", "f_addr_jacc_gap"]
+    return M.FEATURES

@@ -1,4 +1,4 @@
-"""Registered linkage queries: the operators with small caps over the part and document tables, and their SQL."""
+"""Registered linkage queries: the operators with their own caps over the part records, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,16 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kindred.functions.columns import byte_levenshtein, grams, jaccard, share, stable_bucket, tokens
+from kindred.functions import fixed_values as V
 from kindred.functions import text
+from kindred.functions.columns import byte_levenshtein, grams, jaccard, share, stable_bucket, tokens
 from kindred.functions.similarity import fuzzy_ratios, jaro_winkler
 from kindred.operators import blocking as B
 from kindred.operators import matching as M
 from kindred.operators import model as gbt
-from kindred.sources.adapters import PARTS, TRUTH, document_lines, parts, same_text, table
+from kindred.sources.adapters import PARTS, TRUTH, entity_names, part_lines, part_truth, parts, table
 
-CAPS = B.Caps(name=2, name_state=3, phonetic=2, phonetic_state=3, hn=2, token_k=1, token_df=12, addr_df=40, gram_m=5, gram_df=60, gram_shared=2, gram_top=5, compound=4, per_entity=6)
-RULE = {"rule_threshold": M.Rule(0.9), "rule_topk": M.Rule(0.5, top_k=1), "rule_relative": M.Rule(0.5, relative=0.9)}
+CAPS = B.Caps()
+#: Targets of a block in the leg families, and settings of the set-similarity join: the operators' own.
+BLOCK, PREFIX, COMMON, NEAREST = 200, 4, 20_000, 20
+RULE = {"rule_threshold": M.Rule(0.95), "rule_topk": M.Rule(0.5, top_k=1), "rule_relative": M.Rule(0.5, relative=0.95)}
+#: The strategies whose pairs are compared text by text.
+COMPARED = ("structured", "name")
 
 
 def strategy_query(name: str):
@@ -23,7 +28,9 @@ def strategy_query(name: str):
 
 
 def guard_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.two_tier(*parts(spark, sf_dir), "name", CAPS.name, CAPS.name_state, CAPS)[1].select(F.col("raw_pairs").cast("long").alias("raw_pairs"))
+    """Raw pairs of every strategy, from counts alone."""
+    q, t = parts(spark, sf_dir)
+    return B.volumes(B.probes(q, B.Index(t, tuple(B.BITS), CAPS)))
 
 
 def cand_union_mask(spark, sf_dir):
@@ -40,38 +47,53 @@ def candidate_stats(spark, sf_dir):
     return n.select(*(F.col(c).cast("long").alias(c) if c in ("entities", "pairs", "most", "without") else c for c in n.columns))
 
 
-def part_truth(spark, sf_dir):
-    q, t = parts(spark, sf_dir)
-    by = ["country", "name_lc", "hn"]
-    return q.select(F.col("id").alias("s1"), *by).join(t.select(F.col("id").alias("t"), *by), by).select("s1", "t")
-
-
 def candidate_recall(spark, sf_dir):
     return M.candidate_recall(cand_union_mask(spark, sf_dir), part_truth(spark, sf_dir))
 
 
+def recall_by_country(spark, sf_dir):
+    """Recall of candidates by country of the query record and source of the target."""
+    q, _ = parts(spark, sf_dir)
+    return M.recall_by(cand_union_mask(spark, sf_dir), part_truth(spark, sf_dir), q, "country")
+
+
 def setsim_trigram(spark, sf_dir):
-    return B.trigram_join(*parts(spark, sf_dir), prefix=3, most=80, least=0.35, top=5).withColumn("similarity", share(F.col("similarity")))
+    return B.trigram_join(*parts(spark, sf_dir), prefix=PREFIX, most=COMMON, least=0.35, top=NEAREST).withColumn("similarity", share(F.col("similarity")))
+
+
+#: The key expressions of each leg, and the finer key of blocks over the cap.
+LEGS = {
+    "leg_exact": lambda: [(F.col("name_key"), None)],
+    "leg_core": lambda: [(F.nullif("core", F.lit("")), None)],
+    "leg_alias": lambda: [(F.explode(F.filter("keys", lambda k: k != "")), None), (F.col("core"), None)],
+    "leg_website": lambda: [(F.concat("name_key", F.lit(".com")), None), (F.concat("core", F.lit(".com")), None)],
+    "leg_state_house": lambda: [(F.concat_ws("|", F.nullif("state", F.lit("")), "hn"), F.col("street"))],
+    "leg_place_number": lambda: [(F.explode(F.flatten(F.transform("places", lambda p: F.transform("numbers", lambda n: F.concat_ws("|", "state", p, n))))), None)],
+    "leg_phonetic": lambda: [(F.col("phon_key"), None), (F.explode("phon_tokens"), None)],
+    "leg_rare_token": lambda: [(F.explode("name_tokens"), None)],
+}
+
+
+def sides(kind: str, spark, sf_dir) -> list[tuple[DataFrame, DataFrame]]:
+    """(query side, target side) of each leg."""
+    q, t = parts(spark, sf_dir)
+    side = lambda x, c, key, fine=None: x.select(F.col("id").alias(c), "country", key.alias("key"), *([fine.alias("fine")] if fine is not None else [])).where("key IS NOT NULL")
+    return [(side(q, "s1", *k), side(t, "t", *k)) for k in LEGS[kind]()]
 
 
 def leg(kind: str):
-    """One leg family of the alternative blocking library: (s1, t) with blocks of at most eight targets."""
+    """One leg family of the other blocking library: (s1, t) with blocks of at most ``BLOCK`` targets."""
+    return lambda spark, sf_dir: B.capped_key_join(sides(kind, spark, sf_dir), BLOCK)
 
-    def run(spark, sf_dir):
-        q, t = parts(spark, sf_dir)
-        side = lambda x, c, key, fine=None: x.select(F.col("id").alias(c), "country", key.alias("key"), *([fine.alias("fine")] if fine is not None else [])).where("key IS NOT NULL")
-        keys = {
-            "leg_exact": [(F.col("name_key"), None)],
-            "leg_alias": [(F.col("name_key"), None), (F.col("core"), None)],
-            "leg_website": [(F.concat("name_key", F.lit(".com")), None)],
-            "leg_state_house": [(F.concat_ws("|", F.nullif("state", F.lit("")), "hn"), F.col("street"))],
-            "leg_place_number": [(F.explode(F.transform("places", lambda p: F.concat_ws("|", "state", p, "hn"))), None)],
-            "leg_phonetic": [(F.col("phon_key"), None), (F.explode("phon_tokens"), None)],
-            "leg_rare_token": [(F.explode("name_tokens"), None)],
-        }[kind]
-        return B.capped_key_join([(side(q, "s1", *k), side(t, "t", *k)) for k in keys], 8)
 
-    return run
+def leg_statistics(spark, sf_dir):
+    """Seven figures of each leg: blocks and targets, and what the cap keeps of them and of the pairs."""
+    found = None
+    for kind in LEGS:
+        for number, (q, t) in enumerate(sides(kind, spark, sf_dir), 1):
+            one = B.leg_statistics(q, t, BLOCK).select(F.concat(F.lit(kind), F.lit(f"_{number}")).alias("leg"), "*")
+            found = one if found is None else found.unionByName(one)
+    return found
 
 
 def token_df(spark, sf_dir):
@@ -87,29 +109,21 @@ def key_df_name(spark, sf_dir):
 
 
 def hn_refined_df(spark, sf_dir):
-    return B.frequency(B.refinements(parts(spark, sf_dir)[1]), "country", "state", "hn", "r")
+    return B.frequency(B.key_rows(parts(spark, sf_dir)[1], "refined", CAPS), "country", "state", "k")
 
 
 def compound_df_query_keys(spark, sf_dir):
-    q, t = (B.compound_rows(x) for x in parts(spark, sf_dir))
+    q, t = (B.key_rows(x, "compound", CAPS) for x in parts(spark, sf_dir))
     by = ["country", "state", "k"]
     return B.frequency(t.join(q.select(by).distinct(), by, "left_semi"), *by)
 
 
 def lines(spark, sf_dir):
-    """Candidate pairs of documents with a first line in common, by language, in blocks of at most forty targets."""
-    d = document_lines(spark, sf_dir).drop("text")
-    q, t = d.where("id % 3 = 0"), d.where("id % 3 <> 0")
-    head = F.substring("line", 1, 12)
-    key = lambda x, c: x.select(F.col("id").alias(c), "country", head.alias("key"))
-    met = B.capped_key_join([(key(q, "s1"), key(t, "t"))], 40)
-    return met.join(q.select(F.col("id").alias("s1"), F.col("line").alias("a")), "s1").join(t.select(F.col("id").alias("t"), F.col("line").alias("b")), "t")
-
-
-LINES = """
-d AS (SELECT doc_id AS id, lower(trim(coalesce(lang, ''))) AS country, lower(split_part(text, chr(10), 1)) AS line FROM documents),
-big AS (SELECT country, substr(line, 1, 12) AS k FROM d WHERE id % 3 <> 0 GROUP BY 1, 2 HAVING count(DISTINCT id) <= 40),
-met AS (SELECT DISTINCT x.id AS s1, y.id AS t, x.line AS a, y.line AS b FROM d x JOIN big ON big.country = x.country AND big.k = substr(x.line, 1, 12) JOIN d y ON y.country = x.country AND substr(y.line, 1, 12) = big.k AND y.id % 3 <> 0 WHERE x.id % 3 = 0)"""
+    """(s1, t, a, b): the whole texts of both records of each pair that the compared strategies find."""
+    q, t = parts(spark, sf_dir)
+    met = B.union_mask(q, t, COMPARED, CAPS).select("s1", "t")
+    text_of = part_lines(spark, sf_dir)
+    return met.join(text_of.select(F.col("id").alias("s1"), F.col("line").alias("a")), "s1").join(text_of.select(F.col("id").alias("t"), F.col("line").alias("b")), "t")
 
 
 def pair_similarity(spark, sf_dir):
@@ -127,21 +141,21 @@ def rule_query(name):
 
 
 def universe(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("s1"))
+    return parts(spark, sf_dir)[0].select(F.col("id").alias("s1"))
 
 
 def macro_metrics(spark, sf_dir):
-    return M.evaluate(M.decide(scores(spark, sf_dir), RULE["rule_threshold"]), same_text(spark, sf_dir), universe(spark, sf_dir))
+    return M.evaluate(M.decide(scores(spark, sf_dir), RULE["rule_threshold"]), part_truth(spark, sf_dir), universe(spark, sf_dir))
 
 
 def rule_grid(spark, sf_dir):
     rules = M.rule_grid(spark, (0.7, 0.8, 0.9, 0.95), (0, 1, 3), (0.0, 0.95))
-    x = M.search_rules(scores(spark, sf_dir), rules, same_text(spark, sf_dir), universe(spark, sf_dir))
+    x = M.search_rules(scores(spark, sf_dir), rules, part_truth(spark, sf_dir), universe(spark, sf_dir))
     return x.withColumn("top_k", F.col("top_k").cast("long"))
 
 
 def entity_f05(spark, sf_dir):
-    n = M.entity_counts(M.decide(scores(spark, sf_dir), RULE["rule_threshold"]), same_text(spark, sf_dir), universe(spark, sf_dir))
+    n = M.entity_counts(M.decide(scores(spark, sf_dir), RULE["rule_threshold"]), part_truth(spark, sf_dir), universe(spark, sf_dir))
     return n.withColumn("f05", F.round(M.f05(F.col("n_true"), F.col("n_pred"), F.col("hits")), 6))
 
 
@@ -165,7 +179,7 @@ def stable_split(spark, sf_dir):
 
 def stratified_sample(spark, sf_dir):
     """Hard negatives all, easy ones one in ten with weight ten, positives all; null predicates count as easy."""
-    x = scores(spark, sf_dir).join(same_text(spark, sf_dir).withColumn("label", F.lit(1)), ["s1", "t"], "left")
+    x = scores(spark, sf_dir).join(part_truth(spark, sf_dir).withColumn("label", F.lit(1)), ["s1", "t"], "left")
     hard = F.coalesce(F.col("p") >= 0.85, F.lit(False))
     rate = F.when((F.col("label") == 1) | hard, 1.0).otherwise(0.1)
     key = F.concat_ws("|", "s1", "t")
@@ -181,36 +195,49 @@ def pair_features(spark, sf_dir):
 
 def pair_fuzzy(spark, sf_dir):
     x = lines(spark, sf_dir).withColumn("r", fuzzy_ratios("a", "b"))
-    return x.select("s1", "t", "r.*")
+    return x.select("s1", "t", *(share(F.col(f"r.{c}")).alias(c) for c in ("ratio", "token_sort", "token_set")))
 
 
 def names_struct(spark, sf_dir):
-    return document_lines(spark, sf_dir).select("id", text.names("line").alias("n")).select("id", "n.core_latin", "n.compact", "n.phonetic", "n.website", "n.script")
+    """The name ladder of every customer, supplier, part and page host."""
+    x = entity_names(spark, sf_dir).select("source", "id", text.names("name").alias("n"))
+    return x.select("source", "id", "n.canonical", "n.core_latin", "n.compact", "n.phonetic", "n.website", "n.website_label", "n.script")
 
 
-def address_struct(spark, sf_dir):
+def customer_addresses(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    raw = F.concat_ws(", ", F.concat(F.col("c_custkey").cast("string"), F.lit(" Main Street")), F.lower("c_mktsegment"), F.col("n_name"))
-    return c.select("c_custkey", text.addresses(raw, F.lit("us")).alias("a")).select("c_custkey", "a.house", "a.street", "a.city", "a.state")
+    raw = F.concat_ws(", ", F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit(" Main Street")), F.lower("c_mktsegment"), F.lit("Springfield City"), F.when(F.col("c_nationkey") % 2 == 0, "Texas").otherwise("null"), F.col("n_name"))
+    return c.select("c_custkey", text.addresses(raw, F.lit("us")).alias("a"))
+
+
+def address_struct(spark, sf_dir):
+    return customer_addresses(spark, sf_dir).select("c_custkey", "a.normalized", "a.house", "a.house_core", "a.street", "a.city", "a.state", F.array_join("a.places", "|").alias("places"), F.array_join("a.numbers", " ").alias("numbers"), F.col("a.noise_removed").cast("long").alias("noise_removed"))
 
 
 def transliterated(spark, sf_dir):
-    return document_lines(spark, sf_dir).select("id", text.text_column("transliterated", "line").alias("latin"), text.text_column("sound_key", "line").alias("sound"))
+    """Whole documents in plain Latin letters, and the lengths of their sound keys."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.text_column("transliterated", "text").cast("binary")).alias("latin"), F.md5(text.text_column("sound_key", "text").cast("binary")).alias("sound"))
+
+
+def sound_keys(spark, sf_dir):
+    """Sound keys of the ASCII words of whole documents, in built-in functions only."""
+    plain = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z0-9]+", " ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.ascii_sound_key(plain).cast("binary")).alias("sound"))
 
 
 def gbt_scores(spark, sf_dir):
     """Trees fitted on the labelled pairs of the training split, scores for all pairs."""
     q, t = parts(spark, sf_dir)
     rows = M.features(cand_union_mask(spark, sf_dir), q, t).join(part_truth(spark, sf_dir).withColumn("label", F.lit(1.0)), ["s1", "t"], "left").fillna({"label": 0.0}).withColumn("weight", F.lit(1.0))
-    model = gbt.train(rows.where(stable_bucket(F.col("s1"), 42, 100) >= 20), gbt.GbtParams(trees=5, depth=4))
+    model = gbt.train(rows.where(stable_bucket(F.col("s1"), 42, 100) >= 20))
     return gbt.score(model, rows).withColumn("p", share(F.col("p")))
 
 
 def queries() -> dict:
     found = {f"cand_{n}": strategy_query(n) for n in B.BITS}
-    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, setsim_trigram, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy, names_struct, address_struct, transliterated, gbt_scores)}
+    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, recall_by_country, setsim_trigram, leg_statistics, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy, names_struct, address_struct, transliterated, sound_keys, gbt_scores)}
     found |= {n: rule_query(n) for n in RULE}
-    return found | {n: leg(n) for n in ("leg_exact", "leg_alias", "leg_website", "leg_state_house", "leg_place_number", "leg_phonetic", "leg_rare_token")}
+    return found | {n: leg(n) for n in LEGS}
 
 
 # ---- the same in SQL ----
@@ -220,9 +247,9 @@ KEYS = {
     "phonetic": "SELECT id, country, state, phon AS k FROM {0} WHERE phon <> ''",
     "rare_name": "SELECT DISTINCT id, country, state, unnest(string_split(name_lc, ' ')) AS k FROM {0}",
     "rare_phon": "SELECT * FROM (SELECT DISTINCT id, country, state, unnest(string_split(phon, ' ')) AS k FROM {0}) WHERE k <> ''",
-    "rare_addr": "SELECT DISTINCT id, country, state, unnest(string_split(type_lc, ' ')) AS k FROM {0}",
+    "rare_addr": "SELECT DISTINCT id, country, state, unnest(addr) AS k FROM {0}",
     "ngram": "SELECT DISTINCT id, country, state, substr('#' || name_key || '#', i, 3) AS k FROM (SELECT *, unnest(range(1, length(name_key) + 1)) AS i FROM {0})",
-    "compound": "SELECT DISTINCT id, country, state, w || '#' || p AS k FROM (SELECT id, country, state, w, unnest(string_split(phon, ' ')) AS p FROM (SELECT *, unnest(['h:' || hn, 'p:' || place]) AS w FROM {0} WHERE state <> '')) WHERE p <> ''",
+    "compound": "SELECT DISTINCT id, country, state, w || '#' || p AS k FROM (SELECT id, country, state, w, unnest(string_split(phon, ' ')) AS p FROM (SELECT *, unnest(list_concat(['h:' || hn], list_transform(places, lambda p: 'p:' || p))) AS w FROM {0} WHERE state <> '')) WHERE p <> ''",
 }
 
 
@@ -239,7 +266,7 @@ def strategy_sql(kind: str) -> str:
         UNION SELECT a.id, b.id FROM qs a JOIN s ON s.country = a.country AND s.state = a.state AND s.k = a.k AND s.n <= {high} JOIN tk b ON b.country = a.country AND b.state = a.state AND b.k = a.k"""
     if kind == "structured":
         return f"""{PARTS}, n AS (SELECT country, state, hn, count(*) AS n FROM t WHERE state <> '' AND hn <> '' GROUP BY 1, 2, 3),
-        qr AS (SELECT DISTINCT id, country, state, hn, unnest(['p:' || place, 's:' || street]) AS r FROM q WHERE state <> ''), tr AS (SELECT DISTINCT id, country, state, hn, unnest(['p:' || place, 's:' || street]) AS r FROM t WHERE state <> ''),
+        qr AS (SELECT DISTINCT id, country, state, hn, unnest(list_concat(list_transform(places, lambda p: 'p:' || p), ['s:' || street])) AS r FROM q WHERE state <> ''), tr AS (SELECT DISTINCT id, country, state, hn, unnest(list_concat(list_transform(places, lambda p: 'p:' || p), ['s:' || street])) AS r FROM t WHERE state <> ''),
         f AS (SELECT country, state, hn, r, count(DISTINCT id) AS n FROM tr GROUP BY 1, 2, 3, 4)
         SELECT a.id AS s1, b.id AS t FROM q a JOIN n USING (country, state, hn) JOIN t b USING (country, state, hn) WHERE n.n <= {c.hn}
         UNION SELECT a.id, b.id FROM qr a JOIN n USING (country, state, hn) JOIN f USING (country, state, hn, r) JOIN tr b USING (country, state, hn, r) WHERE n.n > {c.hn} AND f.n <= {c.hn}"""
@@ -259,12 +286,85 @@ def union_sql() -> str:
 MASKED = f"u AS ({{}}), m AS (SELECT s1, t, CAST(bit_or(bit) AS INTEGER) AS mask FROM u GROUP BY 1, 2)"
 
 
-def capped_legs_sql(legs: list[str], most: int = 8) -> str:
+def capped_legs_sql(legs: list[str], most: int = BLOCK) -> str:
     """``legs``: key expressions over a record row; unnest() in one makes several keys."""
     one = lambda k: f"""SELECT x.id AS s1, y.id AS t FROM (SELECT DISTINCT id, country, {k} AS k FROM q) x JOIN (SELECT country, k FROM (SELECT DISTINCT id, country, {k} AS k FROM t) GROUP BY 1, 2 HAVING count(*) <= {most}) s ON s.country = x.country AND s.k = x.k JOIN (SELECT DISTINCT id, country, {k} AS k FROM t) y ON y.country = x.country AND y.k = x.k"""
     return f"WITH {PARTS} SELECT DISTINCT s1, t FROM (" + " UNION ".join(map(one, legs)) + ")"
 
 
+LEG_KEYS = {
+    "leg_exact": ["name_key"],
+    "leg_core": ["nullif(name_lc, '')"],
+    "leg_alias": ["name_key", "name_lc"],
+    "leg_website": ["name_key || '.com'", "name_lc || '.com'"],
+    "leg_state_house": ["CASE WHEN state = '' THEN hn ELSE state || '|' || hn END"],
+    "leg_place_number": ["unnest(flatten(list_transform(places, lambda p: list_transform(numbers, lambda n: state || '|' || p || '|' || n))))"],
+    "leg_phonetic": ["phon", "unnest(string_split(phon, ' '))"],
+    "leg_rare_token": ["unnest(string_split(name_lc, ' '))"],
+}
+
+
+def leg_statistics_sql() -> str:
+    rows = []
+    for kind, keys in LEG_KEYS.items():
+        for number, key in enumerate(keys, 1):
+            side = lambda x: f"(SELECT country, k, count(*) AS n FROM (SELECT DISTINCT id, country, {key} AS k FROM {x}) WHERE k IS NOT NULL GROUP BY 1, 2)"  # noqa: E731, B023
+            rows.append(
+                f"SELECT '{kind}_{number}' AS leg, count(*) AS blocks, CAST(sum(y.n) AS BIGINT) AS targets, max(y.n) AS largest, count(*) FILTER (WHERE y.n <= {BLOCK}) AS kept_blocks, CAST(coalesce(sum(y.n) FILTER (WHERE y.n <= {BLOCK}), 0) AS BIGINT) AS kept_targets, "
+                f"CAST(coalesce(sum(y.n * coalesce(x.n, 0)), 0) AS BIGINT) AS raw_pairs, CAST(coalesce(sum(y.n * coalesce(x.n, 0)) FILTER (WHERE y.n <= {BLOCK}), 0) AS BIGINT) AS kept_pairs FROM {side('t')} y LEFT JOIN {side('q')} x USING (country, k)"
+            )
+    return f"WITH {PARTS} " + " UNION ALL ".join(rows)
+
+
+def raw_pairs_sql(kind: str) -> str:
+    """(raw_pairs) of one strategy: what its joins would make."""
+    c = CAPS
+    if kind in ("name", "phonetic"):
+        low, high = (c.name, c.name_state) if kind == "name" else (c.phonetic, c.phonetic_state)
+        return f"WITH {keyed(kind)}, n AS (SELECT country, k, count(*) AS n FROM tk GROUP BY 1, 2), s AS (SELECT country, state, k, count(*) AS n FROM tk JOIN n USING (country, k) WHERE n.n > {low} GROUP BY 1, 2, 3) SELECT (SELECT coalesce(sum(n.n), 0) FROM qk JOIN n USING (country, k) WHERE n.n <= {low}) + (SELECT coalesce(sum(s.n), 0) FROM qs JOIN s USING (country, state, k) WHERE s.n <= {high}) AS raw_pairs"
+    if kind == "structured":
+        cut = strategy_sql(kind).split("SELECT a.id AS s1")[0]
+        return f"WITH {cut} SELECT (SELECT coalesce(sum(n.n), 0) FROM q a JOIN n USING (country, state, hn) WHERE n.n <= {c.hn}) + (SELECT coalesce(sum(f.n), 0) FROM qr a JOIN n USING (country, state, hn) JOIN f USING (country, state, hn, r) WHERE n.n > {c.hn} AND f.n <= {c.hn}) AS raw_pairs"
+    counted = f"WITH {keyed(kind)}, n AS (SELECT country, state, k, count(*) AS n FROM tk GROUP BY 1, 2, 3)"
+    if kind == "compound":
+        return f"{counted} SELECT coalesce(sum(n.n), 0) AS raw_pairs FROM qk JOIN n USING (country, state, k) WHERE n.n <= {c.compound}"
+    most, k = {"rare_addr": (c.addr_df, c.token_k), "ngram": (c.gram_df, c.gram_m)}.get(kind, (c.token_df, c.token_k))
+    return f"{counted}, r AS (SELECT n.n FROM qs a JOIN n USING (country, state, k) WHERE n.n <= {most} QUALIFY row_number() OVER (PARTITION BY a.id, state ORDER BY n.n, k) <= {k}) SELECT coalesce(sum(n), 0) AS raw_pairs FROM r"
+
+
+def sound_sql(x: str) -> str:
+    """The sound key of a lower-case ASCII text of words."""
+    w = "regexp_replace(w, '^yu', 'u')"
+    for a, b in V.SOUNDS:
+        w = f"replace({w}, '{a}', '{b}')"
+    w = f"substr(v, 1, 1) || regexp_replace(substr(v, 2), '[aeiouy]', '', 'g') FOR v IN [{w}]"
+    w = f"([{w}])[1]"
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        w = f"regexp_replace({w}, '{c}{c}+', '{c}', 'g')"
+    return f"array_to_string(list_filter([regexp_replace({w}, '^[aeiou]', 'a') FOR w IN string_split({x}, ' ')], lambda y: y <> ''), ' ')"
+
+
+def names_sql() -> str:
+    """Names of this data: no legal forms, no aliases; hosts under the usual endings."""
+    words = "trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g'))"
+    host = "regexp_replace(lower(name), '^www[.]', '')"
+    return f"""WITH n AS (SELECT 'customer' AS source, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part
+        UNION ALL SELECT 'pages', page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) FROM pages),
+      x AS (SELECT source, CAST(id AS BIGINT) AS id, {words} AS canonical, CASE WHEN source = 'pages' THEN {host} ELSE '' END AS website FROM n),
+      y AS (SELECT *, CASE WHEN website = '' THEN '' ELSE replace(string_split(website, '.')[-2], '-', '') END AS website_label FROM x),
+      z AS (SELECT *, CASE WHEN website = '' THEN canonical ELSE website_label END AS core_latin FROM y)
+      SELECT source, id, canonical, core_latin, replace(core_latin, ' ', '') AS compact, {sound_sql('core_latin')} AS phonetic, website, website_label, 'latin' AS script FROM z"""
+
+
+ADDRESSES = """WITH a AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS house, CASE lower(c_mktsegment) WHEN 'building' THEN 'bldg' ELSE lower(c_mktsegment) END AS part, c_nationkey % 2 = 0 AS texan, replace(lower(n_name), '_', ' ') AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, concat_ws(', ', house || ' main st', part, 'springfield city', CASE WHEN texan THEN 'tx' END, nation) AS normalized, house, house AS house_core, 'main st' AS street, 'springfield' AS city, CASE WHEN texan THEN 'tx' ELSE '' END AS state,
+  CASE part WHEN 'bldg' THEN 'springfield' ELSE part || '|springfield' END AS places, CASE WHEN house = split_part(nation, ' ', 2) THEN house ELSE house || ' ' || split_part(nation, ' ', 2) END AS numbers, CAST(CASE WHEN texan THEN 0 ELSE 1 END AS BIGINT) AS noise_removed FROM a"""
+
+SOUNDS = "WITH d AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g') AS plain FROM documents) SELECT doc_id, md5(" + "{}" + ") AS sound FROM d"
+
+LINES = f"""
+{PARTS},
+met AS (SELECT s1, t, a.line AS a, b.line AS b FROM (SELECT DISTINCT s1, t FROM ({{}})) JOIN rec a ON a.id = s1 JOIN rec b ON b.id = t)""".format(" UNION ALL ".join(f"SELECT s1, t FROM (WITH {strategy_sql(n)})" for n in COMPARED))
 DECIDE = "SELECT s1, t, p FROM (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, t) AS r, max(p) OVER (PARTITION BY s1) AS m FROM s) WHERE {}"
 SCORES = LINES + ", s AS (SELECT s1, t, jaro_winkler_similarity(a, b) AS p FROM met)"
 COUNTS = "c AS (SELECT u.s1, (SELECT count(*) FROM truth x WHERE x.s1 = u.s1) AS n_true, (SELECT count(*) FROM d2 x WHERE x.s1 = u.s1) AS n_pred, (SELECT count(*) FROM d2 x JOIN truth y ON x.s1 = y.s1 AND x.t = y.t WHERE x.s1 = u.s1) AS hits FROM universe u)"
@@ -276,47 +376,51 @@ def bucket_sql(key: str, salt: int, parts_: int) -> str:
     return f"CAST('0x' || substr(md5({key} || '|{salt}'), 1, 8) AS BIGINT) % {parts_}"
 
 
+def rule_grid_sql(rules: dict) -> str:
+    grid = ", ".join(f"({a}, {k}, {r})" for a in rules["threshold"] for k in rules["top_k"] for r in rules["relative"])
+    return f"""WITH {SCORES}, {TRUTH}, g AS (SELECT CAST(a AS DOUBLE) AS threshold, CAST(b AS BIGINT) AS top_k, CAST(c AS DOUBLE) AS relative FROM (VALUES {grid}) v(a, b, c)),
+      x AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, t) AS r, max(p) OVER (PARTITION BY s1) AS m FROM s),
+      d2 AS (SELECT g.*, x.s1, x.t FROM x JOIN g ON p >= threshold AND (top_k = 0 OR r <= top_k) AND (relative = 0 OR p >= relative * m)),
+      real AS (SELECT s1, count(*) AS n FROM truth GROUP BY 1), made AS (SELECT threshold, top_k, relative, d2.s1, count(*) AS n, count(truth.t) AS h FROM d2 LEFT JOIN truth ON truth.s1 = d2.s1 AND truth.t = d2.t GROUP BY 1, 2, 3, 4),
+      c AS (SELECT g.*, u.s1, coalesce(real.n, 0) AS n_true, coalesce(made.n, 0) AS n_pred, coalesce(made.h, 0) AS hits FROM universe u CROSS JOIN g LEFT JOIN real ON real.s1 = u.s1 LEFT JOIN made ON made.s1 = u.s1 AND made.threshold = g.threshold AND made.top_k = g.top_k AND made.relative = g.relative)
+      SELECT threshold, top_k, relative, count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c GROUP BY 1, 2, 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     c = CAPS
     found = {f"cand_{n}": f"WITH {strategy_sql(n)}" for n in B.BITS}
     masked = MASKED.format(union_sql())
     weight = " + ".join(f"CASE WHEN mask & {B.BITS[n]} > 0 THEN {1 << (len(B.DEFAULT) - i)} ELSE 0 END" for i, n in enumerate(B.DEFAULT))
     found |= {
-        "guard_estimate": f"WITH {keyed('name')}, n AS (SELECT country, k, count(*) AS n FROM tk GROUP BY 1, 2), s AS (SELECT country, state, k, count(*) AS n FROM tk JOIN n USING (country, k) WHERE n.n > {c.name} GROUP BY 1, 2, 3) SELECT CAST((SELECT coalesce(sum(n.n), 0) FROM qk JOIN n USING (country, k) WHERE n.n <= {c.name}) + (SELECT coalesce(sum(s.n), 0) FROM qs JOIN s USING (country, state, k) WHERE s.n <= {c.name_state}) AS BIGINT) AS raw_pairs",
+        "guard_estimate": " UNION ALL ".join(f"SELECT '{n}' AS strategy, CAST(raw_pairs AS BIGINT) AS raw_pairs FROM ({raw_pairs_sql(n)}) WHERE raw_pairs > 0" for n in B.BITS),
         "cand_union_mask": f"WITH {masked} SELECT s1, t, mask FROM m",
         "cand_capped": f"WITH {masked} SELECT s1, t, mask FROM m QUALIFY row_number() OVER (PARTITION BY s1 ORDER BY bit_count(mask) DESC, {weight} DESC, t) <= {c.per_entity}",
         "candidate_stats": f"WITH {masked}, e AS (SELECT p_partkey AS s1, (SELECT count(*) FROM m WHERE m.s1 = p_partkey) AS n FROM part WHERE p_partkey % 4 = 0) SELECT count(*) AS entities, CAST(sum(n) AS BIGINT) AS pairs, round(avg(n), 6) AS average, round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.95), 6) AS p95, max(n) AS most, CAST(count(*) FILTER (WHERE n = 0) AS BIGINT) AS without FROM e",
         "candidate_recall": f"WITH {masked}, {PARTS}, g AS (SELECT q.id AS s1, t.id AS t FROM q JOIN t USING (country, name_lc, hn)), x AS (SELECT g.*, coalesce(m.mask, 0) AS mask FROM g LEFT JOIN m ON m.s1 = g.s1 AND m.t = g.t) SELECT count(*) AS true_pairs, count(*) FILTER (WHERE mask > 0) AS found, " + ", ".join(f"count(*) FILTER (WHERE mask & {b} > 0) AS found_{n}" for n, b in B.BITS.items()) + " FROM x",
-        "setsim_trigram": f"WITH {keyed('ngram')}, n AS (SELECT country, k, count(*) AS n FROM tk GROUP BY 1, 2), r AS (SELECT a.id, country, k FROM qk a JOIN n USING (country, k) WHERE n.n <= 80 QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY n.n, k) <= 3), met AS (SELECT DISTINCT r.id AS s1, b.id AS t FROM r JOIN tk b USING (country, k)), qn AS (SELECT id, count(*) AS n FROM qk GROUP BY 1), tn AS (SELECT id, count(*) AS n FROM tk GROUP BY 1), x AS (SELECT s1, t, (SELECT n FROM qn WHERE id = s1) AS a, (SELECT n FROM tn WHERE id = t) AS b, (SELECT count(*) FROM qk JOIN tk ON qk.k = tk.k WHERE qk.id = s1 AND tk.id = t) AS same FROM met) SELECT s1, t, round(same / (a + b - same), 6) AS similarity FROM x WHERE same / (a + b - same) >= 0.35 QUALIFY row_number() OVER (PARTITION BY s1 ORDER BY same / (a + b - same) DESC, t) <= 5",
+        "recall_by_country": f"WITH {masked}, {PARTS}, g AS (SELECT q.id AS s1, t.id AS t, country FROM q JOIN t USING (country, name_lc, hn)) SELECT country, g.t // 1000000000 AS source, count(*) AS true_pairs, count(m.s1) AS found, round(count(m.s1) / count(*), 6) AS recall FROM g LEFT JOIN m ON m.s1 = g.s1 AND m.t = g.t GROUP BY 1, 2",
+        "setsim_trigram": f"WITH {keyed('ngram')}, n AS (SELECT country, k, count(*) AS n FROM tk GROUP BY 1, 2), r AS (SELECT a.id, country, k FROM qk a JOIN n USING (country, k) WHERE n.n <= {COMMON} QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY n.n, k) <= {PREFIX}), met AS (SELECT DISTINCT r.id AS s1, b.id AS t FROM r JOIN tk b USING (country, k)), qn AS (SELECT id, count(*) AS n FROM qk GROUP BY 1), tn AS (SELECT id, count(*) AS n FROM tk GROUP BY 1), x AS (SELECT s1, t, (SELECT n FROM qn WHERE id = s1) AS a, (SELECT n FROM tn WHERE id = t) AS b, (SELECT count(*) FROM qk JOIN tk ON qk.k = tk.k WHERE qk.id = s1 AND tk.id = t) AS same FROM met) SELECT s1, t, round(same / (a + b - same), 6) AS similarity FROM x WHERE same / (a + b - same) >= 0.35 QUALIFY row_number() OVER (PARTITION BY s1 ORDER BY same / (a + b - same) DESC, t) <= {NEAREST}",
         "token_df": f"WITH {keyed('rare_name')} SELECT country, state, k, count(*) AS n FROM tk GROUP BY 1, 2, 3",
         "gram_df": f"WITH {keyed('ngram')} SELECT country, state, k, count(*) AS n FROM tk GROUP BY 1, 2, 3",
         "key_df_name": f"WITH {keyed('name')} SELECT country, k, count(*) AS n FROM tk GROUP BY 1, 2",
-        "hn_refined_df": f"WITH {PARTS} SELECT country, state, hn, r, count(DISTINCT id) AS n FROM (SELECT id, country, state, hn, unnest(['p:' || place, 's:' || street]) AS r FROM t WHERE state <> '') GROUP BY 1, 2, 3, 4",
+        "hn_refined_df": f"WITH {PARTS} SELECT country, state, hn || '|' || r AS k, count(DISTINCT id) AS n FROM (SELECT id, country, state, hn, unnest(list_concat(list_transform(places, lambda p: 'p:' || p), ['s:' || street])) AS r FROM t WHERE state <> '') GROUP BY 1, 2, 3",
         "compound_df_query_keys": f"WITH {keyed('compound')} SELECT country, state, k, count(*) AS n FROM tk WHERE (country, state, k) IN (SELECT country, state, k FROM qk) GROUP BY 1, 2, 3",
-        "leg_exact": capped_legs_sql(["name_key"]),
-        "leg_alias": capped_legs_sql(["name_key", "name_lc"]),
-        "leg_website": capped_legs_sql(["name_key || '.com'"]),
-        "leg_phonetic": capped_legs_sql(["phon", "unnest(string_split(phon, ' '))"]),
-        "leg_rare_token": capped_legs_sql(["unnest(string_split(name_lc, ' '))"]),
-        "leg_place_number": capped_legs_sql(["state || '|' || place || '|' || hn"]),
-        "leg_state_house": f"WITH {PARTS}, qh AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM q), th AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM t), n AS (SELECT country, k, count(DISTINCT id) AS n FROM th GROUP BY 1, 2), f AS (SELECT country, k, street, count(DISTINCT id) AS n FROM th GROUP BY 1, 2, 3) SELECT qh.id AS s1, th.id AS t FROM qh JOIN n USING (country, k) JOIN th USING (country, k) WHERE n.n <= 8 UNION SELECT qh.id, th.id FROM qh JOIN n USING (country, k) JOIN f USING (country, k, street) JOIN th USING (country, k, street) WHERE n.n > 8 AND f.n <= 8",
+        **{n: capped_legs_sql(keys) for n, keys in LEG_KEYS.items() if n != "leg_state_house"},
+        "leg_statistics": leg_statistics_sql(),
+        "names_struct": names_sql(),
+        "address_struct": ADDRESSES,
+        "sound_keys": SOUNDS.format(sound_sql("plain")),
+        "leg_state_house": f"WITH {PARTS}, qh AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM q), th AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM t), n AS (SELECT country, k, count(DISTINCT id) AS n FROM th GROUP BY 1, 2), f AS (SELECT country, k, street, count(DISTINCT id) AS n FROM th GROUP BY 1, 2, 3) SELECT qh.id AS s1, th.id AS t FROM qh JOIN n USING (country, k) JOIN th USING (country, k) WHERE n.n <= {BLOCK} UNION SELECT qh.id, th.id FROM qh JOIN n USING (country, k) JOIN f USING (country, k, street) JOIN th USING (country, k, street) WHERE n.n > {BLOCK} AND f.n <= {BLOCK}",
         "pair_similarity": f"WITH {LINES}, x AS (SELECT *, list_filter(list_distinct(string_split(a, ' ')), lambda w: w <> '') AS ta, list_filter(list_distinct(string_split(b, ' ')), lambda w: w <> '') AS tb, CASE WHEN a = '' THEN [] ELSE list_distinct(list_transform(range(1, length(a) + 1), lambda i: substr('#' || a || '#', i, 3))) END AS ga, CASE WHEN b = '' THEN [] ELSE list_distinct(list_transform(range(1, length(b) + 1), lambda i: substr('#' || b || '#', i, 3))) END AS gb FROM met) SELECT s1, t, round(jaro_winkler_similarity(a, b), 6) AS jw, CAST(levenshtein(a, b) AS BIGINT) AS lev, {JACC.format('ta', 'tb')} AS tok_jacc, {JACC.format('ga', 'gb')} AS gram_jacc FROM x",
-        "rule_threshold": f"WITH {SCORES} SELECT s1, t, round(p, 6) AS p FROM ({DECIDE.format('p >= 0.9')})",
+        "rule_threshold": f"WITH {SCORES} SELECT s1, t, round(p, 6) AS p FROM ({DECIDE.format('p >= 0.95')})",
         "rule_topk": f"WITH {SCORES} SELECT s1, t, round(p, 6) AS p FROM ({DECIDE.format('p >= 0.5 AND r <= 1')})",
-        "rule_relative": f"WITH {SCORES} SELECT s1, t, round(p, 6) AS p FROM ({DECIDE.format('p >= 0.5 AND p >= 0.9 * m')})",
-        "entity_f05": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.9')}), {COUNTS} SELECT s1, n_true, n_pred, hits, round({F05}, 6) AS f05 FROM c",
-        "singleton_report": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.9')}), {COUNTS} SELECT n_true = 0 AS singleton, count(*) AS entities, count(*) FILTER (WHERE n_pred = 0) AS nothing_predicted, round(avg(n_pred), 6) AS average_predicted FROM c GROUP BY 1",
-        "macro_metrics": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.9')}), {COUNTS} SELECT count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c",
+        "rule_relative": f"WITH {SCORES} SELECT s1, t, round(p, 6) AS p FROM ({DECIDE.format('p >= 0.5 AND p >= 0.95 * m')})",
+        "entity_f05": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}), {COUNTS} SELECT s1, n_true, n_pred, hits, round({F05}, 6) AS f05 FROM c",
+        "singleton_report": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}), {COUNTS} SELECT n_true = 0 AS singleton, count(*) AS entities, count(*) FILTER (WHERE n_pred = 0) AS nothing_predicted, round(avg(n_pred), 6) AS average_predicted FROM c GROUP BY 1",
+        "macro_metrics": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}), {COUNTS} SELECT count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c",
         "forced_match_gate": f"WITH {SCORES}, d2 AS ({DECIDE.format('p >= 0.5 AND r <= 1')}) SELECT count(*) FILTER (WHERE p < 0.6) AS below_threshold, count(*) FILTER (WHERE (s1, t) NOT IN (SELECT s1, t FROM s)) AS not_candidates FROM d2",
-        "id_lists": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.9')}) SELECT u.s1, coalesce(string_agg(CAST(t AS VARCHAR), ',' ORDER BY CAST(t AS VARCHAR)), '') AS ids FROM universe u LEFT JOIN d2 ON d2.s1 = u.s1 GROUP BY u.s1",
-        "stable_split": f"SELECT doc_id AS s1, CASE WHEN {bucket_sql('CAST(doc_id AS VARCHAR)', 42, 100)} < 20 THEN 'val' ELSE 'train' END AS part, {bucket_sql('CAST(doc_id AS VARCHAR)', 3, 22)} AS chunk FROM documents WHERE doc_id % 3 = 0",
+        "id_lists": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}) SELECT u.s1, coalesce(string_agg(CAST(t AS VARCHAR), ',' ORDER BY CAST(t AS VARCHAR)), '') AS ids FROM universe u LEFT JOIN d2 ON d2.s1 = u.s1 GROUP BY u.s1",
+        "stable_split": f"SELECT p_partkey AS s1, CASE WHEN {bucket_sql('CAST(p_partkey AS VARCHAR)', 42, 100)} < 20 THEN 'val' ELSE 'train' END AS part, {bucket_sql('CAST(p_partkey AS VARCHAR)', 3, 22)} AS chunk FROM part WHERE p_partkey % 4 = 0",
         "stratified_sample": f"WITH {SCORES}, {TRUTH}, x AS (SELECT s.s1, s.t, s.p, CASE WHEN g.s1 IS NULL THEN 0 ELSE 1 END AS label FROM s LEFT JOIN truth g ON g.s1 = s.s1 AND g.t = s.t), y AS (SELECT *, CASE WHEN label = 1 OR p >= 0.85 THEN 1.0 ELSE 0.1 END AS rate FROM x) SELECT s1, t, CAST(label AS BIGINT) AS label, CAST(1 / rate AS DOUBLE) AS weight FROM y WHERE {bucket_sql('s1 || chr(124) || t', 7, 1000000)} < rate * 1000000",
     }
-    grid = ", ".join(f"({a}, {k}, {r})" for a in (0.7, 0.8, 0.9, 0.95) for k in (0, 1, 3) for r in (0.0, 0.95))
-    found["rule_grid"] = f"""WITH {SCORES}, {TRUTH}, g AS (SELECT CAST(a AS DOUBLE) AS threshold, CAST(b AS BIGINT) AS top_k, CAST(c AS DOUBLE) AS relative FROM (VALUES {grid}) v(a, b, c)),
-      x AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, t) AS r, max(p) OVER (PARTITION BY s1) AS m FROM s),
-      d2 AS (SELECT g.*, x.s1, x.t FROM x JOIN g ON p >= threshold AND (top_k = 0 OR r <= top_k) AND (relative = 0 OR p >= relative * m)),
-      real AS (SELECT s1, count(*) AS n FROM truth GROUP BY 1), made AS (SELECT threshold, top_k, relative, d2.s1, count(*) AS n, count(truth.t) AS h FROM d2 LEFT JOIN truth ON truth.s1 = d2.s1 AND truth.t = d2.t GROUP BY 1, 2, 3, 4),
-      c AS (SELECT g.*, u.s1, coalesce(real.n, 0) AS n_true, coalesce(made.n, 0) AS n_pred, coalesce(made.h, 0) AS hits FROM universe u CROSS JOIN g LEFT JOIN real ON real.s1 = u.s1 LEFT JOIN made ON made.s1 = u.s1 AND made.threshold = g.threshold AND made.top_k = g.top_k AND made.relative = g.relative)
-      SELECT threshold, top_k, relative, count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c GROUP BY 1, 2, 3"""
+    found["rule_grid"] = rule_grid_sql({"threshold": (0.7, 0.8, 0.9, 0.95), "top_k": (0, 1, 3), "relative": (0.0, 0.95)})
     return found

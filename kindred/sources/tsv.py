@@ -1,34 +1,51 @@
-"""Tab-separated sources and id-list outputs, Parquet side tables, publication."""
+"""Tab-separated sources and id-list outputs, their validation and publication."""
 
 from __future__ import annotations
 
-import os
-import shutil
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.functions.columns import entity_id
+from kindred.sources import files
+from kindred.sources.files import SubmissionError, check_disk, materialise, pin, ready
 
-RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("entity_id", "business_name", "business_address", "country")])
-
+__all__ = ["SubmissionError", "check_disk", "materialise", "pin", "ready"]
 
-class SubmissionError(ValueError):
-    """An output breaks a hard rule."""
+RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("entity_id", "business_name", "business_address", "country")])
 
 
-def read_records(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
-    """Entity records with their integer id; all text, no quoting. ``where`` is pushed into the scan's plan."""
+def read_records(spark: SparkSession, path: str | list[str], where: str | None = None) -> DataFrame:
+    """Entity records with their integer id; all text, no quoting. Several files make one relation. ``where`` is pushed into the scan's plan."""
     found = spark.read.schema(RECORD).csv(path, sep="\t", header=True, quote="", escape="")
     found = found.where(where) if where else found
     return found.withColumn("id", entity_id(F.col("entity_id")))
 
 
+def sniffed(spark: SparkSession, path: str) -> str:
+    """The separator of a file with a header: the one of tab, comma, semicolon and bar that splits its first line most."""
+    head = files.read_bytes(spark, path, 0, 1 << 16).split(b"\n")[0].decode("utf-8", "replace")
+    return max("\t,;|", key=head.count)
+
+
+def described(spark: SparkSession, path: str) -> DataFrame:
+    """(column_name, column_type) of a file, inferred from all its rows."""
+    found = spark.read.csv(path, sep=sniffed(spark, path), header=True, inferSchema=True)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found.schema], "column_name string, column_type string")
+
+
 def read_numbered(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
-    """Records with rn, their place in one file: byte order of the lines, kept by partition and position."""
-    lines = spark.read.option("wholetext", False).text(path).withColumn("rn", F.monotonically_increasing_id())
+    """Records of one file with rn, which grows with their place in it.
+
+    rn is the byte where the line's split begins, and the line's number within it: a split has no
+    more lines than bytes.
+    """
+    if not files.is_file(spark, path):
+        raise ValueError(f"{path} is not one file, and several have no order")
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", (F.col("_metadata.file_block_start") + inside).alias("rn"))
     cells = F.split("value", "\t", -1)
     head = "\t".join(schema.names)
     return lines.where(F.col("value") != head).select("rn", *(F.nullif(cells[k], F.lit("")).alias(n) for k, n in enumerate(schema.names)))
@@ -41,18 +58,18 @@ def read_truth(spark: SparkSession, path: str, only: DataFrame | None = None) ->
     return pairs.join(only, "s1", "left_semi") if only is not None else pairs
 
 
-def ready(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet folder was written to its end."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+def first_column(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(id): the trimmed first cells of all lines but headers and blank ones."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.trim(F.split_part("value", F.lit("\t"), F.lit(1))).alias("id")).where(F.col("id") != "entity_id")
 
 
-def materialise(frame: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Write once: a finished folder is read, an unfinished one written anew."""
-    spark = frame.sparkSession
-    if overwrite or not ready(spark, path):
-        frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+def check_load(spark: SparkSession, path: str, records: DataFrame) -> int:
+    """Rows of a source; an error if its raw lines say otherwise."""
+    lines, rows = first_column(spark, path).count(), records.count()
+    if lines != rows:
+        raise SubmissionError(f"{path} has {lines} lines, {rows} rows were loaded")
+    return rows
 
 
 def check_ids(records: DataFrame) -> DataFrame:
@@ -60,89 +77,133 @@ def check_ids(records: DataFrame) -> DataFrame:
     return records.agg(F.count("*").alias("rows"), F.count_if(F.col("id").isNull()).alias("malformed"), (F.count("id") - F.count_distinct("id")).alias("repeated"))
 
 
+def checked_ids(records: DataFrame) -> int:
+    """The number of records; an error if there is none, or ids are malformed or repeated."""
+    n = check_ids(records).first()
+    if not n.rows or n.malformed or n.repeated:
+        raise SubmissionError(f"{n.rows} records, {n.malformed} malformed and {n.repeated} repeated ids")
+    return n.rows
+
+
 def write_id_lists(universe: DataFrame, pairs: DataFrame, path: str, header: str) -> dict:
     """One line for each row of ``universe`` (rn, s1 text) in the order of rn: its sorted target ids, or nothing.
 
-    ``pairs``: (s1 text, t text). Raises on repeated pairs, pairs outside the universe, or a line
-    count that differs. The lines are sorted by Spark and streamed to one file on the driver.
+    ``pairs``: (s1 text, t text). Raises on repeated pairs, pairs outside the universe, malformed or
+    unresolved ids, or a line count that differs. Lines are sorted and written by Spark; the driver
+    only joins the part files byte by byte.
     """
-    n = pairs.agg(F.count("*").alias("n"), F.count_distinct(F.struct("s1", "t")).alias("d")).first()
+    spark = universe.sparkSession
+    n = pairs.agg(F.count("*").alias("n"), F.count_distinct("s1", "t").alias("d"), F.count_if(F.col("s1").isNull() | F.col("t").isNull() | ~F.col("t").rlike(r"^S[23]-\d+$")).alias("bad")).first()
+    if n.bad:
+        raise SubmissionError(f"{n.bad} pairs with malformed or unresolved ids")
     if n.n != n.d:
         raise SubmissionError(f"{n.n - n.d} repeated pairs")
     if outside := pairs.join(universe, "s1", "left_anti").count():
         raise SubmissionError(f"{outside} pairs outside the universe")
     ids = pairs.groupBy("s1").agg(F.array_join(F.sort_array(F.collect_list("t")), ",").alias("ids"), F.count("*").alias("k"))
-    lines = universe.join(ids, "s1", "left").select("rn", "s1", F.coalesce("ids", F.lit("")).alias("ids"), F.coalesce("k", F.lit(0)).alias("k")).orderBy("rn")
-    rows = total = 0
-    with open(path, "w", encoding="utf-8", newline="") as out:
-        out.write(f"source1_entity_id\t{header}\n")
-        for r in lines.toLocalIterator():
-            out.write(f"{r.s1}\t{r.ids}\n")
-            rows, total = rows + 1, total + r.k
-    if rows != universe.count() or total != n.n:
+    lines = universe.join(ids, "s1", "left").select("rn", F.concat("s1", F.lit("\t"), F.coalesce("ids", F.lit(""))).alias("value"))
+    parts = f"{path}.parts"
+    lines.orderBy("rn").select("value").write.mode("overwrite").option("lineSep", "\n").text(parts)
+    files.joined(spark, parts, path, f"source1_entity_id\t{header}\n")
+    files.remove(spark, parts)
+    told = spark.read.option("lineSep", "\n").text(path)
+    rows, total = told.agg(F.count("*"), F.sum(F.size(F.filter(F.split(F.split_part("value", F.lit("\t"), F.lit(2)), ","), lambda x: x != "")))).first()
+    if rows - 1 != universe.count() or total - 1 != n.n:  # the header has one cell of its own
         raise SubmissionError("line or pair count differs")
-    return {"rows": rows, "pairs": total}
+    return {"rows": rows - 1, "pairs": n.n}
 
 
-def publish(files: dict[str, str], validators: list[Callable[[dict], tuple[bool, dict]]]) -> list[dict]:
+def publish(spark: SparkSession, moved: dict[str, str], validators: list[Callable[[dict], tuple[bool, dict]]]) -> list[dict]:
     """Rename temporary files to their names, in order, only after every validator agrees."""
-    if any(os.path.dirname(os.path.abspath(a)) != os.path.dirname(os.path.abspath(b)) for a, b in files.items()):
+    if any(a.rpartition("/")[0] != b.rpartition("/")[0] for a, b in moved.items()):
         raise SubmissionError("temporary and final files must share a folder")
     told = []
     for check in validators:
-        good, details = check(files)
+        good, details = check(moved)
         told.append(details)
         if not good:
             raise SubmissionError(f"validator refused: {details}")
-    for temporary, final in files.items():
-        os.replace(temporary, final)
+    for temporary, final in moved.items():
+        files.move(spark, temporary, final)
     return told
 
 
-LINE = r"^[^\t]+\t[^\t]*$"
+#: What no list may hold.
+ARTEFACTS = r"(?i)nan|none|null|[\[\]'\" ]"
+
+
+def line_faults(cells: Column, ids: Column, line: Column) -> dict[str, Column]:
+    """The kinds of fault that a line shows by itself."""
+    two = F.size(cells) == 2
+    return {
+        "crlf": line.endswith("\r"),
+        "no_tab": (F.size(cells) == 1) & (F.regexp_replace(line, "\r$", "") != ""),
+        "extra_columns": F.size(cells) > 2,
+        "malformed_entity": two & ~F.get(cells, 0).rlike(r"^S1-[0-9]+$"),
+        "artefact": two & F.get(cells, 1).rlike(ARTEFACTS),
+        "spaces": two & F.get(cells, 1).rlike(r"\s"),
+        "empty_id": F.exists(ids, lambda x: x == ""),
+        "malformed_id": F.exists(ids, lambda x: (x != "") & ~x.rlike(r"^S[23]-[0-9]+$")),
+        "repeated_id": F.size(ids) != F.size(F.array_distinct(ids)),
+        "not_utf8": ~F.is_valid_utf8(line),
+    }
 
 
 def audit(spark: SparkSession, matching: str, candidates: str, universe: DataFrame, targets: DataFrame) -> dict[str, int]:
-    """Counts of what is wrong in two id-list files; all 0 for a valid pair."""
-    found: dict[str, int] = {}
-    pairs = {}
+    """Counts of what is wrong in two id-list files; all 0 for a valid pair.
+
+    Whole files: empty, byte order mark, header, last line's end. Lines: see ``line_faults``, and
+    repeated, unknown and missing entities. Ids: unknown targets (ids are compared as texts, so that
+    S2-012 is not S2-12), matches that are no candidates, entities with matches but no candidate line.
+    """
+    found: dict[str, int] = {"universe_repeated": universe.count() - universe.select("s1").distinct().count()}
+    pairs, entities = {}, {}
     for name, path, header in (("matching", matching, "matched_entity_ids"), ("candidates", candidates, "candidate_entity_ids")):
-        with open(path, "rb") as f:
-            raw = f.read(4096)
-            f.seek(0, 2)
-            size = f.tell()
-            f.seek(max(0, size - 1))
-            last = f.read(1)
-        found[f"{name}_bom"] = int(raw.startswith(b"\xef\xbb\xbf"))
-        found[f"{name}_header"] = int(raw.split(b"\n")[0] != f"source1_entity_id\t{header}".encode())
-        found[f"{name}_end"] = int(last != b"\n")
-        lines = spark.read.text(path).where(F.col("value") != f"source1_entity_id\t{header}")
-        cell = F.split("value", "\t", -1)
-        rows = lines.select("value", cell[0].alias("s1"), F.filter(F.split(F.coalesce(cell[1], F.lit("")), ",", -1), lambda x: F.lit(True)).alias("raw")).withColumn("ids", F.when(F.array_join("raw", ",") == "", F.array().cast("array<string>")).otherwise(F.col("raw")))
-        t = rows.agg(
-            F.count_if(~F.col("value").rlike(LINE)).alias("malformed_line"),
-            (F.count("*") - F.count_distinct("s1")).alias("repeated_entity"),
-            F.count_if(F.exists("ids", lambda x: F.trim(x) != x)).alias("spaces"),
-            F.count_if(F.exists("ids", lambda x: x == "")).alias("empty_id"),
-            F.count_if(F.exists("ids", lambda x: (x != "") & ~x.rlike(r"^S[23]-\d+$"))).alias("malformed_id"),
-            F.count_if(F.size("ids") != F.size(F.array_distinct("ids"))).alias("repeated_id"),
-        ).first()
+        length, raw = files.size(spark, path), files.read_bytes(spark, path, 0, 4096)
+        first = f"source1_entity_id\t{header}"
+        bom = raw.startswith(b"\xef\xbb\xbf")
+        found[f"{name}_empty_file"] = int(length == 0)
+        found[f"{name}_bom"] = int(bom)
+        found[f"{name}_header"] = int(raw[3 * bom :].split(b"\n")[0].rstrip(b"\r") != first.encode())
+        found[f"{name}_end"] = int(length > 0 and files.read_bytes(spark, path, length - 1) != b"\n")
+        lines = spark.read.option("lineSep", "\n").text(path).where(~F.col("value").isin(first, first + "\r", "﻿" + first))
+        rows = lines.select("value", F.split(F.regexp_replace("value", "\r$", ""), "\t", -1).alias("cells")).where("value != ''")
+        rows = rows.withColumn("ids", F.when((F.size("cells") == 2) & (F.get("cells", 1) != ""), F.split(F.get("cells", 1), ",", -1)).otherwise(F.array().cast("array<string>"))).withColumn("s1", F.get("cells", 0))
+        t = rows.agg(*(F.count_if(c).alias(k) for k, c in line_faults(F.col("cells"), F.col("ids"), F.col("value")).items()), (F.count("*") - F.count_distinct("s1")).alias("repeated_entity")).first()
         found |= {f"{name}_{k}": v for k, v in t.asDict().items()}
         found[f"{name}_unknown_entity"] = rows.join(universe, "s1", "left_anti").count()
         found[f"{name}_missing_entity"] = universe.join(rows, "s1", "left_anti").count()
-        pairs[name] = rows.select("s1", F.explode("ids").alias("t"))
-        found[f"{name}_unknown_target"] = pairs[name].where("t <> ''").join(targets, "t", "left_anti").count()
+        entities[name] = rows.select("s1", F.size("ids").alias("n"))
+        pairs[name] = rows.select("s1", F.explode("ids").alias("t")).where("t <> ''")
+        found[f"{name}_unknown_target"] = pairs[name].join(targets, "t", "left_anti").count()
     found["matching_not_candidate"] = pairs["matching"].join(pairs["candidates"], ["s1", "t"], "left_anti").count()
+    found["matching_without_candidate_line"] = entities["matching"].where("n > 0").join(entities["candidates"], "s1", "left_anti").count()
     return found
 
 
-def shards(lines: DataFrame, n: int) -> DataFrame:
-    """Lines with their shard: crc32 of the first cell modulo ``n``."""
-    return lines.withColumn("shard", F.crc32(F.split_part("value", F.lit("\t"), F.lit(1)).cast("binary")) % n)
+def write_shards(spark: SparkSession, path: str, out: str, n: int) -> DataFrame:
+    """The lines of a file, byte by byte, in ``n`` folders (out/shard=k) by crc32 of the first cell; (shard, lines) of what was written."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    shard = F.crc32(F.split_part("value", F.lit("\t"), F.lit(1)).cast("binary")) % n
+    lines.withColumn("shard", shard).repartition(n, "shard").write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").text(out)
+    return spark.read.option("lineSep", "\n").text(out).groupBy("shard").agg(F.count("*").alias("lines"))
 
 
-def check_disk(path: str, least_gb: float = 3.0) -> float:
-    free = shutil.disk_usage(path).free / 1e9
-    if free < least_gb:
-        raise OSError(f"{free:.1f} GB free of {least_gb} needed")
-    return free
+def write_report(frame: DataFrame, path: str) -> None:
+    """A small table as one CSV file with a header."""
+    spark, parts = frame.sparkSession, f"{path}.parts"
+    frame.coalesce(1).write.mode("overwrite").option("emptyValue", "").csv(parts)
+    files.joined(spark, parts, path, ",".join(frame.columns) + "\n")
+    files.remove(spark, parts)
+
+
+def text_side_table(records: DataFrame, source_rows: int, path: str, settings: dict | None = None) -> DataFrame:
+    """(id, entity_id, name_lc, name_indic, addr_missing) beside the blocking records, written once and checked.
+
+    As many rows as the source has, no null id, no repeated id; else it is an error.
+    """
+    side = materialise(records.select("id", "entity_id", "name_lc", "name_indic", "addr_missing"), path, settings=settings)
+    n = side.agg(F.count("*").alias("rows"), F.count_if(F.col("id").isNull()).alias("nulls"), (F.count("id") - F.count_distinct("id")).alias("repeated")).first()
+    if (n.rows, n.nulls, n.repeated) != (source_rows, 0, 0):
+        raise SubmissionError(f"{path}: {n.rows} of {source_rows} rows, {n.nulls} null and {n.repeated} repeated ids")
+    return side

@@ -38,16 +38,16 @@ def test_two_tiers_fall_back_to_the_state(spark):
 def test_structured_refines_large_blocks(spark):
     q = frame(spark, [record(1, "a")])
     t = frame(spark, [record(10, "b"), record(11, "c", street="oak", places=("waco",)), record(12, "d", street="elm", places=("austin",))])
-    assert pairs(B.structured(q, t, B.Caps(hn=2))) == {(1, 10), (1, 12)}
-    assert len(pairs(B.structured(q, t, B.Caps(hn=3)))) == 3
+    assert pairs(B.strategy("structured", q, t, B.Caps(hn=2))) == {(1, 10), (1, 12)}
+    assert len(pairs(B.strategy("structured", q, t, B.Caps(hn=3)))) == 3
 
 
 def test_rare_tokens_and_grams(spark):
     q = frame(spark, [record(1, "blue zeta")])
     t = frame(spark, [record(10, "blue one"), record(11, "blue two"), record(12, "zeta three"), record(13, "blue zeta")])
-    assert pairs(B.rare_tokens(q, t, "rare_name", B.Caps(token_k=1))) == {(1, 12), (1, 13)}
-    assert (1, 13) in pairs(B.shared_grams(q, t, B.Caps(gram_top=1))) and len(pairs(B.shared_grams(q, t, B.Caps(gram_top=1)))) == 1
-    assert pairs(B.compound(q, t)) == {(1, k) for k in (10, 11, 12, 13)}
+    assert pairs(B.strategy("rare_name", q, t, B.Caps(token_k=1))) == {(1, 12), (1, 13)}
+    assert pairs(B.strategy("ngram", q, t, B.Caps(gram_top=1))) == {(1, 13)}
+    assert pairs(B.strategy("compound", q, t)) == {(1, k) for k in (10, 11, 12, 13)}
     assert (1, 13, 1.0) in {tuple(r) for r in B.trigram_join(q, t).collect()}
 
 
@@ -58,10 +58,40 @@ def test_union_cap_and_guard(spark):
     best = u.where("t = 11").first()
     assert best["mask"] & 1 and best["mask"] & 4 and u.count() == 4
     assert pairs(B.capped(u, 1)) == {(1, 11)}
-    _, volume = B.two_tier(q, t, "name", 100, 100, B.Caps())
-    assert B.guarded(volume) == 4
+    index = B.Index(t, ("name", "structured"))
+    assert B.guarded(B.probes(q, index)) == {"name": 4, "structured": 1}
     with pytest.raises(B.CandidateExplosion):
-        B.guarded(volume, 3)
+        B.guarded(B.probes(q, index), 3)
+
+
+def test_an_exploding_strategy_is_stopped_and_reported(spark):
+    q = frame(spark, [record(1, "acme")])
+    t = frame(spark, [record(10 + k, "acme", hn=str(k)) for k in range(4)])
+    found, report = B.generate(q, B.Index(t, ("name", "structured", "ngram")), limit=3)
+    assert {n: r["status"] for n, r in report.items()} == {"name": "stopped", "structured": "ok", "ngram": "stopped"} and "4 raw pairs" in report["name"]["reason"]
+    assert {(r.s1, r.t, r["mask"]) for r in found.collect()} == {(1, 11, 4)}
+    found, report = B.generate(q, B.Index(t, ("name",)), limit=0)
+    assert found.count() == 0 and report["name"]["raw_pairs"] == 4
+
+
+def test_chunks_resume_and_refuse_other_settings(spark, tmp_path):
+    rows = [record(k, f"n{k % 7} m{k % 5}", hn=str(k % 3)) for k in range(60)]
+    q, t, out = frame(spark, rows[:20]), frame(spark, rows[20:]), f"file://{tmp_path}/parts"
+    index = B.Index(t, folder=f"file://{tmp_path}/index")
+    assert {r["status"] for r in B.generate_chunked(q, index, out, 3).values()} == {"made"}
+    import shutil
+
+    whole = {tuple(r) for r in B.capped(B.union_mask(q, t), 200).collect()}
+    read = lambda: {(r.s1, r.t, r["mask"]) for r in spark.read.parquet(out).collect()}
+    assert read() == whole and len(whole) > 20
+    shutil.rmtree(tmp_path / "parts/chunk=1")
+    assert [r["status"] for r in B.generate_chunked(q, index, out, 3).values()] == ["kept", "made", "kept"] and read() == whole
+    with pytest.raises(tsv.SubmissionError, match="chunks was 3, is 4"):
+        B.generate_chunked(q, index, out, 4)
+    with pytest.raises(tsv.SubmissionError, match="other settings"):
+        B.Index(t, caps=B.Caps(name=5), folder=f"file://{tmp_path}/index")
+    with pytest.raises(OSError, match="needed"):
+        B.generate_chunked(q, index, f"file://{tmp_path}/other", 2, least_gb=1e9)
 
 
 def test_results_do_not_depend_on_partitions(spark):
@@ -118,6 +148,39 @@ def test_model_keeps_nulls_apart(spark):
     assert {r.s1 % 2: r.p for r in G.score_plugin(Plug(), x).collect()} == {0: 1.0, 1: 0.0}
     drop = dict(G.permutation_importance(m, x, ["f_a"]))
     assert drop["f_a"] > 0.1
+    assert G.inputs(m) == 1
+
+
+def test_fixed_trees_score_as_computed_by_hand(spark):
+    """One split by one tree: the scores are the logistic of twice the two leaf means."""
+    x = spark.createDataFrame([(k, k, float(k % 4 == 0), 1.0, float(k % 2)) for k in range(400)], "s1 long, t long, label double, weight double, f_a double")
+    m = G.train(x, G.GbtParams(trees=1, depth=1, least=1, patience=0))
+    p = {r.s1 % 2: r.p for r in G.score(m, x).collect()}
+    assert p[1] == pytest.approx(1 / (1 + np.exp(2)), abs=1e-6) and p[0] == pytest.approx(0.5, abs=1e-6)
+
+
+def test_fuzzy_ratios_equal_brute_force():
+    from kindred.functions.similarity import matching_share, token_set_share, token_sort_share
+
+    def common(a, b):
+        from functools import lru_cache
+
+        @lru_cache(None)
+        def f(i, j):
+            return 0 if i == len(a) or j == len(b) else 1 + f(i + 1, j + 1) if a[i] == b[j] else max(f(i + 1, j), f(i, j + 1))
+
+        return f(0, 0)
+
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = ("".join(rng.choice([*"ab c"], int(rng.integers(0, 12)))) for _ in "ab")
+        want = 100.0 if not a and not b else 200 * common(a, b) / (len(a) + len(b))
+        assert matching_share(a, b) == pytest.approx(want)
+        u, v = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
+        assert token_sort_share(a, b) == pytest.approx(100.0 if not u and not v else 200 * common(u, v) / (len(u) + len(v)))
+        x, y = set(a.split()), set(b.split())
+        if x and y and (x <= y or y <= x):
+            assert token_set_share(a, b) == 100
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -138,15 +201,125 @@ def test_sources_and_sinks(spark, tmp_path):
     targets = spark.createDataFrame([("S2-5",), ("S3-7",)], "t string")
     clean = tsv.audit(spark, m, c, universe, targets)
     assert not any(clean.values()), json.dumps(clean)
-    open(m, "a").write("S1-9\tS2-5,S2-5, S2-8,\n")
-    bad = tsv.audit(spark, m, c, universe, targets)
+    worse = str(tmp_path / "worse.tsv")
+    open(worse, "w").write(open(m).read() + "S1-9\tS2-5,S2-5, S2-8,\n")
+    bad = tsv.audit(spark, worse, c, universe, targets)
     assert bad["matching_unknown_entity"] and bad["matching_repeated_id"] and bad["matching_spaces"] and bad["matching_empty_id"] and bad["matching_not_candidate"]
     with pytest.raises(tsv.SubmissionError):
-        tsv.publish({m: str(tmp_path / "m.tsv")}, [lambda f: (False, {"bad": 1})])
-    tsv.publish({m: str(tmp_path / "m.tsv"), c: str(tmp_path / "c.tsv")}, [lambda f: (True, {})])
+        tsv.publish(spark, {m: str(tmp_path / "m.tsv")}, [lambda f: (False, {"bad": 1})])
+    with pytest.raises(tsv.SubmissionError):
+        tsv.publish(spark, {m: str(tmp_path / "other" / "m.tsv")}, [])
+    tsv.publish(spark, {m: str(tmp_path / "m.tsv"), c: str(tmp_path / "c.tsv")}, [lambda f: (True, {})])
     assert (tmp_path / "m.tsv").exists() and not (tmp_path / "m.tmp").exists()
     with pytest.raises(tsv.SubmissionError):
         tsv.write_id_lists(universe, found.union(found), m, "x")
+    with pytest.raises(tsv.SubmissionError, match="malformed"):
+        tsv.write_id_lists(universe, spark.createDataFrame([("S1-2", None)], "s1 string, t string"), m, "x")
+    with pytest.raises(tsv.SubmissionError, match="outside"):
+        tsv.write_id_lists(universe, spark.createDataFrame([("S1-7", "S2-5")], "s1 string, t string"), m, "x")
+
+
+KINDS = [
+    ("S1-2\tS2-5\r", "crlf"), ("S1-2", "no_tab"), ("S1-2\tS2-5\tx", "extra_columns"), ("S1-2\tS2-5\nS1-2\t", "repeated_entity"), ("T1-2\tS2-5", "malformed_entity"), ("S1-8\tS2-5", "unknown_entity"),
+    ("S1-2\tnan", "artefact"), ("S1-2\tS2-5,,S3-7", "empty_id"), ("S1-2\tS2-5,S2-5", "repeated_id"), ("S1-2\tS4-5", "malformed_id"), ("S1-2\tS2-005", "unknown_target"), ("S1-2\tS2-5, S3-7", "spaces"), ("", "missing_entity"),
+]
+
+
+def test_audit_tells_each_kind(spark, tmp_path):
+    universe, targets = spark.createDataFrame([("S1-2",)], "s1 string"), spark.createDataFrame([("S2-5",), ("S3-7",)], "t string")
+    good = tmp_path / "c.tsv"
+    good.write_text("source1_entity_id\tcandidate_entity_ids\nS1-2\tS2-5,S3-7\n")
+    for k, (line, kind) in enumerate(KINDS):
+        f = tmp_path / f"m{k}.tsv"
+        f.write_bytes(f"source1_entity_id\tmatched_entity_ids\n{line}\n".encode())
+        found = tsv.audit(spark, str(f), str(good), universe, targets)
+        assert found[f"matching_{kind}"] > 0, (kind, found)
+    f = tmp_path / "whole.tsv"
+    for raw, kind in ((b"", "empty_file"), (b"\xef\xbb\xbfsource1_entity_id\tmatched_entity_ids\nS1-2\t\n", "bom"), (b"a\tb\nS1-2\t\n", "header"), (b"source1_entity_id\tmatched_entity_ids\nS1-2\t", "end"), (b"source1_entity_id\tmatched_entity_ids\nS1-2\t\xff\n", "not_utf8")):
+        f.write_bytes(raw)
+        assert tsv.audit(spark, str(f), str(good), universe, targets)[f"matching_{kind}"] > 0, kind
+
+
+def test_sources(spark, tmp_path):
+    from kindred.sources import files
+
+    a, b = tmp_path / "a.tsv", tmp_path / "b.tsv"
+    a.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS2-1\tx\ty\tUS\n")
+    b.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS3-1\tx\ty\tUS\n\nS3-2\tz\t\t\n")
+    both = tsv.read_records(spark, [str(a), str(b)])
+    assert sorted(r.id for r in both.collect()) == [2_000_000_001, 3_000_000_001, 3_000_000_002]
+    assert {r.id for r in tsv.first_column(spark, [str(a), str(b)]).collect()} == {"S2-1", "S3-1", "S3-2"} and tsv.check_load(spark, str(b), tsv.read_records(spark, str(b))) == 2
+    with pytest.raises(tsv.SubmissionError):
+        tsv.check_load(spark, str(b), both)
+    with pytest.raises(tsv.SubmissionError):
+        tsv.checked_ids(both.union(both))
+    with pytest.raises(ValueError, match="not one file"):
+        tsv.read_numbered(spark, str(tmp_path))
+    n = tmp_path / "n.csv"
+    n.write_text("id;share\n1;0.5\n2;1\n")
+    assert tsv.sniffed(spark, str(n)) == ";" and [tuple(r) for r in tsv.described(spark, str(n)).collect()] == [("id", "int"), ("share", "double")]
+    files.write_json(spark, str(tmp_path / "m.json"), {"a": float("nan"), "b": [1, 2.5]})
+    assert files.read_json(spark, str(tmp_path / "m.json")) == {"a": None, "b": [1, 2.5]}
+    tsv.write_report(spark.createDataFrame([(1, "x,y"), (2, None)], "n int, t string"), str(tmp_path / "r.csv"))
+    assert (tmp_path / "r.csv").read_text().splitlines() == ["n,t", '1,"x,y"', "2,"]
+    shards = {r.shard: r.lines for r in tsv.write_shards(spark, str(b), str(tmp_path / "shards"), 3).collect()}
+    assert sum(shards.values()) == 4
+    big = tmp_path / "big.tsv"
+    big.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join(f"S1-{k}\tname {k}\t\t\n" for k in range(9000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = tsv.read_numbered(spark, str(big)).orderBy("rn").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.entity_id for r in rows] == [f"S1-{k}" for k in range(9000)]
+
+
+def test_tables_say_how_they_were_made(spark, tmp_path):
+    x, place = spark.range(5), f"file://{tmp_path}/t"
+    assert tsv.materialise(x, place, settings={"a": 1}).count() == 5 and tsv.materialise(spark.range(9), place, settings={"a": 1}).count() == 5
+    with pytest.raises(tsv.SubmissionError, match="a was 1, is 2"):
+        tsv.materialise(x, place, settings={"a": 2})
+    tsv.materialise(x, f"{place}2")
+    with pytest.raises(tsv.SubmissionError, match="does not say"):
+        tsv.materialise(x, f"{place}2", settings={"a": 1})
+    rows = frame(spark, [record(1, "a"), record(2, "b")]).withColumn("entity_id", F.lit("S1-1"))
+    assert tsv.text_side_table(rows, 2, f"{place}3").count() == 2
+    for source, n in ((rows, 3), (rows.union(rows), 4)):
+        with pytest.raises(tsv.SubmissionError):
+            tsv.text_side_table(source, n, f"{place}-{n}")
+
+
+def plug(low=0.1):
+    """Any object that scores a matrix of features; its class goes to workers by value."""
+
+    class Plug:
+        def __init__(self, low):
+            self.low = low
+
+        def predict_proba(self, v):
+            p = np.where(np.isnan(v[:, 3]), self.low, np.nan_to_num(v[:, 3]))
+            return np.stack([1 - p, p], axis=1)
+
+    return Plug(low)
+
+
+def test_inference_resumes_and_refuses_other_settings(spark, tmp_path):
+    import shutil
+
+    from kindred.plans import link
+
+    rows = [record(k, f"n{k % 7} m{k % 5}", hn=str(k % 3)) for k in range(60)]
+    q, t, out = (frame(spark, r).withColumn("entity_id", F.lit("")) for r in (rows[:20], rows[20:])), None, f"file://{tmp_path}/pred"
+    q, t = q
+    p = B.union_mask(q.drop("entity_id"), t.drop("entity_id"))
+    whole = {tuple(r) for r in M.decide(G.score_plugin(plug(), M.features(p, q.drop("entity_id"), t.drop("entity_id"))), M.Rule(0.9, 2)).collect()}
+    run = lambda **k: link.infer_chunked(**{"model": plug(), "rule": M.Rule(0.9, 2), "pairs": p, "query": q, "targets": t, "out": out, "chunks": 3, "score": G.score_plugin} | k)
+    assert run() == {"made": 3, "kept": 0, "predicted": len(whole)} and {tuple(r) for r in link.predictions(spark, out).collect()} == whole and whole
+    shutil.rmtree(tmp_path / "pred/part=2")
+    assert run() == {"made": 1, "kept": 2, "predicted": len(whole)}
+    for other in ({"rule": M.Rule(0.8, 2)}, {"chunks": 4}, {"model": plug(0.2)}):
+        with pytest.raises(tsv.SubmissionError, match="other settings"):
+            run(**other)
 
 
 def test_stream_equals_batch(spark, tmp_path):
