@@ -275,7 +275,7 @@ def text_sums(docs: DataFrame, member: str, s: LmSettings, text: str, scratch: S
         if held:
             yield sent(added(held))
 
-    packed = dealt(docs, member, shards, frequent, text).repartition(tasks, F.col("shard") % tasks).sortWithinPartitions("shard")
+    packed = dealt(docs, member, shards, frequent, text).repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard")
     sums = by_batches(packed, work, "key long, n long, firsts long, background double, target double")
     return scratch.keep("sums", sums.groupBy("key").agg(*(F.sum(c).alias(c) for c in sums.columns[1:])))
 
