@@ -176,8 +176,8 @@ def stars(rows: DataFrame) -> DataFrame:
 
 #: A sketch has cells in a power of two within these bounds.
 LEAST_CELLS, MOST_CELLS = 256, 4096
-#: Rows of a block, and cells of the sketches that blocks are compared by.
-BLOCK, FOLDED = 4096, 256
+#: Rows of a block at most; rows from which a bucket is cut, into eight blocks at first; cells of the sketches that blocks are compared by.
+BLOCK, WHOLE, FOLDED = 8192, 256, 256
 
 
 def sketch(held: np.ndarray) -> bytes:
@@ -389,7 +389,7 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     member = rows.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2")
     member = scratch.keep("open", member.join(open_.select("signature", "m"), "signature"))
-    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK), F.least(F.lit(8), F.ceil(F.col("m") / WHOLE))).cast("int")
     member = member.join(folded_to(drawn, FOLDED), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
