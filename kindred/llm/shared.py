@@ -77,17 +77,20 @@ class Scratch:
     """Written tables under the shared folder: they cut lineage and outlive a lost executor.
 
     Tables that the caller drops go at once. The others are read by what a lazy result still has to
-    do, so that the folder goes when the session's process ends, or by ``clear``.
+    do: the folder goes by ``clear``, else when the driver's JVM ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        scratches.append(self)
+        self.marked = False
 
     def keep(self, name: str, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and return it as read back."""
         frame.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
+        if not self.marked:
+            system, path = hadoop_path(self.spark, self.root)
+            self.marked = system.deleteOnExit(path)
         return self.spark.read.schema(frame.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
@@ -100,22 +103,6 @@ class Scratch:
         system.delete(path, True)
 
 
-#: Scratch folders of this process.
-scratches: list[Scratch] = []
-
-
-def clear_scratch() -> None:
-    """Remove all working tables of this process: for callers that have read their results, and at exit."""
-    while scratches:
-        try:
-            scratches.pop().clear()
-        except Exception:  # the session may be gone at exit; the folder then stays for the cluster's own cleaning
-            scratches.clear()
-
-
-atexit.register(clear_scratch)
-
-
 #: Rows of a key table (one long each) that may be broadcast: 32 MB. Larger ones are joined by a shuffle.
 BROADCAST_KEYS = 4_000_000
 
