@@ -46,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item; rows without an id go together if one of them does."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark")).select(docs.columns)
 
 
