@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 
@@ -18,20 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def local_dir() -> str:
+    """A temporary folder of this machine, removed at exit."""
+    made = tempfile.mkdtemp(prefix="kindred-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return "file://" + made
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may leave the setting out; a temporary folder of the machine is then set for
-    the session and removed at exit. On a cluster there is no folder to guess: that is an error.
+    Only a local master may leave the setting out, and then has a temporary folder. On a cluster
+    there is no folder to guess: that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        made = tempfile.mkdtemp(prefix="kindred-")
-        atexit.register(shutil.rmtree, made, ignore_errors=True)
-        found = "file://" + made
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = local_dir()
     return found.rstrip("/")
 
 
