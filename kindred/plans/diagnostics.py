@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kindred.functions import text
+from kindred.functions import sql_functions, text
 from kindred.functions.columns import entity_id, numbered, share, stable_bucket, wide_entity, wide_id
 from kindred.operators import blocking as B
 from kindred.operators import diagnostics as D
@@ -134,6 +134,25 @@ def accents_stripped(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.text_column("without_accents", "text").cast("binary")).alias("plain"))
 
 
+def sql_functions_used(spark, sf_dir):
+    """Whole documents in the normal forms of the session's SQL functions."""
+    sql_functions.register(spark)
+    return table(spark, sf_dir, "documents").selectExpr("doc_id", "md5(norm_basic(text)) AS basic", "md5(norm_alnum(text)) AS alnum", "has_indic(text) AS indic")
+
+
+def sql_function_similarity(spark, sf_dir):
+    """Parts' names against their types' and brands' words, by the session's SQL functions."""
+    sql_functions.register(spark)
+    x = table(spark, sf_dir, "part").selectExpr("p_partkey", "lower(p_name) AS a", "lower(concat_ws(' ', p_type, split_part(p_name, ' ', 1))) AS b")
+    return x.selectExpr("p_partkey", "round(link_jaccard(link_tokens(a), link_tokens(b)), 6) AS tokens", "round(link_jaccard(link_grams(a), link_grams(b)), 6) AS grams")
+
+
+def script_profile(spark, sf_dir):
+    """Letters and marks of whole documents by script, and their family."""
+    x = table(spark, sf_dir, "documents").select("doc_id", text.script_counts("text").alias("s"), text.text_column("script_family", "text").alias("family"))
+    return x.select("doc_id", F.coalesce(F.col("s")["latin"], F.lit(0)).cast("long").alias("latin"), "family")
+
+
 def catalog(spark, sf_dir):
     """The tables and their numbers of columns."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -172,7 +191,7 @@ def hash_sample(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (exact_key_recall, one_pass_recall, exact_key_blocks, missed_pairs, strategy_gains, cap_sweep, dedup_report, candidate_part_gate, path_equality, control_agreement, hard_negatives, hard_positives, hard_negative_counts, best_rule, id_codes, batch_numbers, name_grams, accents_stripped, catalog, key_df_state_hot, hn_df, pair_array_features, pair_window_features, normalised_duplicates, hash_sample)}
+    return {f.__name__: f for f in (exact_key_recall, one_pass_recall, exact_key_blocks, missed_pairs, strategy_gains, cap_sweep, dedup_report, candidate_part_gate, path_equality, control_agreement, hard_negatives, hard_positives, hard_negative_counts, best_rule, id_codes, batch_numbers, name_grams, accents_stripped, sql_functions_used, sql_function_similarity, script_profile, catalog, key_df_state_hot, hn_df, pair_array_features, pair_window_features, normalised_duplicates, hash_sample)}
 
 
 # ---- the same in SQL ----
@@ -292,6 +311,9 @@ def oracle_sql() -> dict[str, str]:
         "batch_numbers": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS number, (row_number() OVER (ORDER BY doc_id) - 1) // 256 AS batch FROM documents",
         "name_grams": "SELECT p_partkey, array_to_string(list_distinct_in_order, ' ') AS grams FROM (SELECT p_partkey, list_filter(g, lambda x, i: list_position(g, x) = i) AS list_distinct_in_order FROM (SELECT p_partkey, flatten([[substr('#' || w || '#', i, 3) FOR i IN range(1, greatest(length(w), 1) + 1)] FOR w IN string_split(lower(p_name), ' ')]) AS g FROM part))",
         "accents_stripped": "SELECT doc_id, md5(replace(strip_accents(coalesce(text, '')), 'ß', 'ss')) AS plain FROM documents",
+        "sql_functions_used": r"SELECT doc_id, md5(trim(regexp_replace(lower(text), '[ \t\n\r]+', ' ', 'g'))) AS basic, md5(regexp_replace(strip_accents(lower(text)), '[^\p{L}\p{M}\p{N}]+', '', 'g')) AS alnum, regexp_matches(text, '[\x{0900}-\x{0DFF}]') AS indic FROM documents",
+        "sql_function_similarity": f"WITH x AS (SELECT p_partkey, {TOKENS.format('lower(p_name)')} AS ta, {TOKENS.format("lower(concat_ws(' ', p_type, split_part(p_name, ' ', 1)))")} AS tb, lower(p_name) AS a, lower(concat_ws(' ', p_type, split_part(p_name, ' ', 1))) AS b FROM part), y AS (SELECT *, list_distinct(list_transform(range(1, length(a) + 1), lambda i: substr('#' || a || '#', i, 3))) AS ga, list_distinct(list_transform(range(1, length(b) + 1), lambda i: substr('#' || b || '#', i, 3))) AS gb FROM x) SELECT p_partkey, round(len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb))), 6) AS tokens, round(len(list_intersect(ga, gb)) / len(list_distinct(list_concat(ga, gb))), 6) AS grams FROM y",
+        "script_profile": r"SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^\p{L}\p{M}]', '', 'g')) AS latin, CASE WHEN regexp_matches(coalesce(text, ''), '\p{L}') THEN 'latin' ELSE 'unknown' END AS family FROM documents",
         "catalog": "SELECT table_name AS name, count(*) AS columns FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem') GROUP BY 1",
         "key_df_state_hot": f"WITH {keyed('name')}, n AS (SELECT country, k FROM tk GROUP BY 1, 2 HAVING count(*) > {HOT}) SELECT country, state, k, count(*) AS n FROM tk JOIN n USING (country, k) GROUP BY 1, 2, 3",
         "hn_df": f"WITH {PARTS} SELECT country, state, hn, count(*) AS n FROM t WHERE state <> '' AND hn <> '' GROUP BY 1, 2, 3",
