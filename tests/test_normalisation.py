@@ -83,7 +83,7 @@ def test_name_forms():
 
 @pytest.mark.parametrize(
     ("raw", "want"),
-    [("Ridge Entry (PLLC)", "ridge entry"), ("Tall Oak Advisors L.L.P.", "tall oak advisors"), ("Inc Family Mdwest Partners", "family mdwest partners"), ("Land & Field Incorporated", "land and field"), ("J.P. Harris & Co", "jp harris"), ("Co Op Bank", "co op bank"), ("Company", "company"), ("Limited Sai Private Center", "sai private center"), ("Consolidated Learning Systems Inc", "consolidated learning systems"), ("Foo Co And", "foo co"), ("The Fresh Deli Care", "fresh deli care"), ("M/s. Sharma Traders", "sharma traders"), ("#OAK TÉRM", "oak term"), (">> CRYSTAL CLOTH", "crystal cloth"), ("3rd Street Deli", "3rd street deli"), ("... 5ervices Nagar Welfare Private Limited", "services nagar welfare"), ("wi1son, rosa, dds", "wilson rosa dds")],
+    [("Ridge Entry (PLLC)", "ridge entry"), ("Tall Oak Advisors L.L.P.", "tall oak advisors"), ("Inc Family Mdwest Partners", "family mdwest partners"), ("Land & Field Incorporated", "land and field"), ("J.P. Harris & Co", "jp harris"), ("Co Op Bank", "co op bank"), ("Company", "company"), ("Limited Om Private Center", "om private center"), ("Consolidated Learning Systems Inc", "consolidated learning systems"), ("Foo Co And", "foo co"), ("The Fresh Deli Care", "fresh deli care"), ("M/s. Sharma Traders", "sharma traders"), ("#OAK TÉRM", "oak term"), (">> CRYSTAL CLOTH", "crystal cloth"), ("3rd Street Deli", "3rd street deli"), ("... 5ervices Nagar Welfare Private Limited", "services nagar welfare"), ("wi1son, rosa, dds", "wilson rosa dds")],
 )
 def test_core(raw, want):
     assert core(raw) == want
@@ -99,11 +99,11 @@ def test_legal_forms():
 
 
 def test_aliases():
-    n = X.name_parts("Quellora a/k/a Indian International Private Limited")
-    assert (n["alias_marker"], n["aliases"]) == ("a/k/a", ["quellora", "indian international"]) and "indian international" in n["variants"]
+    n = X.name_parts("Quellora a/k/a Harbour Trading Private Limited")
+    assert (n["alias_marker"], n["aliases"]) == ("a/k/a", ["quellora", "harbour trading"]) and "harbour trading" in n["variants"]
     assert X.name_parts("Nexolan formerly known as Kestrel Works Private Limited")["aliases"] == ["nexolan", "kestrel works"]
     assert X.name_parts("Belquora DBA: #Orin Term")["aliases"] == ["belquora", "orin term"] and X.name_parts("Belquora DBA : Orin")["aliases"] == ["belquora", "orin"]
-    assert X.name_parts("Umbra t/a Anna Field")["alias_marker"] == "t/a" and X.name_parts("Tavolin aka FC Rapid LLC")["aliases"] == ["tavolin", "fc rapid"]
+    assert X.name_parts("Umbra t/a Anna Field")["alias_marker"] == "t/a" and X.name_parts("Tavolin aka GT Rapid LLC")["aliases"] == ["tavolin", "gt rapid"]
     for s in ("Dba Brothers Pvt Ltd", "Aka Holdings", "T/A Post Inc."):
         assert X.name_parts(s)["alias_marker"] == "", s
 
@@ -135,54 +135,54 @@ def at(raw, country="us"):
 
 
 def test_addresses_with_other_spellings():
-    a, b = at("00123 MILLER RD, COALTON, WV"), at("123 Miller Road, Coalton, West Virginia")
-    assert a["normalized"] == b["normalized"] and (a["house_core"], a["street"], a["city"], a["state"]) == ("123", "miller rd", "coalton", "wv") and a["raw"] == "00123 MILLER RD, COALTON, WV"
-    a, b = at("Fair Point, 515 Heron Lane, WV"), at("00515 Heron Ln, Fair Point, West Virginia")
+    a, b = at("00318 MILLER RD, COALTON, WV"), at("318 Miller Road, Coalton, West Virginia")
+    assert a["normalized"] == b["normalized"] and (a["house_core"], a["street"], a["city"], a["state"]) == ("318", "miller rd", "coalton", "wv") and a["raw"] == "00318 MILLER RD, COALTON, WV"
+    a, b = at("Fair Point, 627 Heron Lane, WV"), at("00627 Heron Ln, Fair Point, West Virginia")
     assert a["component_set"] == b["component_set"] and a["components"] != b["components"] and all(a[k] == b[k] for k in ("house_core", "street", "city", "state"))
 
 
 def test_house_numbers():
-    assert at("Hastings On Hudson, New York, 181B Farm Avenue")["house_core"] == at("181 Farm Avenue, Hastings-on-hudson, NY")["house_core"] == "181"
-    a = at("3700-3702 F M RD 1187, BURLTON, TX")
-    assert (a["house"], a["house_core"]) == ("3700-3702", "3700")
-    assert [at(s, "india")["house"] for s in ("H.NO. 69, FARIDABAD, Haryana", "C-71, DELHI, दिल्ली", "C-##45, AJMER ROAD, Rajasthan")] == ["69", "c-71", "c-45"]
+    assert at("Croton On Hudson, New York, 264B Farm Avenue")["house_core"] == at("264 Farm Avenue, Croton-on-hudson, NY")["house_core"] == "264"
+    a = at("4100-4106 F M RD 2210, BURLTON, TX")
+    assert (a["house"], a["house_core"]) == ("4100-4106", "4100")
+    assert [at(s, "india")["house"] for s in ("H.NO. 58, FARIDABAD, Haryana", "D-63, DELHI, दिल्ली", "C-##45, AJMER ROAD, Rajasthan")] == ["58", "d-63", "c-45"]
 
 
 def test_noise():
-    a = at("8144 24th Avenue, NULL, Seattle, Washington")
-    assert (a["normalized"], a["noise_removed"]) == ("8144 24th ave, seattle, wa", 1)
-    b = at("A-1501, null, Borivali West, Mumbai, MH", "india")
+    a = at("5120 31st Avenue, NULL, Seattle, Washington")
+    assert (a["normalized"], a["noise_removed"]) == ("5120 31st ave, seattle, wa", 1)
+    b = at("B-902, null, Andheri West, Mumbai, MH", "india")
     assert b["state"] == "mh" and "null" not in b["tokens"]
-    c = at("HOUSE NO3-1621, BATHINDA, <NULL>, Punjab", "india")
-    assert (c["state"], c["city"]) == ("pb", "bathinda") and at("##36049 HAVEN PLACE, AVON, OH")["house"] == "36049"
+    c = at("HOUSE NO4-2718, PATIALA, <NULL>, Punjab", "india")
+    assert (c["state"], c["city"]) == ("pb", "patiala") and at("##27035 HAVEN PLACE, AVON, OH")["house"] == "27035"
     assert at("Landers Road, N/A, Lincolnton, North Carolina")["components"] == ["landers rd", "lincolnton", "nc"]
     for v in (None, "", "   ", "N/A", "null", "<NULL>", math.nan):
         assert at(v)["is_missing"] and at(v)["components"] == []
 
 
 def test_streets_units_boxes_places():
-    assert at("1245 NINTH ST, TERRE HAUTE, IN")["normalized"] == at("1245 9th Street, Terre Haute, Indiana")["normalized"]
-    assert at("East Haddam, CT")["city"] == at("CT, LEDGE RD, E HADDAM")["city"] == "e haddam"
-    a = at("8144 24TH AVE, PMB 8686, SEATTLE, WA")
-    assert (a["unit"], a["city"]) == ("pmb 8686", "seattle")
-    b = at("7211 RALPH ST, PO BOX 1903, NORFOLK, VA")
-    assert (b["po_box"], b["house_core"]) == ("1903", "7211") and at("2100 Cameron Drive, Unit APARTMENT G, Dundalk, MD")["unit"] == "unit apt g"
-    d = at("P O Box No: 1117 4/1062, Beach Road, Calicut, Kozhikode, Kerala", "india")
-    assert (d["po_box"], d["state"], d["house"]) == ("1117", "kl", "")
-    a = at("Room-1, C-32A 3Rd Floor, Friends Colony (East), Delhi, South Delhi, Delhi", "india")
-    assert (a["state"], a["city"], a["places"]) == ("dl", "s delhi", ["friends colony e", "delhi", "s delhi"]) and at("Cardiology, 1324 Yale, MESA CITY, Arizona")["city"] == "mesa"
-    a, b = at("OFFICE NO 203, PLOT NO 19, SATRA PLAZA, VASHI, THANE, महाराष्ट्र", "india"), at("Thane, Plot No 19, Satra Plaza, Vashi, MH, Office No 203", "india")
-    assert a["state"] == b["state"] == "mh" and a["state_raw"] == "महाराष्ट्र" and set(a["numbers"]) == set(b["numbers"]) == {"203", "19"}
+    assert at("2317 NINTH ST, FORT WAYNE, IN")["normalized"] == at("2317 9th Street, Fort Wayne, Indiana")["normalized"]
+    assert at("East Windsor, CT")["city"] == at("CT, LEDGE RD, E WINDSOR")["city"] == "e windsor"
+    a = at("5120 31ST AVE, PMB 4417, SEATTLE, WA")
+    assert (a["unit"], a["city"]) == ("pmb 4417", "seattle")
+    b = at("6312 HENRY ST, PO BOX 2741, NORFOLK, VA")
+    assert (b["po_box"], b["house_core"]) == ("2741", "6312") and at("1900 Cedar Drive, Unit APARTMENT K, Dundalk, MD")["unit"] == "unit apt k"
+    d = at("P O Box No: 2208 7/3051, Lake Road, Aluva, Ernakulam, Kerala", "india")
+    assert (d["po_box"], d["state"], d["house"]) == ("2208", "kl", "")
+    a = at("Room-4, B-17C 2nd Floor, Garden Colony (East), Delhi, South Delhi, Delhi", "india")
+    assert (a["state"], a["city"], a["places"]) == ("dl", "s delhi", ["garden colony e", "delhi", "s delhi"]) and at("Radiology, 1408 Elm, MESA CITY, Arizona")["city"] == "mesa"
+    a, b = at("OFFICE NO 407, PLOT NO 23, LOTUS PLAZA, AIROLI, THANE, महाराष्ट्र", "india"), at("Thane, Plot No 23, Lotus Plaza, Airoli, MH, Office No 407", "india")
+    assert a["state"] == b["state"] == "mh" and a["state_raw"] == "महाराष्ट्र" and set(a["numbers"]) == set(b["numbers"]) == {"407", "23"}
 
 
 def test_address_descriptors():
-    f = X.address_descriptors("00123 MILLER RD, COALTON, WV", "us")
+    f = X.address_descriptors("00318 MILLER RD, COALTON, WV", "us")
     assert len(f) == 18 and f["addr_has_zero_padded_number"] and f["addr_is_all_upper"] and f["addr_state"] == "wv" and X.address_descriptors(None)["addr_is_missing"]
 
 
 def test_tokens():
     assert X.words_of(X.basic("Tall All-Consulting (L.L.P.)")) == ["tall", "all", "consulting", "llp"] and X.words_of("प्राइवेट लिमिटेड") == ["प्राइवेट", "लिमिटेड"]
-    assert number_runs("00123 Rd, 5291b, C-045") == ["123", "5291", "45"] and char_grams("tek") == ["#te", "tek", "ek#"] and char_grams("ab") == ["#ab", "ab#"]
+    assert number_runs("00123 Rd, 4310b, C-067") == ["123", "4310", "67"] and char_grams("tek") == ["#te", "tek", "ek#"] and char_grams("ab") == ["#ab", "ab#"]
 
 
 def test_columns(spark):
