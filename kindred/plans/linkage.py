@@ -204,14 +204,39 @@ def names_struct(spark, sf_dir):
     return x.select("source", "id", "n.canonical", "n.core_latin", "n.compact", "n.phonetic", "n.website", "n.website_label", "n.script")
 
 
-def customer_addresses(spark, sf_dir) -> DataFrame:
+def raw_addresses(spark, sf_dir) -> DataFrame:
+    """(c_custkey, raw): an address made of each customer's columns, with padded numbers, placeholders and a city suffix."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     raw = F.concat_ws(", ", F.concat(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.lit(" Main Street")), F.lower("c_mktsegment"), F.lit("Springfield City"), F.when(F.col("c_nationkey") % 2 == 0, "Texas").otherwise("null"), F.col("n_name"))
-    return c.select("c_custkey", text.addresses(raw, F.lit("us")).alias("a"))
+    return c.select("c_custkey", raw.alias("raw"))
 
 
 def address_struct(spark, sf_dir):
-    return customer_addresses(spark, sf_dir).select("c_custkey", "a.normalized", "a.house", "a.house_core", "a.street", "a.city", "a.state", F.array_join("a.places", "|").alias("places"), F.array_join("a.numbers", " ").alias("numbers"), F.col("a.noise_removed").cast("long").alias("noise_removed"))
+    return raw_addresses(spark, sf_dir).select("c_custkey", text.addresses("raw", F.lit("us")).alias("a")).select("c_custkey", "a.normalized", "a.house", "a.house_core", "a.street", "a.city", "a.state", F.array_join("a.places", "|").alias("places"), F.array_join("a.numbers", " ").alias("numbers"), F.col("a.noise_removed").cast("long").alias("noise_removed"))
+
+
+def longs(frame: DataFrame) -> DataFrame:
+    """Integer columns as longs."""
+    return frame.select(*(F.col(f.name).cast("long").alias(f.name) if f.dataType.simpleString() == "int" else f.name for f in frame.schema))
+
+
+def name_facts(spark, sf_dir):
+    """The descriptors of every customer's, supplier's, part's and host's name."""
+    return longs(entity_names(spark, sf_dir).select("source", "id", text.name_facts("name").alias("f")).select("source", "id", "f.*"))
+
+
+def address_facts(spark, sf_dir):
+    """The descriptors of every customer's address."""
+    c = raw_addresses(spark, sf_dir)
+    return longs(c.select("c_custkey", text.address_facts("raw", F.lit("us")).alias("f")).select("c_custkey", "f.*"))
+
+
+def list_audit_by_country(spark, sf_dir):
+    """Lists, ids, longest lists and a digest of all lines, by country."""
+    x = id_lists(spark, sf_dir).join(parts(spark, sf_dir)[0].select(F.col("id").alias("s1"), "country"), "s1")
+    n = F.size(F.filter(F.split("ids", ","), lambda i: i != ""))
+    mark = F.conv(F.substring(F.md5(F.concat(F.col("s1").cast("string"), F.lit("\t"), "ids").cast("binary")), 1, 8), 16, 10).cast("long")
+    return x.groupBy("country").agg(F.count("*").alias("lists"), F.count_if(F.col("ids") != "").alias("filled"), F.sum(n).alias("n_ids"), F.max(n).cast("long").alias("longest"), F.max(F.length("ids")).cast("long").alias("widest"), F.sum(mark).alias("digest"))
 
 
 def transliterated(spark, sf_dir):
@@ -235,7 +260,7 @@ def gbt_scores(spark, sf_dir):
 
 def queries() -> dict:
     found = {f"cand_{n}": strategy_query(n) for n in B.BITS}
-    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, recall_by_country, setsim_trigram, leg_statistics, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy, names_struct, address_struct, transliterated, sound_keys, gbt_scores)}
+    found |= {f.__name__: f for f in (guard_estimate, cand_union_mask, cand_capped, candidate_stats, candidate_recall, recall_by_country, setsim_trigram, leg_statistics, token_df, gram_df, key_df_name, hn_refined_df, compound_df_query_keys, pair_similarity, macro_metrics, rule_grid, entity_f05, singleton_report, forced_match_gate, id_lists, stable_split, stratified_sample, pair_features, pair_fuzzy, names_struct, address_struct, name_facts, address_facts, list_audit_by_country, transliterated, sound_keys, gbt_scores)}
     found |= {n: rule_query(n) for n in RULE}
     return found | {n: leg(n) for n in LEGS}
 
@@ -344,7 +369,7 @@ def sound_sql(x: str) -> str:
     return f"array_to_string(list_filter([regexp_replace({w}, '^[aeiou]', 'a') FOR w IN string_split({x}, ' ')], lambda y: y <> ''), ' ')"
 
 
-def names_sql() -> str:
+def names_sql(select: str = "") -> str:
     """Names of this data: no legal forms, no aliases; hosts under the usual endings."""
     words = "trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g'))"
     host = "regexp_replace(lower(name), '^www[.]', '')"
@@ -353,8 +378,15 @@ def names_sql() -> str:
       x AS (SELECT source, CAST(id AS BIGINT) AS id, {words} AS canonical, CASE WHEN source = 'pages' THEN {host} ELSE '' END AS website FROM n),
       y AS (SELECT *, CASE WHEN website = '' THEN '' ELSE replace(string_split(website, '.')[-2], '-', '') END AS website_label FROM x),
       z AS (SELECT *, CASE WHEN website = '' THEN canonical ELSE website_label END AS core_latin FROM y)
-      SELECT source, id, canonical, core_latin, replace(core_latin, ' ', '') AS compact, {sound_sql('core_latin')} AS phonetic, website, website_label, 'latin' AS script FROM z"""
+      {select or "SELECT source, id, canonical, core_latin, replace(core_latin, ' ', '') AS compact, " + sound_sql('core_latin') + " AS phonetic, website, website_label, 'latin' AS script FROM z"}"""
+
 
+NAME_FACTS = """SELECT source, id, 'latin' AS name_script, 'latin' AS name_scripts, false AS name_is_indic, false AS name_is_missing, len(string_split(core_latin, ' ')) AS name_n_tokens, length(replace(core_latin, ' ', '')) AS name_n_chars,
+  '' AS name_legal_forms, false AS name_has_legal_form, website <> '' AS name_is_website, false AS name_has_alias, '' AS name_alias_marker, regexp_matches(canonical, '[0-9]') AS name_has_digit, false AS name_has_junk_prefix, false AS name_has_latin_accent,
+  false AS name_has_ocr_digit, false AS name_is_all_upper, website <> '' AS name_contains_domain FROM z"""
+ADDRESS_FACTS = """, f AS ({}) SELECT f.c_custkey, false AS addr_is_missing, 'latin' AS addr_script, len(string_split(normalized, ', ')) AS addr_n_components, len(string_split(replace(normalized, ',', ''), ' ')) AS addr_n_tokens, true AS addr_has_house_number,
+  f.house AS addr_house_number, f.house AS addr_house_number_core, street AS addr_street, city AS addr_city, state AS addr_state, state <> '' AS addr_has_state, CASE WHEN a.part = 'bldg' THEN 'bldg' ELSE '' END AS addr_unit, '' AS addr_po_box, len(string_split(numbers, ' ')) AS addr_n_numbers,
+  numbers AS addr_numbers, noise_removed AS addr_noise_removed, false AS addr_is_all_upper, true AS addr_has_zero_padded_number FROM f JOIN a USING (c_custkey)"""
 
 ADDRESSES = """WITH a AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS house, CASE lower(c_mktsegment) WHEN 'building' THEN 'bldg' ELSE lower(c_mktsegment) END AS part, c_nationkey % 2 = 0 AS texan, replace(lower(n_name), '_', ' ') AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT c_custkey, concat_ws(', ', house || ' main st', part, 'springfield city', CASE WHEN texan THEN 'tx' END, nation) AS normalized, house, house AS house_core, 'main st' AS street, 'springfield' AS city, CASE WHEN texan THEN 'tx' ELSE '' END AS state,
@@ -408,6 +440,8 @@ def oracle_sql() -> dict[str, str]:
         "leg_statistics": leg_statistics_sql(),
         "names_struct": names_sql(),
         "address_struct": ADDRESSES,
+        "name_facts": names_sql(NAME_FACTS),
+        "address_facts": ADDRESSES.split("\nSELECT")[0] + ADDRESS_FACTS.format("SELECT" + ADDRESSES.split("\nSELECT")[1]),
         "sound_keys": SOUNDS.format(sound_sql("plain")),
         "leg_state_house": f"WITH {PARTS}, qh AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM q), th AS (SELECT *, CASE WHEN state = '' THEN hn ELSE state || '|' || hn END AS k FROM t), n AS (SELECT country, k, count(DISTINCT id) AS n FROM th GROUP BY 1, 2), f AS (SELECT country, k, street, count(DISTINCT id) AS n FROM th GROUP BY 1, 2, 3) SELECT qh.id AS s1, th.id AS t FROM qh JOIN n USING (country, k) JOIN th USING (country, k) WHERE n.n <= {BLOCK} UNION SELECT qh.id, th.id FROM qh JOIN n USING (country, k) JOIN f USING (country, k, street) JOIN th USING (country, k, street) WHERE n.n > {BLOCK} AND f.n <= {BLOCK}",
         "pair_similarity": f"WITH {LINES}, x AS (SELECT *, list_filter(list_distinct(string_split(a, ' ')), lambda w: w <> '') AS ta, list_filter(list_distinct(string_split(b, ' ')), lambda w: w <> '') AS tb, CASE WHEN a = '' THEN [] ELSE list_distinct(list_transform(range(1, length(a) + 1), lambda i: substr('#' || a || '#', i, 3))) END AS ga, CASE WHEN b = '' THEN [] ELSE list_distinct(list_transform(range(1, length(b) + 1), lambda i: substr('#' || b || '#', i, 3))) END AS gb FROM met) SELECT s1, t, round(jaro_winkler_similarity(a, b), 6) AS jw, CAST(levenshtein(a, b) AS BIGINT) AS lev, {JACC.format('ta', 'tb')} AS tok_jacc, {JACC.format('ga', 'gb')} AS gram_jacc FROM x",
@@ -419,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "macro_metrics": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}), {COUNTS} SELECT count(*) AS entities, round(avg({F05}), 6) AS macro_f05, round(sum(hits) / nullif(sum(n_pred), 0), 6) AS pair_precision, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, CAST(sum(n_pred) - sum(hits) AS BIGINT) AS false_positives, CAST(sum(n_true) - sum(hits) AS BIGINT) AS false_negatives, count(*) FILTER (WHERE n_true = 0) AS singletons, count(*) FILTER (WHERE n_true = 0 AND n_pred = 0) AS singletons_right FROM c",
         "forced_match_gate": f"WITH {SCORES}, d2 AS ({DECIDE.format('p >= 0.5 AND r <= 1')}) SELECT count(*) FILTER (WHERE p < 0.6) AS below_threshold, count(*) FILTER (WHERE (s1, t) NOT IN (SELECT s1, t FROM s)) AS not_candidates FROM d2",
         "id_lists": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}) SELECT u.s1, coalesce(string_agg(CAST(t AS VARCHAR), ',' ORDER BY CAST(t AS VARCHAR)), '') AS ids FROM universe u LEFT JOIN d2 ON d2.s1 = u.s1 GROUP BY u.s1",
+        "list_audit_by_country": f"WITH {SCORES}, {TRUTH}, d2 AS ({DECIDE.format('p >= 0.95')}), l AS (SELECT u.s1, coalesce(string_agg(CAST(t AS VARCHAR), ',' ORDER BY CAST(t AS VARCHAR)), '') AS ids, count(t) AS n FROM universe u LEFT JOIN d2 ON d2.s1 = u.s1 GROUP BY u.s1) SELECT country, count(*) AS lists, count(*) FILTER (WHERE ids <> '') AS filled, CAST(sum(n) AS BIGINT) AS n_ids, max(n) AS longest, max(length(ids)) AS widest, CAST(sum(CAST('0x' || substr(md5(s1 || chr(9) || ids), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM l JOIN q ON q.id = l.s1 GROUP BY country",
         "stable_split": f"SELECT p_partkey AS s1, CASE WHEN {bucket_sql('CAST(p_partkey AS VARCHAR)', 42, 100)} < 20 THEN 'val' ELSE 'train' END AS part, {bucket_sql('CAST(p_partkey AS VARCHAR)', 3, 22)} AS chunk FROM part WHERE p_partkey % 4 = 0",
         "stratified_sample": f"WITH {SCORES}, {TRUTH}, x AS (SELECT s.s1, s.t, s.p, CASE WHEN g.s1 IS NULL THEN 0 ELSE 1 END AS label FROM s LEFT JOIN truth g ON g.s1 = s.s1 AND g.t = s.t), y AS (SELECT *, CASE WHEN label = 1 OR p >= 0.85 THEN 1.0 ELSE 0.1 END AS rate FROM x) SELECT s1, t, CAST(label AS BIGINT) AS label, CAST(1 / rate AS DOUBLE) AS weight FROM y WHERE {bucket_sql('s1 || chr(124) || t', 7, 1000000)} < rate * 1000000",
     }
