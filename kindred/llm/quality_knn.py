@@ -78,11 +78,41 @@ def vectors(data: np.ndarray, offsets: np.ndarray, idf: np.ndarray, basis: np.nd
     return out / np.maximum(1e-12, np.linalg.norm(out, axis=1, keepdims=True))
 
 
-def blocks(texts: list[str], size: int = 200):
+def blocks(texts: list[str], size: int = 64):
     for k in range(0, len(texts), size):
         yield arrowtext.flat(pa.array(texts[k : k + size], pa.string()))
 
 
+class Sparse:
+    """The sample's rows as their non-zero cells, block by block: the driver never holds them all in full."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.held: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def add(self, rows: np.ndarray) -> None:
+        at = np.flatnonzero(rows)
+        self.held.append((len(rows), at.astype(np.int32), rows.ravel()[at]))
+
+    def __iter__(self):
+        for n, at, values in self.held:
+            rows = np.zeros(n * self.width, np.float32)
+            rows[at] = values
+            yield rows.reshape(n, self.width)
+
+    def times(self, y: np.ndarray) -> np.ndarray:
+        """The rows times ``y``."""
+        return np.concatenate([rows @ y for rows in self])
+
+    def across(self, y: np.ndarray) -> np.ndarray:
+        """The rows, transposed, times ``y``."""
+        out, first = np.zeros((self.width, y.shape[1]), np.float32), 0
+        for rows in self:
+            out += rows.T @ y[first : first + len(rows)]
+            first += len(rows)
+        return out
+
+
 def fit(texts: list[str], labels: list[int], s: KnnSettings = KnnSettings()) -> dict:
     """Latent basis, idf, and the sample's distinct vectors with their numbers and mean labels; without a sample no vectors."""
     width = s.word_cells + s.class_cells
@@ -90,17 +120,17 @@ def fit(texts: list[str], labels: list[int], s: KnnSettings = KnnSettings()) ->
         return {"idf": np.ones(width, np.float32), "basis": np.zeros((width, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "counts": np.zeros(0), "prior": 0.5}
     df = sum((features(d, o, s) > 0).sum(axis=0) for d, o in blocks(texts))
     idf = np.log((1 + len(texts)) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    x = np.empty((len(texts), width), np.float32)
-    for k, (d, o) in enumerate(blocks(texts)):
-        x[200 * k : 200 * k + len(o) - 1] = vectors(d, o, idf, None, s)
+    x = Sparse(width)
+    for d, o in blocks(texts):
+        x.add(vectors(d, o, idf, None, s))
     random = np.random.default_rng(s.seed)
     dim = min(s.dim, len(texts))
-    q = np.linalg.qr(x.T @ random.normal(size=(len(texts), dim + 8)).astype(np.float32))[0]
+    q = np.linalg.qr(x.across(random.normal(size=(len(texts), dim + 8)).astype(np.float32)))[0]
     for _ in range(3):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
-    _, values, rows = np.linalg.svd(x @ q, full_matrices=False)
+        q = np.linalg.qr(x.across(x.times(q)))[0]
+    _, _, rows = np.linalg.svd(x.times(q), full_matrices=False)
     basis = (q @ rows.T)[:, :dim].astype(np.float32)
-    made = x @ basis
+    made = x.times(basis)
     made /= np.maximum(1e-12, np.linalg.norm(made, axis=1, keepdims=True))
     y = np.array(labels, np.float64)
     # rows of equal features have equal vectors, whatever the last bits of the products say
