@@ -115,6 +115,10 @@ def set_keys(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) ->
     return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "doc_id long, n_shingles long, key_a long, key_b long")
 
 
+#: Bytes of text that are signed together: a text makes several times its size in signatures.
+SIGNED = 4 << 20
+
+
 def signature_rows(docs: DataFrame, s: JaccardSettings, id_column: str, text: str) -> DataFrame:
     """(signature, hub, doc_id): within a batch a signature's least document has no hub yet, the others have that one."""
 
@@ -138,7 +142,7 @@ def signature_rows(docs: DataFrame, s: JaccardSettings, id_column: str, text: st
             kept = first | (doc != hub)
             yield pa.RecordBatch.from_arrays([pa.array(sig[kept]), pa.array(hub[kept], mask=first[kept]), pa.array(doc[kept])], names=["signature", "hub", "doc_id"])
 
-    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "signature long, hub long, doc_id long")
+    return by_batches(docs.select(F.col(id_column).cast("long").alias(id_column), text), work, "signature long, hub long, doc_id long", SIGNED)
 
 
 def stars(rows: DataFrame) -> DataFrame:
