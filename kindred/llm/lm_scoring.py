@@ -50,7 +50,7 @@ class LmSettings:
     alpha: float = 0.1
     beta: float = 4.0
     shard_tokens: int = 3 << 20
-    spread: int = 40
+    spread: int = 48
     task_tokens: int = 1 << 27
     held_texts: int = 1 << 18
     frequent: int = 1 << 16
