@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from kindred.operators.blocking import DEFAULT, Caps, Index, capped, masks, matched, probes
+from kindred.operators.blocking import DEFAULT, Caps, Index, capped, masks, met_rows, probes
 
 
 def candidates_stream(records: DataFrame, targets: DataFrame, out: str, checkpoint: str, caps: Caps = Caps(), names: tuple[str, ...] = DEFAULT) -> StreamingQuery:
@@ -18,7 +18,7 @@ def candidates_stream(records: DataFrame, targets: DataFrame, out: str, checkpoi
 
     def add(batch: DataFrame, number: int) -> None:
         batch.persist()
-        capped(masks(matched(probes(batch, index), index)), caps.per_entity).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        capped(masks(met_rows(probes(batch, index), index)), caps.per_entity).write.mode("overwrite").parquet(f"{out}/batch={number}")
         batch.unpersist()
 
     return records.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
