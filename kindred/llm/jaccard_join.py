@@ -182,6 +182,8 @@ def stars(rows: DataFrame) -> DataFrame:
 LEAST_CELLS, MOST_CELLS = 256, 4096
 #: Rows of a block at most; rows from which a bucket is cut, into eight blocks at first; cells of the sketches that blocks are compared by.
 BLOCK, WHOLE, FOLDED = 8192, 256, 256
+#: Signatures that a row of a block brings along, so that a pair that meets in several buckets is given once.
+LEAST = 32
 
 
 def sketch(held: np.ndarray) -> bytes:
@@ -257,13 +259,22 @@ def allowed(na: np.ndarray, nb: np.ndarray, apart: np.ndarray, s: JaccardSetting
 
 
 def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
-    """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; pairs with a document's own hub are known."""
+    """Pairs (a, b) across components within each block pair of a bucket that sizes and sketches allow; pairs with a document's own hub are known.
+
+    ``least`` has a document's least signatures in open buckets. A pair is given in the bucket of the
+    least signature that both lists have, for all smaller ones are in the lists too; if they share none,
+    in each bucket where it meets.
+    """
 
     def pairs_of(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         whole = pa.Table.from_batches(rows).combine_chunks()
         get = lambda c: whole.column(c).to_numpy()
         doc, hub, comp, n, block = get("doc_id"), get("hub"), get("component"), get("n"), get("block")
-        drawn = whole.column("sketch").to_pylist()
+        drawn, signature = whole.column("sketch").to_pylist(), whole.column("signature")[0].as_py()
+        listed = whole.column("least").combine_chunks()
+        listed, starts = listed.flatten().to_numpy(), np.concatenate([[0], np.cumsum(listed.value_lengths().to_numpy())])
+        owner, below = np.repeat(np.arange(len(doc)), np.diff(starts)), listed < signature
+        listed, at = listed[below], np.searchsorted(owner[below], np.arange(len(doc) + 1))
         cells = min(map(len, drawn))
         grid = np.concatenate([folded([x], cells) for x in drawn])
         same = whole.column("low")[0].as_py() == whole.column("high")[0].as_py()
@@ -277,6 +288,9 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
             to = to[100 * small >= s.percent * large]
             if len(to):
                 to = to[allowed(n[to], n[i], spread(grid[to], grid[i]), s)]
+                if len(to) and at[i] < at[i + 1]:
+                    mine = set(listed[at[i] : at[i + 1]].tolist())
+                    to = to[[mine.isdisjoint(listed[at[j] : at[j + 1]].tolist()) for j in to.tolist()]]
                 if len(to):
                     found.append(np.stack([np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])]))
         if not found:
@@ -303,7 +317,7 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
         if held and (out := pairs_of(held)) is not None:
             yield out
 
-    return by_batches(members.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high"), work, "a long, b long").distinct()
+    return by_batches(members.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high"), work, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFrame:
@@ -394,10 +408,11 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     open_ = member.groupBy("signature").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2")
     member = scratch.keep("open", member.join(open_.select("signature", "m"), "signature"))
     parts = F.greatest(F.ceil(F.col("m") / BLOCK), F.least(F.lit(8), F.ceil(F.col("m") / WHOLE))).cast("int")
-    member = member.join(folded_to(drawn, FOLDED), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+    least = member.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list("signature")), 1, LEAST).alias("least"))
+    member = member.join(folded_to(drawn, FOLDED).join(least, "doc_id"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    across = near_pairs(member, s).withColumn("shared", F.lit(0).cast("long"))
+    member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "least", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    across = near_pairs(member, s).distinct().withColumn("shared", F.lit(0).cast("long"))
     across = scratch.keep("across", plausible(across, drawn, s).select("a", "b"))
     found = scratch.keep("found", joined(found, scratch.keep("links-3", verified(across, texts, s)), scratch, "third"))
     scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across", "links-1", "links-2", "links-3", "dull", "copies")

@@ -198,6 +198,18 @@ def test_jaccard_ids_with_several_texts(spark):
     assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == {1: 1, 9: 1, 2: 1, 3: 1, 7: 1, 8: 8}
 
 
+def test_jaccard_pairs_of_several_buckets_are_given_once(spark):
+    """Pipeline: a pair across components came once for each bucket in which it met."""
+    drawn = jaccard_join.sketch(np.arange(300, dtype=np.uint64) << np.uint64(55))
+    row = lambda sig, doc, least, hub=9: (sig, doc, hub, doc, 300, drawn, least, 0, 0, 0)
+    schema = "signature long, doc_id long, hub long, component long, n long, sketch binary, least array<long>, block int, low int, high int"
+    whole, cut = [-3, 5, 8], [[-9, -3], [4, 5]]
+    got = lambda rows: sorted(map(tuple, jaccard_join.near_pairs(spark.createDataFrame(rows, schema), jaccard_join.JaccardSettings()).collect()))
+    assert got([row(s, d, whole) for s in whole for d in (1, 2, 3)]) == [(1, 2), (1, 3), (2, 3)]
+    assert set(got([row(s, d, least) for s in whole for d, least in zip((1, 2), cut)])) == {(1, 2)}
+    assert got([row(s, d, whole, hub=1 if s == -3 else 9) for s in whole for d in (1, 2, 3)]) == [(2, 3)]
+
+
 def test_jaccard_hot_groups(spark):
     """Heavy keys and several blocks in a bucket: the same result as of small ones."""
     base = [f"t{k}" for k in range(40)]
