@@ -321,7 +321,9 @@ def near_pairs(members: DataFrame, s: JaccardSettings) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough. ``texts``: (doc_id, text) of the candidates."""
+    """The pairs (a, b) whose whole sets are similar enough. ``texts``: (doc_id, text); only those of the pairs are dealt out."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = texts.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     # the smaller side of a star is its hub: members bring their own text once, and hubs repeat in the join
@@ -378,8 +380,7 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     met = scratch.keep("met", stars(signature_rows(single, s, "doc_id", "text")))
     pairs = scratch.keep("pairs", met.groupBy("hub", "doc_id").agg(F.count("*").alias("shared")).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), "shared"))
     ids = scratch.keep("ids", pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"))
-    texts = scratch.keep("texts", single.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi"))
-
+    texts = single.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi")
     drawn = scratch.keep("sketches", sketches(texts, s).distinct())
     pairs = scratch.keep("near", plausible(pairs, drawn, s))
 
@@ -389,7 +390,8 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     twice = twice.unionByName(copies.where("doc_id != rep").join(small_or_shuffled(dull, n_dull), "doc_id", "left_anti").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
 
     best = pairs.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("m"))).alias("top")).select((-F.col("top.m")).alias("a"), "b")
-    links = scratch.keep("links-1", verified(best, texts, s).unionByName(twice.distinct()))
+    best = scratch.keep("best", best)
+    links = scratch.keep("links-1", verified(best, single, s).unionByName(twice.distinct()))
     found = components(links, scratch, "first")
 
     def apart(candidates: DataFrame, known: DataFrame) -> DataFrame:
@@ -398,7 +400,7 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
         return candidates.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    found = joined(found, scratch.keep("links-2", verified(scratch.keep("rest", apart(rest, found)), texts, s)), scratch, "second")
+    found = joined(found, scratch.keep("links-2", verified(scratch.keep("rest", apart(rest, found)), single, s)), scratch, "second")
 
     # buckets that still hold several components: pairs across them that are not with the hub
     known = found.select(F.col("id").alias("doc_id"), "component")
@@ -412,10 +414,11 @@ def jaccard_components(docs: DataFrame, s: JaccardSettings = JaccardSettings(),
     member = member.join(folded_to(drawn, FOLDED).join(least, "doc_id"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     member = member.select("signature", "doc_id", "hub", "component", "n", "sketch", "least", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    member = member.withColumn("least", F.filter("least", lambda x: x < F.col("signature")))  # those that can give a pair before this bucket
     across = near_pairs(member, s).distinct().withColumn("shared", F.lit(0).cast("long"))
     across = scratch.keep("across", plausible(across, drawn, s).select("a", "b"))
-    found = scratch.keep("found", joined(found, scratch.keep("links-3", verified(across, texts, s)), scratch, "third"))
-    scratch.drop("met", "pairs", "ids", "texts", "near", "rest", "open", "sketches", "across", "links-1", "links-2", "links-3", "dull", "copies")
+    found = scratch.keep("found", joined(found, scratch.keep("links-3", verified(across, single, s)), scratch, "third"))
+    scratch.drop("met", "pairs", "ids", "near", "best", "rest", "open", "sketches", "across", "links-1", "links-2", "links-3", "dull", "copies")
 
     # rows of a class follow its least document, rows without a copy their own
     found = found.select(F.col("id").alias("rep"), "component")

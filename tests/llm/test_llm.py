@@ -1,4 +1,5 @@
 import re
+import time
 import zlib
 
 import duckdb
@@ -219,6 +220,37 @@ def test_jaccard_hot_groups(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(docs, 3, 80)
 
 
+def test_jaccard_deals_out_only_texts_that_are_compared(spark):
+    """Pipeline: each comparison dealt out the texts of all candidates, for a few pairs."""
+    rng = np.random.default_rng(1)
+    docs = [(k, " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 400))) for k in range(400)]
+    docs += [(1000, docs[0][1] + " more"), (1001, "other")]
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark._jvm
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = spark.sparkContext._jsc.sc().dagScheduler().nextStageId()
+        got = jaccard_join.verified(spark.createDataFrame([(0, 1000), (0, 1001)], "a long, b long"), texts, jaccard_join.JaccardSettings()).collect()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stages = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    written = sum(x.shuffleWriteBytes() for x in (stages.apply(k) for k in range(stages.size())) if x.stageId() >= before)
+    assert [tuple(r) for r in got] == [(0, 1000)] and 0 < written < 100_000
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    """Pipeline: shuffle files of finished steps lay on disk beside those of the next."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    before, setting = files(), dict(spark.conf.getAll)
+    kept = Scratch(spark, "t").keep("a", spark.range(100_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 7 and dict(spark.conf.getAll) == setting
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in K.components(edges, Scratch(spark, "t"), "c").collect()}
