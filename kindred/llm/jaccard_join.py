@@ -330,16 +330,14 @@ def verified(pairs: DataFrame, texts: DataFrame, s: JaccardSettings) -> DataFram
     both = pairs.join(right, "b").join(left, "a").sortWithinPartitions("a")
 
     def work(batches):
-        known: dict[int, np.ndarray] = {}
+        known, mine = None, None
         for batch in batches:
             for part, data, offsets in arrowtext.pieces(batch, "text_b"):
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 theirs = arrowtext.shingle_sets(arrowtext.words(data, offsets), s.width)
-                keep = np.zeros(len(a), bool)
-                for k, (i, other) in enumerate(zip(a, theirs)):
-                    if i not in known:
-                        known = {i: arrowtext.shingle_sets(arrowtext.words(*arrowtext.flat(part.column("text_a").slice(k, 1))), s.width)[0]}
-                    mine = known[i]
+                keep = np.zeros(len(theirs), bool)
+                for k, (own, other) in enumerate(zip(part.column("text_a"), theirs)):
+                    if known is None or not own.equals(known):  # an id may have rows of several texts
+                        known, mine = own, arrowtext.shingle_sets(arrowtext.words(*arrowtext.flat(part.column("text_a").slice(k, 1))), s.width)[0]
                     if 100 * min(len(mine), len(other)) < s.percent * max(len(mine), len(other)):
                         continue
                     shared = len(mine) + len(other) - len(np.union1d(mine, other))

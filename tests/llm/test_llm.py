@@ -199,6 +199,15 @@ def test_jaccard_ids_with_several_texts(spark):
     assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == {1: 1, 9: 1, 2: 1, 3: 1, 7: 1, 8: 8}
 
 
+def test_jaccard_long_texts_of_one_id(spark):
+    """Pipeline: of an id's texts only the first was compared with what met them."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    for rows in ([(1, a), (1, b)], [(1, b), (1, a)]):
+        rows = [*rows, (5, b + " x"), (6, a + " y")]
+        got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), jaccard_join.JaccardSettings(width=3, percent=80)).collect()
+        assert len(got) == 4 and {r.component_id for r in got} == {1}
+
+
 def test_jaccard_pairs_of_several_buckets_are_given_once(spark):
     """Pipeline: a pair across components came once for each bucket in which it met."""
     drawn = jaccard_join.sketch(np.arange(300, dtype=np.uint64) << np.uint64(55))
@@ -245,7 +254,7 @@ def test_kept_tables_leave_no_shuffle_files(spark):
     files = lambda: {x for x in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
     before, setting = files(), dict(spark.conf.getAll)
     kept = Scratch(spark, "t").keep("a", spark.range(100_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
-    until = time.time() + 10
+    until = time.time() + 3
     while files() - before and time.time() < until:
         time.sleep(0.2)
     assert not files() - before and kept.count() == 7 and dict(spark.conf.getAll) == setting
